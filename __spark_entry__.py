@@ -17,8 +17,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plotcover.functions.cover import to_number
+from plotcover.operators import charts, frames
+from plotcover.operators import checks as chk
 from plotcover.operators import cover as cov
+from plotcover.operators import distance as dist
+from plotcover.operators import groups as grp
+from plotcover.schema import MARKER_VISIT, SIDES, STRATA, STRATUM_COLS, abs_cover_col
 from plotcover.sources.fixtures import fixture_tables
+from plotcover.sources.lookup import site_region_lookup
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -31,11 +38,166 @@ def _round(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
 # Spark side
 # --------------------------------------------------------------------------
 
+ABS_COLS = [abs_cover_col(side, s) for side in SIDES for s in STRATA]
+PILOT_STRATUM_COLUMNS = ["location_name", "event_id"]
+
+
+def _tables(spark: SparkSession, sf_dir: str):
+    return fixture_tables(spark, sf_dir)
+
+
+def q_event_groups(spark, sf_dir):
+    return grp.event_group_list(_tables(spark, sf_dir))
+
+
+def _pilot_tables(spark, sf_dir):
+    """The fixture tables with a Pilot-generation location table in place of
+    the common one: the engine reads it through the adapter (S4)."""
+    t = _tables(spark, sf_dir)
+    geo = t.locations.select(F.col("location_id").alias("GlobalID"),
+                             F.col("location_name").alias("Loc_Name_Short"))
+    return t.with_(locations=frames.locations_from_pilot(geo))
+
+
+def q_locations_adapter(spark, sf_dir):
+    t = _pilot_tables(spark, sf_dir)
+    return chk.strata_check(t, columns=["start_date", "location_name", "event_type"] + STRATUM_COLS)
+
+
+def q_site_code_filter(spark, sf_dir):
+    rows = frames.filter_site_codes(cov.point_cover_rows(_tables(spark, sf_dir)))
+    return _round(cov.abs_cover_long(rows), "abs_cover")
+
+
+def q_event_group_filter(spark, sf_dir):
+    rows = cov.point_cover_rows(_tables(spark, sf_dir), event_group="{automobile}")
+    return _round(cov.abs_cover_long(rows), "abs_cover")
+
+
+def q_numeric_coercion(spark, sf_dir):
+    veg = _tables(spark, sf_dir).vegetation
+    types = {f.name: f.dataType for f in veg.schema.fields}
+    return veg.select("point_id", "percentcover_raw",
+                      to_number("percentcover_raw", types["percentcover_raw"]).alias("percentcover"))
+
+
+def q_strata_check(spark, sf_dir):
+    return chk.strata_check(_tables(spark, sf_dir))
+
+
+def _point_rows(spark, sf_dir):
+    return chk.point_rows(_tables(spark, sf_dir))
+
+
+def q_point_count_long(spark, sf_dir):
+    return chk.point_count_long(_point_rows(spark, sf_dir))
+
+
+def q_point_count_wide(spark, sf_dir):
+    return chk.point_count_wide(_point_rows(spark, sf_dir))
+
+
+def q_point_sum_long(spark, sf_dir):
+    return chk.point_sum_long(_point_rows(spark, sf_dir))
+
+
+def q_point_sum_wide(spark, sf_dir):
+    return chk.point_sum_wide(_point_rows(spark, sf_dir))
+
+
+def q_relcover_check(spark, sf_dir):
+    return chk.relcover_check(_point_rows(spark, sf_dir))
+
+
+def q_point_sum_by_group(spark, sf_dir):
+    return grp.point_sum_by_group(_tables(spark, sf_dir))
+
+
+def q_point_count_by_group(spark, sf_dir):
+    return grp.point_count_by_group(_tables(spark, sf_dir))
+
+
+def q_relcover_by_group(spark, sf_dir):
+    return grp.relcover_by_group(_tables(spark, sf_dir))
+
+
+def q_point_cover_rows(spark, sf_dir):
+    return cov.point_cover_rows(_tables(spark, sf_dir))
+
+
+def q_abs_cover_rows(spark, sf_dir):
+    rows = cov.abs_cover_rows(cov.point_cover_rows(_tables(spark, sf_dir)))
+    return _round(rows, "abs_cover")
+
+
 def q_abs_cover_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixture_tables(spark, sf_dir)
+    t = _tables(spark, sf_dir)
     return _round(cov.abs_cover_long(cov.point_cover_rows(t)), "abs_cover")
 
 
+def _round_wide(df: DataFrame, keys) -> DataFrame:
+    return _round(df, *[c for c in df.columns if c not in keys])
+
+
+def q_abs_cover_wide(spark, sf_dir):
+    wide = cov.abs_cover_wide(cov.point_cover_rows(_tables(spark, sf_dir)))
+    return _round_wide(wide, cov.SPECIES_KEYS)
+
+
+def q_abs_cover_site_order(spark, sf_dir):
+    wide = cov.abs_cover_wide(cov.point_cover_rows(_tables(spark, sf_dir)), order="site")
+    return _round_wide(wide, cov.SPECIES_KEYS)
+
+
+def q_abs_cover_by_group(spark, sf_dir):
+    return _round(grp.abs_cover_by_group(_tables(spark, sf_dir)), "abs_cover")
+
+
+def q_abs_cover_by_stratum(spark, sf_dir):
+    return _round(cov.abs_cover_by_stratum(_tables(spark, sf_dir)), *ABS_COLS)
+
+
+def q_stratum_fanout(spark, sf_dir):
+    frame = frames.stratum_fanout_frame(_tables(spark, sf_dir))
+    rows = cov.abs_cover_by_stratum(None, frame=frame, id_columns=PILOT_STRATUM_COLUMNS)
+    return _round(rows, *ABS_COLS)
+
+
+def q_stratum_with_region(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    frame = frames.filter_site_codes(frames.marker_frame(t, MARKER_VISIT))
+    rows = cov.abs_cover_by_stratum(None, frame=frame, id_columns=PILOT_STRATUM_COLUMNS)
+    joined = frames.with_lookup_region(rows, site_region_lookup(spark))
+    return _round(joined, *ABS_COLS)
+
+
+def q_region_list(spark, sf_dir):
+    return charts.region_list(cov.abs_cover_by_stratum(_tables(spark, sf_dir)))
+
+
+def q_chart_series(spark, sf_dir):
+    series = charts.chart_series(cov.abs_cover_by_stratum(_tables(spark, sf_dir)))
+    return _round(series, "abs_cover")
+
+
+def q_segment_sort_key(spark, sf_dir):
+    return dist.segment_sort_keys(dist.distance_rows(_tables(spark, sf_dir)))
+
+
+def q_distance_rows(spark, sf_dir):
+    return dist.distance_rows(_tables(spark, sf_dir))
+
+
+def q_distance_summary(spark, sf_dir):
+    summary = dist.distance_summary(dist.distance_rows(_tables(spark, sf_dir)), confidence=None)
+    return _round(summary, "average_dist_m", "standard_error")
+
+
+def q_distance_ci(spark, sf_dir):
+    summary = dist.distance_summary(dist.distance_rows(_tables(spark, sf_dir)))
+    return _round(summary, "average_dist_m", "standard_error", "lower_ci_95", "upper_ci_95")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the species x location absolute-cover table (SOP8-2) in long
     form over the sf0.001 tables."""
@@ -44,7 +206,35 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "event_groups": q_event_groups,
+        "locations_adapter": q_locations_adapter,
+        "site_code_filter": q_site_code_filter,
+        "event_group_filter": q_event_group_filter,
+        "numeric_coercion": q_numeric_coercion,
+        "strata_check": q_strata_check,
+        "point_count_long": q_point_count_long,
+        "point_count_wide": q_point_count_wide,
+        "point_sum_long": q_point_sum_long,
+        "point_sum_wide": q_point_sum_wide,
+        "relcover_check": q_relcover_check,
+        "point_sum_by_group": q_point_sum_by_group,
+        "point_count_by_group": q_point_count_by_group,
+        "relcover_by_group": q_relcover_by_group,
+        "point_cover_rows": q_point_cover_rows,
+        "abs_cover_rows": q_abs_cover_rows,
         "abs_cover_long": q_abs_cover_long,
+        "abs_cover_wide": q_abs_cover_wide,
+        "abs_cover_site_order": q_abs_cover_site_order,
+        "abs_cover_by_group": q_abs_cover_by_group,
+        "abs_cover_by_stratum": q_abs_cover_by_stratum,
+        "stratum_fanout": q_stratum_fanout,
+        "stratum_with_region": q_stratum_with_region,
+        "region_list": q_region_list,
+        "chart_series": q_chart_series,
+        "segment_sort_key": q_segment_sort_key,
+        "distance_rows": q_distance_rows,
+        "distance_summary": q_distance_summary,
+        "distance_ci": q_distance_ci,
     }
 
 
@@ -123,7 +313,8 @@ def _sql_side(side: str) -> str:
             f"end) / 100.0) * (percentcover / 100.0)")
 
 
-SQL_ABS_ROWS = f"""
+def _sql_abs_rows(where_extra: str = "") -> str:
+    return f"""
 point_rows AS (
 select e.event_group_id, e.start_date, l.region, l.location_name, e.event_type,
   v.communitytype, v.vegetationtype, v.speciescode, v.percentcover_raw,
@@ -133,7 +324,7 @@ select e.event_group_id, e.start_date, l.region, l.location_name, e.event_type,
 from fx_vegetation v join fx_markers m on v.point_id = m.point_id
   join fx_events e on m.event_id = e.event_id
   join fx_locations l on e.location_id = l.location_id
-where v.percentcover_raw is not null and e.event_type = 'Marker Visit'),
+where v.percentcover_raw is not null and e.event_type = 'Marker Visit' {where_extra}),
 coerced AS (
 select *, {_sql_number('percentcover_raw')} as percentcover
 from point_rows),
@@ -143,16 +334,312 @@ select *, case communitytype when 'Mangrove' then {_sql_side('mangrove')}
 from coerced)"""
 
 
-def _sql_abs_cover_long(extra: str = "") -> str:
+def _not_null(keys: str) -> str:
+    return " and ".join(f"{k.strip()} is not null" for k in keys.split(","))
+
+
+def _sql_abs_cover_long(extra: str = "", where_extra: str = "") -> str:
     keys = f"{extra}communitytype, vegetationtype, speciescode, location_name"
-    nn = " and ".join(f"{k.strip()} is not null" for k in keys.split(","))
-    return _with(SQL_ABS_ROWS) + f"""
+    return _with(_sql_abs_rows(where_extra)) + f"""
 select {keys}, round(coalesce(sum(abs_cover), 0.0), 6) as abs_cover
-from abs_rows where {nn}
+from abs_rows where {_not_null(keys)}
+group by {keys}"""
+
+
+# Marker rows of every visit type with visit and location.
+SQL_MK = """
+mk AS (
+select m.*, e.event_group_id, e.event_type, e.start_date, e.location_id,
+  l.region, l.segment, l.location_name
+from fx_markers m join fx_events e on m.event_id = e.event_id
+  join fx_locations l on e.location_id = l.location_id)"""
+
+# Species rows of every visit type, percent cover read as a number.
+SQL_PR = f"""
+pr AS (
+select v.communitytype, v.vegetationtype, v.speciescode, v.percentcover_raw,
+  {_sql_number('v.percentcover_raw')} as percentcover,
+  mk.event_group_id, mk.event_type, mk.region, mk.segment, mk.location_name
+from fx_vegetation v join mk on v.point_id = mk.point_id)"""
+
+# Marker visits with their event group.
+SQL_DR = """
+dr AS (
+select mk.event_group_id, g.event_group_name, g.start_date as group_start_date,
+  mk.event_type, mk.location_id, mk.region, mk.segment, mk.location_name,
+  mk.point_id, mk.distance, mk.method
+from mk join fx_event_groups g on mk.event_group_id = g.event_group_id
+where mk.event_type = 'Marker Visit')"""
+
+POINT_KEYS_SQL = "region, segment, location_name, communitytype, vegetationtype, event_type"
+STRATA_SQL = ", ".join(f"{s}side_cover_{t}" for s in ("mangrove", "marsh")
+                       for t in ("tree", "shrub", "herb"))
+
+
+def _sql_sums() -> str:
+    out = []
+    for side in ("mangrove", "marsh"):
+        total = " + ".join(f"coalesce({side}side_cover_{t}, 0.0)" for t in ("tree", "shrub", "herb"))
+        out.append(f"{total} as sum_{side}")
+        out.append(f"({total}) = 100.0 as {side}_is_100")
+    return ",\n  ".join(out)
+
+
+def _sql_covers_and_abs(prefix: str = "") -> str:
+    cols = []
+    for side in ("mangrove", "marsh"):
+        for t in ("overall", "tree", "shrub", "herb"):
+            cols.append(f"{prefix}{side}side_cover_{t}")
+        for t in ("tree", "shrub", "herb"):
+            cols.append(f"round({prefix}{side}side_cover_overall * ({prefix}{side}side_cover_{t} / 100.0), 6)"
+                        f" as abscover_{side}_{t}")
+    return ", ".join(cols)
+
+
+# The fixture's species codes and location names follow from its rules
+# (FIXTURES.md §2): 'SP00'..'SP11'; nation keys 0..24 as '01_1'..'07_1'.
+SPECIES = [f"SP{i:02d}" for i in range(12)]
+LOCATION_NAMES = [f"{k // 4 + 1:02d}_{k % 4 + 1}" for k in range(25)]
+
+
+def _wide_cells(column: str, values: list[str], value: str, agg: str, digits: int | None = None) -> str:
+    cells = []
+    for v in values:
+        present = f"count(case when {column} = '{v}' then 1 end) > 0"
+        if agg == "sum":
+            cell = f"coalesce(sum(case when {column} = '{v}' then {value} end), 0.0)"
+        else:
+            cell = f"count(case when {column} = '{v}' then {value} end)"
+        if digits is not None:
+            cell = f"round({cell}, {digits})"
+        cells.append(f'case when {present} then {cell} end as "{v}"')
+    return ",\n  ".join(cells)
+
+
+def _sql_point_long(agg: str) -> str:
+    out = "n_percentcover" if agg == "count" else "sum_percentcover"
+    cell = "count(percentcover)" if agg == "count" else "coalesce(sum(percentcover), 0.0)"
+    keys = POINT_KEYS_SQL + ", speciescode"
+    return _with(SQL_MK, SQL_PR) + f"""
+select {keys}, {cell} as {out}
+from pr where {_not_null(keys)}
+group by {keys}"""
+
+
+def _sql_point_wide(agg: str) -> str:
+    keys = POINT_KEYS_SQL
+    extra = ""
+    if agg == "sum":
+        extra = (",\n  coalesce(sum(percentcover), 0.0) as sum_relcover,"
+                 "\n  coalesce(sum(percentcover), 0.0) = 100.0 as relcover_is_100")
+    return _with(SQL_MK, SQL_PR) + f"""
+select {keys},
+  {_wide_cells('speciescode', SPECIES, 'percentcover', agg)}{extra}
+from pr where {_not_null(keys + ', speciescode')}
 group by {keys}"""
 
 
+def _sql_relcover() -> str:
+    keys = POINT_KEYS_SQL
+    return _with(SQL_MK, SQL_PR) + f"""
+select {keys}, coalesce(sum(percentcover), 0.0) as sum_relcover,
+  coalesce(sum(percentcover), 0.0) = 100.0 as relcover_is_100
+from pr where {_not_null(keys + ', speciescode')}
+group by {keys}"""
+
+
+SQL_GROUP_ROWS = """
+gpr AS (
+select pr.* replace (case when contains(g.event_group_name, 'Segment') then pr.segment end as segment)
+from pr join fx_event_groups g on pr.event_group_id = g.event_group_id
+where not contains(g.event_group_name, 'Segment') or pr.segment is not null)"""
+
+GROUP_KEYS_SQL = "event_group_id, " + POINT_KEYS_SQL
+GROUP_REQUIRED = "event_group_id, region, location_name, communitytype, vegetationtype, event_type, speciescode"
+
+
+def _sql_group(select: str, keys: str) -> str:
+    return _with(SQL_MK, SQL_PR, SQL_GROUP_ROWS) + f"""
+select {keys}, {select}
+from gpr where {_not_null(GROUP_REQUIRED)}
+group by {keys}"""
+
+
+def _sql_abs_wide() -> str:
+    keys = "communitytype, vegetationtype, speciescode"
+    return _with(_sql_abs_rows()) + f"""
+select {keys},
+  {_wide_cells('location_name', LOCATION_NAMES, 'abs_cover', 'sum', 6)}
+from abs_rows where {_not_null(keys + ', location_name')}
+group by {keys}"""
+
+
+SQL_ST = f"""
+st AS (
+select event_group_id, point_id, location_id, region, location_name, start_date,
+  {_sql_covers_and_abs()}
+from mk where event_type = 'Marker Visit')"""
+
+SITE_CODE_SQL = "regexp_full_match(location_name, '(0[1-9]|1[0-4])_[1-4]')"
+
+
+def _sql_chart_series() -> str:
+    parts = []
+    for side_rank, side in enumerate(("marsh", "mangrove"), start=1):
+        for rank, t in enumerate(("tree", "shrub", "herb"), start=1):
+            parts.append(
+                f"select event_group_id, region, location_name, start_date, point_id, "
+                f"'{side.capitalize()}' as side, {side_rank} as side_order, "
+                f"'{t.capitalize()}' as stratum, {rank} as stratum_order, "
+                f"{side}side_cover_overall as overall_cover, abscover_{side}_{t} as abs_cover from st")
+    return _with(SQL_MK, SQL_ST) + "\nunion all\n".join(parts)
+
+
+# ---- Student-t critical values for the oracle ---------------------------
+# Computed here independently of the engine: for whole degrees of freedom
+# the t distribution function has a closed form (Abramowitz & Stegun
+# 26.7.3-4), solved by Newton steps; above ORACLE_T_MAX the published
+# Cornish-Fisher expansion (A&S 26.7.5) is written into the SQL.
+ORACLE_T_MAX = 300
+
+
+def _t_central_probability(t: float, nu: int) -> float:
+    """P(|T| <= t) for whole nu, by the closed form."""
+    theta = math.atan(t / math.sqrt(nu))
+    s, c = math.sin(theta), math.cos(theta)
+    if nu % 2 == 1:
+        total, term = 0.0, c
+        for k in range(1, (nu - 1) // 2 + 1):
+            total += term
+            term *= c * c * (2 * k) / (2 * k + 1)
+        return 2.0 / math.pi * (theta + s * total)
+    total, term = 0.0, 1.0
+    for k in range(1, nu // 2 + 1):
+        total += term
+        term *= c * c * (2 * k - 1) / (2 * k)
+    return s * total
+
+
+def _t_quantile(nu: int, confidence: float) -> float:
+    log_norm = math.lgamma((nu + 1) / 2) - math.lgamma(nu / 2) - 0.5 * math.log(nu * math.pi)
+    t = 1.0
+    for _ in range(200):
+        density = math.exp(log_norm - (nu + 1) / 2 * math.log1p(t * t / nu))
+        step = (confidence - _t_central_probability(t, nu)) / (2 * density)
+        t += step
+        if abs(step) < 1e-15 * t:
+            break
+    return t
+
+
+def _sql_t_values(confidence: float = 0.95) -> str:
+    rows = ", ".join(f"({nu}, {_t_quantile(nu, confidence)!r})" for nu in range(1, ORACLE_T_MAX + 1))
+    return f"tt AS (select * from (values {rows}) v(dof, t_crit))"
+
+
+def _sql_cornish_fisher(nu: str, confidence: float = 0.95) -> str:
+    from statistics import NormalDist
+    z = NormalDist().inv_cdf((1 + confidence) / 2)
+    g = [(z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96,
+         (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+         (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160]
+    return (f"({z!r} + {g[0]!r} / {nu} + {g[1]!r} / power({nu}, 2) "
+            f"+ {g[2]!r} / power({nu}, 3) + {g[3]!r} / power({nu}, 4))")
+
+
+def _sql_distance(with_ci: bool) -> str:
+    keys = "event_group_id, region, segment"
+    stats = f"""
+ds AS (
+select {keys}, avg(distance) as average_dist_m,
+  stddev_samp(distance) / sqrt(count(distance)) as standard_error,
+  count(distance) as rec_count, min(distance) as min_difference,
+  max(distance) as max_difference
+from dr where {_not_null(keys)}
+group by {keys})"""
+    cols = (f"{keys}, round(average_dist_m, 6) as average_dist_m, "
+            "round(standard_error, 6) as standard_error, rec_count, min_difference, max_difference")
+    if not with_ci:
+        return _with(SQL_MK, SQL_DR, stats) + f"select {cols} from ds"
+    dof = "(ds.rec_count - 1)"
+    t = (f"(case when {dof} > {ORACLE_T_MAX} then {_sql_cornish_fisher(dof)} "
+         f"when {dof} >= 1 then tt.t_crit end)")
+    return _with(SQL_MK, SQL_DR, stats, _sql_t_values()) + f"""
+select {cols},
+  round(average_dist_m - {t} * standard_error, 6) as lower_ci_95,
+  round(average_dist_m + {t} * standard_error, 6) as upper_ci_95
+from ds left join tt on {dof} = tt.dof"""
+
+
 def oracle_sql() -> dict[str, str]:
+    covers9 = ("m.mangroveside_cover_overall, m.mangroveside_cover_tree, m.mangroveside_cover_shrub, "
+               "m.mangroveside_cover_herb, m.marshside_cover_overall, m.marshside_cover_tree, "
+               "m.marshside_cover_shrub, m.marshside_cover_herb")
     return {
+        "event_groups": _with() + """
+select event_group_id, event_group_name, cast(year(start_date) as int) as event_group_year
+from fx_event_groups""",
+        "locations_adapter": _with(SQL_MK) + f"""
+select start_date, location_name, event_type, {STRATA_SQL},
+  {_sql_sums()}
+from mk""",
+        "site_code_filter": _sql_abs_cover_long(where_extra=f"and {SITE_CODE_SQL.replace('location_name', 'l.location_name')}"),
+        "event_group_filter": _sql_abs_cover_long(
+            where_extra="and upper(replace(replace(e.event_group_id, '{', ''), '}', '')) = 'AUTOMOBILE'"),
+        "numeric_coercion": _with() + f"""
+select point_id, percentcover_raw, {_sql_number('percentcover_raw')} as percentcover
+from fx_vegetation""",
+        "strata_check": _with(SQL_MK) + f"""
+select region, segment, location_name, event_type, {STRATA_SQL},
+  {_sql_sums()}
+from mk""",
+        "point_count_long": _sql_point_long("count"),
+        "point_count_wide": _sql_point_wide("count"),
+        "point_sum_long": _sql_point_long("sum"),
+        "point_sum_wide": _sql_point_wide("sum"),
+        "relcover_check": _sql_relcover(),
+        "point_sum_by_group": _sql_group("coalesce(sum(percentcover), 0.0) as sum_percentcover",
+                                         GROUP_KEYS_SQL + ", speciescode"),
+        "point_count_by_group": _sql_group("count(percentcover) as n_percentcover",
+                                           GROUP_KEYS_SQL + ", speciescode"),
+        "relcover_by_group": _sql_group(
+            "coalesce(sum(percentcover), 0.0) as sum_relcover, "
+            "coalesce(sum(percentcover), 0.0) = 100.0 as relcover_is_100", GROUP_KEYS_SQL),
+        "point_cover_rows": _with(_sql_abs_rows()) + "select * from point_rows",
+        "abs_cover_rows": _with(_sql_abs_rows()) + """
+select * replace (round(abs_cover, 6) as abs_cover) from abs_rows""",
         "abs_cover_long": _sql_abs_cover_long(),
+        "abs_cover_wide": _sql_abs_wide(),
+        "abs_cover_site_order": _sql_abs_wide(),
+        "abs_cover_by_group": _sql_abs_cover_long(extra="event_group_id, "),
+        "abs_cover_by_stratum": _with(SQL_MK, SQL_ST) + "select * from st",
+        "stratum_fanout": _with(SQL_MK) + f"""
+select mk.location_name, mk.event_id, {_sql_covers_and_abs('mk.')}
+from mk join fx_vegetation v on v.point_id = mk.point_id
+where mk.event_type = 'Marker Visit' and {SITE_CODE_SQL.replace('location_name', 'mk.location_name')}""",
+        "stratum_with_region": _with(SQL_MK) + f""",
+lk AS (
+select case when i < 20 then 'Turner River' when i < 36 then 'Shark Slough'
+            else 'Taylor Slough' end as region,
+  cast(i // 4 + 1 as int) as seg, cast(i % 4 + 1 as int) as pt
+from range(56) r(i)),
+pilot AS (
+select location_name, event_id, {_sql_covers_and_abs()}
+from mk where event_type = 'Marker Visit' and {SITE_CODE_SQL})
+select lk.region, pilot.*
+from pilot join lk
+  on try_cast(regexp_extract(pilot.location_name, '^\\s*([0-9]+)[_-]([0-9]+)\\s*$', 1) as int) = lk.seg
+ and try_cast(regexp_extract(pilot.location_name, '^\\s*([0-9]+)[_-]([0-9]+)\\s*$', 2) as int) = lk.pt""",
+        "region_list": _with(SQL_MK, SQL_ST) + """
+select region, min(location_name) as first_location_name,
+  cast(row_number() over (order by min(location_name) asc nulls last, region asc nulls last) as int)
+    as region_order
+from st group by region""",
+        "chart_series": _sql_chart_series(),
+        "segment_sort_key": _with(SQL_MK, SQL_DR) + """
+select distinct segment, try_cast(regexp_extract(segment, '([0-9]+)', 1) as bigint) as segment_number
+from dr""",
+        "distance_rows": _with(SQL_MK, SQL_DR) + "select * from dr",
+        "distance_summary": _sql_distance(False),
+        "distance_ci": _sql_distance(True),
     }

@@ -73,13 +73,15 @@ STRATUM_COLUMNS = (
 )
 
 
-def abs_cover_by_stratum(t: SurveyTables, event_group: str | None = None,
+def abs_cover_by_stratum(t: SurveyTables | None, event_group: str | None = None,
                          event_type: str | None = MARKER_VISIT,
-                         frame: DataFrame | None = None) -> DataFrame:
+                         frame: DataFrame | None = None,
+                         id_columns: Sequence[str] = STRATUM_COLUMNS) -> DataFrame:
     """SOP8-3 rows (J3, E4): per marker visit, each side's covers and the
-    absolute cover of each layer, overall x layer / 100."""
+    absolute cover of each layer, overall x layer / 100.  ``frame`` replaces
+    the default marker frame (Pilot's fan-out, J4)."""
     frame = frame if frame is not None else marker_frame(t, event_type, event_group)
-    cols = [F.col(c) for c in STRATUM_COLUMNS if c in frame.columns]
+    cols = [F.col(c) for c in id_columns]
     for side in SIDES:
         cols += [F.col(cover_col(side, s)) for s in ("overall",) + STRATA]
         cols += [stratum_absolute_cover(side, s).alias(abs_cover_col(side, s)) for s in STRATA]

@@ -139,14 +139,14 @@ def stratum_fanout_frame(t: SurveyTables, event_type: str | None = MARKER_VISIT)
     return markers.join(t.vegetation.select("point_id"), "point_id")
 
 
-def with_lookup_region(rows: DataFrame, lookup: DataFrame,
-                       col: str = "location_name") -> DataFrame:
+def with_lookup_region(rows: DataFrame, lookup: DataFrame, col: str = "location_name",
+                       out_col: str = "region") -> DataFrame:
     """Region from a site lookup (op J6), matched on the site code's numbers
     so '01_1' meets '01-01' (D2).  The lookup is a fixed 56-row table,
     broadcast by construction; rows whose code is not in it drop out, as in
     an inner merge."""
     keyed = rows.withColumn("_seg", site_segment(col)).withColumn("_pt", site_point(col))
-    lk = lookup.select(F.col("region").alias("lookup_region"),
+    lk = lookup.select(F.col("region").alias(out_col),
                        site_segment("location_name").alias("_seg"),
                        site_point("location_name").alias("_pt"))
-    return keyed.join(F.broadcast(lk), ["_seg", "_pt"]).drop("_seg", "_pt")
+    return F.broadcast(lk).join(keyed, ["_seg", "_pt"]).drop("_seg", "_pt")

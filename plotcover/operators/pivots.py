@@ -15,6 +15,7 @@ a combination that never occurs is NULL in the wide form, never 0.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -44,11 +45,15 @@ def drop_missing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def long_pivot(df: DataFrame, keys: Sequence[str], column: str, value: str,
-               agg: str = "sum", out: str | None = None) -> DataFrame:
-    """One row per occurring (keys, column) with the aggregate of ``value``."""
+               agg: str = "sum", out: str | None = None,
+               nullable_keys: Sequence[str] = ()) -> DataFrame:
+    """One row per occurring (keys, column) with the aggregate of ``value``.
+    ``nullable_keys`` are keys already resolved by the caller (F10) and kept
+    even when NULL."""
     out = out or f"{agg}_{value}"
     group = list(keys) + [column]
-    return drop_missing_keys(df, group).groupBy(*group).agg(_aggregate(agg, value).alias(out))
+    required = [k for k in group if k not in nullable_keys]
+    return drop_missing_keys(df, required).groupBy(*group).agg(_aggregate(agg, value).alias(out))
 
 
 def pivot_values(long_df: DataFrame, column: str, order: str = "text",
@@ -64,7 +69,6 @@ def pivot_values(long_df: DataFrame, column: str, order: str = "text",
     values = [r[0] for r in rows]
     if order == "site":
         def key(v):
-            import re
             m = re.match(r"^\s*([0-9]+)[_-]([0-9]+)\s*$", str(v))
             return (0, int(m.group(1)), int(m.group(2)), str(v)) if m else (1, 0, 0, str(v))
         return sorted(values, key=key)
