@@ -31,14 +31,20 @@ VISIT_COLUMNS = ["event_id", "event_group_id", "location_id", "event_type",
                  "start_date", "region", "segment", "location_name"]
 
 
+_bounded: dict[tuple[int, int], bool] = {}
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint on ``df`` if it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the table turns out to be large; a large table is left to the planner."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    the table turns out to be large; a large table is left to the planner.
+    The answer is kept per plan for the life of the process: it decides only
+    the join strategy, never the result."""
+    key = (df.semanticHash(), max_rows)
+    if key not in _bounded:
+        _bounded[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _bounded[key] else df
 
 
 def normalised_literal(value: str) -> str:

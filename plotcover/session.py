@@ -14,10 +14,15 @@ from pyspark.sql import SparkSession
 
 # Settings every job of the engine relies on.  Shuffle width is left to the
 # caller (cores locally, data size on a cluster); AQE coalesces small
-# partitions, splits skewed join partitions and turns joins whose runtime side
-# is small into broadcast joins, all of them size-checked by Spark itself.
+# partitions and splits skewed join partitions.  No join is broadcast on a
+# planner estimate (a compressed file size says little about rows in memory):
+# dimension tables are broadcast after a bounded row count
+# (operators.frames.broadcast_if_bounded), and AQE turns a shuffle join into a
+# broadcast join only when the measured shuffle output is under 10 MB.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

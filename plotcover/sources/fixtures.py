@@ -26,8 +26,16 @@ SEGMENT_GROUP_MARKETS = ("AUTOMOBILE", "BUILDING")
 MISSING_SEGMENT_NATION = 24
 
 
+_handles: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Lazy handle on one test table, made once per session and folder, as a
+    catalog table would be: it holds the file listing and schema, no data."""
+    key = (id(spark), sf_dir, name)
+    if key not in _handles:
+        _handles[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _handles[key]
 
 
 def _double(c: Column) -> Column:
@@ -133,8 +141,19 @@ def fixture_vegetation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_tables: dict[tuple[int, str], SurveyTables] = {}
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> SurveyTables:
-    """All five survey tables over the test tables in ``sf_dir``."""
+    """All five survey tables over the test tables in ``sf_dir`` (lazy
+    DataFrames, built once per session and folder)."""
+    key = (id(spark), sf_dir)
+    if key not in _tables:
+        _tables[key] = _build_tables(spark, sf_dir)
+    return _tables[key]
+
+
+def _build_tables(spark: SparkSession, sf_dir: str) -> SurveyTables:
     return SurveyTables(
         locations=fixture_locations(spark, sf_dir),
         events=fixture_events(spark, sf_dir),
