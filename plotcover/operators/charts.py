@@ -7,6 +7,8 @@ series table a report tool can draw from directly.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,13 +19,15 @@ from plotcover.schema import COMMUNITY_LABELS, STRATA, STRATUM_LABELS, abs_cover
 SIDE_ORDER = ("marsh", "mangrove")
 
 
-def region_list(stratum_rows: DataFrame) -> DataFrame:
+def region_list(stratum_rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """the regions in the order a table sorted by location name meets
-    them, i.e. by each region's first location name."""
-    firsts = stratum_rows.groupBy("region").agg(F.min("location_name").alias("first_location_name"))
-    # one row per region: the window sees only that many rows
-    order = Window.orderBy(F.col("first_location_name").asc_nulls_last(),
-                           F.col("region").asc_nulls_last())
+    them, i.e. by each region's first location name; ``keys`` (the event
+    group) give one list per key."""
+    firsts = stratum_rows.groupBy(*keys, "region").agg(
+        F.min("location_name").alias("first_location_name"))
+    # one row per region (and key): the window only ever sees that many rows
+    order = Window.partitionBy(*keys).orderBy(F.col("first_location_name").asc_nulls_last(),
+                                              F.col("region").asc_nulls_last())
     return firsts.withColumn("region_order", F.row_number().over(order))
 
 

@@ -4,6 +4,13 @@ Tables come from Parquet (one folder or file per table) or a JDBC database.
 Column names are normalised to the lower-case names of ``plotcover.schema``,
 identifiers (GUIDs) to upper case without braces, and text dates to dates —
 here and nowhere else, so every operator sees one data model.
+
+Normalising an id wraps the column in an expression, and a filter on an
+expression cannot reach the Parquet scan.  So normalisation is an ingest
+step: ``read_jdbc_tables`` (or ``read_parquet_tables(normalise_ids=True)``)
+on the raw export, then ``write_tables`` once; day-to-day reads of the
+written tables use ``read_parquet_tables`` as is, and a group or id filter
+becomes a pushed-down equality.
 """
 
 from __future__ import annotations
@@ -72,9 +79,10 @@ def normalise_table(df: DataFrame, name: str, normalise_ids: bool = True) -> Dat
 
 
 def read_parquet_tables(spark: SparkSession, paths: dict[str, str],
-                        normalise_ids: bool = True) -> SurveyTables:
+                        normalise_ids: bool = False) -> SurveyTables:
     """Read each table from its Parquet path: keys ``locations``, ``events``,
-    ``markers``, ``vegetation`` and optionally ``event_groups``."""
+    ``markers``, ``vegetation`` and optionally ``event_groups``.  Ids are
+    taken as stored unless ``normalise_ids`` (raw exports)."""
     frames = {name: normalise_table(spark.read.parquet(path), name, normalise_ids)
               for name, path in paths.items()}
     return SurveyTables(**frames)
@@ -92,3 +100,21 @@ def read_jdbc_tables(spark: SparkSession, url: str, tables: dict[str, str],
         df = spark.read.jdbc(url, source, properties=properties or {})
         frames[name] = normalise_table(df, name, normalise_ids)
     return SurveyTables(**frames)
+
+
+def write_tables(t: SurveyTables, out_dir: str) -> dict[str, str]:
+    """Ingest: write the (normalised) tables as Parquet, events partitioned
+    by event group so a one-group report reads one folder.  Returns the
+    paths for ``read_parquet_tables``."""
+    paths = {}
+    for name in ("locations", "events", "markers", "vegetation", "event_groups"):
+        df = getattr(t, name)
+        if df is None:
+            continue
+        path = f"{out_dir.rstrip('/')}/{name}"
+        writer = df.write.mode("overwrite")
+        if name == "events":
+            writer = writer.partitionBy("event_group_id")
+        writer.parquet(path)
+        paths[name] = path
+    return paths
