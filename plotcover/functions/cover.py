@@ -48,13 +48,32 @@ def to_number(col: Column | str, source_type: T.DataType | None = None) -> Colum
     )
 
 
-def row_sum(*cols: Column | str) -> Column:
-    """Row-wise total that skips missing terms; all missing gives 0.0."""
-    terms = [F.coalesce(_c(c).cast("double"), F.lit(0.0)) for c in cols]
+# Exact summation type for the "adds up to 100" checks (D7): covers have at
+# most six decimals, so a decimal sum is exact and independent of the order
+# Spark happens to add the terms in.
+EXACT_DECIMAL = "decimal(18,6)"
+
+
+def row_sum(*cols: Column | str, exact_decimal: bool = False) -> Column:
+    """Row-wise total that skips missing terms; all missing gives 0.0.
+    ``exact_decimal`` adds the terms as decimals and returns the exact total
+    as a double."""
+    kind = EXACT_DECIMAL if exact_decimal else "double"
+    zero = F.lit(0).cast(kind)
+    terms = [F.coalesce(_c(c).cast(kind), zero) for c in cols]
     total = terms[0]
     for term in terms[1:]:
         total = total + term
-    return total
+    return total.cast("double") if exact_decimal else total
+
+
+def exact_sum(col: Column | str, exact_decimal: bool = False) -> Column:
+    """Aggregate sum for the checks: 0.0 when every value is missing (N4);
+    with ``exact_decimal`` summed as decimals, so the total does not depend on
+    the order of addition (D7)."""
+    if exact_decimal:
+        return F.coalesce(F.sum(_c(col).cast(EXACT_DECIMAL)), F.lit(0).cast(EXACT_DECIMAL)).cast("double")
+    return F.coalesce(F.sum(_c(col)), F.lit(0.0))
 
 
 def equals_exactly(col: Column | str, value: float) -> Column:

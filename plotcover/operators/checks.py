@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotcover.functions.cover import equals_exactly, row_sum, to_number
+from plotcover.functions.cover import equals_exactly, exact_sum, row_sum, to_number
 from plotcover.operators.frames import marker_frame, vegetation_frame
 from plotcover.operators.pivots import drop_missing_keys, long_pivot, wide_pivot, pivot_values
 from plotcover.schema import SIDES, STRATA, STRATUM_COLS, cover_col
@@ -29,18 +29,20 @@ POINT_KEYS = ["region", "segment", "location_name", "communitytype", "vegetation
 PILOT_POINT_KEYS = ["location_name", "communitytype", "vegetationtype", "event_type"]
 
 
-def strata_check(t: SurveyTables, event_group: str | None = None,
+def strata_check(t: SurveyTables | None, event_group: str | None = None,
                  extra_cols: Sequence[str] = (), ordered: bool = False,
                  frame: DataFrame | None = None,
-                 columns: Sequence[str] = STRATA_CHECK_COLUMNS) -> DataFrame:
+                 columns: Sequence[str] = STRATA_CHECK_COLUMNS,
+                 exact_decimal: bool = False) -> DataFrame:
     """Across-strata check (E1): every marker row of every visit type, the
     three layer covers summed per side with missing read as 0, and whether
-    each sum is exactly 100.  ``ordered`` sorts by location name (O1), with
-    the point id as tie-breaker so a busy location spreads over several range
-    partitions."""
+    each sum is exactly 100 (``exact_decimal``: summed as decimals, D7).
+    ``ordered`` sorts by location name (O1), with the point id as tie-breaker
+    so a busy location spreads over several range partitions."""
     frame = frame if frame is not None else marker_frame(t, event_type=None, event_group=event_group)
     df = frame.select(*extra_cols, *columns)
-    sums = {f"sum_{side}": row_sum(*[cover_col(side, s) for s in STRATA]) for side in SIDES}
+    sums = {f"sum_{side}": row_sum(*[cover_col(side, s) for s in STRATA],
+                                   exact_decimal=exact_decimal) for side in SIDES}
     df = df.withColumns(sums).withColumns(
         {f"{side}_is_100": equals_exactly(f"sum_{side}", 100.0) for side in SIDES})
     if ordered:
@@ -86,12 +88,13 @@ def point_sum_wide(rows: DataFrame, keys: Sequence[str] = POINT_KEYS) -> DataFra
 
 
 def relcover_check(rows: DataFrame, keys: Sequence[str] = POINT_KEYS,
-                   nullable_keys: Sequence[str] = ()) -> DataFrame:
+                   nullable_keys: Sequence[str] = (), exact_decimal: bool = False) -> DataFrame:
     """A5 without the wide table: the row total of the sum pivot equals the
     plain sum over the rows that reach the pivot (every key and the species
-    present), so one aggregation gives it."""
+    present), so one aggregation gives it.  ``exact_decimal`` sums as
+    decimals (D7)."""
     required = [k for k in list(keys) + ["speciescode"] if k not in nullable_keys]
     kept = drop_missing_keys(rows, required)
     return kept.groupBy(*keys).agg(
-        F.coalesce(F.sum("percentcover"), F.lit(0.0)).alias("sum_relcover")
+        exact_sum("percentcover", exact_decimal).alias("sum_relcover")
     ).withColumn("relcover_is_100", equals_exactly("sum_relcover", 100.0))

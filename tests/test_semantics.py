@@ -320,3 +320,36 @@ def test_chart_series_and_regions(small):
         ("Mangrove", "Tree"), ("Mangrove", "Shrub"), ("Mangrove", "Herb")]
     regions = [r.region for r in charts.region_list(stratum).orderBy("region_order").collect()]
     assert regions == ["North", "South"]
+
+
+# ---------------------------------------------------------------- D7 decimal option
+
+def test_decimal_sums_are_order_free(spark):
+    df = spark.createDataFrame([(6.9, 29.2, 39.2, 24.7)], "a double, b double, c double, d double")
+    r = df.select(row_sum("a", "b", "c", "d", exact_decimal=True).alias("s")).first()
+    assert r.s == 100.0
+    rows = spark.createDataFrame(
+        [("L", "Marsh", "Herb", "Marker Visit", "r", "s", sp, v)
+         for sp, v in (("a", 6.9), ("b", 29.2), ("c", 39.2), ("d", 24.7))],
+        "location_name string, communitytype string, vegetationtype string, event_type string, "
+        "region string, segment string, speciescode string, percentcover double")
+    exact = checks.relcover_check(rows, exact_decimal=True).first()
+    assert exact.sum_relcover == 100.0 and exact.relcover_is_100
+
+
+def test_chart_series_region_subset(small):
+    stratum = cover.abs_cover_by_stratum(small)
+    south = charts.chart_series(stratum, region="South").collect()
+    assert south and {r.region for r in south} == {"South"}
+
+
+def test_ordered_outputs(small):
+    rows = checks.strata_check(small, extra_cols=["point_id"], ordered=True).collect()
+    keys = [(r.location_name, r.point_id) for r in rows]
+    assert keys == sorted(keys)
+    stratum = cover.order_stratum_rows(cover.abs_cover_by_stratum(small)).collect()
+    keys = [(r.location_name, r.start_date, r.point_id) for r in stratum]
+    assert keys == sorted(keys)
+    d = distance.distance_rows(small, ordered=True).collect()
+    keys = [(r.segment is not None, r.segment or "", r.location_name, r.point_id) for r in d]
+    assert [k[1:] for k in keys if k[0]] == sorted(k[1:] for k in keys if k[0])
