@@ -23,8 +23,15 @@ def region_list(stratum_rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """the regions in the order a table sorted by location name meets
     them, i.e. by each region's first location name; ``keys`` (the event
     group) give one list per key."""
-    firsts = stratum_rows.groupBy(*keys, "region").agg(
-        F.min("location_name").alias("first_location_name"))
+    # The minimum of a string has no fixed-width buffer, so Spark would sort
+    # every row to aggregate it.  Instead: distinct (region, location) pairs
+    # by hash aggregation, combined map-side, then the first location of each
+    # region by a window over those few pairs.
+    pairs = stratum_rows.select(*keys, "region", "location_name").distinct()
+    first = Window.partitionBy(*keys, "region").orderBy(F.col("location_name").asc_nulls_last())
+    firsts = (pairs.withColumn("_rank", F.row_number().over(first))
+              .where(F.col("_rank") == 1)
+              .select(*keys, "region", F.col("location_name").alias("first_location_name")))
     # one row per region (and key): the window only ever sees that many rows
     order = Window.partitionBy(*keys).orderBy(F.col("first_location_name").asc_nulls_last(),
                                               F.col("region").asc_nulls_last())
