@@ -7,6 +7,7 @@ never NaN (the coercion maps NaN to NULL).
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +33,31 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Building a Column costs one call into the JVM per function used, and the
+# same few expressions are built for every report.  Expressions over named
+# columns are kept per live JVM (a Column is an unresolved expression, safe to
+# reuse in any plan of that JVM).
+_memo: dict[tuple, Column] = {}
+
+
+def _memoised(key: tuple, build) -> Column:
+    gateway = SparkContext._gateway
+    full = (id(gateway),) + key
+    if full not in _memo:
+        _memo[full] = build()
+    return _memo[full]
+
+
 def to_number(col: Column | str, source_type: T.DataType | None = None) -> Column:
     """Coerce a value to a double the way a forgiving numeric parser does
     (op E3): surrounding whitespace is ignored, bad text and NaN become NULL."""
-    c = _c(col)
+    if isinstance(col, str):
+        numeric = isinstance(source_type, T.NumericType)
+        return _memoised(("to_number", col, numeric), lambda: _to_number(F.col(col), source_type))
+    return _to_number(col, source_type)
+
+
+def _to_number(c: Column, source_type: T.DataType | None) -> Column:
     if source_type is not None and isinstance(source_type, T.NumericType):
         value = c.cast("double")
         return F.when(~F.isnan(value), value)
@@ -105,7 +127,13 @@ def absolute_cover(
     """Absolute cover of one species row (op E2):
     overall x (layer / 100) x (percent / 100) on the row's side; a side or
     layer that is not one of the known labels gives NULL."""
-    community, vegetation, percent = _c(community), _c(vegetation), _c(percent)
+    if all(isinstance(c, str) for c in (community, vegetation, percent)):
+        return _memoised(("absolute_cover", community, vegetation, percent),
+                         lambda: _absolute_cover(F.col(community), F.col(vegetation), F.col(percent)))
+    return _absolute_cover(_c(community), _c(vegetation), _c(percent))
+
+
+def _absolute_cover(community: Column, vegetation: Column, percent: Column) -> Column:
     result = None
     for side in SIDES:
         overall = F.col(cover_col(side, "overall"))

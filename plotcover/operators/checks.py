@@ -18,6 +18,7 @@ from plotcover.functions.cover import equals_exactly, exact_sum, row_sum, to_num
 from plotcover.operators.frames import marker_frame, vegetation_frame
 from plotcover.operators.pivots import drop_missing_keys, long_pivot, wide_pivot, pivot_values
 from plotcover.schema import SIDES, STRATA, STRATUM_COLS, cover_col
+from plotcover.sources.sinks import materialize
 from plotcover.sources.tables import SurveyTables
 
 STRATA_CHECK_COLUMNS = ["region", "segment", "location_name", "event_type"] + STRATUM_COLS
@@ -73,7 +74,7 @@ def point_sum_long(rows: DataFrame, keys: Sequence[str] = POINT_KEYS) -> DataFra
 
 def point_count_wide(rows: DataFrame, keys: Sequence[str] = POINT_KEYS) -> DataFrame:
     """A3 as the report shows it: keys by species columns, counts."""
-    long_df = point_count_long(rows, keys).checkpoint(eager=True)
+    long_df = materialize(point_count_long(rows, keys), "point_count_long")
     return wide_pivot(long_df, keys, "speciescode", "n_percentcover",
                       pivot_values(long_df, "speciescode"))
 
@@ -81,7 +82,7 @@ def point_count_wide(rows: DataFrame, keys: Sequence[str] = POINT_KEYS) -> DataF
 def point_sum_wide(rows: DataFrame, keys: Sequence[str] = POINT_KEYS) -> DataFrame:
     """A4 + A5 as the report shows them: species sums, their row total
     ``sum_relcover`` and the flag ``relcover_is_100``."""
-    long_df = point_sum_long(rows, keys).checkpoint(eager=True)
+    long_df = materialize(point_sum_long(rows, keys), "point_sum_long")
     return wide_pivot(long_df, keys, "speciescode", "sum_percentcover",
                       pivot_values(long_df, "speciescode"),
                       row_total="sum_relcover", total_flag="relcover_is_100")

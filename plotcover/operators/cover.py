@@ -12,6 +12,7 @@ from plotcover.functions.cover import absolute_cover, stratum_absolute_cover, to
 from plotcover.operators.frames import marker_frame, vegetation_frame
 from plotcover.operators.pivots import long_pivot, wide_pivot, pivot_values
 from plotcover.schema import COVER_COLS, MARKER_VISIT, SIDES, STRATA, abs_cover_col, cover_col
+from plotcover.sources.sinks import materialize
 from plotcover.sources.tables import SurveyTables
 
 SPECIES_KEYS = ["communitytype", "vegetationtype", "speciescode"]
@@ -63,7 +64,7 @@ def abs_cover_wide(rows: DataFrame, extra_keys: Sequence[str] = (),
     keys = list(extra_keys) + SPECIES_KEYS
     long_df = abs_cover_long(rows, extra_keys)
     if values is None:
-        long_df = long_df.checkpoint(eager=True)
+        long_df = materialize(long_df, "abs_cover_long")
         values = pivot_values(long_df, "location_name", order)
     return wide_pivot(long_df, keys, "location_name", "abs_cover", values, order)
 

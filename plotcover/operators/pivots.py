@@ -6,7 +6,9 @@ canonical, scalable result: one aggregation with map-side combine, so a hot
 key is pre-aggregated in every task before the shuffle.  The wide form pivots
 the already aggregated long form (one more small aggregate); its columns are
 data, so the distinct pivot values are read back with a hard bound, exactly
-what a wide table needs and never more.
+what a wide table needs and never more.  The long form is written once to
+the shared checkpoint folder first (``sources.sinks.materialize``), so reading
+its values and pivoting it do not run the joins behind it again.
 
 Rules: a row with a missing key or pivot value is left out (N3); a sum over
 only missing values is 0.0 (N4); a count over only missing values is 0 (N5);
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 from plotcover.functions.cover import row_sum, equals_exactly
 from plotcover.functions.text import site_point, site_segment
+from plotcover.sources.sinks import materialize
 
 MAX_PIVOT_VALUES = 10_000   # same bound as spark.sql.pivotMaxValues
 
@@ -105,7 +108,7 @@ def pandas_pivot(df: DataFrame, keys: Sequence[str], column: str, value: str,
     measure = f"{agg}_{value}"
     long_df = long_pivot(df, all_keys, column, value, agg, out=measure)
     if values is None:
-        long_df = long_df.checkpoint(eager=True)
+        long_df = materialize(long_df, "pivot_long")
     return wide_pivot(long_df, all_keys, column, measure, values, order)
 
 
