@@ -108,8 +108,13 @@ def visits(t: SurveyTables, event_type: str | None = None,
 
 def marker_frame(t: SurveyTables, event_type: str | None = None,
                  event_group: str | None = None, with_group: bool = False) -> DataFrame:
-    """Markers with their visit and location (ops J1, J3, J5)."""
-    return t.markers.join(visits(t, event_type, event_group, with_group), "event_id")
+    """Markers with their visit and location (ops J1, J3, J5).
+
+    Visits are far fewer than points; when a bounded count proves the visit
+    frame small, it is broadcast and markers are shuffled once only (for the
+    species join on ``point_id``), not first on ``event_id`` as well."""
+    return t.markers.join(broadcast_if_bounded(visits(t, event_type, event_group, with_group)),
+                          "event_id")
 
 
 def vegetation_frame(t: SurveyTables, event_type: str | None = None,

@@ -32,22 +32,24 @@ from plotcover.sources import sinks
 from plotcover.sources.tables import SurveyTables
 
 
-def shared_frames(t: SurveyTables, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+def shared_frames(t: SurveyTables, materialize: bool = True,
+                  folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The species frame and the marker frame every report reads, for all
-    groups and visit types; written once when ``materialize``."""
+    groups and visit types; written once (under ``folder``) when
+    ``materialize``."""
     species = vegetation_frame(t, with_group=True)
     markers = marker_frame(t, with_group=True)
     if materialize:
-        species = sinks.materialize(species, "species_frame")
-        markers = sinks.materialize(markers, "marker_frame")
+        species = sinks.materialize(species, "species_frame", folder)
+        markers = sinks.materialize(markers, "marker_frame", folder)
     return species, markers
 
 
 def build_report(t: SurveyTables, confidence: float = 0.95,
-                 materialize: bool = True) -> dict[str, DataFrame]:
+                 materialize: bool = True, folder: str | None = None) -> dict[str, DataFrame]:
     """Every result of the report, for all event groups, keyed by the name
     of the sheet it replaces."""
-    species, markers = shared_frames(t, materialize)
+    species, markers = shared_frames(t, materialize, folder)
     types = {f.name: f.dataType for f in species.schema.fields}
     species = species.withColumn(
         "percentcover", to_number("percentcover_raw", types["percentcover_raw"]))
@@ -94,12 +96,21 @@ SORT_WITHIN = {
 
 def write_report(t: SurveyTables, out_dir: str, confidence: float = 0.95,
                  materialize: bool = True) -> dict[str, str]:
-    """Build and write every result; returns name -> path."""
-    results = build_report(t, confidence, materialize)
-    paths = {}
-    for name, df in results.items():
-        sort_keys = SORT_WITHIN.get(name, ())
-        if not sort_keys:
-            sort_keys = tuple(c for c in df.columns if c != "event_group_id")[:3]
-        paths[name] = sinks.write_result(df, out_dir, name, sort_within=sort_keys)
+    """Build and write every result; returns name -> path.  The shared
+    frames are written to a scratch folder under the checkpoint folder and
+    removed once every result is written (or the job fails): they are as
+    large as the species table and no result reads them afterwards."""
+    spark = t.vegetation.sparkSession
+    folder = sinks.scratch_folder(spark)
+    try:
+        results = build_report(t, confidence, materialize, folder)
+        paths = {}
+        for name, df in results.items():
+            sort_keys = SORT_WITHIN.get(name, ())
+            if not sort_keys:
+                sort_keys = tuple(c for c in df.columns if c != "event_group_id")[:3]
+            paths[name] = sinks.write_result(df, out_dir, name, sort_within=sort_keys)
+    finally:
+        if materialize:
+            sinks.remove_folder(spark, folder)
     return paths

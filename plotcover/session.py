@@ -8,6 +8,7 @@ temporary folder is only made when that setting is unset on a local master.
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,6 +51,59 @@ def build_session(
     return spark
 
 
+# Partition sizing for a cluster run.  A task should hold a few hundred MB of
+# shuffle data at most, so that sorting it for a join stays in executor
+# memory; the species join shuffles the projected vegetation columns, about a
+# quarter of the stored bytes.
+TARGET_SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
+SCAN_SPLIT_BYTES = 256 * 1024 * 1024
+SHUFFLED_FRACTION = 0.25
+
+
+def partition_conf(input_bytes: int, total_cores: int,
+                   shuffled_fraction: float = SHUFFLED_FRACTION,
+                   target_bytes: int = TARGET_SHUFFLE_PARTITION_BYTES,
+                   split_bytes: int = SCAN_SPLIT_BYTES) -> dict[str, str]:
+    """Shuffle width and scan split size for a job reading ``input_bytes``
+    of Parquet on ``total_cores`` cores.
+
+    The shuffle starts wide enough that a partition of the largest shuffle
+    is about ``target_bytes`` (never fewer than two waves of tasks); AQE then
+    merges small partitions up to that size rather than to the core count,
+    and splits a skewed join partition.  Scan splits of ``split_bytes`` keep
+    the number of map tasks, and so of shuffle blocks, in bounds."""
+    shuffled = input_bytes * shuffled_fraction
+    partitions = max(2 * total_cores, math.ceil(shuffled / target_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+    }
+
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes stored under the given paths (files or folders), read from the
+    file system's metadata, not by scanning."""
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        total += hpath.getFileSystem(conf).getContentSummary(hpath).getLength()
+    return int(total)
+
+
+def apply_partition_conf(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Size a running session's partitions for ``input_bytes`` of input on
+    the cores the session has (these are all runtime SQL settings)."""
+    conf = partition_conf(input_bytes, spark.sparkContext.defaultParallelism)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a private one only when
     the session runs on a local master and none is configured."""

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plotcover.operators.frames import broadcast_if_bounded
 from plotcover.sources.tables import SurveyTables
 
 # Fixed values of the fixture mapping (FIXTURES.md §2).
@@ -59,6 +60,7 @@ def fixture_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("_"),
         (k % 4 + 1).cast("string"),
     )
+    region = broadcast_if_bounded(region.select("r_regionkey", "r_name"))
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         k.cast("int").alias("location_id"),
         F.col("r_name").alias("region"),

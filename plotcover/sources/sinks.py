@@ -48,12 +48,27 @@ def read_result(spark: SparkSession, out_dir: str, name: str, fmt: str = "parque
     return spark.read.format(fmt).load(f"{out_dir.rstrip('/')}/{name}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name under the shared checkpoint folder, for tables a
+    job writes for itself and removes when it is done."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/plotcover-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: the
     lineage is cut there, so a lost executor costs a re-read of this table,
-    not a re-run of the joins behind it, and later reads prune columns."""
+    not a re-run of the joins behind it, and later reads prune columns.
+    ``folder`` (from ``scratch_folder``) groups tables a caller removes
+    together with ``remove_folder`` once nothing reads them any more."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/plotcover-{uuid.uuid4().hex}/{name}"
+    path = f"{folder or scratch_folder(spark)}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system holds it (HDFS, object store
+    or local), through the session's Hadoop configuration."""
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True))

@@ -53,3 +53,22 @@ def test_bounded_broadcast_refuses_large_tables(spark):
     assert "broadcast" not in hinted._jdf.queryExecution().analyzed().toString().lower()
     small = frames.broadcast_if_bounded(spark.range(5), max_rows=10)
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_partition_sizing_grows_with_input():
+    from plotcover.session import partition_conf
+    small = partition_conf(10 * 1024**2, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"          # two waves minimum
+    big = partition_conf(100 * 1024**4, total_cores=8000)         # 100 TB, 1000 x 8 cores
+    n = int(big["spark.sql.shuffle.partitions"])
+    assert n > 16000 and 100 * 1024**4 * 0.25 / n <= 200 * 1024**2
+    assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+
+
+def test_stored_bytes_reads_file_sizes(spark, sf_dir):
+    import os
+    from plotcover.session import stored_bytes
+    path = f"{sf_dir}/nation.parquet"
+    want = os.path.getsize(path) if os.path.isfile(path) else sum(
+        os.path.getsize(os.path.join(path, f)) for f in os.listdir(path))
+    assert stored_bytes(spark, path) == want

@@ -27,3 +27,13 @@ def test_report_matches_single_queries(spark, sf_dir):
     b = groups.point_sum_by_group(t).exceptAll(results[sinks.SHEET_POINT_SUM]).count()
     assert a == b == 0
     assert results[sinks.SHEET_ABS_COVER].count() == groups.abs_cover_by_group(t).count()
+
+
+def test_report_removes_its_shared_frames(spark, sf_dir, tmp_path):
+    import os
+    from plotcover.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).replace("file:", "")
+    before = set(os.listdir(root))
+    write_report(fixture_tables(spark, sf_dir), str(tmp_path / "out"))
+    assert set(os.listdir(root)) == before
+    assert sinks.read_result(spark, str(tmp_path / "out"), sinks.SHEET_POINT_SUM).count() > 0
