@@ -1,4 +1,6 @@
-"""The whole report for every event group in one Spark application.
+"""The whole report in one Spark application: for every event group at once
+(Merged generation), or once over a whole source without groups (Protocol,
+Pilot).
 
 The reference runs four reports once per event group, each re-reading and
 re-joining the database.  This plan joins once:
@@ -20,25 +22,38 @@ from pyspark.sql import functions as F
 
 from plotcover.functions.cover import to_number
 from plotcover.operators import charts
-from plotcover.operators.checks import strata_check
-from plotcover.operators.cover import POINT_COVER_COLUMNS, abs_cover_by_stratum, abs_cover_long
+from plotcover.operators.checks import (PILOT_POINT_KEYS, POINT_KEYS, STRATA_CHECK_COLUMNS,
+                                        strata_check)
+from plotcover.operators.cover import (POINT_COVER_COLUMNS, STRATUM_COLUMNS, abs_cover_by_stratum,
+                                       abs_cover_long)
 from plotcover.operators.distance import DISTANCE_COLUMNS, distance_summary
-from plotcover.operators.frames import marker_frame, vegetation_frame
+from plotcover.operators.frames import (filter_site_codes, marker_frame, vegetation_frame,
+                                       with_lookup_region)
 from plotcover.operators.checks import relcover_check
 from plotcover.operators.groups import GROUP_POINT_KEYS, conditional_segment
 from plotcover.operators.pivots import long_pivot
-from plotcover.schema import MARKER_VISIT
+from plotcover.schema import MARKER_VISIT, STRATUM_COLS
 from plotcover.sources import sinks
+from plotcover.sources.lookup import site_region_lookup
 from plotcover.sources.tables import SurveyTables
 
 
-def shared_frames(t: SurveyTables, materialize: bool = True,
-                  folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+# The three generations of the survey database and their reports: Merged
+# has event groups and reports per group; Protocol and Pilot have no group
+# table and report once over the whole source.  Pilot locations carry no
+# region or segment: its checks are keyed by location only, its covers keep
+# the Pilot site list (F4) and its stratum rows take region from the site
+# lookup (S3, J6).
+GENERATIONS = ("merged", "protocol", "pilot")
+
+
+def shared_frames(t: SurveyTables, materialize: bool = True, folder: str | None = None,
+                  with_group: bool = True) -> tuple[DataFrame, DataFrame]:
     """The species frame and the marker frame every report reads, for all
     groups and visit types; written once (under ``folder``) when
     ``materialize``."""
-    species = vegetation_frame(t, with_group=True)
-    markers = marker_frame(t, with_group=True)
+    species = vegetation_frame(t, with_group=with_group)
+    markers = marker_frame(t, with_group=with_group)
     if materialize:
         species = sinks.materialize(species, "species_frame", folder)
         markers = sinks.materialize(markers, "marker_frame", folder)
@@ -46,27 +61,35 @@ def shared_frames(t: SurveyTables, materialize: bool = True,
 
 
 def build_report(t: SurveyTables, confidence: float = 0.95,
-                 materialize: bool = True, folder: str | None = None) -> dict[str, DataFrame]:
-    """Every result of the report, for all event groups, keyed by the name
-    of the sheet it replaces."""
-    species, markers = shared_frames(t, materialize, folder)
+                 materialize: bool = True, folder: str | None = None,
+                 generation: str = "merged") -> dict[str, DataFrame]:
+    """Every result of the report, keyed by the name of the sheet it
+    replaces: for all event groups at once (``merged``), or once over the
+    whole source (``protocol``, ``pilot``)."""
+    if generation not in GENERATIONS:
+        raise ValueError(f"generation must be one of {GENERATIONS}")
+    by_group = generation == "merged"
+    species, markers = shared_frames(t, materialize, folder, with_group=by_group)
     types = {f.name: f.dataType for f in species.schema.fields}
     species = species.withColumn(
         "percentcover", to_number("percentcover_raw", types["percentcover_raw"]))
+    sop82_rows = species.where(
+        (F.col("event_type") == F.lit(MARKER_VISIT)) & F.col("percentcover_raw").isNotNull()
+    ).select(*POINT_COVER_COLUMNS)
+    visits = markers.where(F.col("event_type") == F.lit(MARKER_VISIT))
+    if by_group:
+        return _group_report(species, markers, sop82_rows, visits, confidence)
+    return _source_report(species, markers, sop82_rows, visits, generation == "pilot")
+
 
+def _group_report(species, markers, sop82_rows, visits, confidence) -> dict[str, DataFrame]:
     checks = conditional_segment(species)
     count = long_pivot(checks, GROUP_POINT_KEYS, "speciescode", "percentcover", "count",
                        out="n_percentcover", nullable_keys=("segment",))
     total = long_pivot(checks, GROUP_POINT_KEYS, "speciescode", "percentcover", "sum",
                        out="sum_percentcover", nullable_keys=("segment",))
     relcover = relcover_check(checks, GROUP_POINT_KEYS, nullable_keys=("segment",))
-
-    sop82_rows = species.where(
-        (F.col("event_type") == F.lit(MARKER_VISIT)) & F.col("percentcover_raw").isNotNull()
-    ).select(*POINT_COVER_COLUMNS)
     abs_cover = abs_cover_long(sop82_rows, extra_keys=["event_group_id"])
-
-    visits = markers.where(F.col("event_type") == F.lit(MARKER_VISIT))
     stratum = abs_cover_by_stratum(None, frame=visits)
     distance = distance_summary(visits.select(*DISTANCE_COLUMNS), confidence=confidence,
                                 ordered=False)
@@ -84,6 +107,36 @@ def build_report(t: SurveyTables, confidence: float = 0.95,
     }
 
 
+def _source_report(species, markers, sop82_rows, visits, pilot: bool) -> dict[str, DataFrame]:
+    """Protocol and Pilot: the four reports once over the whole source.
+    Without a group table there is no distance summary (its query joins the
+    groups, J5)."""
+    keys = PILOT_POINT_KEYS if pilot else POINT_KEYS
+    stratum_ids = [c for c in STRATUM_COLUMNS if c != "event_group_id"]
+    if pilot:
+        sop82_rows = filter_site_codes(sop82_rows)
+        visits = filter_site_codes(visits)
+        stratum_ids = [c for c in stratum_ids if c != "region"]
+    stratum = abs_cover_by_stratum(None, frame=visits, id_columns=stratum_ids)
+    if pilot:
+        stratum = with_lookup_region(stratum, site_region_lookup(species.sparkSession))
+    check_cols = (["start_date", "location_name", "event_type"] + STRATUM_COLS if pilot
+                  else STRATA_CHECK_COLUMNS)
+    return {
+        sinks.SHEET_STRATA_CHECK: strata_check(None, frame=markers, extra_cols=["point_id"],
+                                               columns=check_cols),
+        sinks.SHEET_POINT_COUNT: long_pivot(species, keys, "speciescode", "percentcover",
+                                            "count", out="n_percentcover"),
+        sinks.SHEET_POINT_SUM: long_pivot(species, keys, "speciescode", "percentcover",
+                                          "sum", out="sum_percentcover"),
+        "QAQC_RelCoverByPoint_Total": relcover_check(species, keys),
+        sinks.SHEET_ABS_COVER: abs_cover_long(sop82_rows),
+        sinks.SHEET_STRATUM: stratum,
+        "SOP8-3-ChartSeries": charts.chart_series(stratum),
+        "SOP8-3-Regions": charts.region_list(stratum),
+    }
+
+
 # Order of rows inside each written file, as the sheets were sorted
 # (O1, O2, O5).
 SORT_WITHIN = {
@@ -95,7 +148,7 @@ SORT_WITHIN = {
 
 
 def write_report(t: SurveyTables, out_dir: str, confidence: float = 0.95,
-                 materialize: bool = True) -> dict[str, str]:
+                 materialize: bool = True, generation: str = "merged") -> dict[str, str]:
     """Build and write every result; returns name -> path.  The shared
     frames are written to a scratch folder under the checkpoint folder and
     removed once every result is written (or the job fails): they are as
@@ -103,7 +156,7 @@ def write_report(t: SurveyTables, out_dir: str, confidence: float = 0.95,
     spark = t.vegetation.sparkSession
     folder = sinks.scratch_folder(spark)
     try:
-        results = build_report(t, confidence, materialize, folder)
+        results = build_report(t, confidence, materialize, folder, generation)
         paths = {}
         for name, df in results.items():
             sort_keys = SORT_WITHIN.get(name, ())

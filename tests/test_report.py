@@ -37,3 +37,44 @@ def test_report_removes_its_shared_frames(spark, sf_dir, tmp_path):
     write_report(fixture_tables(spark, sf_dir), str(tmp_path / "out"))
     assert set(os.listdir(root)) == before
     assert sinks.read_result(spark, str(tmp_path / "out"), sinks.SHEET_POINT_SUM).count() > 0
+
+
+def _same_rows(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_protocol_report_without_groups(spark, sf_dir):
+    from plotcover.operators import checks, cover
+    t = fixture_tables(spark, sf_dir).with_(event_groups=None)
+    results = build_report(t, generation="protocol")
+    assert sinks.SHEET_DISTANCE not in results
+    assert "event_group_id" not in results[sinks.SHEET_ABS_COVER].columns
+    assert _same_rows(results[sinks.SHEET_POINT_SUM], checks.point_sum_long(checks.point_rows(t)))
+    assert _same_rows(results[sinks.SHEET_ABS_COVER],
+                      cover.abs_cover_long(cover.point_cover_rows(t)))
+    assert results[sinks.SHEET_STRATUM].count() == cover.abs_cover_by_stratum(t).count()
+
+
+def test_pilot_report_keys_sites_and_lookup_region(spark, sf_dir, tmp_path):
+    from pyspark.sql import functions as F
+    from plotcover.operators import checks, cover, frames
+    from plotcover.sources.lookup import site_region_lookup
+    base = fixture_tables(spark, sf_dir)
+    geo = base.locations.select(F.col("location_id").alias("GlobalID"),
+                                F.col("location_name").alias("Loc_Name_Short"))
+    t = base.with_(locations=frames.locations_from_pilot(geo), event_groups=None)
+    results = build_report(t, generation="pilot")
+    rows = checks.point_rows(t)
+    assert _same_rows(results[sinks.SHEET_POINT_SUM],
+                      checks.point_sum_long(rows, checks.PILOT_POINT_KEYS))
+    assert _same_rows(results[sinks.SHEET_ABS_COVER],
+                      cover.abs_cover_long(frames.filter_site_codes(cover.point_cover_rows(t))))
+    stratum = results[sinks.SHEET_STRATUM]
+    assert stratum.count() > 0
+    lookup_regions = {r[0] for r in site_region_lookup(spark).select("region").collect()}
+    assert {r[0] for r in stratum.select("region").distinct().collect()} <= lookup_regions
+    assert stratum.where(F.col("region").isNull()).count() == 0
+    paths = write_report(t, str(tmp_path / "pilot"), generation="pilot")
+    assert sinks.read_result(spark, str(tmp_path / "pilot"), sinks.SHEET_STRATUM).count() \
+        == stratum.count()
+    assert sinks.SHEET_DISTANCE not in paths
