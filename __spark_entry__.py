@@ -109,6 +109,18 @@ def q_relcover_check(spark, sf_dir):
     return chk.relcover_check(_point_rows(spark, sf_dir))
 
 
+def q_pilot_point_sum_long(spark, sf_dir):
+    """A4 as the Pilot generation keys it: no region or segment (its
+    locations carry neither), read through the location adapter (S4)."""
+    rows = chk.point_rows(_pilot_tables(spark, sf_dir))
+    return chk.point_sum_long(rows, chk.PILOT_POINT_KEYS)
+
+
+def q_pilot_relcover_check(spark, sf_dir):
+    rows = chk.point_rows(_pilot_tables(spark, sf_dir))
+    return chk.relcover_check(rows, chk.PILOT_POINT_KEYS)
+
+
 def q_point_sum_by_group(spark, sf_dir):
     return grp.point_sum_by_group(_tables(spark, sf_dir))
 
@@ -217,6 +229,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "point_sum_long": q_point_sum_long,
         "point_sum_wide": q_point_sum_wide,
         "relcover_check": q_relcover_check,
+        "pilot_point_sum_long": q_pilot_point_sum_long,
+        "pilot_relcover_check": q_pilot_relcover_check,
         "point_sum_by_group": q_point_sum_by_group,
         "point_count_by_group": q_point_count_by_group,
         "relcover_by_group": q_relcover_by_group,
@@ -372,6 +386,7 @@ from mk join fx_event_groups g on mk.event_group_id = g.event_group_id
 where mk.event_type = 'Marker Visit')"""
 
 POINT_KEYS_SQL = "region, segment, location_name, communitytype, vegetationtype, event_type"
+PILOT_POINT_KEYS_SQL = "location_name, communitytype, vegetationtype, event_type"
 STRATA_SQL = ", ".join(f"{s}side_cover_{t}" for s in ("mangrove", "marsh")
                        for t in ("tree", "shrub", "herb"))
 
@@ -416,10 +431,10 @@ def _wide_cells(column: str, values: list[str], value: str, agg: str, digits: in
     return ",\n  ".join(cells)
 
 
-def _sql_point_long(agg: str) -> str:
+def _sql_point_long(agg: str, keys: str = POINT_KEYS_SQL) -> str:
     out = "n_percentcover" if agg == "count" else "sum_percentcover"
     cell = "count(percentcover)" if agg == "count" else "coalesce(sum(percentcover), 0.0)"
-    keys = POINT_KEYS_SQL + ", speciescode"
+    keys = keys + ", speciescode"
     return _with(SQL_MK, SQL_PR) + f"""
 select {keys}, {cell} as {out}
 from pr where {_not_null(keys)}
@@ -439,8 +454,7 @@ from pr where {_not_null(keys + ', speciescode')}
 group by {keys}"""
 
 
-def _sql_relcover() -> str:
-    keys = POINT_KEYS_SQL
+def _sql_relcover(keys: str = POINT_KEYS_SQL) -> str:
     return _with(SQL_MK, SQL_PR) + f"""
 select {keys}, coalesce(sum(percentcover), 0.0) as sum_relcover,
   coalesce(sum(percentcover), 0.0) = 100.0 as relcover_is_100
@@ -598,6 +612,8 @@ from mk""",
         "point_sum_long": _sql_point_long("sum"),
         "point_sum_wide": _sql_point_wide("sum"),
         "relcover_check": _sql_relcover(),
+        "pilot_point_sum_long": _sql_point_long("sum", PILOT_POINT_KEYS_SQL),
+        "pilot_relcover_check": _sql_relcover(PILOT_POINT_KEYS_SQL),
         "point_sum_by_group": _sql_group("coalesce(sum(percentcover), 0.0) as sum_percentcover",
                                          GROUP_KEYS_SQL + ", speciescode"),
         "point_count_by_group": _sql_group("count(percentcover) as n_percentcover",
