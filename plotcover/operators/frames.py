@@ -39,9 +39,10 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
     the table turns out to be large; a large table is left to the planner.
-    The answer is kept per plan for the life of the process: it decides only
-    the join strategy, never the result."""
-    key = (df.semanticHash(), max_rows)
+    The answer is kept for the plan and the exact set of files it reads: a
+    table that gains or rewrites files (new visits landing) is counted again.
+    It decides only the join strategy, never the result."""
+    key = (df.semanticHash(), hash(tuple(sorted(df.inputFiles()))), max_rows)
     if key not in _bounded:
         _bounded[key] = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if _bounded[key] else df

@@ -72,3 +72,19 @@ def test_stored_bytes_reads_file_sizes(spark, sf_dir):
     want = os.path.getsize(path) if os.path.isfile(path) else sum(
         os.path.getsize(os.path.join(path, f)) for f in os.listdir(path))
     assert stored_bytes(spark, path) == want
+
+
+def test_bounded_broadcast_recounts_when_files_change(spark, tmp_path):
+    from plotcover.operators import frames
+    path = str(tmp_path / "dim")
+    spark.range(5).write.parquet(path)
+    small = spark.read.parquet(path)
+    hinted = frames.broadcast_if_bounded(small, max_rows=10)
+    assert _has_broadcast_hint(hinted)
+    spark.range(100, 120).write.mode("append").parquet(path)     # the table grows
+    grown = spark.read.parquet(path)
+    assert not _has_broadcast_hint(frames.broadcast_if_bounded(grown, max_rows=10))
+
+
+def _has_broadcast_hint(df):
+    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
