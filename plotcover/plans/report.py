@@ -17,6 +17,8 @@ per aggregate report, each combined map-side first.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,8 +149,16 @@ SORT_WITHIN = {
 }
 
 
+# Result writes that run at the same time.  Each result is its own Spark
+# job; many of their stages have fewer tasks than the cluster has cores (a
+# small aggregate, a final coalesced write), so a few jobs side by side keep
+# the cores busy.  Spark schedules their tasks; this only submits them.
+PARALLEL_WRITES = 4
+
+
 def write_report(t: SurveyTables, out_dir: str, confidence: float = 0.95,
-                 materialize: bool = True, generation: str = "merged") -> dict[str, str]:
+                 materialize: bool = True, generation: str = "merged",
+                 parallel_writes: int = PARALLEL_WRITES) -> dict[str, str]:
     """Build and write every result; returns name -> path.  The shared
     frames are written to a scratch folder under the checkpoint folder and
     removed once every result is written (or the job fails): they are as
@@ -157,12 +167,17 @@ def write_report(t: SurveyTables, out_dir: str, confidence: float = 0.95,
     folder = sinks.scratch_folder(spark)
     try:
         results = build_report(t, confidence, materialize, folder, generation)
-        paths = {}
-        for name, df in results.items():
+
+        def write(name: str) -> str:
+            df = results[name]
             sort_keys = SORT_WITHIN.get(name, ())
             if not sort_keys:
                 sort_keys = tuple(c for c in df.columns if c != "event_group_id")[:3]
-            paths[name] = sinks.write_result(df, out_dir, name, sort_within=sort_keys)
+            return sinks.write_result(df, out_dir, name, sort_within=sort_keys)
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+            futures = {name: pool.submit(write, name) for name in results}
+        paths = {name: f.result() for name, f in futures.items()}
     finally:
         if materialize:
             sinks.remove_folder(spark, folder)
