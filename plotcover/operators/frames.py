@@ -34,18 +34,24 @@ VISIT_COLUMNS = ["event_id", "event_group_id", "location_id", "event_type",
 _bounded: dict[tuple[int, int], bool] = {}
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint on ``df`` if it has at most ``max_rows`` rows.
+def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the table turns out to be large; a large table is left to the planner.
-    The answer is kept for the plan and the exact set of files it reads: a
-    table that gains or rewrites files (new visits landing) is counted again.
-    It decides only the join strategy, never the result."""
+    the table turns out to be large.  The answer is kept for the plan and the
+    exact set of files it reads: a table that gains or rewrites files (new
+    visits landing) is counted again."""
     key = (df.semanticHash(), hash(tuple(sorted(df.inputFiles()))), max_rows)
     if key not in _bounded:
         _bounded[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _bounded[key] else df
+    return _bounded[key]
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint on ``df`` if it has at most ``max_rows`` rows; a large
+    table is left to the planner.  It decides only the join strategy, never
+    the result."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
 def normalised_literal(value: str) -> str:

@@ -7,7 +7,8 @@ re-joining the database.  This plan joins once:
 
 1. the species frame (vegetation x markers x visits x groups, op J2) is
    written to the shared checkpoint folder; every species report reads it;
-2. the marker frame (markers x visits x groups, ops J1/J3/J5) likewise;
+2. the marker frame (markers x visits x groups, ops J1/J3/J5) is written
+   too when its join shuffles; with broadcast visits it is map-only;
 3. each report adds ``event_group_id`` to its keys (A7) and is written as its
    own dataset, partitioned by group (S5, S6).
 
@@ -29,8 +30,7 @@ from plotcover.operators.checks import (PILOT_POINT_KEYS, POINT_KEYS, STRATA_CHE
 from plotcover.operators.cover import (POINT_COVER_COLUMNS, STRATUM_COLUMNS, abs_cover_by_stratum,
                                        abs_cover_long)
 from plotcover.operators.distance import DISTANCE_COLUMNS, distance_summary
-from plotcover.operators.frames import (filter_site_codes, marker_frame, vegetation_frame,
-                                       with_lookup_region)
+from plotcover.operators.frames import filter_site_codes, is_bounded, visits, with_lookup_region
 from plotcover.operators.checks import relcover_check
 from plotcover.operators.groups import GROUP_POINT_KEYS, conditional_segment
 from plotcover.operators.pivots import long_pivot
@@ -52,13 +52,21 @@ GENERATIONS = ("merged", "protocol", "pilot")
 def shared_frames(t: SurveyTables, materialize: bool = True, folder: str | None = None,
                   with_group: bool = True) -> tuple[DataFrame, DataFrame]:
     """The species frame and the marker frame every report reads, for all
-    groups and visit types; written once (under ``folder``) when
-    ``materialize``."""
-    species = vegetation_frame(t, with_group=with_group)
-    markers = marker_frame(t, with_group=with_group)
+    groups and visit types.
+
+    When ``materialize``, the species frame (a shuffle join of the largest
+    table) is written once under ``folder``.  The marker frame is written
+    first only when its own join shuffles (visits too many to broadcast), and
+    the species frame is then built on the written copy; with broadcast
+    visits it is a map-only plan, as cheap to recompute as to re-read."""
+    visit_rows = visits(t, with_group=with_group)
+    small_visits = is_bounded(visit_rows)
+    markers = t.markers.join(F.broadcast(visit_rows) if small_visits else visit_rows, "event_id")
+    if materialize and not small_visits:
+        markers = sinks.materialize(markers, "marker_frame", folder)
+    species = t.vegetation.join(markers, "point_id")
     if materialize:
         species = sinks.materialize(species, "species_frame", folder)
-        markers = sinks.materialize(markers, "marker_frame", folder)
     return species, markers
 
 

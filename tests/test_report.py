@@ -78,3 +78,16 @@ def test_pilot_report_keys_sites_and_lookup_region(spark, sf_dir, tmp_path):
     assert sinks.read_result(spark, str(tmp_path / "pilot"), sinks.SHEET_STRATUM).count() \
         == stratum.count()
     assert sinks.SHEET_DISTANCE not in paths
+
+
+def test_report_when_visits_are_too_many_to_broadcast(spark, sf_dir, monkeypatch):
+    from plotcover.plans import report
+    from plotcover.operators import cover
+    monkeypatch.setattr(report, "is_bounded", lambda df, *a, **k: False)
+    t = fixture_tables(spark, sf_dir)
+    species, markers = report.shared_frames(t)
+    assert "broadcast" not in markers._jdf.queryExecution().analyzed().toString().lower()
+    results = build_report(t)
+    assert _same_rows(results[sinks.SHEET_POINT_SUM], groups.point_sum_by_group(t))
+    assert _same_rows(results[sinks.SHEET_STRATUM].drop("event_group_id"),
+                      cover.abs_cover_by_stratum(t).drop("event_group_id"))
