@@ -34,20 +34,24 @@ VISIT_COLUMNS = ["event_id", "event_group_id", "location_id", "event_type",
 _bounded: dict[tuple[int, int], bool] = {}
 
 
-def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the table turns out to be large.  The answer is kept for the plan and the
-    exact set of files it reads: a table that gains or rewrites files (new
-    visits landing) is counted again."""
+def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (default
+    ``BROADCAST_MAX_ROWS``, read when called).
+
+    ``take`` scans a few partitions at a time and stops as soon as it holds
+    ``max_rows + 1`` rows, so a large table costs one or a few tasks, not a
+    scan of every partition (as ``limit(n).count()`` would); only a constant
+    column, at most ``max_rows + 1`` values, reaches the driver.  The answer
+    is kept for the plan and the exact set of files it reads: a table that
+    gains or rewrites files (new visits landing) is counted again."""
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     key = (df.semanticHash(), hash(tuple(sorted(df.inputFiles()))), max_rows)
     if key not in _bounded:
-        _bounded[key] = df.limit(max_rows + 1).count() <= max_rows
+        _bounded[key] = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
     return _bounded[key]
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint on ``df`` if it has at most ``max_rows`` rows; a large
     table is left to the planner.  It decides only the join strategy, never
     the result."""
@@ -129,11 +133,17 @@ def vegetation_frame(t: SurveyTables, event_type: str | None = None,
                      require_percent: bool = False) -> DataFrame:
     """Species rows with their marker, visit and location (op J2).
     ``require_percent`` drops rows whose raw percent cover is missing
-    (op F3), before any coercion."""
+    (op F3), before any coercion.
+
+    Vegetation, the largest table, is shuffled on ``point_id`` to meet the
+    markers, unless a bounded count proves the marker frame small (one
+    campaign, a small survey): then markers are broadcast and vegetation is
+    joined where it is read, with no shuffle at all."""
     veg = t.vegetation
     if require_percent:
         veg = veg.where(F.col("percentcover_raw").isNotNull())
-    return veg.join(marker_frame(t, event_type, event_group, with_group), "point_id")
+    markers = broadcast_if_bounded(marker_frame(t, event_type, event_group, with_group))
+    return veg.join(markers, "point_id")
 
 
 def locations_from_pilot(geo_locations: DataFrame) -> DataFrame:

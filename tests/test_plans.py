@@ -88,3 +88,13 @@ def test_bounded_broadcast_recounts_when_files_change(spark, tmp_path):
 
 def _has_broadcast_hint(df):
     return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_small_marker_frame_is_broadcast_to_vegetation(spark, sf_dir):
+    # one campaign of a small survey: vegetation is joined where it is read
+    from plotcover.operators import cover
+    from plotcover.sources.fixtures import fixture_tables
+    rows = cover.point_cover_rows(fixture_tables(spark, sf_dir), event_group="AUTOMOBILE")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [point_id" in plan
+    assert "hashpartitioning(point_id" not in plan
