@@ -30,7 +30,8 @@ from plotcover.operators.checks import (PILOT_POINT_KEYS, POINT_KEYS, STRATA_CHE
 from plotcover.operators.cover import (POINT_COVER_COLUMNS, STRATUM_COLUMNS, abs_cover_by_stratum,
                                        abs_cover_long)
 from plotcover.operators.distance import DISTANCE_COLUMNS, distance_summary
-from plotcover.operators.frames import filter_site_codes, is_bounded, visits, with_lookup_region
+from plotcover.operators.frames import (broadcast_if_bounded, filter_site_codes, is_bounded,
+                                       visits, with_lookup_region)
 from plotcover.operators.checks import relcover_check
 from plotcover.operators.groups import GROUP_POINT_KEYS, conditional_segment
 from plotcover.operators.pivots import long_pivot
@@ -58,13 +59,15 @@ def shared_frames(t: SurveyTables, materialize: bool = True, folder: str | None
     table) is written once under ``folder``.  The marker frame is written
     first only when its own join shuffles (visits too many to broadcast), and
     the species frame is then built on the written copy; with broadcast
-    visits it is a map-only plan, as cheap to recompute as to re-read."""
+    visits it is a map-only plan, as cheap to recompute as to re-read.  A
+    marker frame under the broadcast bound (a refresh of a few groups, a small
+    source) is broadcast to vegetation, which is then not shuffled."""
     visit_rows = visits(t, with_group=with_group)
     small_visits = is_bounded(visit_rows)
     markers = t.markers.join(F.broadcast(visit_rows) if small_visits else visit_rows, "event_id")
     if materialize and not small_visits:
         markers = sinks.materialize(markers, "marker_frame", folder)
-    species = t.vegetation.join(markers, "point_id")
+    species = t.vegetation.join(broadcast_if_bounded(markers), "point_id")
     if materialize:
         species = sinks.materialize(species, "species_frame", folder)
     return species, markers
