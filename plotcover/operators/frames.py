@@ -7,7 +7,7 @@ only then does the largest table (vegetation) join on ``point_id``.  That is
 one shuffle of vegetation, whatever the number of reports built on top.
 
 A dimension table is broadcast only after a bounded row count proves it small
-(``broadcast_if_bounded``); otherwise Spark plans a shuffle join, AQE can still
+(``bounds.broadcast_if_bounded``); otherwise Spark plans a shuffle join, AQE can still
 switch it to a broadcast at run time from measured sizes, and AQE's skew-join
 split handles a key that holds a large share of the rows.
 """
@@ -19,45 +19,15 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plotcover.bounds import broadcast_if_bounded
 from plotcover.functions.text import site_point, site_segment
 from plotcover.schema import MARKER_VISIT
 from plotcover.sources.tables import SurveyTables
 
-# Largest dimension table broadcast to every task.  Locations and event
-# groups are site and campaign catalogues; the bound is checked, not assumed.
-BROADCAST_MAX_ROWS = 100_000
-
 VISIT_COLUMNS = ["event_id", "event_group_id", "location_id", "event_type",
                  "start_date", "region", "segment", "location_name"]
 
 
-_bounded: dict[tuple[int, int], bool] = {}
-
-
-def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (default
-    ``BROADCAST_MAX_ROWS``, read when called).
-
-    ``take`` scans a few partitions at a time and stops as soon as it holds
-    ``max_rows + 1`` rows, so a large table costs one or a few tasks, not a
-    scan of every partition (as ``limit(n).count()`` would); only a constant
-    column, at most ``max_rows + 1`` values, reaches the driver.  The answer
-    is kept for the plan and the exact set of files it reads: a table that
-    gains or rewrites files (new visits landing) is counted again."""
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    key = (df.semanticHash(), hash(tuple(sorted(df.inputFiles()))), max_rows)
-    if key not in _bounded:
-        _bounded[key] = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
-    return _bounded[key]
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast hint on ``df`` if it has at most ``max_rows`` rows; a large
-    table is left to the planner.  It decides only the join strategy, never
-    the result."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
 def normalised_literal(value: str) -> str:
     """The literal side of op F6: braces dropped, upper case, the same rule
     ``functions.text.normalise_id`` applies to the stored ids."""

@@ -30,8 +30,8 @@ from plotcover.operators.checks import (PILOT_POINT_KEYS, POINT_KEYS, STRATA_CHE
 from plotcover.operators.cover import (POINT_COVER_COLUMNS, STRATUM_COLUMNS, abs_cover_by_stratum,
                                        abs_cover_long)
 from plotcover.operators.distance import DISTANCE_COLUMNS, distance_summary
-from plotcover.operators.frames import (broadcast_if_bounded, filter_site_codes, is_bounded,
-                                       visits, with_lookup_region)
+from plotcover.bounds import broadcast_if_bounded, is_bounded
+from plotcover.operators.frames import filter_site_codes, visits, with_lookup_region
 from plotcover.operators.checks import relcover_check
 from plotcover.operators.groups import GROUP_POINT_KEYS, conditional_segment
 from plotcover.operators.pivots import long_pivot

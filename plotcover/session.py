@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 # partitions and splits skewed join partitions.  No join is broadcast on a
 # planner estimate (a compressed file size says little about rows in memory):
 # dimension tables are broadcast after a bounded row count
-# (operators.frames.broadcast_if_bounded), and AQE turns a shuffle join into a
+# (bounds.broadcast_if_bounded), and AQE turns a shuffle join into a
 # broadcast join only when the measured shuffle output is under 10 MB.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",

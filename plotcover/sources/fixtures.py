@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotcover.operators.frames import broadcast_if_bounded
+from plotcover.bounds import broadcast_if_bounded
 from plotcover.sources.tables import SurveyTables
 
 # Fixed values of the fixture mapping (FIXTURES.md §2).

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plotcover.bounds import forget_bounds
 from plotcover.functions.text import normalise_id
 from plotcover.schema import SCHEMAS
 
@@ -83,6 +84,7 @@ def read_parquet_tables(spark: SparkSession, paths: dict[str, str],
     """Read each table from its Parquet path: keys ``locations``, ``events``,
     ``markers``, ``vegetation`` and optionally ``event_groups``.  Ids are
     taken as stored unless ``normalise_ids`` (raw exports)."""
+    forget_bounds()
     frames = {name: normalise_table(spark.read.parquet(path), name, normalise_ids)
               for name, path in paths.items()}
     return SurveyTables(**frames)
@@ -95,6 +97,7 @@ def read_jdbc_tables(spark: SparkSession, url: str, tables: dict[str, str],
     source's (e.g. ``{'markers': 'tbl_MarkerData', ...}``).  For large
     tables pass ``partitionColumn``/``lowerBound``/``upperBound``/
     ``numPartitions`` in ``properties`` so the read is split across tasks."""
+    forget_bounds()
     frames = {}
     for name, source in tables.items():
         df = spark.read.jdbc(url, source, properties=properties or {})

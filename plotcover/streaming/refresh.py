@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from plotcover.bounds import forget_bounds
 from plotcover.plans.report import write_report
 from plotcover.sources.tables import SurveyTables
 
@@ -45,6 +46,7 @@ def refresh_batch(batch: DataFrame, batch_id: int, load_tables: Callable[[], Sur
     if len(ids) > max_groups:
         raise ValueError(f"a micro-batch touches more than {max_groups} event groups; "
                          "run the batch report instead")
+    forget_bounds()          # new visits: the tables' sizes are proven again
     write_report(restrict_to_groups(load_tables(), ids), out_dir, confidence)
     return ids
 

@@ -4,6 +4,7 @@ filters and projections at the scan, one join shuffle of the big tables."""
 import pytest
 
 import __spark_entry__ as entry_mod
+from plotcover import bounds
 from plotcover.operators import cover, frames
 from plotcover.sources.fixtures import fixture_tables
 from plotcover.sources.tables import read_parquet_tables, write_tables
@@ -49,9 +50,9 @@ def test_group_filter_reaches_parquet_scan(spark, sf_dir, tmp_path):
 def test_bounded_broadcast_refuses_large_tables(spark):
     big = spark.range(1000)
     assert "ResolvedHint" not in big._jdf.queryExecution().analyzed().toString()
-    hinted = frames.broadcast_if_bounded(big, max_rows=10)
+    hinted = bounds.broadcast_if_bounded(big, max_rows=10)
     assert "broadcast" not in hinted._jdf.queryExecution().analyzed().toString().lower()
-    small = frames.broadcast_if_bounded(spark.range(5), max_rows=10)
+    small = bounds.broadcast_if_bounded(spark.range(5), max_rows=10)
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
 
 
@@ -75,15 +76,16 @@ def test_stored_bytes_reads_file_sizes(spark, sf_dir):
 
 
 def test_bounded_broadcast_recounts_when_files_change(spark, tmp_path):
-    from plotcover.operators import frames
+    from plotcover import bounds
     path = str(tmp_path / "dim")
     spark.range(5).write.parquet(path)
     small = spark.read.parquet(path)
-    hinted = frames.broadcast_if_bounded(small, max_rows=10)
+    hinted = bounds.broadcast_if_bounded(small, max_rows=10)
     assert _has_broadcast_hint(hinted)
     spark.range(100, 120).write.mode("append").parquet(path)     # the table grows
+    bounds.forget_bounds()                                        # and is loaded again
     grown = spark.read.parquet(path)
-    assert not _has_broadcast_hint(frames.broadcast_if_bounded(grown, max_rows=10))
+    assert not _has_broadcast_hint(bounds.broadcast_if_bounded(grown, max_rows=10))
 
 
 def _has_broadcast_hint(df):

@@ -105,14 +105,14 @@ def skewed(spark):
     # At this size points and visits would be broadcast (no shuffle, so no
     # skew to split); a lower bound sends them down the shuffle-join path a
     # large survey takes.
-    from plotcover.operators import frames
+    from plotcover import bounds
     saved = {k: spark.conf.get(k, None) for k in SKEW_CONF}
     for k, v in SKEW_CONF.items():
         spark.conf.set(k, v)
-    saved_bound = frames.BROADCAST_MAX_ROWS
-    frames.BROADCAST_MAX_ROWS = 100
+    saved_bound = bounds.BROADCAST_MAX_ROWS
+    bounds.BROADCAST_MAX_ROWS = 100
     yield _skewed_tables(spark)
-    frames.BROADCAST_MAX_ROWS = saved_bound
+    bounds.BROADCAST_MAX_ROWS = saved_bound
     for k, v in saved.items():
         if v is None:
             spark.conf.unset(k)
