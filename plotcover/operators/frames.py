@@ -19,7 +19,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotcover.bounds import broadcast_if_bounded
+from plotcover.bounds import broadcast_if_bounded, is_bounded
 from plotcover.functions.text import site_point, site_segment
 from plotcover.schema import MARKER_VISIT
 from plotcover.sources.tables import SurveyTables
@@ -68,23 +68,52 @@ def filter_site_codes(df: DataFrame, codes: list[str] | None = None,
     return df.where(F.col(col).isin(codes if codes is not None else pilot_site_codes()))
 
 
-def visits(t: SurveyTables, event_type: str | None = None,
-           event_group: str | None = None, with_group: bool = False) -> DataFrame:
-    """Visits with their location (and, if asked, their event group's name
-    and start date): events x locations [x event_groups]."""
+# A bound is proven by a ``take``, which is cheap only on a map-only plan: a
+# plan with a shuffle join would run its whole shuffle first.  So a joined
+# frame is tested only when every table joined into it was broadcast; when
+# one was not, the frame is taken as large (a lost optimisation at most,
+# never a different result).
+
+
+def _bounded_broadcast(df: DataFrame) -> tuple[DataFrame, bool]:
+    small = is_bounded(df)
+    return (F.broadcast(df) if small else df), small
+
+
+def _visits(t: SurveyTables, event_type: str | None, event_group: str | None,
+            with_group: bool) -> tuple[DataFrame, bool]:
     events = filter_event_group(filter_event_type(t.events, event_type), event_group)
-    locations = broadcast_if_bounded(
+    locations, narrow = _bounded_broadcast(
         t.locations.select("location_id", "region", "segment", "location_name"))
     out = events.select("event_id", "event_group_id", "location_id", "event_type",
                         "start_date").join(locations, "location_id")
     if with_group:
         if t.event_groups is None:
             raise ValueError("this report needs the event_groups table")
-        groups = filter_event_group(t.event_groups, event_group).select(
+        groups, small_groups = _bounded_broadcast(filter_event_group(t.event_groups, event_group).select(
             "event_group_id", "event_group_name",
-            F.col("start_date").alias("group_start_date"))
-        out = out.join(broadcast_if_bounded(groups), "event_group_id")
-    return out
+            F.col("start_date").alias("group_start_date")))
+        out = out.join(groups, "event_group_id")
+        narrow = narrow and small_groups
+    return out, narrow
+
+
+def visits(t: SurveyTables, event_type: str | None = None,
+           event_group: str | None = None, with_group: bool = False) -> DataFrame:
+    """Visits with their location (and, if asked, their event group's name
+    and start date): events x locations [x event_groups]."""
+    return _visits(t, event_type, event_group, with_group)[0]
+
+
+def marker_frame_with_bound(t: SurveyTables, event_type: str | None = None,
+                            event_group: str | None = None,
+                            with_group: bool = False) -> tuple[DataFrame, bool]:
+    """The marker frame, and whether its plan is map-only (every table joined
+    into it broadcast), so that its own bound is cheap to prove."""
+    visit_rows, narrow = _visits(t, event_type, event_group, with_group)
+    if narrow:
+        visit_rows, narrow = _bounded_broadcast(visit_rows)
+    return t.markers.join(visit_rows, "event_id"), narrow
 
 
 def marker_frame(t: SurveyTables, event_type: str | None = None,
@@ -94,8 +123,7 @@ def marker_frame(t: SurveyTables, event_type: str | None = None,
     Visits are far fewer than points; when a bounded count proves the visit
     frame small, it is broadcast and markers are shuffled once only (for the
     species join on ``point_id``), not first on ``event_id`` as well."""
-    return t.markers.join(broadcast_if_bounded(visits(t, event_type, event_group, with_group)),
-                          "event_id")
+    return marker_frame_with_bound(t, event_type, event_group, with_group)[0]
 
 
 def vegetation_frame(t: SurveyTables, event_type: str | None = None,
@@ -112,7 +140,9 @@ def vegetation_frame(t: SurveyTables, event_type: str | None = None,
     veg = t.vegetation
     if require_percent:
         veg = veg.where(F.col("percentcover_raw").isNotNull())
-    markers = broadcast_if_bounded(marker_frame(t, event_type, event_group, with_group))
+    markers, narrow = marker_frame_with_bound(t, event_type, event_group, with_group)
+    if narrow:
+        markers = broadcast_if_bounded(markers)
     return veg.join(markers, "point_id")
 
 

@@ -30,8 +30,9 @@ from plotcover.operators.checks import (PILOT_POINT_KEYS, POINT_KEYS, STRATA_CHE
 from plotcover.operators.cover import (POINT_COVER_COLUMNS, STRATUM_COLUMNS, abs_cover_by_stratum,
                                        abs_cover_long)
 from plotcover.operators.distance import DISTANCE_COLUMNS, distance_summary
-from plotcover.bounds import broadcast_if_bounded, is_bounded
-from plotcover.operators.frames import filter_site_codes, visits, with_lookup_region
+from plotcover.bounds import broadcast_if_bounded
+from plotcover.operators.frames import (filter_site_codes, marker_frame_with_bound,
+                                       with_lookup_region)
 from plotcover.operators.checks import relcover_check
 from plotcover.operators.groups import GROUP_POINT_KEYS, conditional_segment
 from plotcover.operators.pivots import long_pivot
@@ -62,12 +63,14 @@ def shared_frames(t: SurveyTables, materialize: bool = True, folder: str | None
     visits it is a map-only plan, as cheap to recompute as to re-read.  A
     marker frame under the broadcast bound (a refresh of a few groups, a small
     source) is broadcast to vegetation, which is then not shuffled."""
-    visit_rows = visits(t, with_group=with_group)
-    small_visits = is_bounded(visit_rows)
-    markers = t.markers.join(F.broadcast(visit_rows) if small_visits else visit_rows, "event_id")
+    markers, small_visits = marker_frame_with_bound(t, None, None, with_group)
     if materialize and not small_visits:
         markers = sinks.materialize(markers, "marker_frame", folder)
-    species = t.vegetation.join(broadcast_if_bounded(markers), "point_id")
+    # a map-only or written marker frame is cheap to bound
+    if small_visits or materialize:
+        species = t.vegetation.join(broadcast_if_bounded(markers), "point_id")
+    else:
+        species = t.vegetation.join(markers, "point_id")
     if materialize:
         species = sinks.materialize(species, "species_frame", folder)
     return species, markers

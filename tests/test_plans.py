@@ -100,3 +100,26 @@ def test_small_marker_frame_is_broadcast_to_vegetation(spark, sf_dir):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [point_id" in plan
     assert "hashpartitioning(point_id" not in plan
+
+
+def test_marker_bound_checked_only_on_map_only_plans(spark, sf_dir, monkeypatch):
+    # visits over the bound: the marker frame's plan has a shuffle join, and a
+    # take on it would run that shuffle, so its bound is not tested
+    checked = []
+    real = frames.is_bounded
+
+    def spy(df, max_rows=None):
+        checked.append(df)
+        return real(df, max_rows)
+
+    monkeypatch.setattr(frames, "is_bounded", spy)
+    monkeypatch.setattr(bounds, "BROADCAST_MAX_ROWS", 100)
+    bounds.forget_bounds()
+    t = fixture_tables(spark, sf_dir)
+    assert t.locations.count() <= 100 < frames.visits(t, "Marker Visit").count()
+    checked.clear()
+    rows = frames.vegetation_frame(t, event_type="Marker Visit")
+    assert len(checked) == 2                      # locations, then visits; not markers
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(point_id" in plan and "hashpartitioning(event_id" in plan
+    bounds.forget_bounds()

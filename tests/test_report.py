@@ -89,8 +89,8 @@ def test_pilot_report_keys_sites_and_lookup_region(spark, sf_dir, tmp_path):
 
 def test_report_when_visits_are_too_many_to_broadcast(spark, sf_dir, monkeypatch):
     from plotcover.plans import report
-    from plotcover.operators import cover
-    monkeypatch.setattr(report, "is_bounded", lambda df, *a, **k: False)
+    from plotcover.operators import cover, frames
+    monkeypatch.setattr(frames, "is_bounded", lambda df, *a, **k: False)
     t = fixture_tables(spark, sf_dir)
     species, markers = report.shared_frames(t)
     assert "broadcast" not in markers._jdf.queryExecution().analyzed().toString().lower()
