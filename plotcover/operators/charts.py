@@ -18,6 +18,10 @@ from plotcover.schema import COMMUNITY_LABELS, STRATA, STRATUM_LABELS, abs_cover
 # legend order Tree, Shrub, Herb.
 SIDE_ORDER = ("marsh", "mangrove")
 
+# The regions the Protocol and Pilot figures draw, in page
+# order (the Merged figure draws the regions found in the data instead).
+FIXED_REGIONS = ("Turner River", "Shark Slough", "Taylor Slough")
+
 
 def region_list(stratum_rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """the regions in the order a table sorted by location name meets
@@ -38,6 +42,19 @@ def region_list(stratum_rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return firsts.withColumn("region_order", F.row_number().over(order))
 
 
+def fixed_region_list(stratum_rows: DataFrame,
+                      regions: Sequence[str] = FIXED_REGIONS) -> DataFrame:
+    """F9 for Protocol and Pilot: the given regions in the given order, each
+    with its first location name in the data (NULL for a region without
+    rows, whose page is empty)."""
+    fixed = stratum_rows.sparkSession.createDataFrame(
+        [(r, i) for i, r in enumerate(regions, start=1)], "region string, region_order int")
+    firsts = region_list(stratum_rows.where(F.col("region").isin(list(regions)))).select(
+        "region", "first_location_name")
+    return F.broadcast(fixed).join(firsts, "region", "left").select(
+        "region", "first_location_name", "region_order")
+
+
 def chart_series(stratum_rows: DataFrame, region: str | None = None) -> DataFrame:
     """One row per bar segment — (region, side, location, visit, layer)
     with its absolute cover; the side's overall cover rides along but is not

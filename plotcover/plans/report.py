@@ -148,8 +148,10 @@ def _source_report(species, markers, sop82_rows, visits, pilot: bool) -> dict[st
         "QAQC_RelCoverByPoint_Total": relcover_check(species, keys),
         sinks.SHEET_ABS_COVER: abs_cover_long(sop82_rows),
         sinks.SHEET_STRATUM: stratum,
-        "SOP8-3-ChartSeries": charts.chart_series(stratum),
-        "SOP8-3-Regions": charts.region_list(stratum),
+        # the figure draws the fixed regions only
+        "SOP8-3-ChartSeries": charts.chart_series(stratum).where(
+            F.col("region").isin(list(charts.FIXED_REGIONS))),
+        "SOP8-3-Regions": charts.fixed_region_list(stratum),
     }
 
 

@@ -81,6 +81,12 @@ def test_pilot_report_keys_sites_and_lookup_region(spark, sf_dir, tmp_path):
     lookup_regions = {r[0] for r in site_region_lookup(spark).select("region").collect()}
     assert {r[0] for r in stratum.select("region").distinct().collect()} <= lookup_regions
     assert stratum.where(F.col("region").isNull()).count() == 0
+    from plotcover.operators import charts
+    regions = results["SOP8-3-Regions"].orderBy("region_order").collect()
+    assert [r.region for r in regions] == list(charts.FIXED_REGIONS)
+    series = results["SOP8-3-ChartSeries"]
+    assert series.count() > 0
+    assert {r[0] for r in series.select("region").distinct().collect()} <= set(charts.FIXED_REGIONS)
     paths = write_report(t, str(tmp_path / "pilot"), generation="pilot")
     assert sinks.read_result(spark, str(tmp_path / "pilot"), sinks.SHEET_STRATUM).count() \
         == stratum.count()
