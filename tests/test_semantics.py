@@ -353,3 +353,25 @@ def test_ordered_outputs(small):
     d = distance.distance_rows(small, ordered=True).collect()
     keys = [(r.segment is not None, r.segment or "", r.location_name, r.point_id) for r in d]
     assert [k[1:] for k in keys if k[0]] == sorted(k[1:] for k in keys if k[0])
+
+
+_pivot_row = st.tuples(
+    st.sampled_from(["a", "b", None]), st.sampled_from(["x", "y", None]),
+    st.sampled_from(["s1", "s2", "s3", None]),
+    st.one_of(st.none(), st.integers(0, 100).map(float)))
+
+
+@settings(max_examples=12, deadline=None)
+@given(rows=st.lists(_pivot_row, min_size=1, max_size=25), agg=st.sampled_from(["sum", "count"]))
+def test_wide_pivot_matches_pandas_on_generated_rows(spark, rows, agg):
+    rows = rows + [("a", "x", "s1", 5.0)]            # at least one complete row
+    pdf = pd.DataFrame(rows, columns=["k1", "k2", "col", "v"])
+    expected = pdf.pivot_table(index=["k1", "k2"], columns="col", values="v", aggfunc=agg)
+    df = spark.createDataFrame(rows, "k1 string, k2 string, col string, v double")
+    wide = pivots.pandas_pivot(df, ["k1", "k2"], "col", "v", agg).toPandas().set_index(["k1", "k2"])
+    assert list(wide.columns) == list(expected.columns)
+    assert list(wide.index) == list(expected.index)
+    for c in expected.columns:
+        for idx in expected.index:
+            e, g = expected.loc[idx, c], wide.loc[idx, c]
+            assert pd.isna(g) if pd.isna(e) else float(g) == float(e), (idx, c, e, g)
