@@ -50,6 +50,10 @@ from plotcover.sources.tables import SurveyTables
 # lookup (S3, J6).
 GENERATIONS = ("merged", "protocol", "pilot")
 
+# Columns of the species frame the species reports read (the SOP8-2 input,
+# the check keys and the group name for the conditional Segment key).
+SPECIES_FRAME_COLUMNS = POINT_COVER_COLUMNS + ["segment", "event_group_name"]
+
 
 def shared_frames(t: SurveyTables, materialize: bool = True, folder: str | None = None,
                   with_group: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -72,7 +76,10 @@ def shared_frames(t: SurveyTables, materialize: bool = True, folder: str | None
     else:
         species = t.vegetation.join(markers, "point_id")
     if materialize:
-        species = sinks.materialize(species, "species_frame", folder)
+        # only the columns the species reports read: the largest write of
+        # the run, and every report re-reads it
+        keep = [c for c in SPECIES_FRAME_COLUMNS if c in species.columns]
+        species = sinks.materialize(species.select(*keep), "species_frame", folder)
     return species, markers
 
 
