@@ -72,17 +72,20 @@ def point_sum_long(rows: DataFrame, keys: Sequence[str] = POINT_KEYS) -> DataFra
     return long_pivot(rows, keys, "speciescode", "percentcover", "sum", out="sum_percentcover")
 
 
-def point_count_wide(rows: DataFrame, keys: Sequence[str] = POINT_KEYS) -> DataFrame:
-    """A3 as the report shows it: keys by species columns, counts."""
-    long_df = materialize(point_count_long(rows, keys), "point_count_long")
+def point_count_wide(rows: DataFrame, keys: Sequence[str] = POINT_KEYS,
+                     folder: str | None = None) -> DataFrame:
+    """A3 as the report shows it: keys by species columns, counts.  The
+    long form is written under ``folder`` (see ``sinks.materialize``)."""
+    long_df = materialize(point_count_long(rows, keys), "point_count_long", folder)
     return wide_pivot(long_df, keys, "speciescode", "n_percentcover",
                       pivot_values(long_df, "speciescode"))
 
 
-def point_sum_wide(rows: DataFrame, keys: Sequence[str] = POINT_KEYS) -> DataFrame:
+def point_sum_wide(rows: DataFrame, keys: Sequence[str] = POINT_KEYS,
+                   folder: str | None = None) -> DataFrame:
     """A4 + A5 as the report shows them: species sums, their row total
     ``sum_relcover`` and the flag ``relcover_is_100``."""
-    long_df = materialize(point_sum_long(rows, keys), "point_sum_long")
+    long_df = materialize(point_sum_long(rows, keys), "point_sum_long", folder)
     return wide_pivot(long_df, keys, "speciescode", "sum_percentcover",
                       pivot_values(long_df, "speciescode"),
                       row_total="sum_relcover", total_flag="relcover_is_100")

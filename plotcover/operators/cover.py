@@ -58,13 +58,15 @@ def abs_cover_long(rows: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame
 
 
 def abs_cover_wide(rows: DataFrame, extra_keys: Sequence[str] = (),
-                   order: str = "text", values: Sequence[str] | None = None) -> DataFrame:
+                   order: str = "text", values: Sequence[str] | None = None,
+                   folder: str | None = None) -> DataFrame:
     """SOP8-2 as the report shows it: species rows by location columns,
-    columns in text order (O5) or site order (O6)."""
+    columns in text order (O5) or site order (O6).  Without ``values`` the
+    long form is written under ``folder`` first (see ``sinks.materialize``)."""
     keys = list(extra_keys) + SPECIES_KEYS
     long_df = abs_cover_long(rows, extra_keys)
     if values is None:
-        long_df = materialize(long_df, "abs_cover_long")
+        long_df = materialize(long_df, "abs_cover_long", folder)
         values = pivot_values(long_df, "location_name", order)
     return wide_pivot(long_df, keys, "location_name", "abs_cover", values, order)
 

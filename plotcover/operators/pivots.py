@@ -8,7 +8,10 @@ the already aggregated long form (one more small aggregate); its columns are
 data, so the distinct pivot values are read back with a hard bound, exactly
 what a wide table needs and never more.  The long form is written once to
 the shared checkpoint folder first (``sources.sinks.materialize``), so reading
-its values and pivoting it do not run the joins behind it again.
+its values and pivoting it do not run the joins behind it again.  The wide
+DataFrame reads that copy, so it lives as long as the result is used; pass a
+``folder`` from ``sinks.scratch_folder`` and remove it with
+``sinks.remove_folder`` when done.
 
 Rules: a row with a missing key or pivot value is left out (N3); a sum over
 only missing values is 0.0 (N4); a count over only missing values is 0 (N5);
@@ -101,14 +104,14 @@ def wide_pivot(long_df: DataFrame, keys: Sequence[str], column: str, measure: st
 
 def pandas_pivot(df: DataFrame, keys: Sequence[str], column: str, value: str,
                  agg: str = "sum", values: Sequence | None = None, order: str = "text",
-                 extra_keys: Sequence[str] = ()) -> DataFrame:
+                 extra_keys: Sequence[str] = (), folder: str | None = None) -> DataFrame:
     """Wide pivot of raw rows in one call: long aggregate, then pivot.
     ``extra_keys`` (event group, date...) lead the row keys (A7, D4)."""
     all_keys = list(extra_keys) + list(keys)
     measure = f"{agg}_{value}"
     long_df = long_pivot(df, all_keys, column, value, agg, out=measure)
     if values is None:
-        long_df = materialize(long_df, "pivot_long")
+        long_df = materialize(long_df, "pivot_long", folder)
     return wide_pivot(long_df, all_keys, column, measure, values, order)
 
 

@@ -104,3 +104,14 @@ def test_report_when_visits_are_too_many_to_broadcast(spark, sf_dir, monkeypatch
     assert _same_rows(results[sinks.SHEET_POINT_SUM], groups.point_sum_by_group(t))
     assert _same_rows(results[sinks.SHEET_STRATUM].drop("event_group_id"),
                       cover.abs_cover_by_stratum(t).drop("event_group_id"))
+
+
+def test_wide_pivot_long_form_in_caller_folder(spark, sf_dir):
+    import os
+    from plotcover.operators import cover
+    folder = sinks.scratch_folder(spark)
+    t = fixture_tables(spark, sf_dir)
+    rows = cover.abs_cover_wide(cover.point_cover_rows(t), folder=folder).collect()
+    assert rows and os.path.isdir(folder.replace("file:", "") + "/abs_cover_long")
+    assert sinks.remove_folder(spark, folder)
+    assert not os.path.exists(folder.replace("file:", ""))
