@@ -75,6 +75,14 @@ def filter_site_codes(df: DataFrame, codes: list[str] | None = None,
 # never a different result).
 
 
+def join_keys(left: DataFrame, right: DataFrame, key: str) -> list[str]:
+    """Join key, plus ``event_group_id`` when both sides carry it: tables
+    written in the group layout (``sources.tables.write_tables``) have it on
+    markers and species rows too, as their partition column."""
+    group = "event_group_id"
+    return [key, group] if group in left.columns and group in right.columns else [key]
+
+
 def _bounded_broadcast(df: DataFrame) -> tuple[DataFrame, bool]:
     small = is_bounded(df)
     return (F.broadcast(df) if small else df), small
@@ -113,7 +121,7 @@ def marker_frame_with_bound(t: SurveyTables, event_type: str | None = None,
     visit_rows, narrow = _visits(t, event_type, event_group, with_group)
     if narrow:
         visit_rows, narrow = _bounded_broadcast(visit_rows)
-    return t.markers.join(visit_rows, "event_id"), narrow
+    return t.markers.join(visit_rows, join_keys(t.markers, visit_rows, "event_id")), narrow
 
 
 def marker_frame(t: SurveyTables, event_type: str | None = None,
@@ -143,7 +151,7 @@ def vegetation_frame(t: SurveyTables, event_type: str | None = None,
     markers, narrow = marker_frame_with_bound(t, event_type, event_group, with_group)
     if narrow:
         markers = broadcast_if_bounded(markers)
-    return veg.join(markers, "point_id")
+    return veg.join(markers, join_keys(veg, markers, "point_id"))
 
 
 def locations_from_pilot(geo_locations: DataFrame) -> DataFrame:

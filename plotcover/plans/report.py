@@ -31,7 +31,7 @@ from plotcover.operators.cover import (POINT_COVER_COLUMNS, STRATUM_COLUMNS, abs
                                        abs_cover_long)
 from plotcover.operators.distance import DISTANCE_COLUMNS, distance_summary
 from plotcover.bounds import broadcast_if_bounded
-from plotcover.operators.frames import (filter_site_codes, marker_frame_with_bound,
+from plotcover.operators.frames import (filter_site_codes, join_keys, marker_frame_with_bound,
                                        with_lookup_region)
 from plotcover.operators.checks import relcover_check
 from plotcover.operators.groups import GROUP_POINT_KEYS, conditional_segment
@@ -72,9 +72,10 @@ def shared_frames(t: SurveyTables, materialize: bool = True, folder: str | None
         markers = sinks.materialize(markers, "marker_frame", folder)
     # a map-only or written marker frame is cheap to bound
     if small_visits or materialize:
-        species = t.vegetation.join(broadcast_if_bounded(markers), "point_id")
+        species = t.vegetation.join(broadcast_if_bounded(markers),
+                                    join_keys(t.vegetation, markers, "point_id"))
     else:
-        species = t.vegetation.join(markers, "point_id")
+        species = t.vegetation.join(markers, join_keys(t.vegetation, markers, "point_id"))
     if materialize:
         # only the columns the species reports read: the largest write of
         # the run, and every report re-reads it

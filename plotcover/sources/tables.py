@@ -105,18 +105,30 @@ def read_jdbc_tables(spark: SparkSession, url: str, tables: dict[str, str],
     return SurveyTables(**frames)
 
 
-def write_tables(t: SurveyTables, out_dir: str) -> dict[str, str]:
+def write_tables(t: SurveyTables, out_dir: str, group_layout: bool = False) -> dict[str, str]:
     """Ingest: write the (normalised) tables as Parquet, events partitioned
     by event group so a one-group report reads one folder.  Returns the
-    paths for ``read_parquet_tables``."""
+    paths for ``read_parquet_tables``.
+
+    ``group_layout`` also writes markers and species rows with the event
+    group of their visit, partitioned by it (one join of each at ingest), so
+    a report or refresh of some groups reads only those groups' folders of
+    every table; the operators then join on the group as well."""
+    tables = {name: getattr(t, name) for name in
+              ("locations", "events", "markers", "vegetation", "event_groups")}
+    if group_layout:
+        visit_groups = t.events.select("event_id", "event_group_id")
+        markers = t.markers.join(visit_groups, "event_id")
+        tables["markers"] = markers
+        tables["vegetation"] = t.vegetation.join(
+            markers.select("point_id", "event_group_id"), "point_id")
     paths = {}
-    for name in ("locations", "events", "markers", "vegetation", "event_groups"):
-        df = getattr(t, name)
+    for name, df in tables.items():
         if df is None:
             continue
         path = f"{out_dir.rstrip('/')}/{name}"
         writer = df.write.mode("overwrite")
-        if name == "events":
+        if "event_group_id" in df.columns and name != "event_groups":
             writer = writer.partitionBy("event_group_id")
         writer.parquet(path)
         paths[name] = path

@@ -29,10 +29,17 @@ MAX_GROUPS_PER_BATCH = 10_000
 
 def restrict_to_groups(t: SurveyTables, group_ids: list) -> SurveyTables:
     """The tables seen through the given groups only: visits and groups are
-    filtered, markers and species rows follow through the joins."""
+    filtered, markers and species rows follow through the joins (and are
+    filtered on their partition column when stored in the group layout)."""
     keep = F.col("event_group_id").isin(group_ids)
     groups = t.event_groups.where(keep) if t.event_groups is not None else None
-    return t.with_(events=t.events.where(keep), event_groups=groups)
+    out = t.with_(events=t.events.where(keep), event_groups=groups)
+    # tables in the group layout carry the group: prune their folders too
+    for name in ("markers", "vegetation"):
+        df = getattr(t, name)
+        if "event_group_id" in df.columns:
+            out = out.with_(**{name: df.where(keep)})
+    return out
 
 
 def refresh_batch(batch: DataFrame, batch_id: int, load_tables: Callable[[], SurveyTables],

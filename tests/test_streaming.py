@@ -1,5 +1,6 @@
 """The refresh stream re-runs the report for the groups of new visits only."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from plotcover.sources import sinks
@@ -8,9 +9,10 @@ from plotcover.sources.tables import read_parquet_tables, write_tables
 from plotcover.streaming.refresh import start_refresh_stream
 
 
-def test_refresh_stream_rewrites_touched_groups(spark, sf_dir, tmp_path):
+@pytest.mark.parametrize("group_layout", [False, True])
+def test_refresh_stream_rewrites_touched_groups(spark, sf_dir, tmp_path, group_layout):
     t = fixture_tables(spark, sf_dir)
-    paths = write_tables(t, str(tmp_path / "tables"))
+    paths = write_tables(t, str(tmp_path / "tables"), group_layout=group_layout)
     landing = str(tmp_path / "landing")
     out = str(tmp_path / "reports")
     # a first campaign's visits land: only its group is reported
