@@ -79,5 +79,12 @@ def test_group_layout_gives_the_same_reports_and_prunes_by_group(spark, sf_dir,
     for table, column in (("vegetation", "communitytype"), ("markers", "mangroveside_cover")):
         scans = [line for line in plan.splitlines() if "FileScan" in line and column in line]
         assert scans and all(pruned.search(line) for line in scans), table
+    # a one-group filter on visits alone (F6) prunes markers and species rows
+    # too: Catalyst carries the predicate across the joins on the group
+    f6 = cover.point_cover_rows(g, event_group="{automobile}")
+    f6_plan = f6._jdf.queryExecution().executedPlan().toString()
+    for column in ("communitytype", "mangroveside_cover"):
+        scans = [line for line in f6_plan.splitlines() if "FileScan" in line and column in line]
+        assert scans and all(pruned.search(line) for line in scans), column
     assert same(rounded(groups.abs_cover_by_group(one)),
                 rounded(groups.abs_cover_by_group(t).where("event_group_id = 'AUTOMOBILE'")))
