@@ -113,7 +113,9 @@ def write_tables(t: SurveyTables, out_dir: str, group_layout: bool = False) -> d
     ``group_layout`` also writes markers and species rows with the event
     group of their visit, partitioned by it (one join of each at ingest), so
     a report or refresh of some groups reads only those groups' folders of
-    every table; the operators then join on the group as well."""
+    every table; the operators then join on the group as well.  A marker
+    without a visit, or a species row without a marker, has no group and is
+    not kept: every report joins them inward, so no result changes."""
     tables = {name: getattr(t, name) for name in
               ("locations", "events", "markers", "vegetation", "event_groups")}
     if group_layout:
