@@ -68,13 +68,6 @@ def filter_site_codes(df: DataFrame, codes: list[str] | None = None,
     return df.where(F.col(col).isin(codes if codes is not None else pilot_site_codes()))
 
 
-# A bound is proven by a ``take``, which is cheap only on a map-only plan: a
-# plan with a shuffle join would run its whole shuffle first.  So a joined
-# frame is tested only when every table joined into it was broadcast; when
-# one was not, the frame is taken as large (a lost optimisation at most,
-# never a different result).
-
-
 def join_keys(left: DataFrame, right: DataFrame, key: str) -> list[str]:
     """Join key, plus ``event_group_id`` when both sides carry it: tables
     written in the group layout (``sources.tables.write_tables``) have it on
@@ -83,6 +76,13 @@ def join_keys(left: DataFrame, right: DataFrame, key: str) -> list[str]:
     return [key, group] if group in left.columns and group in right.columns else [key]
 
 
+# A bound is proven by a ``take``, which is cheap only on a map-only plan: a
+# plan with a shuffle join would run its whole shuffle first.  So a joined
+# frame is tested only when every table joined into it was broadcast; when
+# one was not, the frame is taken as large (a lost optimisation at most,
+# never a different result).
+
+
 def _bounded_broadcast(df: DataFrame) -> tuple[DataFrame, bool]:
     small = is_bounded(df)
     return (F.broadcast(df) if small else df), small
@@ -98,9 +98,10 @@ def _visits(t: SurveyTables, event_type: str | None, event_group: str | None,
     if with_group:
         if t.event_groups is None:
             raise ValueError("this report needs the event_groups table")
-        groups, small_groups = _bounded_broadcast(filter_event_group(t.event_groups, event_group).select(
+        groups = filter_event_group(t.event_groups, event_group).select(
             "event_group_id", "event_group_name",
-            F.col("start_date").alias("group_start_date")))
+            F.col("start_date").alias("group_start_date"))
+        groups, small_groups = _bounded_broadcast(groups)
         out = out.join(groups, "event_group_id")
         narrow = narrow and small_groups
     return out, narrow
