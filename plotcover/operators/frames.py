@@ -68,12 +68,13 @@ def filter_site_codes(df: DataFrame, codes: list[str] | None = None,
     return df.where(F.col(col).isin(codes if codes is not None else pilot_site_codes()))
 
 
-def join_keys(left: DataFrame, right: DataFrame, key: str) -> list[str]:
-    """Join key, plus ``event_group_id`` when both sides carry it: tables
-    written in the group layout (``sources.tables.write_tables``) have it on
-    markers and species rows too, as their partition column."""
-    group = "event_group_id"
-    return [key, group] if group in left.columns and group in right.columns else [key]
+def join_keys(table: DataFrame, key: str) -> list[str]:
+    """Join key of a stored table (markers, species rows) with a frame built
+    on visits, which always carries ``event_group_id``: the group joins too
+    when the table has it, as it does in the group layout
+    (``sources.tables.write_tables``), where it is the partition column.
+    Only the stored table's schema is read, so no joined plan is analysed."""
+    return [key, "event_group_id"] if "event_group_id" in table.columns else [key]
 
 
 # A bound is proven by a ``take``, which is cheap only on a map-only plan: a
@@ -122,7 +123,7 @@ def marker_frame_with_bound(t: SurveyTables, event_type: str | None = None,
     visit_rows, narrow = _visits(t, event_type, event_group, with_group)
     if narrow:
         visit_rows, narrow = _bounded_broadcast(visit_rows)
-    return t.markers.join(visit_rows, join_keys(t.markers, visit_rows, "event_id")), narrow
+    return t.markers.join(visit_rows, join_keys(t.markers, "event_id")), narrow
 
 
 def marker_frame(t: SurveyTables, event_type: str | None = None,
@@ -152,7 +153,7 @@ def vegetation_frame(t: SurveyTables, event_type: str | None = None,
     markers, narrow = marker_frame_with_bound(t, event_type, event_group, with_group)
     if narrow:
         markers = broadcast_if_bounded(markers)
-    return veg.join(markers, join_keys(veg, markers, "point_id"))
+    return veg.join(markers, join_keys(veg, "point_id"))
 
 
 def locations_from_pilot(geo_locations: DataFrame) -> DataFrame:

@@ -73,9 +73,9 @@ def shared_frames(t: SurveyTables, materialize: bool = True, folder: str | None
     # a map-only or written marker frame is cheap to bound
     if small_visits or materialize:
         species = t.vegetation.join(broadcast_if_bounded(markers),
-                                    join_keys(t.vegetation, markers, "point_id"))
+                                    join_keys(t.vegetation, "point_id"))
     else:
-        species = t.vegetation.join(markers, join_keys(t.vegetation, markers, "point_id"))
+        species = t.vegetation.join(markers, join_keys(t.vegetation, "point_id"))
     if materialize:
         # only the columns the species reports read: the largest write of
         # the run, and every report re-reads it

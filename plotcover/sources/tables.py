@@ -113,13 +113,17 @@ def write_tables(t: SurveyTables, out_dir: str, group_layout: bool = False) -> d
     ``group_layout`` also writes markers and species rows with the event
     group of their visit, partitioned by it (one join of each at ingest), so
     a report or refresh of some groups reads only those groups' folders of
-    every table; the operators then join on the group as well.  A marker
-    without a visit, or a species row without a marker, has no group and is
-    not kept: every report joins them inward, so no result changes."""
+    every table; the operators then join on the group as well.  It is the
+    layout of a source with event groups (the Merged generation), whose
+    reports are all by group: a marker of a visit without a group, or a
+    species row without a marker, is not kept, as no group report shows it."""
     tables = {name: getattr(t, name) for name in
               ("locations", "events", "markers", "vegetation", "event_groups")}
+    if group_layout and t.event_groups is None:
+        raise ValueError("the group layout needs a source with event groups")
     if group_layout:
-        visit_groups = t.events.select("event_id", "event_group_id")
+        visit_groups = t.events.where(F.col("event_group_id").isNotNull()).select(
+            "event_id", "event_group_id")
         markers = t.markers.join(visit_groups, "event_id")
         tables["markers"] = markers
         tables["vegetation"] = t.vegetation.join(

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from plotcover.operators import frames
 from plotcover.sources.tables import normalise_table, read_parquet_tables, write_tables
 
@@ -88,3 +90,10 @@ def test_group_layout_gives_the_same_reports_and_prunes_by_group(spark, sf_dir,
         assert scans and all(pruned.search(line) for line in scans), column
     assert same(rounded(groups.abs_cover_by_group(one)),
                 rounded(groups.abs_cover_by_group(t).where("event_group_id = 'AUTOMOBILE'")))
+
+
+def test_group_layout_needs_event_groups(spark, sf_dir, tmp_path):
+    from plotcover.sources.fixtures import fixture_tables
+    t = fixture_tables(spark, sf_dir).with_(event_groups=None)
+    with pytest.raises(ValueError):
+        write_tables(t, str(tmp_path / "g"), group_layout=True)
