@@ -24,6 +24,8 @@ def test_no_python_udf(spark, sf_dir, name):
     plan = _plan(entry_mod.queries()[name](spark, sf_dir))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "FlatMapGroupsInPandas" not in plan and "MapInPandas" not in plan
+    # every join is an equi-join: no cross product, no nested-loop join
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
 def test_locations_broadcast_and_scan_pruned(spark, sf_dir):
