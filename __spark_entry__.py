@@ -216,7 +216,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_abs_cover_long(spark, SMOKE_DIR)
 
 
+def _text_operators():
+    """The module of the text-operator queries, or None where that subpackage
+    (or the pipeline built on it) is not installed."""
+    try:
+        from plotcover.llm import queries as module
+    except ModuleNotFoundError as error:
+        if (error.name or "").split(".")[:2] == ["plotcover", "llm"] or error.name == "corpus_pipeline":
+            return None
+        raise
+    return module
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    text = _text_operators()
+    return _survey_queries() | (text.queries() if text else {})
+
+
+def _survey_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "event_groups": q_event_groups,
         "locations_adapter": q_locations_adapter,
@@ -586,9 +603,11 @@ from ds left join tt on {dof} = tt.dof"""
 
 
 def oracle_sql() -> dict[str, str]:
-    covers9 = ("m.mangroveside_cover_overall, m.mangroveside_cover_tree, m.mangroveside_cover_shrub, "
-               "m.mangroveside_cover_herb, m.marshside_cover_overall, m.marshside_cover_tree, "
-               "m.marshside_cover_shrub, m.marshside_cover_herb")
+    text = _text_operators()
+    return _survey_oracles() | (text.oracle_sql() if text else {})
+
+
+def _survey_oracles() -> dict[str, str]:
     return {
         "event_groups": _with() + """
 select event_group_id, event_group_name, cast(year(start_date) as int) as event_group_year
