@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotcover.llm import records
+from plotcover.llm import chunks, records
 from plotcover.llm.bpe import default_tokenizer
 from plotcover.llm.common import read_table
 
@@ -16,6 +16,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 END_ID = 2  # op6's end-of-document id
 
 
+def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return chunks.encode_documents(docs, default_tokenizer(), digests=True)
+
+
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     manifest = records.write_token_records(docs, default_tokenizer(), END_ID)
@@ -24,6 +29,7 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_bpe_encoding": op1_bpe_encoding,
         "op6_token_records": op6_token_records,
     }
 
