@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotcover.llm import chunks, records
+from plotcover.llm import chunks, records, repetition
 from plotcover.llm.bpe import default_tokenizer
 from plotcover.llm.common import read_table
 
@@ -21,6 +21,10 @@ def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.encode_documents(docs, default_tokenizer(), digests=True)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.quality(read_table(spark, sf_dir, "documents"))
+
+
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     manifest = records.write_token_records(docs, default_tokenizer(), END_ID)
@@ -30,6 +34,7 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_encoding": op1_bpe_encoding,
+        "op5_quality_rules": op5_quality_rules,
         "op6_token_records": op6_token_records,
     }
 
