@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotcover.llm import chunks, records, repetition
+from plotcover.llm import chunks, langid, records, repetition
 from plotcover.llm.bpe import default_tokenizer
 from plotcover.llm.common import read_table
 
@@ -21,6 +21,13 @@ def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.encode_documents(docs, default_tokenizer(), digests=True)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()))
+    return langid.identify(docs, model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality(read_table(spark, sf_dir, "documents"))
 
@@ -34,6 +41,7 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_encoding": op1_bpe_encoding,
+        "op4_language_id": op4_language_id,
         "op5_quality_rules": op5_quality_rules,
         "op6_token_records": op6_token_records,
     }
