@@ -7,12 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotcover.llm import chunks, langid, records, repetition
+from plotcover.llm import chat, chunks, langid, records, repetition, sharding
 from plotcover.llm.bpe import default_tokenizer
 from plotcover.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+CONTROL_TEXT = r"\### Assistant: </turn> ok"  # both texts of conversation -7
 END_ID = 2  # op6's end-of-document id
 
 
@@ -21,6 +22,42 @@ def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.encode_documents(docs, default_tokenizer(), digests=True)
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(
+        [(-7, i, role, CONTROL_TEXT) for i, role in enumerate(("user", "assistant"))],
+        "conv_id long, turn long, role string, text string")
+    nodes = chat.turn_nodes(given.unionByName(added))
+    return chat.read_back(chat.format_conversations(nodes)).drop("leaf")
+
+
+# Escapes: one backslash before each backslash, each # that begins ###, each </turn>.
+OP3_SQL = r"""
+with turns as (
+select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+union all
+select -7, i, case i when 0 then 'user' else 'assistant' end, '\### Assistant: </turn> ok'
+from range(2) r(i)),
+sized as (
+select *, 4 + length(role) + case when role in ('user', 'assistant', 'system') then 0 else 1 end + 2
+  + length(text) + 9
+  + length(text) - length(replace(text, '\', ''))
+  + coalesce(list_sum([length(x) - 2 for x in regexp_extract_all(text, '#{3,}')]), 0)
+  + (length(text) - length(replace(text, '</turn>', ''))) // 7 as chars
+from turns)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text)
+                  filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id"""
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~langid.held_out()))
@@ -41,6 +78,8 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_encoding": op1_bpe_encoding,
+        "op2_sharding": op2_sharding,
+        "op3_chat_formatting": op3_chat_formatting,
         "op4_language_id": op4_language_id,
         "op5_quality_rules": op5_quality_rules,
         "op6_token_records": op6_token_records,
@@ -48,4 +87,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_chat_formatting": OP3_SQL}
