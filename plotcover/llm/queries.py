@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotcover.llm import chat, chunks, langid, pii, records, repetition, sharding
+from plotcover.llm import chat, chunks, decontaminate, langid, pii, records, repetition, sharding
 from plotcover.llm.bpe import default_tokenizer
 from plotcover.llm.common import read_table
 
@@ -75,6 +75,11 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_token_records(spark, manifest)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contamination(read_table(spark, sf_dir, "documents"),
+                                            read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return pii.find(docs, pii.train(docs))
@@ -88,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op4_language_id": op4_language_id,
         "op5_quality_rules": op5_quality_rules,
         "op6_token_records": op6_token_records,
+        "op7_decontamination": op7_decontamination,
         "op8_personal_data": op8_personal_data,
     }
 
