@@ -93,25 +93,28 @@ def reply_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     steps = steps.join(known, same & (F.col("parent") == F.col("n")), "left").select(
         "conv_id", "node", F.col("n").alias("up"),
         F.coalesce("score", F.lit(0.0)).alias("total"))
-    levels = [materialize(steps, "steps")]
-    most = levels[0].groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
-    # after round k a path of 2^k steps is known; no path is longer than its conversation
-    while 1 << (len(levels) - 1) <= most and levels[-1].where("up is not null").take(1):
-        last = levels[-1]
-        above = last.select(F.col("conv_id").alias("c"), F.col("node").alias("n"),
-                            F.col("up").alias("next"), F.col("total").alias("more"))
-        levels.append(materialize(
-            last.join(above, same & (F.col("up") == F.col("n")), "left").select(
+    every = materialize(steps, "steps")
+    most = every.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    # rows that have reached their root leave; jumps[k] leads 2^k steps up
+    finished, going, jumps = every.where("up is null"), every.where("up is not null"), []
+    while 1 << len(jumps) <= most and going.take(1):   # no path is longer than its conversation
+        jumps.append(going)
+        above = finished.unionByName(going).select(
+            F.col("conv_id").alias("c"), F.col("node").alias("n"),
+            F.col("up").alias("next"), F.col("total").alias("more"))
+        further = materialize(
+            going.join(above, same & (F.col("up") == F.col("n"))).select(
                 "conv_id", "node", F.col("next").alias("up"),
-                (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")), "steps"))
-    top = levels[-1].where("up is null")    # the others hang on a cycle
-    parents = levels[0].where("up is not null").select(F.col("conv_id").alias("c"), F.col("up").alias("n"))
-    leaves = top.join(parents.distinct(), same & (F.col("node") == F.col("n")), "left_anti")
+                (F.col("total") + F.col("more")).alias("total")), "steps")
+        finished, going = finished.unionByName(further.where("up is null")), further.where("up is not null")
+    parents = every.where("up is not null").select(F.col("conv_id").alias("c"), F.col("up").alias("n"))
+    # what is still going hangs on a cycle
+    leaves = finished.join(parents.distinct(), same & (F.col("node") == F.col("n")), "left_anti")
     by_score = Window.partitionBy("conv_id").orderBy(F.desc("total"), "node")
     paths = (leaves.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= branches)
              .select("conv_id", F.col("node").alias("leaf"), F.lit(0).cast("long").alias("step"), "node"))
-    for k in range(len(levels) - 2, -1, -1):
-        jump = levels[k].where("up is not null").select(
+    for k in range(len(jumps) - 1, -1, -1):
+        jump = jumps[k].select(
             F.col("conv_id").alias("c"), F.col("node").alias("n"), "up")
         further = paths.join(jump, same & (F.col("node") == F.col("n"))).select(
             "conv_id", "leaf", (F.col("step") + (1 << k)).alias("step"), F.col("up").alias("node"))
