@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotcover.llm import chat, chunks, decontaminate, langid, pii, records, repetition, sharding, simhash
+from plotcover.llm import chat, chunks, decontaminate, langid, pii, records, repetition, sharding, simhash, substrings
 from plotcover.llm.bpe import default_tokenizer
 from plotcover.llm.common import read_table
 
@@ -85,6 +85,10 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.train(docs))
 
 
+def op9_substring_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -99,6 +103,7 @@ def queries() -> dict[str, Query]:
         "op6_token_records": op6_token_records,
         "op7_decontamination": op7_decontamination,
         "op8_personal_data": op8_personal_data,
+        "op9_substring_deduplication": op9_substring_deduplication,
         "op10_simhash_near_duplicates": op10_simhash_near_duplicates,
     }
 
