@@ -35,11 +35,13 @@ import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -314,24 +316,30 @@ def build_block(items: list[tuple[int, str]], max_edit: float) -> Block:
     return Block(classes, tables)
 
 
+def blocks_of(benchmark: DataFrame, max_edit: float, block_bytes: int) -> list[Broadcast]:
+    """The items of ``benchmark`` (item_id, text) as broadcast blocks of bounded size."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
+    total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    n = max(1, math.ceil(total / block_bytes))
+    out = []
+    for b in range(n):
+        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()
+        out.append(spark.sparkContext.broadcast(build_block(
+            sorted({(r.item_id, r.text) for r in mine}, key=lambda r: (r[0] is not None, r[0], r[1])),
+            max_edit)))
+    return out
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT,
                        block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, start_word, n_words, edits for each document (doc_id,
     text) and item (item_id, text) that match."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    result = None
-    for b in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        block = spark.sparkContext.broadcast(
-            build_block(sorted({(r.item_id, r.text) for r in mine.collect()},
-                               key=lambda r: (r[0] is not None, r[0], r[1])), max_edit))
-
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+
+    def search(block: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in regroup(batches, 4 << 20):
                 hits = block.value.matches(text_column(batch))
                 if hits:
@@ -340,6 +348,23 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, max_edit: float =
                         [batch.column(0).take(columns[0]), *columns[1:]],
                         names=["doc_id", "item_id", "start_word", "n_words", "edits"])
 
-        part = rows.mapInArrow(run, RESULT)
-        result = part if result is None else result.unionByName(part)
-    return result
+        return rows.mapInArrow(run, RESULT)
+
+    return reduce(DataFrame.unionByName, map(search, blocks_of(benchmark, max_edit, block_bytes)))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT,
+               block_bytes: int = BLOCK_BYTES, column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that match no item."""
+    bounded_batches(docs.sparkSession)
+
+    def without(rows: DataFrame, block: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in regroup(batches, 4 << 20):
+                keep = np.ones(batch.num_rows, bool)
+                keep[[hit[0] for hit in block.value.matches(text_column(batch, column))]] = False
+                yield batch.filter(pa.array(keep))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    return reduce(without, blocks_of(benchmark, max_edit, block_bytes), docs)

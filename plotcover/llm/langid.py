@@ -218,3 +218,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 "ambiguous": ambiguous})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, RESULT)
+
+
+def keep_identified(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language the model can tell: not ``und``, and
+    not both ambiguous and hardly better than a guess among the languages."""
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in regroup(batches, 4 << 20):
+            model = shared.value
+            langs, score, ambiguous = model.predict(text_column(batch, column))
+            guess = score < 1.2 / max(1, len(model.langs))
+            yield batch.filter(pa.array((np.array(langs, object) != UND) & ~(ambiguous & guess)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -229,3 +229,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
         "fp", F.coalesce(F.nullif("label", F.lit((1 << 63) - 1)), "first").alias("component_id"))
     return marked.join(placed, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One document of each component: the one with the smallest doc_id.  Rows
+    with the same doc_id are one document, of which one row stays."""
+    found = near_duplicates(docs, shingle, radius)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id"])
