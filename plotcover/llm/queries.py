@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from plotcover.llm import chat, chunks, decontaminate, langid, pii, records, repetition, sharding, simhash, substrings
 from plotcover.llm.bpe import default_tokenizer
 from plotcover.llm.common import read_table
@@ -95,6 +96,7 @@ def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_bpe_encoding": op1_bpe_encoding,
         "op2_sharding": op2_sharding,
         "op3_chat_formatting": op3_chat_formatting,
