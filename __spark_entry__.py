@@ -14,18 +14,21 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plotcover.functions.cover import to_number
+from plotcover.functions.text import site_point, site_segment
 from plotcover.operators import charts, frames
 from plotcover.operators import checks as chk
 from plotcover.operators import cover as cov
 from plotcover.operators import distance as dist
 from plotcover.operators import groups as grp
+from plotcover.operators import pivots
 from plotcover.schema import MARKER_VISIT, SIDES, STRATA, STRATUM_COLS, abs_cover_col
 from plotcover.sources.fixtures import fixture_tables
 from plotcover.sources.lookup import site_region_lookup
+from plotcover.sources.tables import normalise_table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -38,6 +41,11 @@ def _round(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
 # Spark side
 # --------------------------------------------------------------------------
 
+# The fixture's species codes and location names follow from its rules
+# (FIXTURES.md §2): 'SP00'..'SP11'; nation keys 0..24 as '01_1'..'07_1'.
+SPECIES = [f"SP{i:02d}" for i in range(12)]
+LOCATION_NAMES = [f"{k // 4 + 1:02d}_{k % 4 + 1}" for k in range(25)]
+
 ABS_COLS = [abs_cover_col(side, s) for side in SIDES for s in STRATA]
 PILOT_STRATUM_COLUMNS = ["location_name", "event_id"]
 
@@ -94,7 +102,7 @@ def q_point_count_long(spark, sf_dir):
 
 
 def q_point_count_wide(spark, sf_dir):
-    return chk.point_count_wide(_point_rows(spark, sf_dir))
+    return chk.point_count_wide(_point_rows(spark, sf_dir), SPECIES)
 
 
 def q_point_sum_long(spark, sf_dir):
@@ -102,13 +110,80 @@ def q_point_sum_long(spark, sf_dir):
 
 
 def q_point_sum_wide(spark, sf_dir):
-    return chk.point_sum_wide(_point_rows(spark, sf_dir))
+    return chk.point_sum_wide(_point_rows(spark, sf_dir), SPECIES)
 
 
 def q_relcover_check(spark, sf_dir):
     return chk.relcover_check(_point_rows(spark, sf_dir))
 
 
+def _fractional_rows(spark, sf_dir):
+    """Species rows whose covers are tenths (text), so that their sums depend
+    on how they are added."""
+    t = _tables(spark, sf_dir)
+    item = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    tenths = (F.col("l_partkey") * 7 + F.col("l_linenumber") * 131) % 1000
+    cover = F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+    veg = item.select(
+        F.col("l_orderkey").alias("point_id"),
+        F.when(F.col("l_returnflag") == "A", "Mangrove").otherwise("Marsh").alias("communitytype"),
+        F.when(F.col("l_linenumber") <= 3, "Tree").otherwise("Herb").alias("vegetationtype"),
+        F.concat(F.lit("SP"), F.lpad((F.col("l_partkey") % 12).cast("string"), 2, "0")).alias("speciescode"),
+        cover.alias("percentcover_raw"))
+    return chk.point_rows(t.with_(vegetation=veg))
+
+
+def q_relcover_fractional(spark, sf_dir):
+    return chk.relcover_check(_fractional_rows(spark, sf_dir))
+
+
+def q_relcover_fractional_wide(spark, sf_dir):
+    """The same totals from the wide form: both must agree to the last bit."""
+    wide = chk.point_sum_wide(_fractional_rows(spark, sf_dir), SPECIES)
+    return wide.select(*chk.POINT_KEYS, "sum_relcover", "relcover_is_100")
+
+
+def q_normalised_markers(spark, sf_dir):
+    """The forgiving read (S1, E3): source-style names, ids with braces, text
+    covers with words among them, NaN distances."""
+    key = F.col("o_orderkey")
+    raw = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.concat(F.lit("{ab-"), key.cast("string"), F.lit("}")).alias("Point_ID"),
+        F.concat(F.lit("ev-"), F.col("o_custkey").cast("string")).alias("Event_ID"),
+        F.when(key % 5 == 0, F.lit(float("nan"))).otherwise((key % 77).cast("double") / 4).alias("Distance"),
+        F.when(key % 2 == 0, "GPS").otherwise("Tape").alias("Method"),
+        F.when(key % 3 == 0, "trace").when(key % 3 == 1, F.concat(F.lit(" "), (key % 90).cast("string"),
+                                                                 F.lit(".5 "))).alias("MangroveSide_Cover_Tree"),
+        (key % 100).cast("int").alias("MarshSide_Cover_Herb"))
+    return normalise_table(raw, "markers")
+
+
+def q_site_order(spark, sf_dir):
+    """O6 as rows: unpadded site codes with one- and two-digit segments, each
+    with its numbers and its place among the report's columns."""
+    key = F.col("c_custkey")
+    codes = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(
+        (key % 15 + 1).cast("string"), F.lit("_"), (F.floor(key / 15) % 4 + 1).cast("string")).alias("location_name"))
+    names = codes.distinct()
+    order = Window.orderBy(*pivots.site_order_key())
+    return names.select("location_name", site_segment().alias("segment_number"),
+                        site_point().alias("point_number"), F.row_number().over(order).alias("position"))
+
+
+def q_pilot_point_count_long(spark, sf_dir):
+    return chk.point_count_long(chk.point_rows(_pilot_tables(spark, sf_dir)), chk.PILOT_POINT_KEYS)
+
+
+def q_strata_check_by_group(spark, sf_dir):
+    return grp.strata_check_by_group(_tables(spark, sf_dir))
+
+
+def q_chart_series_region(spark, sf_dir):
+    """the series of one region."""
+    series = charts.chart_series(cov.abs_cover_by_stratum(_tables(spark, sf_dir)), region="AMERICA")
+    return _round(series, "abs_cover")
+
+
 def q_pilot_point_sum_long(spark, sf_dir):
     """A4 as the Pilot generation keys it: no region or segment (its
     locations carry neither), read through the location adapter (S4)."""
@@ -152,12 +227,12 @@ def _round_wide(df: DataFrame, keys) -> DataFrame:
 
 
 def q_abs_cover_wide(spark, sf_dir):
-    wide = cov.abs_cover_wide(cov.point_cover_rows(_tables(spark, sf_dir)))
+    wide = cov.abs_cover_wide(cov.point_cover_rows(_tables(spark, sf_dir)), LOCATION_NAMES)
     return _round_wide(wide, cov.SPECIES_KEYS)
 
 
 def q_abs_cover_site_order(spark, sf_dir):
-    wide = cov.abs_cover_wide(cov.point_cover_rows(_tables(spark, sf_dir)), order="site")
+    wide = cov.abs_cover_wide(cov.point_cover_rows(_tables(spark, sf_dir)), LOCATION_NAMES, order="site")
     return _round_wide(wide, cov.SPECIES_KEYS)
 
 
@@ -262,6 +337,13 @@ def _survey_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stratum_with_region": q_stratum_with_region,
         "region_list": q_region_list,
         "chart_series": q_chart_series,
+        "chart_series_region": q_chart_series_region,
+        "site_order": q_site_order,
+        "normalised_markers": q_normalised_markers,
+        "strata_check_by_group": q_strata_check_by_group,
+        "relcover_fractional": q_relcover_fractional,
+        "relcover_fractional_wide": q_relcover_fractional_wide,
+        "pilot_point_count_long": q_pilot_point_count_long,
         "segment_sort_key": q_segment_sort_key,
         "distance_rows": q_distance_rows,
         "distance_summary": q_distance_summary,
@@ -286,7 +368,10 @@ select c_mktsegment as event_group_id,
   case when c_mktsegment in ('AUTOMOBILE','BUILDING') then 'Segment ' else 'Index ' end
     || c_mktsegment as event_group_name,
   min(make_date(cast(2009 + c_custkey % 17 as int), cast(1 + c_custkey % 12 as int),
-                cast(1 + c_custkey % 28 as int))) as start_date
+                cast(1 + c_custkey % 28 as int))) as start_date,
+  max(make_date(cast(2009 + c_custkey % 17 as int), cast(1 + c_custkey % 12 as int),
+                cast(1 + c_custkey % 28 as int))) as end_date,
+  'Assessment ' || substr(c_mktsegment, 1, 1) as assessment
 from customer group by c_mktsegment),
 fx_events AS (
 select c_custkey as event_id, c_mktsegment as event_group_id,
@@ -338,10 +423,11 @@ def _sql_number(expr: str) -> str:
 
 
 def _sql_side(side: str) -> str:
-    return (f"{side}side_cover_overall * ((case vegetationtype "
+    value = (f"{side}side_cover_overall * ((case vegetationtype "
             f"when 'Tree' then {side}side_cover_tree when 'Shrub' then {side}side_cover_shrub "
             f"when 'Herb' then {side}side_cover_herb when 'Overall' then {side}side_cover_overall "
             f"end) / 100.0) * (percentcover / 100.0)")
+    return f"(case when not isnan({value}) then {value} end)"
 
 
 def _sql_abs_rows(where_extra: str = "") -> str:
@@ -397,6 +483,7 @@ from fx_vegetation v join mk on v.point_id = mk.point_id)"""
 SQL_DR = """
 dr AS (
 select mk.event_group_id, g.event_group_name, g.start_date as group_start_date,
+  g.end_date as group_end_date, g.assessment,
   mk.event_type, mk.location_id, mk.region, mk.segment, mk.location_name,
   mk.point_id, mk.distance, mk.method
 from mk join fx_event_groups g on mk.event_group_id = g.event_group_id
@@ -428,12 +515,6 @@ def _sql_covers_and_abs(prefix: str = "") -> str:
     return ", ".join(cols)
 
 
-# The fixture's species codes and location names follow from its rules
-# (FIXTURES.md §2): 'SP00'..'SP11'; nation keys 0..24 as '01_1'..'07_1'.
-SPECIES = [f"SP{i:02d}" for i in range(12)]
-LOCATION_NAMES = [f"{k // 4 + 1:02d}_{k % 4 + 1}" for k in range(25)]
-
-
 def _wide_cells(column: str, values: list[str], value: str, agg: str, digits: int | None = None) -> str:
     cells = []
     for v in values:
@@ -441,7 +522,7 @@ def _wide_cells(column: str, values: list[str], value: str, agg: str, digits: in
         if agg == "sum":
             cell = f"coalesce(sum(case when {column} = '{v}' then {value} end), 0.0)"
         else:
-            cell = f"count(case when {column} = '{v}' then {value} end)"
+            cell = f"count(case when {column} = '{v}' then percentcover_raw end)"
         if digits is not None:
             cell = f"round({cell}, {digits})"
         cells.append(f'case when {present} then {cell} end as "{v}"')
@@ -450,7 +531,7 @@ def _wide_cells(column: str, values: list[str], value: str, agg: str, digits: in
 
 def _sql_point_long(agg: str, keys: str = POINT_KEYS_SQL) -> str:
     out = "n_percentcover" if agg == "count" else "sum_percentcover"
-    cell = "count(percentcover)" if agg == "count" else "coalesce(sum(percentcover), 0.0)"
+    cell = "count(percentcover_raw)" if agg == "count" else "coalesce(sum(percentcover), 0.0)"
     keys = keys + ", speciescode"
     return _with(SQL_MK, SQL_PR) + f"""
 select {keys}, {cell} as {out}
@@ -479,6 +560,27 @@ from pr where {_not_null(keys + ', speciescode')}
 group by {keys}"""
 
 
+def _sql_fractional() -> str:
+    """Exact totals per species, then added as doubles in species order."""
+    keys = POINT_KEYS_SQL
+    return _with(SQL_MK) + f""",
+fr AS (
+select region, segment, location_name, event_type,
+  case when l_returnflag = 'A' then 'Mangrove' else 'Marsh' end as communitytype,
+  case when l_linenumber <= 3 then 'Tree' else 'Herb' end as vegetationtype,
+  'SP' || lpad(cast(l_partkey % 12 as varchar), 2, '0') as speciescode,
+  (l_partkey * 7 + l_linenumber * 131) % 1000 as tenths
+from lineitem join mk on l_orderkey = mk.point_id),
+sp AS (
+select {keys}, speciescode, cast(cast(sum(tenths) as decimal(30, 1)) / 10 as double) as total
+from fr where {_not_null(keys)} group by {keys}, speciescode),
+folded AS (
+select {keys}, list_reduce(list_prepend(cast(0 as double), list(total order by speciescode)),
+                           lambda a, b: a + b) as sum_relcover
+from sp group by {keys})
+select *, sum_relcover = 100.0 as relcover_is_100 from folded"""
+
+
 SQL_GROUP_ROWS = """
 gpr AS (
 select pr.* replace (case when contains(g.event_group_name, 'Segment') then pr.segment end as segment)
@@ -635,7 +737,7 @@ from mk""",
         "pilot_relcover_check": _sql_relcover(PILOT_POINT_KEYS_SQL),
         "point_sum_by_group": _sql_group("coalesce(sum(percentcover), 0.0) as sum_percentcover",
                                          GROUP_KEYS_SQL + ", speciescode"),
-        "point_count_by_group": _sql_group("count(percentcover) as n_percentcover",
+        "point_count_by_group": _sql_group("count(percentcover_raw) as n_percentcover",
                                            GROUP_KEYS_SQL + ", speciescode"),
         "relcover_by_group": _sql_group(
             "coalesce(sum(percentcover), 0.0) as sum_relcover, "
@@ -671,6 +773,30 @@ select region, min(location_name) as first_location_name,
     as region_order
 from st group by region""",
         "chart_series": _sql_chart_series(),
+        "chart_series_region": f"select * from ({_sql_chart_series()}) where region = 'AMERICA'",
+        "site_order": """
+select distinct location_name, segment_number, point_number,
+  dense_rank() over (order by segment_number, point_number) as position
+from (select cast(c_custkey % 15 + 1 as varchar) || '_' || cast(c_custkey // 15 % 4 + 1 as varchar) as location_name,
+  cast(c_custkey % 15 + 1 as int) as segment_number, cast(c_custkey // 15 % 4 + 1 as int) as point_number
+from customer)""",
+        "normalised_markers": """
+select 'AB-' || o_orderkey as point_id, 'EV-' || o_custkey as event_id,
+  case when o_orderkey % 5 <> 0 then cast(o_orderkey % 77 as double) / 4 end as distance,
+  case when o_orderkey % 2 = 0 then 'GPS' else 'Tape' end as method,
+  cast(null as double) as mangroveside_cover_overall,
+  case when o_orderkey % 3 = 1 then cast(o_orderkey % 90 as double) + 0.5 end as mangroveside_cover_tree,
+  cast(null as double) as mangroveside_cover_shrub, cast(null as double) as mangroveside_cover_herb,
+  cast(null as double) as marshside_cover_overall, cast(null as double) as marshside_cover_tree,
+  cast(null as double) as marshside_cover_shrub, cast(o_orderkey % 100 as double) as marshside_cover_herb
+from orders""",
+        "strata_check_by_group": _with(SQL_MK) + f"""
+select mk.event_group_id, point_id, region, segment, location_name, event_type, {STRATA_SQL},
+  {_sql_sums()}
+from mk join fx_event_groups g on mk.event_group_id = g.event_group_id""",
+        "relcover_fractional": _sql_fractional(),
+        "relcover_fractional_wide": _sql_fractional(),
+        "pilot_point_count_long": _sql_point_long("count", PILOT_POINT_KEYS_SQL),
         "segment_sort_key": _with(SQL_MK, SQL_DR) + """
 select distinct segment, try_cast(regexp_extract(segment, '([0-9]+)', 1) as bigint) as segment_number
 from dr""",

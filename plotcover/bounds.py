@@ -8,6 +8,8 @@ frame of one campaign go through here.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,12 @@ from pyspark.sql import functions as F
 # with its visit), 100,000 rows are some 25 MB in each executor.
 BROADCAST_MAX_ROWS = 100_000
 
-_bounded: dict[tuple[int, int], bool] = {}
+_bounded: dict[tuple[int, str, int], bool] = {}
+
+# Logical operators that need a shuffle (a join does unless a side is hinted):
+# a ``take`` on such a plan would run it while the query is still being built.
+SHUFFLING = re.compile(r"^[\s:+-]*(Aggregate|Window|Sort|Distinct|Repartition|Intersect|Except"
+                       r"|Join(?!.*strategy=broadcast))", re.MULTILINE)
 
 
 def forget_bounds() -> None:
@@ -35,14 +42,20 @@ def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:
     called by the table readers and by each refresh micro-batch), so a table
     that grows between loads is counted again."""
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    key = (df.semanticHash(), max_rows)
+    key = (id(df.sparkSession), df._jdf.queryExecution().analyzed().canonicalized().toString(), max_rows)
     if key not in _bounded:
         _bounded[key] = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
     return _bounded[key]
 
 
+def is_map_only(df: DataFrame) -> bool:
+    """Whether the plan behind ``df`` needs no shuffle."""
+    return not SHUFFLING.search(df._jdf.queryExecution().optimizedPlan().toString())
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint on ``df`` if it has at most ``max_rows`` rows; a large
-    table is left to the planner.  It decides only the join strategy, never
-    the result."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+    table, or one whose own plan shuffles, is left to the planner.  It decides
+    only the join strategy; the totals that are compared with 100 do not depend
+    on it (``functions.cover.exact_sum``)."""
+    return F.broadcast(df) if is_map_only(df) and is_bounded(df, max_rows) else df

@@ -60,7 +60,7 @@ def to_number(col: Column | str, source_type: T.DataType | None = None) -> Colum
 def _to_number(c: Column, source_type: T.DataType | None) -> Column:
     if source_type is not None and isinstance(source_type, T.NumericType):
         value = c.cast("double")
-        return F.when(~F.isnan(value), value)
+        return no_nan(value)
     text = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
     value = text.try_cast("double")
     finite = F.abs(value) != F.lit(float("inf"))
@@ -70,32 +70,33 @@ def _to_number(c: Column, source_type: T.DataType | None) -> Column:
     )
 
 
-# Exact summation type for the "adds up to 100" checks (D7): covers have at
-# most six decimals, so a decimal sum is exact and independent of the order
-# Spark happens to add the terms in.
-EXACT_DECIMAL = "decimal(18,6)"
+# A double is summed as the decimal it is written as, so a total does not
+# depend on the order in which rows arrive (D7).  Values beyond the range of
+# the decimal (infinities above all) are summed as doubles beside it.
+EXACT_DECIMAL = "decimal(38,15)"
+EXACT_LIMIT = 1e18
 
 
-def row_sum(*cols: Column | str, exact_decimal: bool = False) -> Column:
-    """Row-wise total that skips missing terms; all missing gives 0.0.
-    ``exact_decimal`` adds the terms as decimals and returns the exact total
-    as a double."""
-    kind = EXACT_DECIMAL if exact_decimal else "double"
-    zero = F.lit(0).cast(kind)
-    terms = [F.coalesce(_c(c).cast(kind), zero) for c in cols]
+def row_sum(*cols: Column | str) -> Column:
+    """Row-wise total, terms added in the order given, that skips missing
+    terms; all missing gives 0.0 (N1)."""
+    terms = [F.coalesce(_c(c), F.lit(0.0)) for c in cols]
     total = terms[0]
     for term in terms[1:]:
         total = total + term
-    return total.cast("double") if exact_decimal else total
+    return total
 
 
-def exact_sum(col: Column | str, exact_decimal: bool = False) -> Column:
-    """Aggregate sum for the checks: 0.0 when every value is missing (N4);
-    with ``exact_decimal`` summed as decimals, so the total does not depend on
-    the order of addition (D7)."""
-    if exact_decimal:
-        return F.coalesce(F.sum(_c(col).cast(EXACT_DECIMAL)), F.lit(0).cast(EXACT_DECIMAL)).cast("double")
-    return F.coalesce(F.sum(_c(col)), F.lit(0.0))
+def exact_sum(col: Column | str) -> Column:
+    """Aggregate sum that is the same for any order of the rows: 0.0 when
+    every value is missing (N4); missing (not NaN) when infinities of both
+    signs meet."""
+    value = _c(col)
+    inside = F.abs(value) < F.lit(EXACT_LIMIT)
+    exact = F.sum(F.when(inside, value.try_cast(EXACT_DECIMAL)))
+    beyond = F.sum(F.when(~inside, value))
+    total = F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(beyond, F.lit(0.0))
+    return F.nanvl(total, F.lit(None).cast("double"))
 
 
 def equals_exactly(col: Column | str, value: float) -> Column:
@@ -141,11 +142,16 @@ def _absolute_cover(community: Column, vegetation: Column, percent: Column) -> C
         value = overall * (specific / F.lit(100.0)) * (percent / F.lit(100.0))
         cond = community == F.lit(COMMUNITY_LABELS[side])
         result = F.when(cond, value) if result is None else result.when(cond, value)
-    return result
+    return no_nan(result)
+
+
+def no_nan(value: Column) -> Column:
+    """Missing is NULL, never NaN (an infinity times 0 gives one)."""
+    return F.when(~F.isnan(value), value)
 
 
 def stratum_absolute_cover(side: str, stratum: str) -> Column:
     """overall x (layer / 100) for one side and layer (op E4); NULL if
     either is NULL."""
     overall = F.col(cover_col(side, "overall"))
-    return overall * (F.col(cover_col(side, stratum)) / F.lit(100.0))
+    return no_nan(overall * (F.col(cover_col(side, stratum)) / F.lit(100.0)))

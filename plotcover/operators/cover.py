@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from plotcover.functions.cover import absolute_cover, stratum_absolute_cover, to_number
 from plotcover.operators.frames import marker_frame, vegetation_frame
-from plotcover.operators.pivots import long_pivot, wide_pivot, pivot_values
+from plotcover.operators.pivots import long_pivot, wide_pivot
 from plotcover.schema import COVER_COLS, MARKER_VISIT, SIDES, STRATA, abs_cover_col, cover_col
-from plotcover.sources.sinks import materialize
 from plotcover.sources.tables import SurveyTables
 
 SPECIES_KEYS = ["communitytype", "vegetationtype", "speciescode"]
@@ -57,18 +56,13 @@ def abs_cover_long(rows: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame
                       "sum", out="abs_cover")
 
 
-def abs_cover_wide(rows: DataFrame, extra_keys: Sequence[str] = (),
-                   order: str = "text", values: Sequence[str] | None = None,
-                   folder: str | None = None) -> DataFrame:
-    """SOP8-2 as the report shows it: species rows by location columns,
-    columns in text order (O5) or site order (O6).  Without ``values`` the
-    long form is written under ``folder`` first (see ``sinks.materialize``)."""
+def abs_cover_wide(rows: DataFrame, locations: Sequence[str], extra_keys: Sequence[str] = (),
+                   order: str = "text") -> DataFrame:
+    """SOP8-2 as the report shows it: species rows by location columns (the
+    names in ``locations``), in text order (O5) or site order (O6)."""
     keys = list(extra_keys) + SPECIES_KEYS
-    long_df = abs_cover_long(rows, extra_keys)
-    if values is None:
-        long_df = materialize(long_df, "abs_cover_long", folder)
-        values = pivot_values(long_df, "location_name", order)
-    return wide_pivot(long_df, keys, "location_name", "abs_cover", values, order)
+    return wide_pivot(abs_cover_long(rows, extra_keys), keys, "location_name", "abs_cover",
+                      locations, order)
 
 
 STRATUM_COLUMNS = (

@@ -20,7 +20,8 @@ from plotcover.operators.pivots import drop_missing_keys
 from plotcover.schema import MARKER_VISIT
 from plotcover.sources.tables import SurveyTables
 
-DISTANCE_COLUMNS = ["event_group_id", "event_group_name", "group_start_date", "event_type",
+DISTANCE_COLUMNS = ["event_group_id", "event_group_name", "group_start_date", "group_end_date",
+                    "assessment", "event_type",
                     "location_id", "region", "segment", "location_name", "point_id",
                     "distance", "method"]
 SUMMARY_KEYS = ["event_group_id", "region", "segment"]
@@ -37,6 +38,12 @@ def distance_rows(t: SurveyTables, event_type: str | None = MARKER_VISIT,
     return df
 
 
+def limit_names(confidence: float) -> tuple[str, str]:
+    """Names of the confidence limits: ``lower_ci_95`` at 0.95."""
+    percent = f"{100 * confidence:.6g}".replace(".", "_")
+    return f"lower_ci_{percent}", f"upper_ci_{percent}"
+
+
 def distance_summary(rows: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
                      confidence: float | None = 0.95, ordered: bool = True) -> DataFrame:
     """A1 (+ A2 when ``confidence`` is given).
@@ -60,10 +67,9 @@ def distance_summary(rows: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
         summary = with_t_critical(summary.withColumn("dof", F.col("rec_count") - 1),
                                   "dof", "t_crit", confidence)
         margin = F.col("t_crit") * F.col("standard_error")
-        summary = summary.withColumns({
-            "lower_ci_95": F.col("average_dist_m") - margin,
-            "upper_ci_95": F.col("average_dist_m") + margin,
-        }).drop("dof", "t_crit")
+        lower, upper = limit_names(confidence)
+        summary = summary.withColumns({lower: F.col("average_dist_m") - margin,
+                                       upper: F.col("average_dist_m") + margin}).drop("dof", "t_crit")
     if ordered:
         summary = summary.orderBy(segment_number("segment").asc_nulls_last(), *keys)
     return summary

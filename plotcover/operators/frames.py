@@ -19,7 +19,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotcover.bounds import broadcast_if_bounded, is_bounded
+from plotcover.bounds import is_bounded, is_map_only
 from plotcover.functions.text import site_point, site_segment
 from plotcover.schema import MARKER_VISIT
 from plotcover.sources.tables import SurveyTables
@@ -68,13 +68,18 @@ def filter_site_codes(df: DataFrame, codes: list[str] | None = None,
     return df.where(F.col(col).isin(codes if codes is not None else pilot_site_codes()))
 
 
-def join_keys(table: DataFrame, key: str) -> list[str]:
-    """Join key of a stored table (markers, species rows) with a frame built
-    on visits, which always carries ``event_group_id``: the group joins too
-    when the table has it, as it does in the group layout
-    (``sources.tables.write_tables``), where it is the partition column.
-    Only the stored table's schema is read, so no joined plan is analysed."""
-    return [key, "event_group_id"] if "event_group_id" in table.columns else [key]
+def join_stored(table: DataFrame, frame: DataFrame, key: str, by_group: bool) -> DataFrame:
+    """A stored table (markers, species rows) joined on ``key`` with a frame
+    built on visits, which always carries ``event_group_id``.  In the group
+    layout (``sources.tables.write_tables``) the table carries the group too,
+    as its partition column.  A report by group then joins on it as well and
+    reads only that group's folders; any other report leaves it out, so rows
+    of visits without a group stay.  Only schemas are read here."""
+    if "event_group_id" not in table.columns:
+        return table.join(frame, key)
+    if by_group:
+        return table.join(frame, [key, "event_group_id"])
+    return table.drop("event_group_id").join(frame, key)
 
 
 # A bound is proven by a ``take``, which is cheap only on a map-only plan: a
@@ -84,8 +89,8 @@ def join_keys(table: DataFrame, key: str) -> list[str]:
 # never a different result).
 
 
-def _bounded_broadcast(df: DataFrame) -> tuple[DataFrame, bool]:
-    small = is_bounded(df)
+def _bounded_broadcast(df: DataFrame, map_only: bool = False) -> tuple[DataFrame, bool]:
+    small = (map_only or is_map_only(df)) and is_bounded(df)
     return (F.broadcast(df) if small else df), small
 
 
@@ -101,7 +106,8 @@ def _visits(t: SurveyTables, event_type: str | None, event_group: str | None,
             raise ValueError("this report needs the event_groups table")
         groups = filter_event_group(t.event_groups, event_group).select(
             "event_group_id", "event_group_name",
-            F.col("start_date").alias("group_start_date"))
+            F.col("start_date").alias("group_start_date"),
+            F.col("end_date").alias("group_end_date"), "assessment")
         groups, small_groups = _bounded_broadcast(groups)
         out = out.join(groups, "event_group_id")
         narrow = narrow and small_groups
@@ -122,8 +128,9 @@ def marker_frame_with_bound(t: SurveyTables, event_type: str | None = None,
     into it broadcast), so that its own bound is cheap to prove."""
     visit_rows, narrow = _visits(t, event_type, event_group, with_group)
     if narrow:
-        visit_rows, narrow = _bounded_broadcast(visit_rows)
-    return t.markers.join(visit_rows, join_keys(t.markers, "event_id")), narrow
+        visit_rows, narrow = _bounded_broadcast(visit_rows, map_only=True)
+    by_group = with_group or event_group is not None
+    return join_stored(t.markers, visit_rows, "event_id", by_group), narrow
 
 
 def marker_frame(t: SurveyTables, event_type: str | None = None,
@@ -143,17 +150,20 @@ def vegetation_frame(t: SurveyTables, event_type: str | None = None,
     ``require_percent`` drops rows whose raw percent cover is missing
     (op F3), before any coercion.
 
-    Vegetation, the largest table, is shuffled on ``point_id`` to meet the
-    markers, unless a bounded count proves the marker frame small (one
-    campaign, a small survey): then markers are broadcast and vegetation is
-    joined where it is read, with no shuffle at all."""
+    Vegetation, the largest table, meets the markers on ``point_id``.  The
+    marker frame is never read to prove its size while the query is built: a
+    small one (one campaign, a small survey) is broadcast by Spark itself, from
+    its measured shuffle output."""
     veg = t.vegetation
     if require_percent:
         veg = veg.where(F.col("percentcover_raw").isNotNull())
-    markers, narrow = marker_frame_with_bound(t, event_type, event_group, with_group)
-    if narrow:
-        markers = broadcast_if_bounded(markers)
-    return veg.join(markers, join_keys(veg, "point_id"))
+    return species_join(veg, marker_frame(t, event_type, event_group, with_group),
+                        by_group=with_group or event_group is not None)
+
+
+def species_join(vegetation: DataFrame, markers: DataFrame, by_group: bool) -> DataFrame:
+    """Species rows with their marker (ops J2, J4)."""
+    return join_stored(vegetation, markers, "point_id", by_group)
 
 
 def locations_from_pilot(geo_locations: DataFrame) -> DataFrame:
@@ -174,7 +184,7 @@ def stratum_fanout_frame(t: SurveyTables, event_type: str | None = MARKER_VISIT)
     so each marker row repeats once per species row of its point, and the
     sites limited to the Pilot list (op F4)."""
     markers = filter_site_codes(marker_frame(t, event_type))
-    return markers.join(t.vegetation.select("point_id"), "point_id")
+    return species_join(t.vegetation.select("point_id"), markers, by_group=False)
 
 
 def with_lookup_region(rows: DataFrame, lookup: DataFrame, col: str = "location_name",

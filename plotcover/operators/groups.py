@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotcover.functions.text import contains_word, year_of
-from plotcover.operators.checks import POINT_KEYS, point_rows, relcover_check
+from plotcover.operators.checks import (POINT_KEYS, point_count_long, point_rows, point_sum_long,
+                                        relcover_check, strata_check)
+from plotcover.operators.frames import marker_frame
 from plotcover.operators.cover import abs_cover_long, point_cover_rows
-from plotcover.operators.pivots import long_pivot
 from plotcover.schema import SEGMENT_GROUP_WORD
 from plotcover.sources.tables import SurveyTables
 
@@ -47,16 +48,12 @@ def group_point_rows(t: SurveyTables) -> DataFrame:
 
 def point_sum_by_group(t: SurveyTables) -> DataFrame:
     """A4 for every group at once, Segment a key only where F10 says so."""
-    rows = group_point_rows(t)
-    return long_pivot(rows, GROUP_POINT_KEYS, "speciescode", "percentcover", "sum",
-                      out="sum_percentcover", nullable_keys=("segment",))
+    return point_sum_long(group_point_rows(t), GROUP_POINT_KEYS, nullable_keys=("segment",))
 
 
 def point_count_by_group(t: SurveyTables) -> DataFrame:
     """A3 for every group at once."""
-    rows = group_point_rows(t)
-    return long_pivot(rows, GROUP_POINT_KEYS, "speciescode", "percentcover", "count",
-                      out="n_percentcover", nullable_keys=("segment",))
+    return point_count_long(group_point_rows(t), GROUP_POINT_KEYS, nullable_keys=("segment",))
 
 
 def relcover_by_group(t: SurveyTables) -> DataFrame:
@@ -64,6 +61,12 @@ def relcover_by_group(t: SurveyTables) -> DataFrame:
     return relcover_check(group_point_rows(t), GROUP_POINT_KEYS, nullable_keys=("segment",))
 
 
+def strata_check_by_group(t: SurveyTables) -> DataFrame:
+    """E1 for every group at once; visits without a group leave."""
+    frame = marker_frame(t, event_type=None, with_group=True)
+    return strata_check(None, frame=frame, extra_cols=["event_group_id", "point_id"])
+
+
 def abs_cover_by_group(t: SurveyTables) -> DataFrame:
     """SOP8-2 long form for every group at once (A6 + A7)."""
     return abs_cover_long(point_cover_rows(t), extra_keys=["event_group_id"])

@@ -4,14 +4,10 @@
 The long form — one row per (keys, pivot value) that occurs — is the
 canonical, scalable result: one aggregation with map-side combine, so a hot
 key is pre-aggregated in every task before the shuffle.  The wide form pivots
-the already aggregated long form (one more small aggregate); its columns are
-data, so the distinct pivot values are read back with a hard bound, exactly
-what a wide table needs and never more.  The long form is written once to
-the shared checkpoint folder first (``sources.sinks.materialize``), so reading
-its values and pivoting it do not run the joins behind it again.  The wide
-DataFrame reads that copy, so it lives as long as the result is used; pass a
-``folder`` from ``sinks.scratch_folder`` and remove it with
-``sinks.remove_folder`` when done.
+the already aggregated long form (one more small aggregate) in the same lazy
+plan.  Its columns are an input: the caller supplies the pivot values (from
+the locations or species dimension), however many there are, and a value
+outside them fails the job rather than vanish.
 
 Rules: a row with a missing key or pivot value is left out (N3); a sum over
 only missing values is 0.0 (N4); a count over only missing values is 0 (N5);
@@ -26,16 +22,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plotcover.functions.cover import row_sum, equals_exactly
+from plotcover.functions.cover import equals_exactly, exact_sum, row_sum
 from plotcover.functions.text import site_point, site_segment
-from plotcover.sources.sinks import materialize
-
-MAX_PIVOT_VALUES = 10_000   # same bound as spark.sql.pivotMaxValues
 
 
 def _aggregate(agg: str, value: str) -> Column:
     if agg == "sum":
         return F.coalesce(F.sum(value), F.lit(0.0))
+    if agg == "exact_sum":
+        return exact_sum(value)
     if agg == "count":
         return F.count(value)
     raise ValueError(f"unsupported pivot aggregate {agg!r}")
@@ -62,38 +57,32 @@ def long_pivot(df: DataFrame, keys: Sequence[str], column: str, value: str,
     return drop_missing_keys(df, required).groupBy(*group).agg(_aggregate(agg, value).alias(out))
 
 
-def pivot_values(long_df: DataFrame, column: str, order: str = "text",
-                 max_values: int = MAX_PIVOT_VALUES) -> list:
-    """The distinct pivot values of an aggregated long form, in column order:
-    ``text`` sorts ascending (O5); ``site`` sorts site codes by segment then
-    point number (O6), other names after them in text order."""
-    distinct = long_df.select(column).distinct()
-    rows = distinct.limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError(f"more than {max_values} distinct values in {column!r}: "
-                         "use the long form")
-    values = [r[0] for r in rows]
-    if order == "site":
-        def key(v):
-            m = re.match(r"^\s*([0-9]+)[_-]([0-9]+)\s*$", str(v))
-            return (0, int(m.group(1)), int(m.group(2)), str(v)) if m else (1, 0, 0, str(v))
-        return sorted(values, key=key)
-    return sorted(values)
+def site_order(values: Sequence[str]) -> list[str]:
+    """Site codes by segment then point number (O6), other names after them
+    in text order."""
+    def key(v):
+        m = re.match(r"^\s*([0-9]+)[_-]([0-9]+)\s*$", str(v))
+        return (0, int(m.group(1)), int(m.group(2)), str(v)) if m else (1, 0, 0, str(v))
+    return sorted(values, key=key)
 
 
 def wide_pivot(long_df: DataFrame, keys: Sequence[str], column: str, measure: str,
-               values: Sequence | None = None, order: str = "text",
+               values: Sequence, order: str = "text",
                row_total: str | None = None, total_flag: str | None = None,
                total_target: float = 100.0) -> DataFrame:
-    """Pivot an aggregated long form to one column per pivot value.
-
-    ``row_total`` adds the row sum over the pivot cells, skipping NULL cells
-    (N1); ``total_flag`` adds whether that total equals ``total_target``
-    exactly (A5, D7).  Rows are sorted by the keys (O5)."""
-    if values is None:
-        values = pivot_values(long_df, column, order)
-    wide = long_df.groupBy(*keys).pivot(column, list(values)).agg(F.first(measure))
-    names = [str(v) for v in values]
+    """Pivot an aggregated long form to one column per value in ``values``,
+    in text order (O5) or site order (O6).
+
+    ``row_total`` adds the row sum over the pivot cells in column order,
+    skipping NULL cells (N1); ``total_flag`` adds whether that total equals
+    ``total_target`` exactly (A5, D7).  Rows are sorted by the keys (O5).
+    A value outside ``values`` fails the job: the wide schema would lose it."""
+    names = site_order(values) if order == "site" else sorted(values)
+    known = F.col(column).isin(list(names)) if names else F.lit(False)
+    checked = F.when(known, F.col(column)).otherwise(F.raise_error(
+        F.concat(F.lit(f"{column} outside the wide table's columns: "), F.col(column).cast("string"))))
+    wide = (long_df.withColumn(column, checked.cast(long_df.schema[column].dataType))
+            .groupBy(*keys).pivot(column, list(names)).agg(F.first(measure)))
     if row_total:
         wide = wide.withColumn(row_total, row_sum(*[F.col(f"`{n}`") for n in names])
                                if names else F.lit(0.0))
@@ -103,16 +92,24 @@ def wide_pivot(long_df: DataFrame, keys: Sequence[str], column: str, measure: st
 
 
 def pandas_pivot(df: DataFrame, keys: Sequence[str], column: str, value: str,
-                 agg: str = "sum", values: Sequence | None = None, order: str = "text",
-                 extra_keys: Sequence[str] = (), folder: str | None = None) -> DataFrame:
+                 values: Sequence, agg: str = "sum", order: str = "text",
+                 extra_keys: Sequence[str] = ()) -> DataFrame:
     """Wide pivot of raw rows in one call: long aggregate, then pivot.
     ``extra_keys`` (event group, date...) lead the row keys (A7, D4)."""
     all_keys = list(extra_keys) + list(keys)
     measure = f"{agg}_{value}"
-    long_df = long_pivot(df, all_keys, column, value, agg, out=measure)
-    if values is None:
-        long_df = materialize(long_df, "pivot_long", folder)
-    return wide_pivot(long_df, all_keys, column, measure, values, order)
+    return wide_pivot(long_pivot(df, all_keys, column, value, agg, out=measure),
+                      all_keys, column, measure, values, order)
+
+
+def ordered_total(long_df: DataFrame, keys: Sequence[str], column: str, measure: str,
+                  out: str) -> DataFrame:
+    """One row per keys: the measures of an aggregated long form added in the
+    order of ``column``, as the wide form adds its columns.  What is gathered
+    per key is one number per occurring value of the column."""
+    cells = F.array_sort(F.collect_list(F.struct(F.col(column).alias("at"), F.col(measure).alias("cell"))))
+    total = F.aggregate("cells", F.lit(0.0), lambda held, c: held + F.coalesce(c["cell"], F.lit(0.0)))
+    return long_df.groupBy(*keys).agg(cells.alias("cells")).select(*keys, total.alias(out))
 
 
 def site_order_key(col: str = "location_name") -> list[Column]:

@@ -24,18 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotcover.functions.cover import to_number
+from plotcover.bounds import broadcast_if_bounded
 from plotcover.operators import charts
 from plotcover.operators.checks import (PILOT_POINT_KEYS, POINT_KEYS, STRATA_CHECK_COLUMNS,
+                                        point_count_long, point_sum_long, relcover_check,
                                         strata_check)
 from plotcover.operators.cover import (POINT_COVER_COLUMNS, STRATUM_COLUMNS, abs_cover_by_stratum,
                                        abs_cover_long)
-from plotcover.operators.distance import DISTANCE_COLUMNS, distance_summary
-from plotcover.bounds import broadcast_if_bounded
-from plotcover.operators.frames import (filter_site_codes, join_keys, marker_frame_with_bound,
+from plotcover.operators.distance import DISTANCE_COLUMNS, distance_rows, distance_summary
+from plotcover.operators.frames import (filter_site_codes, marker_frame_with_bound, species_join,
                                        with_lookup_region)
-from plotcover.operators.checks import relcover_check
-from plotcover.operators.groups import GROUP_POINT_KEYS, conditional_segment
-from plotcover.operators.pivots import long_pivot
+from plotcover.operators.groups import GROUP_POINT_KEYS, conditional_segment, event_group_list
 from plotcover.schema import MARKER_VISIT, STRATUM_COLS
 from plotcover.sources import sinks
 from plotcover.sources.lookup import site_region_lookup
@@ -64,18 +63,11 @@ def shared_frames(t: SurveyTables, materialize: bool = True, folder: str | None
     table) is written once under ``folder``.  The marker frame is written
     first only when its own join shuffles (visits too many to broadcast), and
     the species frame is then built on the written copy; with broadcast
-    visits it is a map-only plan, as cheap to recompute as to re-read.  A
-    marker frame under the broadcast bound (a refresh of a few groups, a small
-    source) is broadcast to vegetation, which is then not shuffled."""
+    visits it is a map-only plan, as cheap to recompute as to re-read."""
     markers, small_visits = marker_frame_with_bound(t, None, None, with_group)
     if materialize and not small_visits:
         markers = sinks.materialize(markers, "marker_frame", folder)
-    # a map-only or written marker frame is cheap to bound
-    if small_visits or materialize:
-        species = t.vegetation.join(broadcast_if_bounded(markers),
-                                    join_keys(t.vegetation, "point_id"))
-    else:
-        species = t.vegetation.join(markers, join_keys(t.vegetation, "point_id"))
+    species = species_join(t.vegetation, markers, by_group=with_group)
     if materialize:
         # only the columns the species reports read: the largest write of
         # the run, and every report re-reads it
@@ -102,17 +94,40 @@ def build_report(t: SurveyTables, confidence: float = 0.95,
     ).select(*POINT_COVER_COLUMNS)
     visits = markers.where(F.col("event_type") == F.lit(MARKER_VISIT))
     if by_group:
-        return _group_report(species, markers, sop82_rows, visits, confidence)
-    return _source_report(species, markers, sop82_rows, visits, generation == "pilot")
+        results = _group_report(species, markers, sop82_rows, visits, confidence)
+        groups = event_group_list(t)
+        named = {name: label_groups(df, groups) for name, df in results.items()}
+        return {sinks.SHEET_EVENT_GROUPS: groups} | named
+    results = _source_report(species, markers, sop82_rows, visits, generation == "pilot")
+    if generation == "protocol" and t.event_groups is not None:
+        results[sinks.SHEET_DISTANCE] = distance_summary(distance_rows(t), confidence=confidence,
+                                                         ordered=False)
+    return results
+
+
+def label_groups(df: DataFrame, groups: DataFrame) -> DataFrame:
+    """Each row with its group's name and year, as the report of a group is
+    headed."""
+    names = [c for c in groups.columns if c != "event_group_id" and c not in df.columns]
+    return df.join(broadcast_if_bounded(groups.select("event_group_id", *names)), "event_group_id", "left")
+
+
+def with_total(rows: DataFrame, keys: list[str], nullable_keys: tuple[str, ...] = ()) -> DataFrame:
+    """The species sums with the row total and flag of the sheet they stand
+    in: ``sum_relcover`` and ``relcover_is_100`` repeat on each row of a key."""
+    sums = point_sum_long(rows, keys, nullable_keys)
+    totals = relcover_check(rows, keys, nullable_keys)
+    named = totals.select(*[F.col(k).alias(f"total_{k}") for k in keys], "sum_relcover", "relcover_is_100")
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"total_{k}"))
+    return sums.join(named, match).drop(*[f"total_{k}" for k in keys])
 
 
 def _group_report(species, markers, sop82_rows, visits, confidence) -> dict[str, DataFrame]:
     checks = conditional_segment(species)
-    count = long_pivot(checks, GROUP_POINT_KEYS, "speciescode", "percentcover", "count",
-                       out="n_percentcover", nullable_keys=("segment",))
-    total = long_pivot(checks, GROUP_POINT_KEYS, "speciescode", "percentcover", "sum",
-                       out="sum_percentcover", nullable_keys=("segment",))
-    relcover = relcover_check(checks, GROUP_POINT_KEYS, nullable_keys=("segment",))
+    count = point_count_long(checks, GROUP_POINT_KEYS, nullable_keys=("segment",))
+    total = with_total(checks, GROUP_POINT_KEYS, nullable_keys=("segment",))
     abs_cover = abs_cover_long(sop82_rows, extra_keys=["event_group_id"])
     stratum = abs_cover_by_stratum(None, frame=visits)
     distance = distance_summary(visits.select(*DISTANCE_COLUMNS), confidence=confidence,
@@ -122,7 +137,6 @@ def _group_report(species, markers, sop82_rows, visits, confidence) -> dict[str,
             None, frame=markers, extra_cols=["event_group_id", "point_id"]),
         sinks.SHEET_POINT_COUNT: count,
         sinks.SHEET_POINT_SUM: total,
-        "QAQC_RelCoverByPoint_Total": relcover,
         sinks.SHEET_ABS_COVER: abs_cover,
         sinks.SHEET_STRATUM: stratum,
         "SOP8-3-ChartSeries": charts.chart_series(stratum),
@@ -132,9 +146,9 @@ def _group_report(species, markers, sop82_rows, visits, confidence) -> dict[str,
 
 
 def _source_report(species, markers, sop82_rows, visits, pilot: bool) -> dict[str, DataFrame]:
-    """Protocol and Pilot: the four reports once over the whole source.
-    Without a group table there is no distance summary (its query joins the
-    groups, J5)."""
+    """Protocol and Pilot: the reports once over the whole source.  The
+    distance summary joins the groups (J5), so it is added for a source that
+    has them."""
     keys = PILOT_POINT_KEYS if pilot else POINT_KEYS
     stratum_ids = [c for c in STRATUM_COLUMNS if c != "event_group_id"]
     if pilot:
@@ -149,11 +163,8 @@ def _source_report(species, markers, sop82_rows, visits, pilot: bool) -> dict[st
     return {
         sinks.SHEET_STRATA_CHECK: strata_check(None, frame=markers, extra_cols=["point_id"],
                                                columns=check_cols),
-        sinks.SHEET_POINT_COUNT: long_pivot(species, keys, "speciescode", "percentcover",
-                                            "count", out="n_percentcover"),
-        sinks.SHEET_POINT_SUM: long_pivot(species, keys, "speciescode", "percentcover",
-                                          "sum", out="sum_percentcover"),
-        "QAQC_RelCoverByPoint_Total": relcover_check(species, keys),
+        sinks.SHEET_POINT_COUNT: point_count_long(species, keys),
+        sinks.SHEET_POINT_SUM: with_total(species, keys),
         sinks.SHEET_ABS_COVER: abs_cover_long(sop82_rows),
         sinks.SHEET_STRATUM: stratum,
         # the figure draws the fixed regions only
@@ -182,8 +193,10 @@ PARALLEL_WRITES = 4
 
 def write_report(t: SurveyTables, out_dir: str, confidence: float = 0.95,
                  materialize: bool = True, generation: str = "merged",
-                 parallel_writes: int = PARALLEL_WRITES) -> dict[str, str]:
-    """Build and write every result; returns name -> path.  The shared
+                 parallel_writes: int = PARALLEL_WRITES,
+                 only_present: bool = False) -> dict[str, str]:
+    """Build and write every result; returns name -> path.  ``only_present``
+    replaces only the folders of the groups in ``t`` (a refresh).  The shared
     frames are written to a scratch folder under the checkpoint folder and
     removed once every result is written (or the job fails): they are as
     large as the species table and no result reads them afterwards."""
@@ -197,7 +210,7 @@ def write_report(t: SurveyTables, out_dir: str, confidence: float = 0.95,
             sort_keys = SORT_WITHIN.get(name, ())
             if not sort_keys:
                 sort_keys = tuple(c for c in df.columns if c != "event_group_id")[:3]
-            return sinks.write_result(df, out_dir, name, sort_within=sort_keys)
+            return sinks.write_result(df, out_dir, name, sort_within=sort_keys, only_present=only_present)
 
         with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
             futures = {name: pool.submit(write, name) for name in results}

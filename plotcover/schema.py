@@ -35,7 +35,8 @@ def abs_cover_col(side: str, stratum: str) -> str:
 
 OVERALL_COLS = [cover_col(s, "overall") for s in SIDES]
 STRATUM_COLS = [cover_col(s, st) for s in SIDES for st in STRATA]
-# The nine columns coerced to numbers before absolute cover is computed.
+# The eight cover columns; with the percent cover they are the nine that are
+# coerced to numbers before absolute cover is computed.
 COVER_COLS = [
     cover_col(s, st) for s in SIDES for st in ("overall",) + STRATA
 ]
@@ -51,6 +52,8 @@ EVENT_GROUPS = T.StructType([
     T.StructField("event_group_id", T.StringType()),
     T.StructField("event_group_name", T.StringType()),
     T.StructField("start_date", T.DateType()),
+    T.StructField("end_date", T.DateType()),
+    T.StructField("assessment", T.StringType()),
 ])
 
 EVENTS = T.StructType([

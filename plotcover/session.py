@@ -36,16 +36,21 @@ DEFAULT_CONF = {
 def build_session(
     master: str = "local[*]",
     app_name: str = "plotcover",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
+    # without a given width, a local session takes its cores; a cluster keeps
+    # its own setting until apply_partition_conf sizes it from the input
     spark = builder.getOrCreate()
+    if shuffle_partitions is None and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

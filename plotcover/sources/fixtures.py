@@ -94,8 +94,10 @@ def fixture_event_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = F.when(gid.isin(*SEGMENT_GROUP_MARKETS), F.lit("Segment ")).otherwise(F.lit("Index "))
     return (
         customer.groupBy(F.col("c_mktsegment").alias("event_group_id"))
-        .agg(F.min(_visit_date(F.col("c_custkey"))).alias("start_date"))
-        .select(gid, F.concat(prefix, gid).alias("event_group_name"), F.col("start_date"))
+        .agg(F.min(_visit_date(F.col("c_custkey"))).alias("start_date"),
+             F.max(_visit_date(F.col("c_custkey"))).alias("end_date"))
+        .select(gid, F.concat(prefix, gid).alias("event_group_name"), "start_date", "end_date",
+                F.concat(F.lit("Assessment "), F.substring(gid, 1, 1)).alias("assessment"))
     )
 
 

@@ -3,8 +3,8 @@
 The reference writes one workbook per event group with one sheet per
 result.  Here each result is one dataset named after its sheet, written for
 all event groups in one job and partitioned by ``event_group_id`` (not by the
-group's name, which need not be unique, D16).  Writes are idempotent: a
-re-run replaces only the partitions it produces.
+group's name, which need not be unique, D16).  Writes are idempotent: a full
+run replaces the dataset, a refresh the folders of the groups it covers.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plotcover.session import ensure_checkpoint_dir
 
 # The sheet names of the report, used as dataset names.
+SHEET_EVENT_GROUPS = "EventGroups"
 SHEET_STRATA_CHECK = "QAQC_RelCovByStrata"
 SHEET_POINT_COUNT = "QAQC_RelCoverByPoint_Count"
 SHEET_POINT_SUM = "QAQC_RelCoverByPoint_Sum"
@@ -27,17 +28,23 @@ SHEET_DISTANCE = "SOP8-1"
 
 def write_result(df: DataFrame, out_dir: str, name: str,
                  partition_by: Sequence[str] = ("event_group_id",),
-                 sort_within: Sequence[str] = (), fmt: str = "parquet") -> str:
+                 sort_within: Sequence[str] = (), fmt: str = "parquet",
+                 only_present: bool = False) -> str:
     """Write one result dataset under ``out_dir/name``.
 
-    Rows are not moved between tasks to write them: each task writes its own
-    rows into the group folders it has (a hot group is spread over as many
-    files as tasks hold it), sorted within the file by ``sort_within``."""
+    Rows are rebalanced by group first, so a group is a few files however many
+    tasks made it, and Spark splits a large one; they are sorted within a file
+    by ``sort_within``.  A full run replaces the whole dataset; with
+    ``only_present`` (a refresh of some groups) only the folders of the groups
+    in ``df`` are replaced."""
     path = f"{out_dir.rstrip('/')}/{name}"
     parts = [c for c in partition_by if c in df.columns]
+    if parts:
+        df = df.hint("rebalance", *parts)
     if sort_within:
         df = df.sortWithinPartitions(*parts, *sort_within)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic" if only_present else "static")
     if parts:
         writer = writer.partitionBy(*parts)
     writer.format(fmt).save(path)
@@ -45,7 +52,8 @@ def write_result(df: DataFrame, out_dir: str, name: str,
 
 
 def read_result(spark: SparkSession, out_dir: str, name: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(f"{out_dir.rstrip('/')}/{name}")
+    from plotcover.sources.tables import read_as_stored
+    return read_as_stored(spark, f"{out_dir.rstrip('/')}/{name}", fmt)
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plotcover.bounds import forget_bounds
+from plotcover.functions.cover import no_nan, to_number
 from plotcover.functions.text import normalise_id
 from plotcover.schema import SCHEMAS
 
@@ -50,8 +51,10 @@ class SurveyTables:
 
 
 def normalise_table(df: DataFrame, name: str, normalise_ids: bool = True) -> DataFrame:
-    """Lower-case and rename columns, then cast each known column to its
-    schema type; unknown columns pass through, missing ones become NULL."""
+    """Lower-case and rename columns, then bring each known column to its
+    schema type; unknown columns pass through, missing ones become NULL.
+    Reading forgives: text that is not a number or a date is missing, and so
+    is NaN (op E3)."""
     renamed = []
     for col in df.columns:
         target = SOURCE_RENAMES.get(col.lower(), col.lower())
@@ -64,12 +67,16 @@ def normalise_table(df: DataFrame, name: str, normalise_ids: bool = True) -> Dat
             out.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
         col = F.col(field.name)
-        if normalise_ids and field.name in ID_COLUMNS and isinstance(present[field.name], T.StringType):
+        kind = present[field.name]
+        if normalise_ids and field.name in ID_COLUMNS and isinstance(kind, T.StringType):
             col = normalise_id(col)
-        elif isinstance(field.dataType, T.DateType) and not isinstance(present[field.name], T.DateType):
-            col = F.to_date(col)
+        elif isinstance(field.dataType, T.DateType) and not isinstance(kind, T.DateType):
+            col = F.try_to_timestamp(col).cast("date") if isinstance(kind, T.StringType) else F.to_date(col)
         elif field.name == "percentcover_raw":
-            col = col  # kept as read: the coercion (op E3) needs the raw value
+            # kept as read: the coercion (op E3) needs the raw value; only NaN is missing
+            col = no_nan(col) if isinstance(kind, (T.DoubleType, T.FloatType)) else col
+        elif isinstance(field.dataType, T.DoubleType):
+            col = to_number(col, kind)
         elif present[field.name] != field.dataType and not (
             field.name in ID_COLUMNS and not isinstance(present[field.name], T.StringType)
         ):
@@ -79,28 +86,72 @@ def normalise_table(df: DataFrame, name: str, normalise_ids: bool = True) -> Dat
     return df.select(*out, *extra)
 
 
+def read_as_stored(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A stored table with its partition columns as the text in their folder
+    names: a group id '001' must not come back as the number 1."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.format(fmt).load(path)
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_parquet_tables(spark: SparkSession, paths: dict[str, str],
                         normalise_ids: bool = False) -> SurveyTables:
     """Read each table from its Parquet path: keys ``locations``, ``events``,
     ``markers``, ``vegetation`` and optionally ``event_groups``.  Ids are
     taken as stored unless ``normalise_ids`` (raw exports)."""
     forget_bounds()
-    frames = {name: normalise_table(spark.read.parquet(path), name, normalise_ids)
+    frames = {name: normalise_table(read_as_stored(spark, path), name, normalise_ids)
               for name, path in paths.items()}
     return SurveyTables(**frames)
 
 
+# Tables of points: too large to be read by one task.
+LARGE_TABLES = ("markers", "vegetation")
+
+
+def guid_predicates(column: str, parts: int = 16) -> list[str]:
+    """WHERE clauses that split a table by the leading hex digits of a GUID
+    column (braces or not, any case); the first also takes what is no GUID.
+    ``parts`` is a power of 16, so that each clause is a list of prefixes of
+    one length."""
+    digits, n = 0, 1
+    while n < parts:
+        digits, n = digits + 1, n * 16
+    if n != parts or parts < 16:
+        raise ValueError("the number of parts must be a power of 16")
+    head = f"UPPER(SUBSTRING(REPLACE(REPLACE({column}, '{{', ''), '}}', ''), 1, {digits}))"
+    clauses = [f"{head} = '{i:0{digits}X}'" for i in range(parts)]
+    known = ", ".join(f"'{i:0{digits}X}'" for i in range(parts))
+    clauses[0] = f"({clauses[0]} OR {column} IS NULL OR {head} NOT IN ({known}))"
+    return clauses
+
+
 def read_jdbc_tables(spark: SparkSession, url: str, tables: dict[str, str],
                      properties: dict[str, str] | None = None,
-                     normalise_ids: bool = True) -> SurveyTables:
+                     normalise_ids: bool = True,
+                     splits: dict[str, list[str] | dict[str, str]] | None = None) -> SurveyTables:
     """Read each table over JDBC; ``tables`` maps our table names to the
-    source's (e.g. ``{'markers': 'tbl_MarkerData', ...}``).  For large
-    tables pass ``partitionColumn``/``lowerBound``/``upperBound``/
-    ``numPartitions`` in ``properties`` so the read is split across tasks."""
+    source's (e.g. ``{'markers': 'tbl_MarkerData', ...}``).  ``splits`` says
+    per table how the read is divided among tasks: a list of predicates (see
+    ``guid_predicates``), or options ``column``, ``lowerBound``, ``upperBound``
+    and ``numPartitions`` for a numeric key.  Markers and vegetation must be
+    split: read by one task, they would not fit it."""
+    splits = splits or {}
+    whole = [name for name in LARGE_TABLES if name in tables and not splits.get(name)]
+    if whole:
+        raise ValueError(f"{', '.join(whole)}: give splits, one task can't read them")
     forget_bounds()
     frames = {}
     for name, source in tables.items():
-        df = spark.read.jdbc(url, source, properties=properties or {})
+        split = splits.get(name)
+        if isinstance(split, list):
+            df = spark.read.jdbc(url, source, predicates=split, properties=properties or {})
+        else:
+            df = spark.read.jdbc(url, source, properties=properties or {}, **(split or {}))
         frames[name] = normalise_table(df, name, normalise_ids)
     return SurveyTables(**frames)
 
@@ -113,10 +164,9 @@ def write_tables(t: SurveyTables, out_dir: str, group_layout: bool = False) -> d
     ``group_layout`` also writes markers and species rows with the event
     group of their visit, partitioned by it (one join of each at ingest), so
     a report or refresh of some groups reads only those groups' folders of
-    every table; the operators then join on the group as well.  It is the
-    layout of a source with event groups (the Merged generation), whose
-    reports are all by group: a marker of a visit without a group, or a
-    species row without a marker, is not kept, as no group report shows it."""
+    every table.  Rows without a group keep a folder of their own: reports by
+    group do not show them, all others do.  Rows are gathered by group before
+    they are written, a large group in several files."""
     tables = {name: getattr(t, name) for name in
               ("locations", "events", "markers", "vegetation", "event_groups")}
     if group_layout and t.event_groups is None:
@@ -124,17 +174,18 @@ def write_tables(t: SurveyTables, out_dir: str, group_layout: bool = False) -> d
     if group_layout:
         visit_groups = t.events.where(F.col("event_group_id").isNotNull()).select(
             "event_id", "event_group_id")
-        markers = t.markers.join(visit_groups, "event_id")
+        markers = t.markers.join(visit_groups, "event_id", "left")
         tables["markers"] = markers
         tables["vegetation"] = t.vegetation.join(
-            markers.select("point_id", "event_group_id"), "point_id")
+            markers.select("point_id", "event_group_id"), "point_id", "left")
     paths = {}
     for name, df in tables.items():
         if df is None:
             continue
         path = f"{out_dir.rstrip('/')}/{name}"
-        writer = df.write.mode("overwrite")
-        if "event_group_id" in df.columns and name != "event_groups":
+        grouped = "event_group_id" in df.columns and name != "event_groups"
+        writer = (df.hint("rebalance", "event_group_id") if grouped else df).write.mode("overwrite")
+        if grouped:
             writer = writer.partitionBy("event_group_id")
         writer.parquet(path)
         paths[name] = path

@@ -8,8 +8,9 @@ datasets are partitioned by group and written with dynamic partition
 overwrite, so each refresh replaces only those groups' folders and a replayed
 micro-batch (after a failure) writes the same output again.
 
-Only the ids of the touched groups reach the driver (bounded by
-``max_groups``); all data work is the batch report's.
+The touched groups stay in Spark: the tables are restricted by a semi-join
+with the batch's distinct ids, normalised as the stored ones are, so a batch
+may touch any number of groups.
 """
 
 from __future__ import annotations
@@ -18,44 +19,53 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from plotcover.bounds import forget_bounds
+from plotcover.bounds import broadcast_if_bounded, forget_bounds
+from plotcover.functions.text import normalise_id
 from plotcover.plans.report import write_report
+from plotcover.sources.sinks import materialize
 from plotcover.sources.tables import SurveyTables
 
-MAX_GROUPS_PER_BATCH = 10_000
+def touched_groups(batch: DataFrame) -> DataFrame:
+    """The distinct event groups of a batch of visits, ids as they are stored."""
+    kept = batch.where(F.col("event_group_id").isNotNull())
+    group = F.col("event_group_id")
+    if isinstance(batch.schema["event_group_id"].dataType, T.StringType):
+        group = normalise_id(group)
+    return kept.select(group.alias("event_group_id")).distinct()
 
 
-def restrict_to_groups(t: SurveyTables, group_ids: list) -> SurveyTables:
-    """The tables seen through the given groups only: visits and groups are
-    filtered, markers and species rows follow through the joins (and are
-    filtered on their partition column when stored in the group layout)."""
-    keep = F.col("event_group_id").isin(group_ids)
-    groups = t.event_groups.where(keep) if t.event_groups is not None else None
-    out = t.with_(events=t.events.where(keep), event_groups=groups)
-    # tables in the group layout carry the group: prune their folders too
-    for name in ("markers", "vegetation"):
+def restrict_to_groups(t: SurveyTables, groups: DataFrame) -> SurveyTables:
+    """The tables seen through the groups in ``groups`` (event_group_id) only:
+    visits and groups are semi-joined, markers and species rows follow through
+    the joins (and are semi-joined on their partition column when stored in
+    the group layout)."""
+    # a broadcast list lets Spark prune the folders of other groups while it
+    # runs; it only considers a list with a filter, so there is one that any
+    # text passes
+    if isinstance(groups.schema["event_group_id"].dataType, T.StringType):
+        groups = groups.where(F.col("event_group_id") >= F.lit(""))
+    groups = broadcast_if_bounded(groups)
+    restricted = {}
+    for name in ("events", "event_groups", "markers", "vegetation"):
         df = getattr(t, name)
-        if "event_group_id" in df.columns:
-            out = out.with_(**{name: df.where(keep)})
-    return out
+        if df is not None and "event_group_id" in df.columns:
+            restricted[name] = df.join(groups, "event_group_id", "left_semi")
+    return t.with_(**restricted)
 
 
 def refresh_batch(batch: DataFrame, batch_id: int, load_tables: Callable[[], SurveyTables],
-                  out_dir: str, confidence: float = 0.95,
-                  max_groups: int = MAX_GROUPS_PER_BATCH) -> list:
-    """foreachBatch body: re-run the report for the groups in ``batch``."""
-    ids = [r[0] for r in batch.select("event_group_id").distinct()
-           .limit(max_groups + 1).collect() if r[0] is not None]
-    if not ids:
-        return []
-    if len(ids) > max_groups:
-        raise ValueError(f"a micro-batch touches more than {max_groups} event groups; "
-                         "run the batch report instead")
+                  out_dir: str, confidence: float = 0.95) -> bool:
+    """foreachBatch body: re-run the report for the groups in ``batch``.
+    Whether there was any."""
+    groups = materialize(touched_groups(batch), "touched_groups")
+    if not groups.take(1):
+        return False
     forget_bounds()          # new visits: the tables' sizes are proven again
-    write_report(restrict_to_groups(load_tables(), ids), out_dir, confidence)
-    return ids
+    write_report(restrict_to_groups(load_tables(), groups), out_dir, confidence, only_present=True)
+    return True
 
 
 def start_refresh_stream(spark: SparkSession, landing_dir: str,

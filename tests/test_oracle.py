@@ -6,8 +6,8 @@ import pytest
 import __spark_entry__ as entry_mod
 from tests.oracle_compare import compare, duck_connection
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+QUERIES = entry_mod._survey_queries()
+ORACLES = entry_mod._survey_oracles()
 
 
 @pytest.fixture(scope="module")

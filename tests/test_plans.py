@@ -19,9 +19,9 @@ def _formatted(spark, df):
     return df._jdf.queryExecution().explainString(mode)
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(entry_mod._survey_queries()))
 def test_no_python_udf(spark, sf_dir, name):
-    plan = _plan(entry_mod.queries()[name](spark, sf_dir))
+    plan = _plan(entry_mod._survey_queries()[name](spark, sf_dir))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "FlatMapGroupsInPandas" not in plan and "MapInPandas" not in plan
     # every join is an equi-join: no cross product, no nested-loop join
@@ -94,14 +94,24 @@ def _has_broadcast_hint(df):
     return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
 
 
-def test_small_marker_frame_is_broadcast_to_vegetation(spark, sf_dir):
-    # one campaign of a small survey: vegetation is joined where it is read
-    from plotcover.operators import cover
-    from plotcover.sources.fixtures import fixture_tables
-    rows = cover.point_cover_rows(fixture_tables(spark, sf_dir), event_group="AUTOMOBILE")
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [point_id" in plan
-    assert "hashpartitioning(point_id" not in plan
+def test_building_a_query_never_reads_markers_or_vegetation(spark, sf_dir, monkeypatch):
+    """Sizes are proven on base dimensions and visits only, and never on a
+    plan with a shuffle of its own."""
+    proven = []
+    real = bounds.is_bounded
+
+    def spy(df, max_rows=None):
+        proven.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, max_rows)
+
+    monkeypatch.setattr(bounds, "is_bounded", spy)
+    monkeypatch.setattr(frames, "is_bounded", spy)
+    for name, query in entry_mod._survey_queries().items():
+        bounds.forget_bounds()
+        query(spark, sf_dir)
+    assert proven
+    for plan in proven:
+        assert "o_orderkey" not in plan and "l_orderkey" not in plan and "Aggregate" not in plan
 
 
 def test_marker_bound_checked_only_on_map_only_plans(spark, sf_dir, monkeypatch):

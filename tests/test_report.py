@@ -23,9 +23,15 @@ def test_report_writes_every_result_partitioned_by_group(spark, sf_dir, tmp_path
 def test_report_matches_single_queries(spark, sf_dir):
     t = fixture_tables(spark, sf_dir)
     results = build_report(t)
-    a = results[sinks.SHEET_POINT_SUM].exceptAll(groups.point_sum_by_group(t)).count()
-    b = groups.point_sum_by_group(t).exceptAll(results[sinks.SHEET_POINT_SUM]).count()
-    assert a == b == 0
+    sums = groups.point_sum_by_group(t)
+    assert _same_rows(results[sinks.SHEET_POINT_SUM].select(*sums.columns), sums)
+    flags = groups.relcover_by_group(t)
+    assert _same_rows(results[sinks.SHEET_POINT_SUM].select(*flags.columns).distinct(), flags)
+    years = {r.event_group_id: (r.event_group_name, r.event_group_year)
+             for r in results[sinks.SHEET_EVENT_GROUPS].collect()}
+    for name, df in results.items():
+        labels = df.select("event_group_id", "event_group_name", "event_group_year").distinct().collect()
+        assert labels and all(years[r[0]] == (r[1], r[2]) for r in labels), name
     assert results[sinks.SHEET_ABS_COVER].count() == groups.abs_cover_by_group(t).count()
 
 
@@ -54,7 +60,8 @@ def test_protocol_report_without_groups(spark, sf_dir):
     results = build_report(t, generation="protocol")
     assert sinks.SHEET_DISTANCE not in results
     assert "event_group_id" not in results[sinks.SHEET_ABS_COVER].columns
-    assert _same_rows(results[sinks.SHEET_POINT_SUM], checks.point_sum_long(checks.point_rows(t)))
+    sums = checks.point_sum_long(checks.point_rows(t))
+    assert _same_rows(results[sinks.SHEET_POINT_SUM].select(*sums.columns), sums)
     # sums of non-integer products: the order of addition follows the join
     # strategy, so compare to 9 digits
     assert _same_rows(_rounded(results[sinks.SHEET_ABS_COVER]),
@@ -72,8 +79,8 @@ def test_pilot_report_keys_sites_and_lookup_region(spark, sf_dir, tmp_path):
     t = base.with_(locations=frames.locations_from_pilot(geo), event_groups=None)
     results = build_report(t, generation="pilot")
     rows = checks.point_rows(t)
-    assert _same_rows(results[sinks.SHEET_POINT_SUM],
-                      checks.point_sum_long(rows, checks.PILOT_POINT_KEYS))
+    sums = checks.point_sum_long(rows, checks.PILOT_POINT_KEYS)
+    assert _same_rows(results[sinks.SHEET_POINT_SUM].select(*sums.columns), sums)
     assert _same_rows(_rounded(results[sinks.SHEET_ABS_COVER]), _rounded(
         cover.abs_cover_long(frames.filter_site_codes(cover.point_cover_rows(t)))))
     stratum = results[sinks.SHEET_STRATUM]
@@ -101,17 +108,50 @@ def test_report_when_visits_are_too_many_to_broadcast(spark, sf_dir, monkeypatch
     species, markers = report.shared_frames(t)
     assert "broadcast" not in markers._jdf.queryExecution().analyzed().toString().lower()
     results = build_report(t)
-    assert _same_rows(results[sinks.SHEET_POINT_SUM], groups.point_sum_by_group(t))
-    assert _same_rows(results[sinks.SHEET_STRATUM].drop("event_group_id"),
-                      cover.abs_cover_by_stratum(t).drop("event_group_id"))
+    sums = groups.point_sum_by_group(t)
+    assert _same_rows(results[sinks.SHEET_POINT_SUM].select(*sums.columns), sums)
+    stratum = cover.abs_cover_by_stratum(t)
+    assert _same_rows(results[sinks.SHEET_STRATUM].select(*stratum.columns), stratum)
 
 
-def test_wide_pivot_long_form_in_caller_folder(spark, sf_dir):
+def test_wide_tables_are_lazy_and_leave_nothing(spark, sf_dir):
     import os
-    from plotcover.operators import cover
-    folder = sinks.scratch_folder(spark)
+    import __spark_entry__ as entry_mod
+    from plotcover.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).replace("file:", "")
+    before = set(os.listdir(root))
+    for name in ("point_count_wide", "point_sum_wide", "abs_cover_wide", "abs_cover_site_order"):
+        assert entry_mod._survey_queries()[name](spark, sf_dir).count() > 0
+    assert set(os.listdir(root)) == before
+
+
+def test_protocol_report_with_groups_has_distances(spark, sf_dir):
+    from plotcover.operators import distance
     t = fixture_tables(spark, sf_dir)
-    rows = cover.abs_cover_wide(cover.point_cover_rows(t), folder=folder).collect()
-    assert rows and os.path.isdir(folder.replace("file:", "") + "/abs_cover_long")
-    assert sinks.remove_folder(spark, folder)
-    assert not os.path.exists(folder.replace("file:", ""))
+    results = build_report(t, generation="protocol")
+    want = distance.distance_summary(distance.distance_rows(t), ordered=False)
+    assert _same_rows(results[sinks.SHEET_DISTANCE].select("event_group_id", "segment", "rec_count"),
+                      want.select("event_group_id", "segment", "rec_count"))
+
+
+def test_full_write_replaces_and_refresh_keeps_other_groups(spark, tmp_path):
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "event_group_id string, v int")
+
+    def stored():
+        return {(r.event_group_id, r.v) for r in sinks.read_result(spark, out, "x").collect()}
+
+    out = str(tmp_path)
+    sinks.write_result(rows(("001", 1), ("01", 2), ("B", 3)), out, "x")
+    assert stored() == {("001", 1), ("01", 2), ("B", 3)}
+    sinks.write_result(rows(("001", 5)), out, "x", only_present=True)
+    assert stored() == {("001", 5), ("01", 2), ("B", 3)}
+    sinks.write_result(rows(("001", 1)), out, "x")
+    assert stored() == {("001", 1)}
+
+
+def test_a_group_is_few_files(spark, tmp_path):
+    import glob
+    many = spark.range(0, 20_000, 1, 64).selectExpr("concat('G', id % 5) as event_group_id", "id")
+    sinks.write_result(many, str(tmp_path), "x")
+    assert len(glob.glob(f"{tmp_path}/x/*/*.parquet")) <= 10

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from plotcover.functions.cover import absolute_cover, equals_exactly, row_sum, to_number
+from plotcover.functions.cover import absolute_cover, equals_exactly, exact_sum, row_sum, to_number
 from plotcover.functions.text import normalise_id, segment_number, site_point, site_segment
 from plotcover.operators import charts, checks, cover, distance, frames, groups, pivots
 from plotcover.schema import COVER_COLS, SCHEMAS
@@ -83,7 +83,7 @@ def _cover_row(ct, vt, pc):
     return (ct, vt, pc, 80.0, 50.0, 30.0, 20.0, 60.0, 10.0, 40.0, 50.0)
 
 
-def _reference_cover(row):
+def _cover_by_rule(row):
     """The per-row rule written out in plain Python."""
     ct, vt, pc = row[:3]
     cols = dict(zip(["mo", "mt", "ms", "mh", "so", "st", "ss", "sh"], row[3:]))
@@ -101,7 +101,7 @@ def test_absolute_cover_rule(spark):
     df = spark.createDataFrame(rows, "communitytype string, vegetationtype string, "
                                      "percentcover double, " + ", ".join(f"{c} double" for c in COVER_COLS))
     got = [r[0] for r in df.select(absolute_cover()).collect()]
-    assert got == [_reference_cover(r) for r in rows]
+    assert got == [_cover_by_rule(r) for r in rows]
 
 
 # ---------------------------------------------------------------- pivots N3-N5
@@ -122,8 +122,9 @@ def _pandas_pivot(agg):
 @pytest.mark.parametrize("agg", ["sum", "count"])
 def test_wide_pivot_matches_pandas(spark, agg):
     df = spark.createDataFrame(PIVOT_ROWS, "k1 string, k2 string, col string, v double")
-    wide = pivots.pandas_pivot(df, ["k1", "k2"], "col", "v", agg).toPandas().set_index(["k1", "k2"])
     expected = _pandas_pivot(agg)
+    wide = pivots.pandas_pivot(df, ["k1", "k2"], "col", "v", list(expected.columns), agg)
+    wide = wide.toPandas().set_index(["k1", "k2"])
     assert list(wide.columns) == list(expected.columns)
     assert list(wide.index) == list(expected.index)
     for c in expected.columns:
@@ -144,17 +145,19 @@ def test_long_pivot_keeps_zero_and_drops_missing_keys(spark):
     assert all(None not in k for k in got)       # N3
 
 
-def test_pivot_values_are_bounded(spark):
-    df = spark.range(20).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        pivots.pivot_values(df, "c", max_values=10)
+def test_wide_pivot_takes_any_number_of_values_and_rejects_others(spark):
+    rows = spark.createDataFrame([("k", "c7", 1.0), ("k", "c10000", 2.0)], "k string, c string, v double")
+    names = [f"c{i}" for i in range(10_001)]
+    wide = pivots.wide_pivot(rows, ["k"], "c", "v", names)
+    assert len(wide.columns) == 10_002
+    assert wide.select("c7", "c10000", "c5").first()[:] == (1.0, 2.0, None)
+    with pytest.raises(Exception, match="outside the wide table"):
+        pivots.wide_pivot(rows, ["k"], "c", "v", ["c7"]).collect()
 
 
-def test_site_order_of_pivot_columns(spark):
+def test_site_order_of_pivot_columns():
     names = ["10_1", "02_2", "2_1", "01_4", "x", "01_10"]
-    df = spark.createDataFrame([(n,) for n in names], "location_name string")
-    assert pivots.pivot_values(df, "location_name", order="site") == [
-        "01_4", "01_10", "2_1", "02_2", "10_1", "x"]
+    assert pivots.site_order(names) == ["01_4", "01_10", "2_1", "02_2", "10_1", "x"]
 
 
 # ---------------------------------------------------------------- survey frames
@@ -178,7 +181,7 @@ def small(spark):
     d = dt.date(2020, 5, 1)
     locations = [("L1", "North", "Segment 1", "01_1"), ("L2", "North", None, "01_2"),
                  ("L3", "South", "Seg 12b", "03_1")]
-    groups_ = [("G1", "Segment 2020", d), ("G2", "Index 2021", d)]
+    groups_ = [("G1", "Segment 2020", d, d, "first"), ("G2", "Index 2021", d, None, None)]
     events = [("E1", "G1", "L1", "Marker Visit", d), ("E2", "G1", "L2", "Marker Visit", d),
               ("E3", "G2", "L2", "Marker Visit", d), ("E4", "G2", "L3", "Segment Visit", d),
               ("E5", "G2", "L3", "Marker Visit", d)]
@@ -243,25 +246,51 @@ def test_strata_check_sums(small):
 
 # ---------------------------------------------------------------- distance
 
-def test_distance_summary_against_pandas(spark, small):
+def test_distance_summary_by_hand(small):
+    got = distance.distance_summary(distance.distance_rows(small)).collect()
+    # Segment 1 of G1 holds 1 m and 3 m: mean 2, standard deviation sqrt(2),
+    # standard error 1.  Seg 12b of G2 holds 4 m and a missing one.  L2 has no
+    # segment.  Sorted by the segment's number, missing last.
+    assert [(r.event_group_id, r.segment, r.rec_count, r.average_dist_m, r.min_difference,
+             r.max_difference) for r in got] == [
+        ("G1", "Segment 1", 2, 2.0, 1.0, 3.0), ("G2", "Seg 12b", 1, 4.0, 4.0, 4.0)]
+    assert got[0].standard_error == pytest.approx(1.0)
+    assert got[1].standard_error is None and got[1].lower_ci_95 is None
+
+
+def test_confidence_names_the_limits(small):
     rows = distance.distance_rows(small)
-    got = distance.distance_summary(rows).collect()
-    pdf = rows.toPandas()
-    pdf = pdf.dropna(subset=["event_group_id", "region", "segment"])
-    exp = pdf.groupby(["event_group_id", "region", "segment"], as_index=False).agg(
-        mean=("distance", "mean"), sem=("distance", "sem"), n=("distance", "count"),
-        lo=("distance", "min"), hi=("distance", "max"))
-    assert len(got) == len(exp)
-    # sorted by the segment's number, missing last: Segment 1 then Seg 12b
-    assert [r.segment for r in got] == ["Segment 1", "Seg 12b"]
-    for r in got:
-        e = exp[(exp.event_group_id == r.event_group_id) & (exp.segment == r.segment)].iloc[0]
-        assert r.rec_count == e.n and r.min_difference == e.lo and r.max_difference == e.hi
-        assert r.average_dist_m == pytest.approx(e["mean"])
-        if pd.isna(e["sem"]):
-            assert r.standard_error is None and r.lower_ci_95 is None
-        else:
-            assert r.standard_error == pytest.approx(e["sem"])
+    assert {"lower_ci_90", "upper_ci_90"} <= set(distance.distance_summary(rows, confidence=0.9).columns)
+    assert {"group_end_date", "assessment"} <= set(rows.columns)
+
+
+def test_nan_is_missing_after_the_read(spark, small):
+    from plotcover.sources.tables import normalise_table
+    nan = float("nan")
+    rows = [r[:] for r in small.markers.collect()]
+    rows = [r[:2] + (nan if r[0] == "P2" else r[2],) + r[3:5] + (nan if r[0] == "P2" else r[5],) + r[6:]
+            for r in rows]
+    t = small.with_(markers=normalise_table(spark.createDataFrame(rows, SCHEMAS["markers"]), "markers"))
+    first = distance.distance_summary(distance.distance_rows(t)).collect()[0]
+    assert (first.rec_count, first.average_dist_m) == (1, 1.0)
+    sums = {r.point_id: r.sum_mangrove for r in checks.strata_check(t, extra_cols=["point_id"]).collect()}
+    assert sums["P1"] == 100.0 and sums["P2"] == 50.0
+
+
+def test_infinite_cover_on_an_empty_layer_is_missing(spark):
+    rows = [_cover_row("Mangrove", "Tree", math.inf)[:4] + (0.0,) + _cover_row("", "", 0)[5:]]
+    df = spark.createDataFrame(rows, "communitytype string, vegetationtype string, "
+                                     "percentcover double, " + ", ".join(f"{c} double" for c in COVER_COLS))
+    assert df.select(absolute_cover()).first()[0] is None
+
+
+def test_counts_take_what_was_recorded(spark, small):
+    got = {(r.location_name, r.speciescode): r.n_percentcover
+           for r in checks.point_count_long(checks.point_rows(small)).collect()}
+    assert got[("01_1", "S1")] == 1 and ("03_1", "S2") in got
+    marsh = checks.point_count_long(checks.point_rows(small)).where(
+        "location_name = '01_1' and communitytype = 'Marsh'").first()
+    assert marsh.n_percentcover == 1          # 'trace' is a recorded cover
 
 
 def test_sem_null_for_one_or_no_distance(spark):
@@ -322,19 +351,48 @@ def test_chart_series_and_regions(small):
     assert regions == ["North", "South"]
 
 
-# ---------------------------------------------------------------- D7 decimal option
+# ---------------------------------------------------------------- D7: totals free of order
 
-def test_decimal_sums_are_order_free(spark):
-    df = spark.createDataFrame([(6.9, 29.2, 39.2, 24.7)], "a double, b double, c double, d double")
-    r = df.select(row_sum("a", "b", "c", "d", exact_decimal=True).alias("s")).first()
-    assert r.s == 100.0
-    rows = spark.createDataFrame(
-        [("L", "Marsh", "Herb", "Marker Visit", "r", "s", sp, v)
-         for sp, v in (("a", 6.9), ("b", 29.2), ("c", 39.2), ("d", 24.7))],
-        "location_name string, communitytype string, vegetationtype string, event_type string, "
-        "region string, segment string, speciescode string, percentcover double")
-    exact = checks.relcover_check(rows, exact_decimal=True).first()
-    assert exact.sum_relcover == 100.0 and exact.relcover_is_100
+POINT_SCHEMA = ("location_name string, communitytype string, vegetationtype string, event_type string, "
+                "region string, segment string, speciescode string, percentcover double")
+
+
+def _cover_rows(pairs):
+    return [("L", "Marsh", "Herb", "Marker Visit", "r", "s", sp, v) for sp, v in pairs]
+
+
+def test_totals_do_not_depend_on_row_order(spark):
+    one = [("a", v) for v in (6.9, 29.2, 39.2, 24.7)]        # one species: exactly 100
+    four = list(zip("abcd", (6.9, 29.2, 39.2, 24.7)))        # added in species order: not 100
+    for pairs, total in ((one, 100.0), (four, 6.9 + 29.2 + 39.2 + 24.7)):
+        for order in ((0, 1, 2, 3), (3, 1, 0, 2), (2, 3, 1, 0)):
+            rows = spark.createDataFrame(_cover_rows([pairs[i] for i in order]), POINT_SCHEMA).repartition(3)
+            plain = checks.relcover_check(rows).first()
+            wide = checks.point_sum_wide(rows, sorted({p for p, _ in pairs})).first()
+            assert plain.sum_relcover == wide.sum_relcover == total
+            assert plain.relcover_is_100 == wide.relcover_is_100 == (total == 100.0)
+
+
+def test_exact_sum_keeps_infinities_and_large_values(spark):
+    rows = spark.createDataFrame([(1, math.inf), (1, 2.0), (2, math.inf), (2, -math.inf), (3, 1e300),
+                                  (3, 0.5), (4, None), (5, 99.9999996)], "k int, v double")
+    got = {r.k: r.s for r in rows.groupBy("k").agg(exact_sum("v").alias("s")).collect()}
+    assert got == {1: math.inf, 2: None, 3: 1e300, 4: 0.0, 5: 99.9999996}
+
+
+def test_join_strategy_changes_no_flag(spark, sf_dir):
+    import __spark_entry__ as entry_mod
+    found = []
+    for threshold in ("-1", "100MB"):
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            for name in ("relcover_fractional", "relcover_fractional_wide"):
+                rows = entry_mod._survey_queries()[name](spark, sf_dir).collect()
+                found.append(sorted(tuple(r[c] for c in sorted(r.asDict())) for r in rows))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert all(f == found[0] for f in found)
 
 
 def test_chart_series_region_subset(small):
@@ -368,7 +426,8 @@ def test_wide_pivot_matches_pandas_on_generated_rows(spark, rows, agg):
     pdf = pd.DataFrame(rows, columns=["k1", "k2", "col", "v"])
     expected = pdf.pivot_table(index=["k1", "k2"], columns="col", values="v", aggfunc=agg)
     df = spark.createDataFrame(rows, "k1 string, k2 string, col string, v double")
-    wide = pivots.pandas_pivot(df, ["k1", "k2"], "col", "v", agg).toPandas().set_index(["k1", "k2"])
+    wide = pivots.pandas_pivot(df, ["k1", "k2"], "col", "v", list(expected.columns), agg)
+    wide = wide.toPandas().set_index(["k1", "k2"])
     assert list(wide.columns) == list(expected.columns)
     assert list(wide.index) == list(expected.index)
     for c in expected.columns:

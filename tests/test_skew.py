@@ -1,9 +1,10 @@
 """Hot keys: one point holds a third of all species rows, one visit a third
 of all points, one event group most visits.  AQE's skew thresholds are
 lowered so the skewed join partitions really are split at this size; the
-results must still equal a brute-force pandas computation of the same
-reports, and the executed plan must show the split."""
+results must still equal a brute-force computation of the same reports
+(DuckDB, pandas), and the executed plan must show the split."""
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -88,8 +89,9 @@ def _skewed_tables(spark):
     )
     import datetime as dt
     event_groups = spark.createDataFrame(
-        [("G0", "Segment 2020", dt.date(2020, 1, 1)), ("G1", "Index 2021", dt.date(2021, 1, 1)),
-         ("G2", "Index 2022", dt.date(2022, 1, 1))], SCHEMAS["event_groups"])
+        [("G0", "Segment 2020", dt.date(2020, 1, 1), None, None),
+         ("G1", "Index 2021", dt.date(2021, 1, 1), None, None),
+         ("G2", "Index 2022", dt.date(2022, 1, 1), None, None)], SCHEMAS["event_groups"])
 
     def typed(df, name):
         return df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields])
@@ -133,15 +135,6 @@ def _pandas_frame(t):
     return out
 
 
-def _pandas_abs_cover(row):
-    side = {"Mangrove": "mangroveside", "Marsh": "marshside"}.get(row.communitytype)
-    layer = {"Tree": "tree", "Shrub": "shrub", "Herb": "herb"}.get(row.vegetationtype)
-    if side is None or layer is None:
-        return np.nan
-    return (row[f"{side}_cover_overall"] * (row[f"{side}_cover_{layer}"] / 100)
-            * (row.percentcover / 100))
-
-
 def _executed_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -157,11 +150,24 @@ def test_abs_cover_by_group_under_skew_split(skewed):
     got = df.toPandas()
     assert "skew=true" in _executed_plan(df)
 
-    frame = _pandas_frame(skewed)
-    rows = frame[(frame.event_type == "Marker Visit") & frame.percentcover_raw.notna()].copy()
-    rows["abs_cover"] = rows.apply(_pandas_abs_cover, axis=1)
     keys = ["event_group_id", "communitytype", "vegetationtype", "speciescode", "location_name"]
-    want = rows.groupby(keys, dropna=True)["abs_cover"].sum(min_count=0).reset_index()
+    con = duckdb.connect()
+    for name in ("vegetation", "markers", "events", "locations"):
+        con.register(name, getattr(skewed, name).toArrow())
+    want = con.execute(f"""
+with cells as (
+  select v.*, e.event_group_id, l.location_name, try_cast(v.percentcover_raw as double) as percent,
+    (case communitytype when 'Mangrove' then mangroveside_cover_overall
+                        when 'Marsh' then marshside_cover_overall end) as overall,
+    (case communitytype || vegetationtype
+       when 'MangroveTree' then mangroveside_cover_tree when 'MarshTree' then marshside_cover_tree
+       when 'MangroveShrub' then mangroveside_cover_shrub when 'MarshShrub' then marshside_cover_shrub
+       when 'MangroveHerb' then mangroveside_cover_herb when 'MarshHerb' then marshside_cover_herb end) as layer
+  from vegetation v join markers using (point_id) join events e using (event_id)
+    join locations l using (location_id)
+  where event_type = 'Marker Visit' and percentcover_raw is not null)
+select {', '.join(keys)}, coalesce(sum(overall * layer * percent), 0) / 10000 as abs_cover
+from cells where speciescode is not null group by all""").df()
 
     got = got.sort_values(keys).reset_index(drop=True)
     want = want.sort_values(keys).reset_index(drop=True)

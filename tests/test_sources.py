@@ -71,16 +71,16 @@ def test_group_layout_gives_the_same_reports_and_prunes_by_group(spark, sf_dir,
     assert same(doubles_rounded(distance.distance_summary(distance.distance_rows(g), ordered=False)),
                 doubles_rounded(distance.distance_summary(distance.distance_rows(t), ordered=False)))
 
-    one = restrict_to_groups(g, ["AUTOMOBILE"])
+    one = restrict_to_groups(g, spark.createDataFrame([("AUTOMOBILE",)], "event_group_id string"))
     rows = cover.point_cover_rows(one)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     import re
     pruned = re.compile(r"PartitionFilters: \[[^\]]*\(event_group_id#\d+ = AUTOMOBILE\)")
     # scans told apart by a column only that table has (locations are cut
-    # short in the plan text)
+    # short in the plan text); a broadcast list of groups prunes while running
     for table, column in (("vegetation", "communitytype"), ("markers", "mangroveside_cover")):
         scans = [line for line in plan.splitlines() if "FileScan" in line and column in line]
-        assert scans and all(pruned.search(line) for line in scans), table
+        assert scans and all("dynamicpruning" in line for line in scans), table
     # a one-group filter on visits alone (F6) prunes markers and species rows
     # too: Catalyst carries the predicate across the joins on the group
     f6 = cover.point_cover_rows(g, event_group="{automobile}")
@@ -92,6 +92,60 @@ def test_group_layout_gives_the_same_reports_and_prunes_by_group(spark, sf_dir,
                 rounded(groups.abs_cover_by_group(t).where("event_group_id = 'AUTOMOBILE'")))
 
 
+def test_group_layout_keeps_rows_without_a_group(spark, tmp_path):
+    from plotcover.operators import checks
+    from plotcover.schema import SCHEMAS
+    from plotcover.sources.tables import SurveyTables
+    import datetime as dt
+    d = dt.date(2020, 1, 1)
+
+    def frame(name, rows):
+        return spark.createDataFrame(rows, SCHEMAS[name])
+
+    cover = (80.0, 50.0, 30.0, 20.0, 60.0, 10.0, 40.0, 50.0)
+    t = SurveyTables(
+        locations=frame("locations", [("L", "R", "Segment 1", "01_1")]),
+        events=frame("events", [("E1", "001", "L", "Marker Visit", d), ("E2", None, "L", "Marker Visit", d),
+                                ("E3", "01", "L", "Marker Visit", d)]),
+        markers=frame("markers", [(f"P{i}", f"E{i}", 1.0, "GPS", *cover) for i in (1, 2, 3)]),
+        vegetation=frame("vegetation", [(f"P{i}", "Marsh", "Herb", "S1", str(10 * i)) for i in (1, 2, 3)]),
+        event_groups=frame("event_groups", [("001", "Index a", d, d, "x"), ("01", "Index b", d, d, "y")]))
+    for layout in (False, True):
+        back = read_parquet_tables(spark, write_tables(t, str(tmp_path / str(layout)), group_layout=layout))
+        assert checks.point_sum_long(checks.point_rows(back)).first().sum_percentcover == 60.0
+        assert checks.strata_check(back).count() == 3
+        from plotcover.operators import groups
+        by_group = {r.event_group_id: r.abs_cover for r in groups.abs_cover_by_group(back).collect()}
+        assert by_group["001"] == pytest.approx(60 * .5 * .1) and by_group["01"] == pytest.approx(60 * .5 * .3)
+
+
+def test_forgiving_read(spark):
+    from plotcover.sources.tables import normalise_table
+    df = spark.createDataFrame([("p", "e", "trace", " 5 ", float("nan")), ("q", "e", "7", "x", 2.0)],
+                               "Point_ID string, Event_ID string, MangroveSide_Cover_Tree string, "
+                               "MarshSide_Cover_Herb string, Distance double")
+    got = {r.point_id: (r.mangroveside_cover_tree, r.marshside_cover_herb, r.distance)
+           for r in normalise_table(df, "markers").collect()}
+    assert got == {"P": (None, 5.0, None), "Q": (7.0, None, 2.0)}
+    events = spark.createDataFrame([("e", "no date"), ("f", "2021-03-04")], "Event_ID string, Start_Date string")
+    assert [r.start_date for r in normalise_table(events, "events").orderBy("event_id").collect()] == [
+        None, dt.date(2021, 3, 4)]
+
+
+def test_large_jdbc_tables_must_be_split(spark):
+    from plotcover.sources.tables import guid_predicates, read_jdbc_tables
+    with pytest.raises(ValueError, match="markers"):
+        read_jdbc_tables(spark, "jdbc:none", {"markers": "tbl_MarkerData"})
+    parts = guid_predicates("Point_ID")
+    ids = ["{0a1b}", "Ab12", "f0", "zz", None, "", "{5c}"]
+    rows = spark.createDataFrame([(i,) for i in ids], "Point_ID string")
+    found = [r[0] for p in parts for r in rows.where(p).collect()]
+    assert len(parts) == 16 and sorted(map(str, found)) == sorted(map(str, ids))
+    assert len(guid_predicates("Point_ID", 256)) == 256
+    with pytest.raises(ValueError):
+        guid_predicates("Point_ID", 10)
+
+
 def test_group_layout_needs_event_groups(spark, sf_dir, tmp_path):
     from plotcover.sources.fixtures import fixture_tables
     t = fixture_tables(spark, sf_dir).with_(event_groups=None)
