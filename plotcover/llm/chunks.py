@@ -39,6 +39,7 @@ from plotcover.llm.common import bounded_batches, materialize, regroup, text_col
 WINDOW = 16        # bytes the rolling hash sees
 CUT_BITS = 10      # one cut in about 2^10 bytes
 MAX_CHUNK = 1 << 14
+TEXT_BYTES = 2 << 20   # text a task works on at once
 BLANKS = b" \t\n\r\x0b\x0c"
 
 
@@ -114,7 +115,7 @@ def shared_keys(docs: DataFrame) -> DataFrame:
     documents.  Counts are joined in each batch before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches):
+        for batch in regroup(batches, TEXT_BYTES):
             chunks = Chunked(text_column(batch))
             pairs = pa.table({"key": pa.array(chunks.keys, pa.binary()),
                               "owner": pa.array(chunks.owner)}).group_by(["key", "owner"]).aggregate([])
@@ -133,19 +134,19 @@ def encode_documents(docs: DataFrame, tokenizer: str, digests: bool = False) ->
     """Encode ``docs`` (doc_id, text): doc_id, n_tokens, ids (array of int) and
     decoded text; with ``digests`` SHA-256 digests instead of ids and text."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, TEXT_BYTES)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     words = spark.sparkContext.broadcast(bloom.build(shared_keys(rows), "hash"))
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches):
+        for batch in regroup(batches, TEXT_BYTES):
             chunks = Chunked(text_column(batch))
             hit = np.unique(chunks.owner[chunks.shared(words.value)])
             if len(hit):
                 yield batch.take(pa.array(hit))
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches):
+        for batch in regroup(batches, TEXT_BYTES):
             chunks = Chunked(text_column(batch))
             own = np.ones(batch.num_rows, bool)
             own[chunks.owner[chunks.shared(words.value)]] = False
@@ -156,7 +157,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, digests: bool = False) ->
                               tokenizer, digests)
 
     def chunk_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches):
+        for batch in regroup(batches, TEXT_BYTES):
             chunks = Chunked(text_column(batch))
             at = {chunks.keys[i]: i for i in np.nonzero(chunks.shared(words.value))[0]}
             yield pa.RecordBatch.from_pydict({
@@ -165,7 +166,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, digests: bool = False) ->
                                   for i in at.values()], pa.string())})
 
     def chunk_refs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches):
+        for batch in regroup(batches, TEXT_BYTES):
             chunks = Chunked(text_column(batch))
             hit = np.nonzero(chunks.shared(words.value))[0]
             names = _names(batch)
@@ -175,7 +176,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, digests: bool = False) ->
                 "key": pa.array([k for _, k in pairs], pa.binary())})
 
     def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches):
+        for batch in regroup(batches, TEXT_BYTES):
             ids, starts = encoder(tokenizer).encode(text_column(batch))
             data = ids.astype("<u4").tobytes()
             yield pa.RecordBatch.from_pydict({
@@ -187,7 +188,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, digests: bool = False) ->
             yield batch.append_column("name", pa.array(_names(batch), pa.binary()))
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches):
+        for batch in regroup(batches, TEXT_BYTES):
             known = [dict((p["key"], p["ids"]) for p in parts) for parts in
                      batch.column(2).to_pylist()]
             yield _finish(batch.column(0),
