@@ -31,8 +31,8 @@ WINDOW = 5                # words of a window that counts as repeated (base rule
 MIN_WORDS = 10            # base rule
 MAX_REPEAT_PERCENT = 20   # base rule
 COVER_MIN_WORDS = 10      # a repeated substring of this many words counts as covered
-MAX_COVERED = 0.15        # covered share of a text's word characters
-MAX_LONGEST = 60          # words of the longest repeat
+MAX_COVERED = 0.25        # covered share of a text's word characters
+MAX_LONGEST = 100         # words of the longest repeat
 SYMBOLS = r"[#*$%&|<>]"   # fixed value of the contract
 
 RESULT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
