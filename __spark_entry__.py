@@ -11,6 +11,7 @@ rounded to 6 decimals on both sides; exact columns are left as they are.
 
 from __future__ import annotations
 
+import importlib
 import math
 from collections.abc import Callable
 
@@ -295,12 +296,11 @@ def _text_operators():
     """The module of the text-operator queries, or None where that subpackage
     (or the pipeline built on it) is not installed."""
     try:
-        from plotcover.llm import queries as module
+        return importlib.import_module("plotcover.llm.queries")
     except ModuleNotFoundError as error:
         if (error.name or "").split(".")[:2] == ["plotcover", "llm"] or error.name == "corpus_pipeline":
             return None
         raise
-    return module
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

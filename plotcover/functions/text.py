@@ -38,12 +38,10 @@ def site_point(col: Column | str = "location_name") -> Column:
     return F.regexp_extract(_c(col), SITE_CODE_PATTERN, 2).try_cast("int")
 
 
-def format_site_code(segment: Column, point: Column, padded: bool = True,
-                     separator: str = "_", point_width: int = 1) -> Column:
-    """Site code text from its numbers (op T2): padded '01_1' or plain '1_1'."""
-    if padded:
-        return F.format_string(f"%02d{separator}%0{point_width}d", segment, point)
-    return F.format_string(f"%d{separator}%d", segment, point)
+def format_site_code(segment: Column, point: Column, separator: str = "_",
+                     point_width: int = 1) -> Column:
+    """Site code text from its numbers (op T2): '01_1'."""
+    return F.format_string(f"%02d{separator}%0{point_width}d", segment, point)
 
 
 def year_of(col: Column | str) -> Column:
