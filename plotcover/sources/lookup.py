@@ -31,6 +31,6 @@ def site_region_lookup(spark: SparkSession) -> DataFrame:
     point = (i % POINTS_PER_SEGMENT + 1).cast("int")
     return spark.range(total).select(
         region.alias("region"),
-        format_site_code(segment, point, padded=True, separator="-", point_width=2)
+        format_site_code(segment, point, separator="-", point_width=2)
         .alias("location_name"),
     )
