@@ -39,6 +39,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,13 +51,15 @@ LENGTH = 50
 KMER = 24                         # three words of eight bytes
 PLACES = LENGTH - KMER + 1        # k-mers of a window
 REACH = PLACES - 1                # how far before its anchor a window may begin
-BITMAP_BITS = 28                  # 32 MB, whatever the input
+WIDTH = LENGTH + REACH + 4        # bytes of a suffix row, a multiple of eight
+PARTS = ("known", "rests", "ids", "several")   # columns of a run
+BITMAP_BITS = 27                  # 16 MB, whatever the input
 BUCKET_ANCHORS = 1_000_000
 MERGE_ANCHORS = 1_000_000          # anchors to a merge bucket; few of them are shared
-RUN_SUFFIXES = 250_000             # distinct suffixes of a run, over all buckets
+RUN_SUFFIXES = 300_000             # suffixes of a run, over all buckets
 SLICE = 50_000                     # distinct suffixes whose windows are compared at once
 FLUSH = 1_000_000
-TEXT_BYTES = 2 << 20              # text a task works on at once
+TEXT_BYTES = 1 << 19              # text whose anchors are found at once
 NO_ID = -(1 << 63)
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
@@ -122,21 +125,29 @@ def shared_bitmap(docs: DataFrame, buckets: int) -> np.ndarray:
     each = (1 << BITMAP_BITS) // buckets // 8 * 8
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        docs_before = 0
         for batch in regroup(batches, TEXT_BYTES):
             found = find_anchors(text_column(batch))
-            pairs = np.unique(np.stack([found.hash, found.owner.astype(np.uint64)], axis=1), axis=0)
-            held.append(pairs[:, 0])
-            if sum(map(len, held)) >= FLUSH:
+            held.append((found.hash, found.owner + docs_before))
+            docs_before += batch.num_rows
+            if sum(len(h) for h, _ in held) >= FLUSH:
                 yield flushed(held)
                 held = []
         if held:
             yield flushed(held)
 
-    def flushed(held: list[np.ndarray]) -> pa.RecordBatch:
-        values, count = np.unique(np.concatenate(held), return_counts=True)
+    def flushed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        values, owner = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        equal = values[1:] == values[:-1]
+        new = np.concatenate([[True], ~equal])[:len(values)]
+        first = np.nonzero(new)[0]
         # held by several documents here: sent twice, so it counts as shared at once
-        bucket, value = slots(np.repeat(values, np.minimum(count, 2)), buckets)
+        several = np.zeros(len(first), bool)
+        several[(np.cumsum(new) - 1)[1:][equal & (owner[1:] != owner[:-1])]] = True
+        bucket, value = slots(np.repeat(values[first], 1 + several), buckets)
         order = np.lexsort((value, bucket))
         bucket, value = bucket[order], value[order]
         ends = np.searchsorted(bucket, np.arange(buckets), "right")
@@ -150,10 +161,10 @@ def shared_bitmap(docs: DataFrame, buckets: int) -> np.ndarray:
         bucket = table.column("bucket")[0].as_py()
         values = np.sort(np.frombuffer(b"".join(table.column("block").to_pylist()), np.uint32))
         shared = values[:-1][values[1:] == values[:-1]]
-        bits = np.zeros(each, np.uint8)
-        bits[bit_of(np.zeros(1, np.int64), shared, buckets)] = 1
-        return pa.table({"bucket": pa.array([bucket], pa.int64()),
-                         "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+        bit = np.unique(bit_of(np.zeros(1, np.int64), shared, buckets))
+        bits = np.zeros(each // 8, np.uint8)
+        np.bitwise_or.at(bits, bit >> 3, np.uint8(1) << (bit & 7).astype(np.uint8))
+        return pa.table({"bucket": pa.array([bucket], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
 
     rows = (docs.select("text").mapInArrow(send, "bucket long, block binary")
             .groupBy("bucket").applyInArrow(meet, "bucket long, bits binary").toArrow())
@@ -170,99 +181,116 @@ def is_shared(found: Anchors, bitmap: np.ndarray, buckets: int) -> np.ndarray:
 
 # -- suffixes -----------------------------------------------------------------
 
-def suffixes(found: Anchors, picks: np.ndarray) -> list[bytes]:
-    """Of each picked anchor: the bytes from it to the end of its last window,
-    then the bytes from its first window up to it backwards, then both lengths."""
+def suffix_rows(found: Anchors, picks: np.ndarray) -> np.ndarray:
+    """Of each picked anchor a row of ``WIDTH`` bytes: from the anchor to the end
+    of its last window, then from before the anchor back to its first window
+    (both padded with zeros), and at the end both lengths."""
     at, low, end = found.at[picks], found.low[picks], found.high[picks] + LENGTH
     ahead, behind = end - at, at - low
-    data = found.body.tobytes()
-    back = found.body[::-1].tobytes()
-    size = len(data)
-    return [data[a:e] + back[size - a:size - b] + bytes((x, y)) for a, e, b, x, y in
-            zip(at.tolist(), end.tolist(), low.tolist(), ahead.tolist(), behind.tolist())]
-
-
-def front_coded(strings: list[bytes]) -> tuple[np.ndarray, bytes]:
-    """Of sorted strings: the prefix shared with the one before and the length
-    of the rest (two bytes each), and all the rests."""
-    heads = np.zeros((len(strings), 2), np.uint8)
-    rests, last = [], b""
-    for i, s in enumerate(strings):
-        n = shared_prefix(last, s, 0)
-        heads[i] = n, len(s) - n
-        rests.append(s[n:])
-        last = s
-    return heads, b"".join(rests)
-
-
-def shared_prefix(a: bytes, b: bytes, known: int) -> int:
-    """How many bytes two strings share, the first ``known`` being equal."""
-    n = min(len(a), len(b))
-    if a[known:n] == b[known:n]:
-        return n
-    while known + 8 <= n and a[known:known + 8] == b[known:known + 8]:
-        known += 8
-    while a[known] == b[known]:
-        known += 1
-    return known
+    rows = np.zeros((len(picks), WIDTH), np.uint8)
+    j = np.arange(LENGTH)
+    rows[:, :LENGTH] = found.body[np.minimum(at[:, None] + j, len(found.body) - 1)] * (j < ahead[:, None])
+    j = np.arange(REACH)
+    rows[:, LENGTH:LENGTH + REACH] = found.body[np.maximum(at[:, None] - 1 - j, 0)] * (j < behind[:, None])
+    rows[:, -2], rows[:, -1] = behind, ahead
+    return rows
+
+
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row, whose width is a multiple of eight."""
+    h = np.full(len(rows), C)
+    for word in np.ascontiguousarray(rows).view(np.uint64).T:
+        h = (h ^ word) * A
+        h ^= h >> np.uint64(31)
+        h *= B
+        h ^= h >> np.uint64(28)
+    return h
+
+
+def sorted_runs(rows: np.ndarray, ids: np.ndarray, merges: int
+                ) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+    """(bucket, shared prefixes, rests, smallest ids, held by several) of the
+    distinct rows of each bucket in order, front-coded."""
+    bucket = (row_hashes(rows[:, :KMER]) >> np.uint64(20)) % np.uint64(merges)
+    order = np.argsort(rows.view(f"S{WIDTH}").ravel(), kind="stable")
+    order = order[np.argsort(bucket[order], kind="stable")]
+    rows, ids, bucket = rows[order], ids[order], bucket[order]
+    same = rows[1:] == rows[:-1]
+    known = np.where(same.all(1), WIDTH, same.argmin(1))
+    known = np.concatenate([[0], np.where(bucket[1:] == bucket[:-1], known, 0)])
+    first = np.nonzero(known < WIDTH)[0]
+    least = np.minimum.reduceat(ids, first)
+    several = (np.maximum.reduceat(ids, first) != least).astype(np.uint8)
+    rows, known, bucket = rows[first], known[first].astype(np.uint8), bucket[first].astype(np.int64)
+    fresh = np.arange(WIDTH) >= known[:, None]
+    cuts = np.concatenate([[0], np.nonzero(np.diff(bucket))[0] + 1, [len(bucket)]])
+    for b, e in zip(cuts[:-1], cuts[1:]):
+        yield (int(bucket[b]), known[b:e].tobytes(), rows[b:e][fresh[b:e]].tobytes(),
+               least[b:e].tobytes(), several[b:e].tobytes())
 
 
 class Run:
     """A front-coded run, read one suffix after the other."""
 
-    __slots__ = ("heads", "rests", "ids", "next", "at", "string", "known")
+    __slots__ = ("known", "rests", "ids", "several", "next", "at", "string")
 
-    def __init__(self, heads: bytes, rests: bytes, ids: np.ndarray):
-        self.heads, self.rests, self.ids = heads, rests, ids.tolist()
-        self.next = self.at = self.known = 0
+    def __init__(self, known: bytes, rests: bytes, ids: bytes, several: bytes):
+        self.known, self.rests, self.several = known, rests, several
+        self.ids = np.frombuffer(ids, np.int64).tolist()
+        self.next = self.at = 0
         self.string: bytes | None = b""
-        self.step()
-
-    def step(self) -> None:
-        """On to the next suffix; ``known``: bytes it shares with the one before."""
-        i = 2 * self.next
-        if i >= len(self.heads):
-            self.string, self.known = None, -1
-            return
-        n, rest = self.heads[i], self.heads[i + 1]
-        self.string = self.string[:n] + self.rests[self.at:self.at + rest]
-        self.known = n
-        self.at += rest
+
+    def step(self) -> int:
+        """On to the next suffix: the bytes it shares with the one before, or -1
+        at the end."""
+        if self.next == len(self.known):
+            self.string = None
+            return -1
+        n = self.known[self.next]
+        end = self.at + WIDTH - n
+        self.string = self.string[:n] + self.rests[self.at:end]
+        self.at = end
         self.next += 1
+        return n
+
+
+def shared_prefix(a: bytes, b: bytes, known: int) -> int:
+    """How many bytes two suffixes share, the first ``known`` being equal."""
+    while a[known:known + 8] == b[known:known + 8]:
+        if known >= WIDTH:
+            return WIDTH
+        known += 8
+    while a[known] == b[known]:
+        known += 1
+    return known
 
 
-def merged(runs: list[Run]) -> Iterator[tuple[bytes, int, int]]:
+def merged(runs: list[Run]) -> Iterator[tuple[bytes, int, int, int]]:
     """The suffixes of sorted runs in order: (suffix, bytes shared with the one
-    before, id).  A loser tree: each inner node keeps the run that lost there,
-    and ``known[run]`` the prefix that its head shares with the last winner
-    along its path, so two heads with different known prefixes are ordered
-    without a look at the bytes."""
-    runs = [r for r in runs if r.string is not None]
-    if not runs:
-        return
+    before, id, held by several).  A loser tree: each inner node keeps the run
+    that lost there, and ``known[run]`` the prefix that its head shares with the
+    last winner along its path.  The head with the longer one is smaller, and
+    only where both are as long are bytes compared, from there on."""
     width = 1
     while width < len(runs):
         width *= 2
-    known = [r.known for r in runs] + [-1] * (width - len(runs))
+    known = [r.step() for r in runs] + [-1] * (width - len(runs))
     heads = [r.string for r in runs] + [None] * (width - len(runs))
+    tree = [0] * width
 
     def loses(a: int, b: int) -> bool:
         """Whether head a loses to head b; the loser's known prefix is set."""
         x, y = known[a], known[b]
-        if x != y:
-            return x < y      # the longer prefix of the last winner is smaller
-        if x < 0:
-            return True
+        if x != y or x < 0:
+            return x < y or x == y
         s, t = heads[a], heads[b]
         n = shared_prefix(s, t, x)
-        if n == len(s) or n < len(t) and s[n] < t[n]:
+        if n == WIDTH or s[n] < t[n]:
             known[b] = n
             return False
         known[a] = n
         return True
 
-    tree = [0] * width
-
     def play(node: int) -> int:
         if node >= width:
             return node - width
@@ -272,57 +300,64 @@ def merged(runs: list[Run]) -> Iterator[tuple[bytes, int, int]]:
         tree[node] = b
         return a
 
-    winner = play(1)
-    while known[winner] >= 0:
+    winner = play(1) if runs else 0
+    while runs and known[winner] >= 0:
         run = runs[winner]
-        yield run.string, known[winner], run.ids[run.next - 1]
-        run.step()
-        heads[winner], known[winner] = run.string, run.known
+        at = run.next - 1
+        yield run.string, known[winner], run.ids[at], run.several[at]
+        mine = known[winner] = run.step()
+        heads[winner] = run.string
         node = (winner + width) >> 1
         while node:
             other = tree[node]
-            if loses(winner, other):
+            theirs = known[other]
+            # most matches are decided here, by the known prefixes alone
+            if theirs > mine or theirs == mine >= 0 and loses(winner, other):
                 tree[node] = winner
                 winner = other
+                mine = known[other]
             node >>= 1
 
 
-def slices(suffixes_in_order: Iterator[tuple[bytes, int, int]], size: int = SLICE
-           ) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """The distinct suffixes in order, with the smallest id of each, in slices
-    that end between two anchors.  A suffix that shares all its bytes with the
-    one before is the same one."""
+def slices(suffixes_in_order: Iterator[tuple[bytes, int, int, int]], size: int = SLICE
+           ) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """The distinct suffixes in order, with the smallest id of each and whether
+    several documents hold it, in slices that end between two anchors.  A suffix
+    that shares all its bytes with the one before is the same one."""
     strings: list[bytes] = []
     ids: list[int] = []
-    for string, known, doc in suffixes_in_order:
-        if strings and known == len(string) and known == len(strings[-1]):
+    shared: list[int] = []
+    for string, known, doc, several in suffixes_in_order:
+        if known == WIDTH:
+            shared[-1] |= several | (doc != ids[-1])
             if doc < ids[-1]:
                 ids[-1] = doc
             continue
-        if len(strings) >= size and known < KMER:
-            yield strings, np.array(ids, np.int64)
-            strings, ids = [], []
+        if known < KMER and len(strings) >= size:
+            yield strings, np.array(ids, np.int64), np.array(shared, bool)
+            strings, ids, shared = [], [], []
         strings.append(string)
         ids.append(doc)
+        shared.append(several)
     if strings:
-        yield strings, np.array(ids, np.int64)
+        yield strings, np.array(ids, np.int64), np.array(shared, bool)
 
 
-def window_owners(strings: list[bytes], ids: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """(suffix, first offset, last offset, smallest id) for runs of windows.  Offset o: the window that begins o
-    bytes before the anchor."""
+def window_owners(strings: list[bytes], ids: np.ndarray, shared: np.ndarray
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(suffix, first offset, last offset, smallest id) of runs of windows, where
+    some holder of the suffix may come after that id.  Offset o: the window that
+    begins o bytes before the anchor."""
     flat = np.frombuffer(b"".join(strings), np.uint8)
-    ends = np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings)))
-    ahead, behind = flat[ends - 2].astype(np.int64), flat[ends - 1].astype(np.int64)
-    starts = ends - 2 - ahead - behind
+    at = np.arange(len(strings)) * WIDTH
+    behind, ahead = flat[at + WIDTH - 2].astype(np.int64), flat[at + WIDTH - 1].astype(np.int64)
     n = ahead - LENGTH + behind + 1                    # windows of each suffix
     # the text of a suffix in reading order
     size = ahead + behind
     base = np.cumsum(size) - size
     j = np.arange(size.sum()) - np.repeat(base, size)
-    s, b = np.repeat(starts, size), np.repeat(behind, size)
-    a = np.repeat(ahead, size)
-    text = flat[s + np.where(j < b, a + b - 1 - j, j - b)]
+    s, b = np.repeat(at, size), np.repeat(behind, size)
+    text = flat[s + np.where(j < b, LENGTH + b - 1 - j, j - b)]
     window = np.repeat(base - (np.cumsum(n) - n), n) + np.arange(n.sum())
     row = np.repeat(np.arange(len(strings)), n)
     offset = behind[row] - (window - base[row])
@@ -346,11 +381,11 @@ def window_owners(strings: list[bytes], ids: np.ndarray) -> Iterator[tuple[int,
         smallest = np.minimum.reduceat(ids[row[order[many]]], first)
         least[order[many]] = np.repeat(smallest, np.diff(np.append(first, len(many))))
     # offsets fall along a suffix; runs of equal smallest ids become one
-    new = np.concatenate([[True], (row[1:] != row[:-1]) | (least[1:] != least[:-1])])
-    begin = np.nonzero(new)[0]
+    begin = np.nonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (least[1:] != least[:-1])]))[0]
     last = np.append(begin[1:], len(row)) - 1
-    for i, k in zip(begin.tolist(), last.tolist()):
-        yield int(row[i]), int(offset[k]), int(offset[i]), int(least[i])
+    some = shared[row[begin]] | (least[begin] < ids[row[begin]])
+    begin, last = begin[some], last[some]
+    return row[begin], offset[last], offset[begin], least[begin]
 
 
 def window_hashes(text: np.ndarray) -> np.ndarray:
@@ -376,16 +411,12 @@ def window_hashes(text: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))) * A
 
 
-def suffix_hash(s: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(s)
-
-
 # -- Spark --------------------------------------------------------------------
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, TEXT_BYTES)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     anchors = int(total * 2 / (PLACES + 1))
@@ -402,47 +433,41 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         return np.array([NO_ID if d is None else d for d in batch.column(0).to_pylist()], np.int64)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[bytes, int] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in regroup(batches, TEXT_BYTES):
             found, picks = shared_of(batch)
-            for s, d in zip(suffixes(found, picks), ids_of(batch)[found.owner[picks]].tolist()):
-                if best.setdefault(s, d) > d:
-                    best[s] = d
-            if len(best) >= RUN_SUFFIXES:
-                yield run_rows(best)
-                best = {}
-        if best:
-            yield run_rows(best)
-
-    def run_rows(best: dict[bytes, int]) -> pa.RecordBatch:
-        by_bucket: dict[int, list[bytes]] = {}
-        for s in sorted(best):
-            by_bucket.setdefault(xxhash.xxh3_64_intdigest(s[:KMER]) % merges, []).append(s)
-        coded = {b: front_coded(strings) for b, strings in by_bucket.items()}
-        return pa.RecordBatch.from_pydict({
-            "bucket": pa.array(list(coded), pa.int64()),
-            "heads": pa.array([h.tobytes() for h, _ in coded.values()], pa.binary()),
-            "rests": pa.array([r for _, r in coded.values()], pa.binary()),
-            "ids": pa.array([np.array([best[s] for s in by_bucket[b]], np.int64).tobytes()
-                             for b in coded], pa.binary())})
+            if len(picks):
+                held.append((suffix_rows(found, picks), ids_of(batch)[found.owner[picks]]))
+            if sum(len(h) for _, h in held) >= RUN_SUFFIXES:
+                yield run_rows(held)
+                held = []
+        if held:
+            yield run_rows(held)
+
+    def run_rows(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        packed = zstandard.ZstdCompressor(1)
+        columns = list(zip(*sorted_runs(*(np.concatenate(x) for x in zip(*held)), merges)))
+        return pa.RecordBatch.from_pydict(
+            {"bucket": pa.array(columns[0], pa.int64())}
+            | {name: pa.array(map(packed.compress, column), pa.binary())
+               for name, column in zip(PARTS, columns[1:])})
 
     def merge(table: pa.Table) -> pa.Table:
-        parts = [_verdicts(strings, ids) for strings, ids in slices(merged([
-            Run(h, r, np.frombuffer(i, np.int64)) for h, r, i in zip(
-                *[table.column(c).to_pylist() for c in ("heads", "rests", "ids")])]))]
-        return pa.concat_tables(parts) if parts else _verdicts([], np.zeros(0, np.int64))
+        unpack = zstandard.ZstdDecompressor().decompress
+        own = [Run(*map(unpack, row)) for row in zip(*[table.column(c).to_pylist() for c in PARTS])]
+        return pa.concat_tables([_no_verdicts(), *(_verdicts(*part) for part in slices(merged(own)))])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regroup(batches, TEXT_BYTES):
             found, picks = shared_of(batch)
             owner = found.owner[picks]
-            hashes = np.fromiter(map(suffix_hash, suffixes(found, picks)), np.uint64, len(picks))
+            hashes = row_hashes(suffix_rows(found, picks))
             yield pa.RecordBatch.from_pydict({
                 "suffix": hashes.view(np.int64), "name": names_of(batch)[owner],
                 "doc": ids_of(batch)[owner],
                 "at": (found.at[picks] - found.starts[owner]).astype(np.int32)})
 
-    verdicts = (rows.mapInArrow(runs, "bucket long, heads binary, rests binary, ids binary")
+    verdicts = (rows.mapInArrow(runs, "bucket long, " + ", ".join(f"{c} binary" for c in PARTS))
                 .groupBy("bucket").applyInArrow(merge, "suffix long, first int, last int, least long"))
     covered = (rows.mapInArrow(places, "suffix long, name long, doc long, at int")
                .join(verdicts, "suffix").where("least < doc")
@@ -476,13 +501,17 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(plain, RESULT).unionByName(whole.mapInArrow(finish, RESULT))
 
 
-def _verdicts(strings: list[bytes], ids: np.ndarray) -> pa.Table:
+def _verdicts(strings: list[bytes], ids: np.ndarray, shared: np.ndarray) -> pa.Table:
     """Suffixes by their hash, with the runs of windows and their smallest id."""
-    out = list(window_owners(strings, ids)) if strings else []
-    columns = list(zip(*out)) or [()] * 4
-    hashes = np.fromiter((suffix_hash(strings[i]) for i in columns[0]), np.uint64, len(out))
-    return pa.table({"suffix": hashes.view(np.int64), "first": pa.array(columns[1], pa.int32()),
-                     "last": pa.array(columns[2], pa.int32()), "least": pa.array(columns[3], pa.int64())})
+    row, first, last, least = window_owners(strings, ids, shared)
+    hashes = row_hashes(np.frombuffer(b"".join(strings), np.uint8).reshape(-1, WIDTH))[row]
+    return pa.table({"suffix": hashes.view(np.int64), "first": first.astype(np.int32),
+                     "last": last.astype(np.int32), "least": least})
+
+
+def _no_verdicts() -> pa.Table:
+    return pa.schema([("suffix", pa.int64()), ("first", pa.int32()), ("last", pa.int32()),
+                      ("least", pa.int64())]).empty_table()
 
 
 def names_of(batch: pa.RecordBatch) -> np.ndarray:

@@ -61,18 +61,26 @@ def test_merge_equals_sort(n_runs):
     rng = random.Random(n_runs)
     runs, every = [], []
     for r in range(n_runs):
-        own = sorted({bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(0, 60))})
-        ids = np.array([rng.randrange(100) for _ in own], np.int64)
-        heads, rests = sub.front_coded(own)
-        runs.append(sub.Run(heads.tobytes(), rests, ids))
-        every += zip(own, ids.tolist())
+        n = rng.randint(1, 60)
+        rows = np.array([[rng.choice(b"ab") if j < 12 else 7 for j in range(sub.WIDTH)] for _ in range(n)], np.uint8)
+        ids = np.array([rng.randrange(100) for _ in range(n)], np.int64)
+        every += zip((bytes(x) for x in rows), ids.tolist())
+        (bucket, *parts), = sub.sorted_runs(rows, ids, 1)
+        runs.append(sub.Run(*parts))
     got = list(sub.merged(runs))
-    assert [s for s, _, _ in got] == sorted(s for s, _ in every)
-    last = b""
-    for s, known, _ in got:
-        assert known == sub.shared_prefix(last, s, 0)
+    assert [s for s, *_ in got] == sorted(s for s, *_ in got)
+    last = bytes(sub.WIDTH)
+    for s, known, *_ in got:
+        assert known == next((i for i in range(sub.WIDTH) if s[i] != last[i]), sub.WIDTH)
         last = s
-    assert sorted((s, i) for s, _, i in got) == sorted(every)
+    least, several = {}, {}
+    for s, i in every:
+        least[s] = min(least.get(s, i), i)
+        several.setdefault(s, set()).add(i)
+    runs = [sub.Run(r.known, r.rests, np.array(r.ids, np.int64).tobytes(), r.several) for r in runs]
+    (strings, ids, shared), = sub.slices(sub.merged(runs))
+    assert dict(zip(strings, ids.tolist())) == least
+    assert dict(zip(strings, shared.tolist())) == {s: len(d) > 1 for s, d in several.items()}
 
 
 def test_equal_windows_have_equal_anchors():
