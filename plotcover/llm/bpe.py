@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 
 from plotcover.llm.common import Words, gather_lists
 
-GENERATION = 400_000
+GENERATION = 100_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN_WORD = f"^[!-&(-~{LETTERS}]+$"            # printable ASCII but the apostrophe
 CUT = f"([0-9]|[^0-9{LETTERS} ]+)"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plotcover.session import ensure_checkpoint_dir
 from plotcover.sources.sinks import materialize  # noqa: F401  (used by the operators)
 
-BATCH_BYTES = 8 << 20    # bytes of text a Python task works on at once
+BATCH_BYTES = 2 << 20    # bytes of text a Python task works on at once
 BATCH_ROWS = 2000
 
 
@@ -45,6 +45,8 @@ def regroup(batches: Iterable[pa.RecordBatch], max_bytes: int = BATCH_BYTES
             held, size = [], 0
     if held:
         yield joined(held)
+    # a worker lives on after its task: give back what Arrow keeps for later
+    pa.default_memory_pool().release_unused()
 
 
 def joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from plotcover.llm.common import bounded_batches, regroup, text_column
 
 GRAM_BITS = 15
+TEXT_BYTES = 1 << 20  # text whose n-grams are held at once
 SMOOTHING = 0.1
 AMBIGUOUS = 0.1
 UND = "und"
@@ -102,7 +103,7 @@ def gram_counts(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for batch in regroup(batches, 4 << 20):
+        for batch in regroup(batches, TEXT_BYTES):
             owner, gram, weight, _ = counted(text_column(batch))
             langs = np.array(batch.column(1).to_pylist(), object)
             for lang in sorted(set(langs)):
@@ -211,7 +212,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches, 4 << 20):
+        for batch in regroup(batches, TEXT_BYTES):
             langs, score, ambiguous = shared.value.predict(text_column(batch))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "lang_pred": langs, "score": score,
@@ -227,7 +228,7 @@ def keep_identified(docs: DataFrame, model: Model, column: str = "text") -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches, 4 << 20):
+        for batch in regroup(batches, TEXT_BYTES):
             model = shared.value
             langs, score, ambiguous = model.predict(text_column(batch, column))
             guess = score < 1.2 / max(1, len(model.langs))

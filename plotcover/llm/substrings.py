@@ -55,7 +55,7 @@ WIDTH = LENGTH + REACH + 4        # bytes of a suffix row, a multiple of eight
 PARTS = ("known", "rests", "ids", "several")   # columns of a run
 BITMAP_BITS = 27                  # 16 MB, whatever the input
 BUCKET_ANCHORS = 1_000_000
-MERGE_ANCHORS = 1_000_000          # anchors to a merge bucket; few of them are shared
+MERGE_ANCHORS = 500_000            # anchors to a merge bucket; few of them are shared
 RUN_SUFFIXES = 300_000             # suffixes of a run, over all buckets
 SLICE = 50_000                     # distinct suffixes whose windows are compared at once
 FLUSH = 1_000_000
