@@ -8,6 +8,11 @@ substrings; the longest one at each word, first occurrence included, gives its
 span.  The union of the spans gives the covered fraction, the longest span the
 longest repeat.
 
+The limits bite below the base rule.  One repeated line alone covers much of a
+short text, so a text of up to ``SHORT_WORDS`` words with one duplicate line,
+and nothing covered besides two copies of its longest repeat, is spared the
+limit on the covered fraction (not the base rule, nor the longest repeat).
+
 Only suffixes that still agree with another one are sorted again, so a round
 costs as much as there is repetition left.
 
@@ -31,8 +36,9 @@ WINDOW = 5                # words of a window that counts as repeated (base rule
 MIN_WORDS = 10            # base rule
 MAX_REPEAT_PERCENT = 20   # base rule
 COVER_MIN_WORDS = 10      # a repeated substring of this many words counts as covered
-MAX_COVERED = 0.25        # covered share of a text's word characters
-MAX_LONGEST = 100         # words of the longest repeat
+MAX_COVERED = 0.15        # covered share of a text's word characters
+MAX_LONGEST = 60          # words of the longest repeat
+SHORT_WORDS = 200         # up to this many words, one repeated line is spared
 SYMBOLS = r"[#*$%&|<>]"   # fixed value of the contract
 
 RESULT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -173,13 +179,15 @@ def judge(batch: pa.RecordBatch, cover_min_words: int, max_covered: float, max_l
     fraction = per_text(chars * covered, words.starts) / np.maximum(1, word_chars)
     longest = longest_per_text(repeats.longest, words.starts)
     failed = (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)
-    kept = ~failed & (fraction <= max_covered) & (longest <= max_longest)
+    n_covered, n_dup_lines = per_text(covered, words.starts), duplicate_lines(texts)
+    spared = (n_words <= SHORT_WORDS) & (n_dup_lines == 1) & (n_covered <= 2 * longest)
+    kept = ~failed & ((fraction <= max_covered) | spared) & (longest <= max_longest)
     return pa.RecordBatch.from_pydict({
         "doc_id": batch.column(0), "n_words": n_words, "word_chars": word_chars,
         "n_symbols": pc.cast(pc.count_substring_regex(texts, SYMBOLS), pa.int64()),
-        "n_dup_lines": duplicate_lines(texts), "n_repeat_words": n_repeat,
+        "n_dup_lines": n_dup_lines, "n_repeat_words": n_repeat,
         "base_failed": failed, "kept": kept,
-        "n_covered_words": per_text(covered, words.starts), "covered_fraction": fraction,
+        "n_covered_words": n_covered, "covered_fraction": fraction,
         "longest_repeat_words": longest, "n_repeats": repeats.intervals(cover_min_words)})
 
 

@@ -86,3 +86,22 @@ def test_edge_cases_and_clashing_columns(spark):
 def test_no_match_across_texts():
     words = Words(pa.array(["a b c d e f", "a b c d e f"]))
     assert not np.any(repetition.Repeats(words).longest)
+
+
+def test_limits_bite_below_the_base_rule():
+    def run(name, n):
+        return " ".join(f"{name}{i:03}" for i in range(n))
+    passage, line = run("p", 80), run("l", 12)
+    texts = [run("w", 640) + " " + passage + " z " + passage,          # 80 words twice, 800 in all
+             " ".join(run(f"a{i}_", 52) + " " + run(f"r{i // 2}_", 11) for i in range(20)),
+             run("w", 100) + "\n" + line + "\n" + run("v", 20) + "\n" + line,
+             run("w", 200) + "\n" + run("m", 25) + "\n" + run("v", 20) + "\n" + run("m", 25),
+             run("w", 100) + " " + line + " " + run("v", 20) + " " + line,
+             run("w", 500) + " " + line + " " + line]
+    got = repetition.judge(pa.RecordBatch.from_pydict({"doc_id": list(range(6)), "text": texts}),
+                           repetition.COVER_MIN_WORDS, repetition.MAX_COVERED, repetition.MAX_LONGEST).to_pylist()
+    assert not any(r["base_failed"] for r in got)
+    assert got[0]["longest_repeat_words"] == 80
+    assert all(0.15 < got[i]["covered_fraction"] < 0.25 for i in (1, 2, 3, 4))
+    # only the short text with one repeated line is spared
+    assert [r["kept"] for r in got] == [False, False, True, False, False, True]
