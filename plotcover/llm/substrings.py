@@ -19,6 +19,11 @@ in a document with a smaller doc_id.
    compared only beyond prefixes known to be equal.  Equal suffixes fall
    together.  The windows of the distinct suffixes are then grouped by content,
    and each gets the smallest doc_id that holds it.
+   An anchor that stands at more than ``HOT`` places (a phrase shorter than a
+   window, each time among other text) would meet in one merge task as a whole.
+   Its suffixes skip the merge: each task sends the windows of its distinct
+   ones by 128 bits of content hash, and the smallest doc_id of each window
+   comes from an aggregate that Spark combines before its shuffle.
 4. Verdicts.  Suffixes whose windows occur in a smaller document are joined to
    the places that hold them; the covered stretches are collected by document.
    Only documents that lose bytes are shuffled, found by a Bloom filter of
@@ -40,7 +45,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotcover.llm import bloom
@@ -58,11 +63,15 @@ BUCKET_ANCHORS = 1_000_000
 MERGE_ANCHORS = 500_000            # anchors to a merge bucket; few of them are shared
 RUN_SUFFIXES = 300_000             # suffixes of a run, over all buckets
 SLICE = 50_000                     # distinct suffixes whose windows are compared at once
+HOT = 20_000                       # places of an anchor beyond which its windows are spread
+HOT_SUFFIXES = 1 << 16             # hot suffixes of a task made distinct at once
+HOT_PART = 4096                    # distinct hot suffixes whose windows are made at once
 FLUSH = 1_000_000
 TEXT_BYTES = 1 << 19              # text whose anchors are found at once
 NO_ID = -(1 << 63)
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
+SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass
@@ -120,8 +129,9 @@ def bit_of(bucket: np.ndarray, value: np.ndarray, buckets: int) -> np.ndarray:
     return bucket * each + (value.astype(np.uint64) * np.uint64(each) >> np.uint64(32)).astype(np.int64)
 
 
-def shared_bitmap(docs: DataFrame, buckets: int) -> np.ndarray:
-    """A bitmap of the anchor hashes that two documents hold."""
+def shared_bitmap(docs: DataFrame, buckets: int, hot: int = HOT) -> tuple[np.ndarray, np.ndarray]:
+    """A bitmap of the anchor hashes that two documents hold, and the sorted keys
+    (bucket and 32 bits) of those that stand at more than ``hot`` places."""
     each = (1 << BITMAP_BITS) // buckets // 8 * 8
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,31 +157,53 @@ def shared_bitmap(docs: DataFrame, buckets: int) -> np.ndarray:
         # held by several documents here: sent twice, so it counts as shared at once
         several = np.zeros(len(first), bool)
         several[(np.cumsum(new) - 1)[1:][equal & (owner[1:] != owner[:-1])]] = True
+        count = np.repeat(np.diff(np.append(first, len(values))), 1 + several).astype(np.uint32)
+        count[(np.cumsum(1 + several) - 1)[several]] = 0    # the second time without its places
         bucket, value = slots(np.repeat(values[first], 1 + several), buckets)
         order = np.lexsort((value, bucket))
-        bucket, value = bucket[order], value[order]
+        bucket, value, count = bucket[order], value[order], count[order]
         ends = np.searchsorted(bucket, np.arange(buckets), "right")
         begins = np.concatenate([[0], ends[:-1]])
         some = np.nonzero(ends > begins)[0]
         return pa.RecordBatch.from_pydict({
             "bucket": pa.array(some, pa.int64()),
-            "block": pa.array([value[begins[b]:ends[b]].tobytes() for b in some], pa.binary())})
+            "block": pa.array([value[begins[b]:ends[b]].tobytes() for b in some], pa.binary()),
+            "counts": pa.array([count[begins[b]:ends[b]].tobytes() for b in some], pa.binary())})
 
     def meet(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        values = np.sort(np.frombuffer(b"".join(table.column("block").to_pylist()), np.uint32))
+        values, counts = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint32)
+                          for c in ("block", "counts"))
+        order = np.argsort(values, kind="stable")
+        values, counts = values[order], counts[order]
         shared = values[:-1][values[1:] == values[:-1]]
+        first = np.nonzero(np.concatenate([[True], values[1:] != values[:-1]]))[0]
+        many = values[first][np.add.reduceat(counts, first, dtype=np.int64) > hot]
         bit = np.unique(bit_of(np.zeros(1, np.int64), shared, buckets))
         bits = np.zeros(each // 8, np.uint8)
         np.bitwise_or.at(bits, bit >> 3, np.uint8(1) << (bit & 7).astype(np.uint8))
-        return pa.table({"bucket": pa.array([bucket], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
+        return pa.table({"bucket": pa.array([bucket], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary()),
+                         "hot": pa.array([many.tobytes()], pa.binary())})
 
-    rows = (docs.select("text").mapInArrow(send, "bucket long, block binary")
-            .groupBy("bucket").applyInArrow(meet, "bucket long, bits binary").toArrow())
+    rows = (docs.select("text").mapInArrow(send, "bucket long, block binary, counts binary")
+            .groupBy("bucket").applyInArrow(meet, "bucket long, bits binary, hot binary").toArrow())
     out = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
     for bucket, bits in zip(rows.column("bucket").to_pylist(), rows.column("bits").to_pylist()):
         out[bucket * each // 8:(bucket + 1) * each // 8] = np.frombuffer(bits, np.uint8)
-    return out
+    keys = [hot_keys(np.int64(bucket), np.frombuffer(many, np.uint32))
+            for bucket, many in zip(rows.column("bucket").to_pylist(), rows.column("hot").to_pylist())]
+    return out, np.sort(np.concatenate([np.zeros(0, np.uint64), *keys]))
+
+
+def hot_keys(bucket: np.ndarray, value: np.ndarray) -> np.ndarray:
+    return bucket.astype(np.uint64) << np.uint64(32) | value.astype(np.uint64)
+
+
+def is_hot(hashes: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
+    if not len(hot):
+        return np.zeros(len(hashes), bool)
+    keys = hot_keys(*slots(hashes, buckets))
+    return hot[np.minimum(np.searchsorted(hot, keys), len(hot) - 1)] == keys
 
 
 def is_shared(found: Anchors, bitmap: np.ndarray, buckets: int) -> np.ndarray:
@@ -343,13 +375,10 @@ def slices(suffixes_in_order: Iterator[tuple[bytes, int, int, int]], size: int =
         yield strings, np.array(ids, np.int64), np.array(shared, bool)
 
 
-def window_owners(strings: list[bytes], ids: np.ndarray, shared: np.ndarray
-                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(suffix, first offset, last offset, smallest id) of runs of windows, where
-    some holder of the suffix may come after that id.  Offset o: the window that
-    begins o bytes before the anchor."""
-    flat = np.frombuffer(b"".join(strings), np.uint8)
-    at = np.arange(len(strings)) * WIDTH
+def suffix_windows(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of joined suffix rows: all their text in reading order, where
+    each window begins there, its row and its offset before the anchor."""
+    at = np.arange(0, len(flat), WIDTH)
     behind, ahead = flat[at + WIDTH - 2].astype(np.int64), flat[at + WIDTH - 1].astype(np.int64)
     n = ahead - LENGTH + behind + 1                    # windows of each suffix
     # the text of a suffix in reading order
@@ -359,8 +388,16 @@ def window_owners(strings: list[bytes], ids: np.ndarray, shared: np.ndarray
     s, b = np.repeat(at, size), np.repeat(behind, size)
     text = flat[s + np.where(j < b, LENGTH + b - 1 - j, j - b)]
     window = np.repeat(base - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    row = np.repeat(np.arange(len(strings)), n)
-    offset = behind[row] - (window - base[row])
+    row = np.repeat(np.arange(len(at)), n)
+    return text, window, row, behind[row] - (window - base[row])
+
+
+def window_owners(strings: list[bytes], ids: np.ndarray, shared: np.ndarray
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(suffix, first offset, last offset, smallest id) of runs of windows, where
+    some holder of the suffix may come after that id.  Offset o: the window that
+    begins o bytes before the anchor."""
+    text, window, row, offset = suffix_windows(np.frombuffer(b"".join(strings), np.uint8))
     h = window_hashes(text)[window]
     order = np.argsort(h, kind="stable")
     group = np.concatenate([[0], np.cumsum(h[order][1:] != h[order][:-1])])
@@ -388,7 +425,41 @@ def window_owners(strings: list[bytes], ids: np.ndarray, shared: np.ndarray
     return row[begin], offset[last], offset[begin], least[begin]
 
 
-def window_hashes(text: np.ndarray) -> np.ndarray:
+def hot_windows(rows: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The windows of the distinct ones of suffix rows: the suffix, the offset, two
+    hashes of the content, the smallest and the largest id that has the suffix."""
+    hashes = row_hashes(rows)
+    order = np.argsort(hashes, kind="stable")
+    first = np.nonzero(np.concatenate([[True], np.diff(hashes[order]) != 0]))[0]
+    least, most = (f.reduceat(ids[order], first) for f in (np.minimum, np.maximum))
+    picks = order[first]
+    for at in range(0, len(picks), HOT_PART):
+        part = slice(at, at + HOT_PART)
+        text, window, row, offset = suffix_windows(rows[picks[part]].ravel())
+        yield pa.RecordBatch.from_pydict({
+            "suffix": hashes[picks[part]][row].view(np.int64), "offset": offset.astype(np.int32),
+            "one": window_hashes(text)[window].view(np.int64),
+            "two": window_hashes(text, SECOND)[window].view(np.int64),
+            "low": least[part][row], "high": most[part][row]})
+
+
+def hot_verdicts(windows: DataFrame) -> DataFrame:
+    """The verdicts (suffix, first, last, least) of hot suffixes from their windows."""
+    owners = (windows.groupBy("one", "two").agg(F.min("low").alias("least"), F.max("high").alias("top"))
+              .where("least < top").drop("top"))
+    found = (windows.join(owners, ["one", "two"]).where("least < high")
+             .groupBy("suffix", "offset").agg(F.min("least").alias("least")))
+    # runs of offsets with equal smallest ids become one; a suffix has at most PLACES
+    along = Window.partitionBy("suffix").orderBy("offset")
+    goes_on = (F.lag("offset").over(along) == F.col("offset") - 1) & (F.lag("least").over(along) == F.col("least"))
+    return (found.withColumn("new", F.when(goes_on, 0).otherwise(1))
+            .withColumn("run", F.sum("new").over(along))
+            .groupBy("suffix", "run").agg(F.min("offset").alias("first"), F.max("offset").alias("last"),
+                                          F.min("least").alias("least"))
+            .select("suffix", "first", "last", "least"))
+
+
+def window_hashes(text: np.ndarray, factor_of: np.uint64 = B) -> np.ndarray:
     """A 64-bit hash of the LENGTH bytes from each place (short at the end)."""
     table = (np.arange(1, 257, dtype=np.uint64) * A)
     table = (table ^ (table >> np.uint64(31))) * C
@@ -396,7 +467,7 @@ def window_hashes(text: np.ndarray) -> np.ndarray:
     h = np.zeros(len(text), np.uint64)
     coded = table[text]
     # doubling: the hash of 2 n bytes from two hashes of n bytes
-    parts, n, power = {1: coded}, 1, {1: int(B)}
+    parts, n, power = {1: coded}, 1, {1: int(factor_of)}
     while 2 * n <= LENGTH:
         longer = parts[n].copy()
         longer[:len(text) - n] += parts[n][n:] * np.uint64(power[n])
@@ -413,7 +484,7 @@ def window_hashes(text: np.ndarray) -> np.ndarray:
 
 # -- Spark --------------------------------------------------------------------
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     spark = docs.sparkSession
     bounded_batches(spark, TEXT_BYTES)
@@ -421,7 +492,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     anchors = int(total * 2 / (PLACES + 1))
     buckets = max(1, min(1 << 20, anchors // BUCKET_ANCHORS))
-    bitmap = spark.sparkContext.broadcast(shared_bitmap(rows, buckets))
+    shared, spread = shared_bitmap(rows, buckets, hot)
+    bitmap, hot_anchors = spark.sparkContext.broadcast(shared), spark.sparkContext.broadcast(spread)
 
     merges = max(1, anchors // MERGE_ANCHORS)
 
@@ -432,18 +504,28 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     def ids_of(batch: pa.RecordBatch) -> np.ndarray:
         return np.array([NO_ID if d is None else d for d in batch.column(0).to_pylist()], np.int64)
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def suffixes(batches: Iterator[pa.RecordBatch], hot_ones: bool, most: int
+                 ) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in regroup(batches, TEXT_BYTES):
             found, picks = shared_of(batch)
+            picks = picks[is_hot(found.hash[picks], hot_anchors.value, buckets) == hot_ones]
             if len(picks):
                 held.append((suffix_rows(found, picks), ids_of(batch)[found.owner[picks]]))
-            if sum(len(h) for _, h in held) >= RUN_SUFFIXES:
-                yield run_rows(held)
+            if sum(len(h) for _, h in held) >= most:
+                yield held
                 held = []
         if held:
+            yield held
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in suffixes(batches, False, RUN_SUFFIXES):
             yield run_rows(held)
 
+    def spread_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in suffixes(batches, True, HOT_SUFFIXES):
+            yield from hot_windows(*(np.concatenate(x) for x in zip(*held)))
+
     def run_rows(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         packed = zstandard.ZstdCompressor(1)
         columns = list(zip(*sorted_runs(*(np.concatenate(x) for x in zip(*held)), merges)))
@@ -469,6 +551,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     verdicts = (rows.mapInArrow(runs, "bucket long, " + ", ".join(f"{c} binary" for c in PARTS))
                 .groupBy("bucket").applyInArrow(merge, "suffix long, first int, last int, least long"))
+    if len(spread):
+        windows = rows.mapInArrow(
+            spread_windows, "suffix long, offset int, one long, two long, low long, high long")
+        verdicts = verdicts.unionByName(hot_verdicts(materialize(windows, "hot_windows")))
     covered = (rows.mapInArrow(places, "suffix long, name long, doc long, at int")
                .join(verdicts, "suffix").where("least < doc")
                .select("name", F.struct((F.col("at") - F.col("last")).alias("begin"),

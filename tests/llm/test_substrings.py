@@ -101,3 +101,24 @@ def test_window_hash_depends_on_content_only():
     body = np.frombuffer(b"0123456789" * 30, np.uint8)
     h = sub.window_hashes(body)
     assert h[3] == h[13] and h[3] != h[4]
+
+
+def test_hot_phrase_in_varying_context_is_spread(spark):
+    rng = random.Random(11)
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+    phrase, longer, context = noise(30), noise(53), [noise(12) for _ in range(6)]
+    rows = [(rng.randrange(300), noise(rng.randint(0, 90)) + rng.choice(context) + rng.choice([phrase, longer])
+             + rng.choice(context) + noise(rng.randint(0, 90))) for _ in range(400)]
+    rows += [(None, noise(20) + context[0] + phrase + context[1]), (500, "x" * 300), (501, "x" * 120), (502, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    _, hot = sub.shared_bitmap(docs, 1, 50)
+    found = sub.find_anchors(pa.array([t or "" for _, t in rows]))
+    # no anchor that is left to the merge stands at more places than allowed
+    kept = found.hash[~sub.is_hot(found.hash, hot, 1)]
+    assert len(hot) and np.unique(kept, return_counts=True)[1].max() <= 50
+    assert np.unique(found.hash, return_counts=True)[1].max() > 100
+    want = brute(rows)
+    assert sum(r[2] for r in want) > 1000
+    for limit in (0, 50, sub.HOT):
+        assert sorted(map(tuple, sub.deduplicate(docs, limit).collect()), key=str) == want
