@@ -232,9 +232,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One document of each component: the one with the smallest doc_id.  Rows
-    with the same doc_id are one document, of which one row stays."""
-    found = near_duplicates(docs, shingle, radius)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each component of fingerprints: the one with the smallest
+    doc_id, a null one last, then by a digest of the text, then of the whole
+    row.  Rows of other components stay, also with the same or a null doc_id."""
+    bounded_batches(docs.sparkSession)
+    own = F.struct(
+        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64("text").alias("words"),
+        # null columns do not enter the hash, so where they are does
+        *[F.xxhash64(F.lit(seed), *[x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]).alias(f"row{seed}")
+          for seed in (1, 2)])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in regroup(batches):
+            values = fingerprints(text_column(batch), shingle)
+            yield pa.RecordBatch.from_pydict({"own": batch.column(0), "fp": values.view(np.int64)})
+
+    rows = docs.select(own.alias("own"), "text")
+    marked = rows.mapInArrow(hashed, f"own {rows.schema['own'].dataType.simpleString()}, fp long")
+    nodes = materialize(marked.groupBy("fp").agg(F.min("own").alias("own")), "nodes")
+    firsts = nodes.select("fp", F.col("fp").alias("first"))
+    kept = (nodes.join(components(neighbours(firsts, radius), firsts), "fp", "left")
+            .groupBy(F.coalesce("label", "fp").alias("kept_of")).agg(F.min("own").alias("own"))
+            .select("kept_of", F.col("own.row1").alias("kept_row1"), F.col("own.row2").alias("kept_row2")))
+    return (docs.select("*", own["row1"].alias("kept_row1"), own["row2"].alias("kept_row2"))
+            .join(kept, ["kept_row1", "kept_row2"])
+            # only equal rows are left to choose from
+            .dropDuplicates(["kept_of"]).select(docs.columns))

@@ -99,3 +99,28 @@ def test_chain_settles(spark):
     nodes = spark.createDataFrame([(i, (i * 7919) % 1000 + 5) for i in range(n + 1)], "fp long, first long")
     labels = {r.label for r in simhash.components(edges, nodes).collect()}
     assert labels == {min((i * 7919) % 1000 + 5 for i in range(n + 1))}
+
+
+def test_keep_one_removes_only_near_duplicates(spark):
+    rng = random.Random(9)
+    def text():
+        return " ".join(f"w{rng.randrange(10_000)}" for _ in range(60))
+    plain, twice, copied, other = [text() for _ in range(8)], text(), text(), text()
+    rows = [(None, t, "a") for t in plain]                         # documents without an id
+    rows += [(5, plain[0], "a"), (None, plain[1], None), (None, plain[1], None)]
+    rows += [(7, twice, "a"), (7, other, "a")]                     # one id, two documents
+    rows += [(9, copied, "b"), (9, copied.upper(), "b"), (8, copied, "c"), (8, copied, "a"), (8, copied, "a")]
+    schema = "doc_id long, text string, source string"
+    results = []
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rng.sample(rows, len(rows)), schema).repartition(parts)
+        got = simhash.keep_one(docs)
+        assert got.columns == docs.columns
+        results.append(sorted(map(tuple, got.collect()), key=str))
+    assert results[0] == results[1]                                # whatever the order of rows
+    group = {f: min((d for d, t, _ in rows if fingerprint(t) == f and d is not None), default=None)
+             for f in {fingerprint(t) for _, t, _ in rows}}
+    assert len(group) == 11 and len(results[0]) == 11
+    assert {fingerprint(t): d for d, t, _ in results[0]} == group
+    assert all(r in rows for r in results[0])
+    assert simhash.keep_one(docs.limit(0)).collect() == []
