@@ -10,7 +10,9 @@ parts it has, whether a check digit or the range of its parts holds, what
 stands before and after it.  Dynamic programming over segments of bounded
 length picks boundaries and kinds of a region together.  Tokens of base spans
 are barriers, so the model only adds spans; those are kept whose segment has a
-posterior of at least ``MIN_POSTERIOR``.
+posterior of at least ``MIN_POSTERIOR``.  A region may be as long as its text:
+it is scored and decoded in blocks of ``BLOCK`` tokens, and between them only
+a few numbers a token are kept.
 
 The weights are fitted by gradient steps on the conditional likelihood of the
 base spans in a bounded sample of regions: the ``TRAIN_REGIONS`` ones with the
@@ -26,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +42,7 @@ from plotcover.llm.common import bounded_batches, regroup, text_column
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 16
+BLOCK = 1024             # tokens whose segments are held at once
 TRAIN_REGIONS = 150      # with a base span, and as many without
 EPOCHS = 12
 RATE = 0.3
@@ -266,18 +270,81 @@ def added_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
     return out
 
 
-def _decode(text: str, start: int, end: int, weights: np.ndarray) -> Iterator[Span]:
-    lattice = Lattice(text, start, end)
-    scores = lattice.scores(weights)
-    if not len(scores) or scores.max() <= 0:
+def _decode(text: str, start: int, end: int, weights: np.ndarray, block: int = BLOCK) -> Iterator[Span]:
+    """The sure segments of the best segmentation, as ``Lattice`` gives them, from
+    blocks of segments by their last token.  The way back scores each block again,
+    and only if the way forward chose a segment."""
+    at = array("q", (m.start() for m in TOKEN.finditer(text, start, end)))
+    at.append(end)
+    n = len(at) - 1
+    forward, value = array("d", [0.0]) * (n + 1), array("d", [0.0]) * (n + 1)
+    back, kind_of = array("b", [0]) * (n + 1), array("b", [0]) * (n + 1)
+    held = None
+    for low in range(0, n, block):
+        held = _block(text, at, low, min(n, low + block), weights)
+        first, ends, scores, both = held
+        kinds = scores.argmax(1) if len(scores) else []
+        s = 0
+        for j in range(low + 1, min(n, low + block) + 1):
+            terms, best = [forward[j - 1]], value[j - 1]
+            while s < len(ends) and ends[s] == j:
+                i = first[s]
+                terms.append(forward[i] + both[s])
+                v = value[i] + scores[s, kinds[s]]
+                if v > best:
+                    best, back[j], kind_of[j] = v, j - i, kinds[s]
+                s += 1
+            forward[j], value[j] = _logsum(terms), best
+    chosen, j = {}, n
+    while j > 0:
+        if back[j]:
+            chosen[j] = j - back[j]
+        j -= back[j] or 1
+    if not chosen:
         return
-    chosen = lattice.best(scores)
-    if chosen:
-        sure, _ = lattice.posteriors(scores)
-        for s, kind in chosen:
-            if sure[s, kind] >= MIN_POSTERIOR:
-                i, j = lattice.segments[s]
-                yield lattice.at[i], kind, lattice.at[j]
+    # segments begin up to MAX_TOKENS before their end: what goes into a place from later ends waits there
+    backward, sure = array("d", [0.0]) * (n + 1), []
+    waiting: dict[int, list[float]] = {}
+    for low in range((n - 1) // block * block, -1, -block):
+        first, ends, scores, both = held or _block(text, at, low, min(n, low + block), weights)
+        held = None
+        s = len(ends) - 1
+        for j in range(min(n, low + block), low, -1):
+            if j < n:
+                backward[j] = _logsum([backward[j + 1], *waiting.pop(j, [])])
+            while s >= 0 and ends[s] == j:
+                i = first[s]
+                waiting.setdefault(i, []).append(backward[j] + both[s])
+                if chosen.get(j) == i:
+                    sure.append((i, j, kind_of[j], scores[s, kind_of[j]] + forward[i] + backward[j] - forward[n]))
+                s -= 1
+    for i, j, kind, log_posterior in reversed(sure):
+        if math.exp(log_posterior) >= MIN_POSTERIOR:
+            yield at[i], kind, at[j]
+
+
+def _block(text: str, at: array, low: int, high: int, weights: np.ndarray
+           ) -> tuple[list[int], list[int], np.ndarray, np.ndarray]:
+    """The candidate segments that end after token ``low`` up to ``high``, by end,
+    then begin: first tokens, ends, scores by kind, and their log sums."""
+    begin = max(0, low + 1 - MAX_TOKENS)
+    strings = [text[at[t]:at[t + 1]] for t in range(begin, high)]
+    core = [s[0].isascii() and s[0].isdigit() or s == "@" for s in strings]
+    blank = [s.isspace() for s in strings]
+    first, ends, rows = [], [], array("i")
+    for j in range(low + 1, high + 1):
+        if blank[j - 1 - begin]:
+            continue
+        for i in range(max(0, j - MAX_TOKENS), j):
+            if not blank[i - begin] and any(core[i - begin:j - begin]):
+                a, b = at[i], at[j]
+                first.append(i)
+                ends.append(j)
+                rows.extend(features(text[a:b], text[a - 1:a], text[b:b + 1]))
+    if not first:
+        return first, ends, np.zeros((0, len(KINDS))), np.zeros(0)
+    scores = weights[np.frombuffer(rows, np.int32).reshape(len(first), -1)].sum(1)
+    return first, ends, scores, np.logaddexp.reduce(scores, axis=1)
 
 
 # -- Spark --------------------------------------------------------------------

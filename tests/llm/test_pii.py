@@ -1,9 +1,12 @@
+import base64
 import hashlib
 import random
 import re
 import time
+import tracemalloc
 
 import duckdb
+import numpy as np
 import pytest
 
 from plotcover.llm import pii
@@ -93,3 +96,38 @@ def test_edge_cases(spark):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) == row(dict(rows)[r.doc_id])
     assert pii.find(docs.limit(0), None).collect() == [] and pii.train(docs.limit(0)) is None
     assert {r.doc_id: r.text for r in pii.mask(docs, None).collect()}[5] == "[EMAIL]"
+
+
+def in_one_piece(text, start, end, weights):
+    """The decoding of a stretch with all its segments held at once."""
+    lattice = pii.Lattice(text, start, end)
+    scores = lattice.scores(weights)
+    sure, _ = lattice.posteriors(scores)
+    return [(lattice.at[i], k, lattice.at[j]) for s, k in lattice.best(scores)
+            if sure[s, k] >= pii.MIN_POSTERIOR for i, j in [lattice.segments[s]]]
+
+
+@pytest.mark.parametrize("block", [1, 3, 16, 40, 2048])
+def test_blocks_decode_as_one_piece(block):
+    rng = random.Random(block)
+    found = 0
+    for _ in range(25):
+        weights = np.random.default_rng(rng.randrange(1 << 30)).normal(-0.2, 1.2, (1 << pii.FEATURE_BITS, 4))
+        text = "".join(rng.choice(["a", "é", "@", ".", "-", "+", " ", "1", "25", "x", ","]) for _ in range(rng.randint(0, 90)))
+        want = in_one_piece(text, 0, len(text), weights)
+        assert list(pii._decode(text, 0, len(text), weights, block)) == want
+        found += len(want)
+    assert found
+
+
+def test_long_numeric_and_base64_regions_take_little_memory():
+    rng = random.Random(5)
+    weights = np.random.default_rng(5).normal(-0.2, 3.0, (1 << pii.FEATURE_BITS, 4))
+    for text in (",".join(str(rng.randrange(10**6)) for _ in range(900)),
+                 base64.b64encode(rng.randbytes(5_000)).decode()):
+        tracemalloc.start()
+        spans = pii.added_spans(text, [], weights)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 16 << 20
+        assert spans and spans == in_one_piece(text, 0, len(text), weights)
