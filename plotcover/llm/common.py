@@ -3,7 +3,9 @@ bytes, words of a batch as integer codes, per-document digests."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby, pairwise
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -97,3 +99,25 @@ def gather_lists(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray,
     ends = np.cumsum(n)
     total = int(ends[-1]) if len(ends) else 0
     return flat[np.repeat(starts[picks] - (ends - n), n) + np.arange(total)]
+
+
+def grouped(frame: DataFrame, keys: tuple[str, str], order: tuple[str, ...],
+            work: Callable[[tuple[int, int], Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+            schema: str) -> DataFrame:
+    """Run ``work`` on the rows of each value of two long keys, sorted by
+    ``order`` and handed over batch by batch, so that a group never has to be
+    in memory as a whole."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def slices():
+            for batch in batches:
+                one, two = (batch.column(batch.schema.get_field_index(k)).to_numpy() for k in keys)
+                new = np.nonzero((one[1:] != one[:-1]) | (two[1:] != two[:-1]))[0] + 1
+                for a, b in pairwise([0, *new.tolist(), batch.num_rows]):
+                    if b > a:
+                        yield (int(one[a]), int(two[a])), batch.slice(a, b - a)
+
+        for key, own in groupby(slices(), itemgetter(0)):
+            yield from work(key, (s for _, s in own))
+
+    return (frame.repartition(*keys).sortWithinPartitions(*keys, *order)
+            .mapInArrow(run, schema))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from plotcover.llm import chat, chunks, decontaminate, langid, pii, records, repetition, sharding, simhash, substrings
+from plotcover.llm import chat, chunks, decontaminate, langid, pii, records, repetition, sharding, simhash, substrings, vectors
 from plotcover.llm.bpe import default_tokenizer
 from plotcover.llm.common import read_table
 
@@ -94,6 +94,10 @@ def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -107,6 +111,7 @@ def queries() -> dict[str, Query]:
         "op8_personal_data": op8_personal_data,
         "op9_substring_deduplication": op9_substring_deduplication,
         "op10_simhash_near_duplicates": op10_simhash_near_duplicates,
+        "op11_embedding_near_duplicates": op11_embedding_near_duplicates,
     }
 
 
