@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from plotcover.llm import chat, chunks, decontaminate, langid, pii, records, repetition, sharding, simhash, substrings, vectors
+from plotcover.llm import chat, chunks, decontaminate, langid, pii, records, repair, repetition, sharding, simhash, substrings, vectors
 from plotcover.llm.bpe import default_tokenizer
 from plotcover.llm.common import read_table
 
@@ -98,6 +98,10 @@ def op11_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFram
     return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(read_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -112,6 +116,7 @@ def queries() -> dict[str, Query]:
         "op9_substring_deduplication": op9_substring_deduplication,
         "op10_simhash_near_duplicates": op10_simhash_near_duplicates,
         "op11_embedding_near_duplicates": op11_embedding_near_duplicates,
+        "op12_conversation_repair": op12_conversation_repair,
     }
 
 
