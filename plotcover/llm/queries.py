@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from plotcover.llm import chat, chunks, decontaminate, langid, pii, records, repair, repetition, sharding, simhash, substrings, vectors
+from plotcover.llm import (chat, chunks, decontaminate, langid, pii, records, repair, repetition, search,
+                           sharding, simhash, substrings, vectors)
 from plotcover.llm.bpe import default_tokenizer
 from plotcover.llm.common import read_table
 
@@ -102,6 +103,38 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_damaged(read_table(spark, sf_dir, "conversations"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+OP13_TERMS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+OP13_SQL = f"""
+with asked as (
+select item, item_id, term, count(*) as repeats
+from (select item, item_id, unnest({OP13_TERMS}) as term
+      from (select row_number() over () as item, * from (select distinct item_id, text from benchmark)))
+group by all),
+docs as (
+select row_number() over () as doc, doc_id, {OP13_TERMS} as terms from documents),
+sizes as (select doc, doc_id, len(terms) as n from docs where len(terms) > 0),
+whole as (select count(*) as docs, cast(sum(n) as bigint) as length from sizes),
+counts as (
+select doc, term, count(*) as tf from (select doc, unnest(terms) as term from docs)
+where term in (select term from asked) group by all),
+weights as (
+select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) as bigint) as w
+from counts, whole group by term, docs),
+scores as (
+select item, item_id, doc_id,
+  cast(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length)))) as bigint) as score
+from asked join counts using (term) join weights using (term) join sizes using (doc), whole
+group by item, item_id, doc, doc_id)
+select item_id, cast(rank as int) as rank, doc_id, score
+from (select *, row_number() over (partition by item order by score desc, doc_id) as rank from scores where score > 0)
+where rank <= 20"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -117,8 +150,9 @@ def queries() -> dict[str, Query]:
         "op10_simhash_near_duplicates": op10_simhash_near_duplicates,
         "op11_embedding_near_duplicates": op11_embedding_near_duplicates,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_ranked_search": op13_ranked_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_formatting": OP3_SQL}
+    return {"op3_chat_formatting": OP3_SQL, "op13_ranked_search": OP13_SQL}
