@@ -144,6 +144,36 @@ def q_relcover_fractional_wide(spark, sf_dir):
     return wide.select(*chk.POINT_KEYS, "sum_relcover", "relcover_is_100")
 
 
+def _thirds_rows(spark, sf_dir):
+    """Species rows whose covers are thirds, as doubles: three times 100/3 is
+    100 only if the doubles are added exactly and rounded once."""
+    t = _tables(spark, sf_dir)
+    item = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    cover = F.when(F.col("l_orderkey") % 2 == 0, F.lit(100.0)).otherwise(
+        ((F.col("l_partkey") * 7 + F.col("l_linenumber") * 131) % 300).cast("double")) / 3
+    veg = item.select(
+        F.col("l_orderkey").alias("point_id"),
+        F.when(F.col("l_returnflag") == "A", "Mangrove").otherwise("Marsh").alias("communitytype"),
+        F.when(F.col("l_linenumber") <= 3, "Tree").otherwise("Herb").alias("vegetationtype"),
+        F.concat(F.lit("SP"), F.lpad((F.col("l_orderkey") % 3000).cast("string"), 4, "0")).alias("speciescode"),
+        cover.alias("percentcover_raw"))
+    return chk.point_rows(t.with_(vegetation=veg))
+
+
+def q_relcover_thirds(spark, sf_dir):
+    return chk.relcover_check(_thirds_rows(spark, sf_dir))
+
+
+def q_point_sum_thirds(spark, sf_dir):
+    """The cells behind it, each sum exact and rounded once."""
+    return chk.point_sum_long(_thirds_rows(spark, sf_dir))
+
+
+def q_abs_cover_long_exact(spark, sf_dir):
+    """SOP8-2 without rounding: sums of products to the last bit."""
+    return cov.abs_cover_long(cov.point_cover_rows(_tables(spark, sf_dir)))
+
+
 def q_normalised_markers(spark, sf_dir):
     """The forgiving read (S1, E3): source-style names, ids with braces, text
     covers with words among them, NaN distances."""
@@ -343,6 +373,9 @@ def _survey_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "strata_check_by_group": q_strata_check_by_group,
         "relcover_fractional": q_relcover_fractional,
         "relcover_fractional_wide": q_relcover_fractional_wide,
+        "relcover_thirds": q_relcover_thirds,
+        "point_sum_thirds": q_point_sum_thirds,
+        "abs_cover_long_exact": q_abs_cover_long_exact,
         "pilot_point_count_long": q_pilot_point_count_long,
         "segment_sort_key": q_segment_sort_key,
         "distance_rows": q_distance_rows,
@@ -560,25 +593,46 @@ from pr where {_not_null(keys + ', speciescode')}
 group by {keys}"""
 
 
-def _sql_fractional() -> str:
+def _sql_exact_sum(value: str, bits: int = 64) -> str:
+    """The sum of doubles of at least 0 whose last bit is above 2^-bits, exact
+    and rounded once: a whole number of 2^-bits, in two halves of which each is
+    a double without rounding."""
+    total = f"sum(cast({value} * {2 ** bits}::double as hugeint))"
+    return (f"((cast({total} // {2 ** 48} as double) * {2 ** 48}::double + cast({total} % {2 ** 48} as double))"
+            f" / {2 ** bits}::double)")
+
+
+def _sql_folded(rows: str, value: str) -> str:
     """Exact totals per species, then added as doubles in species order."""
     keys = POINT_KEYS_SQL
     return _with(SQL_MK) + f""",
-fr AS (
-select region, segment, location_name, event_type,
-  case when l_returnflag = 'A' then 'Mangrove' else 'Marsh' end as communitytype,
-  case when l_linenumber <= 3 then 'Tree' else 'Herb' end as vegetationtype,
-  'SP' || lpad(cast(l_partkey % 12 as varchar), 2, '0') as speciescode,
-  (l_partkey * 7 + l_linenumber * 131) % 1000 as tenths
-from lineitem join mk on l_orderkey = mk.point_id),
+fr AS ({rows}),
 sp AS (
-select {keys}, speciescode, cast(cast(sum(tenths) as decimal(30, 1)) / 10 as double) as total
+select {keys}, speciescode, {_sql_exact_sum(value)} as total
 from fr where {_not_null(keys)} group by {keys}, speciescode),
 folded AS (
 select {keys}, list_reduce(list_prepend(cast(0 as double), list(total order by speciescode)),
                            lambda a, b: a + b) as sum_relcover
 from sp group by {keys})
-select *, sum_relcover = 100.0 as relcover_is_100 from folded"""
+"""
+
+
+def _sql_made_rows(species: str, cover: str) -> str:
+    return f"""
+select region, segment, location_name, event_type,
+  case when l_returnflag = 'A' then 'Mangrove' else 'Marsh' end as communitytype,
+  case when l_linenumber <= 3 then 'Tree' else 'Herb' end as vegetationtype,
+  {species} as speciescode, {cover} as percentcover
+from lineitem join mk on l_orderkey = mk.point_id"""
+
+
+FRACTIONAL_ROWS = _sql_made_rows("'SP' || lpad(cast(l_partkey % 12 as varchar), 2, '0')",
+                                 "cast((l_partkey * 7 + l_linenumber * 131) % 1000 as double) / 10")
+THIRDS_ROWS = _sql_made_rows(
+    "'SP' || lpad(cast(l_orderkey % 3000 as varchar), 4, '0')",
+    "case when l_orderkey % 2 = 0 then 100.0::double "
+    "else cast((l_partkey * 7 + l_linenumber * 131) % 300 as double) end / 3")
+FOLDED_CHECK = "select *, sum_relcover = 100.0 as relcover_is_100 from folded"
 
 
 SQL_GROUP_ROWS = """
@@ -794,8 +848,16 @@ from orders""",
 select mk.event_group_id, point_id, region, segment, location_name, event_type, {STRATA_SQL},
   {_sql_sums()}
 from mk join fx_event_groups g on mk.event_group_id = g.event_group_id""",
-        "relcover_fractional": _sql_fractional(),
-        "relcover_fractional_wide": _sql_fractional(),
+        "relcover_fractional": _sql_folded(FRACTIONAL_ROWS, "percentcover") + FOLDED_CHECK,
+        "relcover_fractional_wide": _sql_folded(FRACTIONAL_ROWS, "percentcover") + FOLDED_CHECK,
+        "relcover_thirds": _sql_folded(THIRDS_ROWS, "percentcover") + FOLDED_CHECK,
+        "point_sum_thirds": _sql_folded(THIRDS_ROWS, "percentcover") + f"""
+select {POINT_KEYS_SQL}, speciescode, total as sum_percentcover from sp""",
+        "abs_cover_long_exact": _with(_sql_abs_rows()) + f"""
+select communitytype, vegetationtype, speciescode, location_name,
+  coalesce({_sql_exact_sum('abs_cover')}, 0.0) as abs_cover
+from abs_rows where {_not_null('communitytype, vegetationtype, speciescode, location_name')}
+group by communitytype, vegetationtype, speciescode, location_name""",
         "pilot_point_count_long": _sql_point_long("count", PILOT_POINT_KEYS_SQL),
         "segment_sort_key": _with(SQL_MK, SQL_DR) + """
 select distinct segment, try_cast(regexp_extract(segment, '([0-9]+)', 1) as bigint) as segment_number

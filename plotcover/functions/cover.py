@@ -7,6 +7,8 @@ never NaN (the coercion maps NaN to NULL).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -70,33 +72,22 @@ def _to_number(c: Column, source_type: T.DataType | None) -> Column:
     )
 
 
-# A double is summed as the decimal it is written as, so a total does not
-# depend on the order in which rows arrive (D7).  Values beyond the range of
-# the decimal (infinities above all) are summed as doubles beside it.
-EXACT_DECIMAL = "decimal(38,15)"
-EXACT_LIMIT = 1e18
-
-
 def row_sum(*cols: Column | str) -> Column:
     """Row-wise total, terms added in the order given, that skips missing
-    terms; all missing gives 0.0 (N1)."""
+    terms; all missing gives 0.0 (N1), infinities of both signs NULL."""
     terms = [F.coalesce(_c(c), F.lit(0.0)) for c in cols]
     total = terms[0]
     for term in terms[1:]:
         total = total + term
-    return total
-
-
-def exact_sum(col: Column | str) -> Column:
-    """Aggregate sum that is the same for any order of the rows: 0.0 when
-    every value is missing (N4); missing (not NaN) when infinities of both
-    signs meet."""
-    value = _c(col)
-    inside = F.abs(value) < F.lit(EXACT_LIMIT)
-    exact = F.sum(F.when(inside, value.try_cast(EXACT_DECIMAL)))
-    beyond = F.sum(F.when(~inside, value))
-    total = F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(beyond, F.lit(0.0))
-    return F.nanvl(total, F.lit(None).cast("double"))
+    return no_nan(total)
+
+
+def cells_sum(names: Sequence[str]) -> Column:
+    """``row_sum`` over any number of named columns: a fold over an array of
+    them, so the plan does not get deeper with their number."""
+    cells = ", ".join("`" + n.replace("`", "``") + "`" for n in names)
+    return no_nan(F.expr(f"aggregate(array({cells}), 0D, (held, c) -> held + coalesce(c, 0D))")
+                  if names else F.lit(0.0))
 
 
 def equals_exactly(col: Column | str, value: float) -> Column:

@@ -70,7 +70,7 @@ def point_sum_long(rows: DataFrame, keys: Sequence[str] = POINT_KEYS,
                    nullable_keys: Sequence[str] = ()) -> DataFrame:
     """A4 long: sum of species covers per keys and species (0.0 when all
     missing)."""
-    return long_pivot(rows, keys, "speciescode", "percentcover", "exact_sum", out="sum_percentcover",
+    return long_pivot(rows, keys, "speciescode", "percentcover", "sum", out="sum_percentcover",
                       nullable_keys=nullable_keys)
 
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plotcover.functions.cover import no_nan
 from plotcover.functions.student_t import with_t_critical
 from plotcover.functions.text import segment_number
 from plotcover.operators.frames import marker_frame
@@ -51,14 +52,14 @@ def distance_summary(rows: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
     A row with a missing key is left out (N3).  The standard error is the
     sample standard deviation over the square root of the count of present
     distances; with one distance or none it is NULL, and so are the limits
-    (N6).  Limits are mean -/+ t x standard error with t the two-sided
+    (N6), as with an infinite distance (missing is never NaN).  Limits are mean -/+ t x standard error with t the two-sided
     critical value at dof = count - 1.  Rows are sorted by the segment's
     number, missing last (T1, O3); the sort key and the working columns are
     not kept (F8)."""
     d = F.col("distance")
     summary = drop_missing_keys(rows, keys).groupBy(*keys).agg(
-        F.avg(d).alias("average_dist_m"),
-        (F.stddev_samp(d) / F.sqrt(F.count(d))).alias("standard_error"),
+        no_nan(F.avg(d)).alias("average_dist_m"),
+        no_nan(F.stddev_samp(d) / F.sqrt(F.count(d))).alias("standard_error"),
         F.count(d).alias("rec_count"),
         F.min(d).alias("min_difference"),
         F.max(d).alias("max_difference"),
@@ -68,8 +69,8 @@ def distance_summary(rows: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
                                   "dof", "t_crit", confidence)
         margin = F.col("t_crit") * F.col("standard_error")
         lower, upper = limit_names(confidence)
-        summary = summary.withColumns({lower: F.col("average_dist_m") - margin,
-                                       upper: F.col("average_dist_m") + margin}).drop("dof", "t_crit")
+        summary = summary.withColumns({lower: no_nan(F.col("average_dist_m") - margin),
+                                       upper: no_nan(F.col("average_dist_m") + margin)}).drop("dof", "t_crit")
     if ordered:
         summary = summary.orderBy(segment_number("segment").asc_nulls_last(), *keys)
     return summary

@@ -9,6 +9,9 @@ plan.  Its columns are an input: the caller supplies the pivot values (from
 the locations or species dimension), however many there are, and a value
 outside them fails the job rather than vanish.
 
+Sums of doubles are exact and rounded once (``functions.exact``), so they depend
+neither on the order of rows nor on a join strategy.
+
 Rules: a row with a missing key or pivot value is left out (N3); a sum over
 only missing values is 0.0 (N4); a count over only missing values is 0 (N5);
 a combination that never occurs is NULL in the wide form, never 0.
@@ -22,14 +25,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plotcover.functions.cover import equals_exactly, exact_sum, row_sum
+from plotcover.functions.cover import cells_sum, equals_exactly, no_nan
+from plotcover.functions.exact import exact_sum
 from plotcover.functions.text import site_point, site_segment
 
 
 def _aggregate(agg: str, value: str) -> Column:
     if agg == "sum":
-        return F.coalesce(F.sum(value), F.lit(0.0))
-    if agg == "exact_sum":
         return exact_sum(value)
     if agg == "count":
         return F.count(value)
@@ -84,8 +86,7 @@ def wide_pivot(long_df: DataFrame, keys: Sequence[str], column: str, measure: st
     wide = (long_df.withColumn(column, checked.cast(long_df.schema[column].dataType))
             .groupBy(*keys).pivot(column, list(names)).agg(F.first(measure)))
     if row_total:
-        wide = wide.withColumn(row_total, row_sum(*[F.col(f"`{n}`") for n in names])
-                               if names else F.lit(0.0))
+        wide = wide.withColumn(row_total, cells_sum(names))
         if total_flag:
             wide = wide.withColumn(total_flag, equals_exactly(row_total, total_target))
     return wide.orderBy(*keys)
@@ -102,14 +103,30 @@ def pandas_pivot(df: DataFrame, keys: Sequence[str], column: str, value: str,
                       all_keys, column, measure, values, order)
 
 
-def ordered_total(long_df: DataFrame, keys: Sequence[str], column: str, measure: str,
-                  out: str) -> DataFrame:
-    """One row per keys: the measures of an aggregated long form added in the
-    order of ``column``, as the wide form adds its columns.  What is gathered
-    per key is one number per occurring value of the column."""
+def _ordered_cells(long_df: DataFrame, keys: Sequence[str], column: str, measure: str,
+                   out: str) -> DataFrame:
+    """One row per keys: the cells (column, measure) of an aggregated long form
+    in the order of ``column``, and ``out``, their total added in that order,
+    as the wide form adds its columns.  What is gathered per key is one number
+    per occurring value of the column."""
     cells = F.array_sort(F.collect_list(F.struct(F.col(column).alias("at"), F.col(measure).alias("cell"))))
     total = F.aggregate("cells", F.lit(0.0), lambda held, c: held + F.coalesce(c["cell"], F.lit(0.0)))
-    return long_df.groupBy(*keys).agg(cells.alias("cells")).select(*keys, total.alias(out))
+    return long_df.groupBy(*keys).agg(cells.alias("cells")).select(*keys, "cells", no_nan(total).alias(out))
+
+
+def ordered_total(long_df: DataFrame, keys: Sequence[str], column: str, measure: str,
+                  out: str) -> DataFrame:
+    """One row per keys with the total of its cells, added in column order."""
+    return _ordered_cells(long_df, keys, column, measure, out).drop("cells")
+
+
+def with_ordered_total(long_df: DataFrame, keys: Sequence[str], column: str, measure: str,
+                       out: str) -> DataFrame:
+    """The long form with ``ordered_total`` on each of its rows: one aggregate
+    gives both, the cells are listed again after it."""
+    rows = _ordered_cells(long_df, keys, column, measure, out)
+    return rows.select(*keys, F.inline("cells"), out).select(
+        *keys, F.col("at").alias(column), F.col("cell").alias(measure), out)
 
 
 def site_order_key(col: str = "location_name") -> list[Column]:

@@ -23,17 +23,17 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotcover.functions.cover import to_number
+from plotcover.functions.cover import equals_exactly, to_number
 from plotcover.bounds import broadcast_if_bounded
 from plotcover.operators import charts
 from plotcover.operators.checks import (PILOT_POINT_KEYS, POINT_KEYS, STRATA_CHECK_COLUMNS,
-                                        point_count_long, point_sum_long, relcover_check,
-                                        strata_check)
+                                        point_count_long, point_sum_long, strata_check)
 from plotcover.operators.cover import (POINT_COVER_COLUMNS, STRATUM_COLUMNS, abs_cover_by_stratum,
                                        abs_cover_long)
 from plotcover.operators.distance import DISTANCE_COLUMNS, distance_rows, distance_summary
 from plotcover.operators.frames import (filter_site_codes, marker_frame_with_bound, species_join,
                                        with_lookup_region)
+from plotcover.operators.pivots import with_ordered_total
 from plotcover.operators.groups import GROUP_POINT_KEYS, conditional_segment, event_group_list
 from plotcover.schema import MARKER_VISIT, STRATUM_COLS
 from plotcover.sources import sinks
@@ -116,12 +116,8 @@ def with_total(rows: DataFrame, keys: list[str], nullable_keys: tuple[str, ...]
     """The species sums with the row total and flag of the sheet they stand
     in: ``sum_relcover`` and ``relcover_is_100`` repeat on each row of a key."""
     sums = point_sum_long(rows, keys, nullable_keys)
-    totals = relcover_check(rows, keys, nullable_keys)
-    named = totals.select(*[F.col(k).alias(f"total_{k}") for k in keys], "sum_relcover", "relcover_is_100")
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"total_{k}"))
-    return sums.join(named, match).drop(*[f"total_{k}" for k in keys])
+    total = with_ordered_total(sums, keys, "speciescode", "sum_percentcover", "sum_relcover")
+    return total.withColumn("relcover_is_100", equals_exactly("sum_relcover", 100.0))
 
 
 def _group_report(species, markers, sop82_rows, visits, confidence) -> dict[str, DataFrame]:

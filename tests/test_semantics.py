@@ -3,6 +3,8 @@ N1-N7, D2, D6, D7, D9, F6, F10), with pandas as the brute-force reference
 where pandas defines the behaviour."""
 
 import math
+import random
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -11,7 +13,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from plotcover.functions.cover import absolute_cover, equals_exactly, exact_sum, row_sum, to_number
+from plotcover.functions.cover import absolute_cover, equals_exactly, row_sum, to_number
+from plotcover.functions.exact import exact_sum
 from plotcover.functions.text import normalise_id, segment_number, site_point, site_segment
 from plotcover.operators import charts, checks, cover, distance, frames, groups, pivots
 from plotcover.schema import COVER_COLS, SCHEMAS
@@ -380,6 +383,84 @@ def test_exact_sum_keeps_infinities_and_large_values(spark):
     assert got == {1: math.inf, 2: None, 3: 1e300, 4: 0.0, 5: 99.9999996}
 
 
+def test_exact_sum_is_the_real_sum_rounded_once(spark):
+    rng = random.Random(3)
+    rows = []
+    for k in range(150):
+        scale = 2.0 ** rng.choice([0, 0, -30, 60])
+        for _ in range(rng.choice([1, 2, 3, 7, 60])):
+            v = rng.choice([rng.uniform(-100, 100), 100 / 3, 0.1, -rng.random(), 99.9, 2.0 ** -60, 1e-18, 1.6e23])
+            rows.append((k, v * scale))
+    rows += [(1000, 100 / 3)] * 3 + [(1001, v) for v in (1.6e23, 1e-15, -1.6e23)] + [(1002, -100 / 3)] * 3
+    rows = [(k, v) for k, v in rows if abs(v) < 2.0 ** 95]
+    want = {}
+    for k, v in rows:
+        want[k] = want.get(k, Fraction(0)) + Fraction(v)
+    want = {k: f.numerator / f.denominator for k, f in want.items()}
+    assert want[1000] == 100.0 and want[1001] == 1e-15 and want[1002] == -100.0
+    for parts in (1, 5):
+        frame = spark.createDataFrame(rng.sample(rows, len(rows)), "k int, v double").repartition(parts)
+        assert {r.k: r.s for r in frame.groupBy("k").agg(exact_sum("v").alias("s")).collect()} == want
+
+
+def test_thirds_are_100_as_pandas_adds_them(spark):
+    pairs = [("a", 100 / 3)] * 3
+    pdf = pd.DataFrame([r for r in _cover_rows(pairs)],
+                       columns=[f.name for f in spark.createDataFrame([], POINT_SCHEMA).schema])
+    cells = pdf.pivot_table(index="location_name", columns="speciescode", values="percentcover", aggfunc="sum")
+    row = checks.relcover_check(spark.createDataFrame(_cover_rows(pairs), POINT_SCHEMA)).first()
+    assert row.sum_relcover == cells.sum(axis=1).iloc[0] == 100.0 and row.relcover_is_100
+
+
+def test_wide_total_over_ten_thousand_species(spark):
+    names = [f"S{i:05d}" for i in range(10_001)]
+    long_form = spark.createDataFrame([("L", n, 100 / 10_001) for n in names] + [("M", names[7], 100.0)],
+                                      "location_name string, speciescode string, v double")
+    wide = pivots.wide_pivot(long_form, ["location_name"], "speciescode", "v", names,
+                             row_total="sum_relcover", total_flag="relcover_is_100")
+    got = {r.location_name: r for r in wide.collect()}
+    total = 0.0
+    for _ in names:
+        total += 100 / 10_001
+    assert len(wide.columns) == 10_004
+    assert got["L"].sum_relcover == total and got["L"].relcover_is_100 == (total == 100.0)
+    assert got["M"].sum_relcover == 100.0 and got["M"].relcover_is_100 and got["M"][names[0]] is None
+
+
+def test_infinities_of_both_signs_are_missing_never_nan(spark):
+    inf = math.inf
+    cells = spark.createDataFrame([("L", "a", inf), ("L", "b", -inf), ("M", "a", inf)], "k string, c string, v double")
+    wide = {r.k: r for r in pivots.wide_pivot(cells, ["k"], "c", "v", ["a", "b"], row_total="t",
+                                              total_flag="f").collect()}
+    assert wide["L"].t is None and wide["L"].f is False and wide["M"].t == inf
+    assert {r.k: r.t for r in pivots.ordered_total(cells, ["k"], "c", "v", "t").collect()} == {"L": None, "M": inf}
+    one = spark.createDataFrame([(inf, -inf, None)], "a double, b double, c double")
+    assert one.select(row_sum("a", "b", "c")).first()[0] is None
+    far = spark.createDataFrame([("g", "R", "Segment 1", v) for v in (1.0, inf, 3.0)]
+                                + [("h", "R", "Segment 1", v) for v in (inf, -inf)],
+                                "event_group_id string, region string, segment string, distance double")
+    got = {r.event_group_id: r for r in distance.distance_summary(far).collect()}
+    assert got["g"].average_dist_m == inf and got["h"].average_dist_m is None
+    for r in got.values():
+        assert r.standard_error is None and r.lower_ci_95 is None and r.upper_ci_95 is None
+
+
+def test_absolute_cover_sums_are_bit_equal_under_any_join(spark, sf_dir):
+    import __spark_entry__ as entry_mod
+    found = []
+    for threshold, parts in (("-1", "8"), ("100MB", "8"), ("-1", "3")):
+        before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            rows = entry_mod._survey_queries()["abs_cover_long_exact"](spark, sf_dir).collect()
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        found.append(sorted(tuple(r) for r in rows))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 100
+
+
 def test_join_strategy_changes_no_flag(spark, sf_dir):
     import __spark_entry__ as entry_mod
     found = []
