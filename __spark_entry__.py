@@ -27,7 +27,7 @@ from plotcover.operators import distance as dist
 from plotcover.operators import groups as grp
 from plotcover.operators import pivots
 from plotcover.schema import MARKER_VISIT, SIDES, STRATA, STRATUM_COLS, abs_cover_col
-from plotcover.sources.fixtures import fixture_tables
+from plotcover.sources.fixtures import fixture_tables, stored_table
 from plotcover.sources.lookup import site_region_lookup
 from plotcover.sources.tables import normalise_table
 
@@ -122,7 +122,7 @@ def _fractional_rows(spark, sf_dir):
     """Species rows whose covers are tenths (text), so that their sums depend
     on how they are added."""
     t = _tables(spark, sf_dir)
-    item = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    item = stored_table(spark, sf_dir, "lineitem")
     tenths = (F.col("l_partkey") * 7 + F.col("l_linenumber") * 131) % 1000
     cover = F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
     veg = item.select(
@@ -148,7 +148,7 @@ def _thirds_rows(spark, sf_dir):
     """Species rows whose covers are thirds, as doubles: three times 100/3 is
     100 only if the doubles are added exactly and rounded once."""
     t = _tables(spark, sf_dir)
-    item = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    item = stored_table(spark, sf_dir, "lineitem")
     cover = F.when(F.col("l_orderkey") % 2 == 0, F.lit(100.0)).otherwise(
         ((F.col("l_partkey") * 7 + F.col("l_linenumber") * 131) % 300).cast("double")) / 3
     veg = item.select(
@@ -178,7 +178,7 @@ def q_normalised_markers(spark, sf_dir):
     """The forgiving read (S1, E3): source-style names, ids with braces, text
     covers with words among them, NaN distances."""
     key = F.col("o_orderkey")
-    raw = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    raw = stored_table(spark, sf_dir, "orders").select(
         F.concat(F.lit("{ab-"), key.cast("string"), F.lit("}")).alias("Point_ID"),
         F.concat(F.lit("ev-"), F.col("o_custkey").cast("string")).alias("Event_ID"),
         F.when(key % 5 == 0, F.lit(float("nan"))).otherwise((key % 77).cast("double") / 4).alias("Distance"),
@@ -193,7 +193,7 @@ def q_site_order(spark, sf_dir):
     """O6 as rows: unpadded site codes with one- and two-digit segments, each
     with its numbers and its place among the report's columns."""
     key = F.col("c_custkey")
-    codes = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(
+    codes = stored_table(spark, sf_dir, "customer").select(F.concat(
         (key % 15 + 1).cast("string"), F.lit("_"), (F.floor(key / 15) % 4 + 1).cast("string")).alias("location_name"))
     names = codes.distinct()
     order = Window.orderBy(*pivots.site_order_key())

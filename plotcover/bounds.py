@@ -1,61 +1,107 @@
-"""Proven row bounds for broadcast joins.
-
-A table is broadcast to every task only after a bounded row count proves it
-small; a planner estimate (a compressed file size) says little about the
-rows in memory.  Locations, event groups, the visit frame and the marker
-frame of one campaign go through here.
+"""Proven row bounds for broadcast joins, from file footers.
+
+A table is broadcast to every task only after its size is proven; a planner
+estimate (a compressed file size) says little about the rows in memory.  The
+proof reads the row counts in the footers of the Parquet files behind a plan,
+on the driver, without a Spark job: the rows of a plan of scans, filters,
+projections, aggregates and joins are at most the product of its tables' rows
+(a semi-join's those of its left side).
+A table of many files or bytes is taken as large without opening any; so is a
+plan that is not read from Parquet (an optimisation lost at most: AQE still
+broadcasts from measured shuffle sizes, and no result depends on the strategy).
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest table broadcast to every task: at about 250 bytes a row (a marker
 # with its visit), 100,000 rows are some 25 MB in each executor.
 BROADCAST_MAX_ROWS = 100_000
+# A table beyond either is large: its footers are not read.
+FOOTER_MAX_FILES = 200
+FOOTER_MAX_BYTES = 64 * 1024 * 1024
 
-_bounded: dict[tuple[int, str, int], bool] = {}
+_footers: dict[tuple[int, tuple[str, ...]], int] = {}
 
-# Logical operators that need a shuffle (a join does unless a side is hinted):
-# a ``take`` on such a plan would run it while the query is still being built.
-SHUFFLING = re.compile(r"^[\s:+-]*(Aggregate|Window|Sort|Distinct|Repartition|Intersect|Except"
-                       r"|Join(?!.*strategy=broadcast))", re.MULTILINE)
+# Operators that make no more rows than they read, besides joins.
+NARROWING = {"Project", "Filter", "SubqueryAlias", "Aggregate", "Sort", "Distinct", "Deduplicate", "ResolvedHint",
+             "UnresolvedHint", "GlobalLimit", "LocalLimit", "Window", "Repartition", "RepartitionByExpression", "View"}
 
 
 def forget_bounds() -> None:
-    """Drop every kept bound: the tables behind the plans may have changed."""
-    _bounded.clear()
+    """Drop every kept row count: the files behind a table may have changed."""
+    _footers.clear()
+
+
+def footer_rows(jvm, conf, paths: tuple[str, ...]) -> int:
+    """Rows of Parquet files, from their footers, kept per list of files."""
+    key = (id(jvm), paths)
+    if key not in _footers:
+        rows = 0
+        for path in paths:
+            file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+                jvm.org.apache.hadoop.fs.Path(path), conf)
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+            try:
+                rows += reader.getRecordCount()
+            finally:
+                reader.close()
+        _footers[key] = rows
+    return _footers[key]
+
+
+def _leaf_rows(leaf, jvm, conf) -> int | None:
+    if leaf.nodeName() != "LogicalRelation":
+        known = leaf.maxRows()
+        return int(known.get()) if known.isDefined() else None
+    relation = leaf.relation()
+    if relation.getClass().getSimpleName() != "HadoopFsRelation" or relation.fileFormat().toString() != "Parquet":
+        return None
+    location = relation.location()
+    if location.sizeInBytes() > FOOTER_MAX_BYTES:
+        return None
+    paths = tuple(location.inputFiles())
+    return footer_rows(jvm, conf, paths) if len(paths) <= FOOTER_MAX_FILES else None
+
+
+def _plan_rows(plan, jvm, conf) -> int | None:
+    children = plan.children()
+    if not children.size():
+        return _leaf_rows(plan, jvm, conf)
+    name = plan.nodeName()
+    if name == "Join":
+        kind = plan.joinType().sql()
+        sides = 1 if kind in ("LEFT SEMI", "LEFT ANTI") else 2
+        if kind in ("FULL OUTER", "RIGHT OUTER"):
+            return None
+        bound = 1
+        for i in range(sides):
+            rows = _plan_rows(children.apply(i), jvm, conf)
+            if rows is None:
+                return None
+            bound *= max(1, rows)
+        return bound
+    return _plan_rows(children.apply(0), jvm, conf) if name in NARROWING else None
+
+
+def row_bound(df: DataFrame) -> int | None:
+    """At most how many rows ``df`` has, None if that is not known without
+    running it."""
+    sc = df.sparkSession.sparkContext
+    return _plan_rows(df._jdf.queryExecution().analyzed(), sc._jvm, sc._jsc.hadoopConfiguration())
 
 
 def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (default
-    ``BROADCAST_MAX_ROWS``, read when called).
-
-    ``take`` scans a few partitions at a time and stops as soon as it holds
-    ``max_rows + 1`` rows, so a large table costs one or a few tasks, not a
-    scan of every partition (as ``limit(n).count()`` would); only a constant
-    column, at most ``max_rows + 1`` values, reaches the driver.  The answer
-    is kept per plan until the tables are loaded again (``forget_bounds``,
-    called by the table readers and by each refresh micro-batch), so a table
-    that grows between loads is counted again."""
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    key = (id(df.sparkSession), df._jdf.queryExecution().analyzed().canonicalized().toString(), max_rows)
-    if key not in _bounded:
-        _bounded[key] = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
-    return _bounded[key]
-
-
-def is_map_only(df: DataFrame) -> bool:
-    """Whether the plan behind ``df`` needs no shuffle."""
-    return not SHUFFLING.search(df._jdf.queryExecution().optimizedPlan().toString())
+    """Whether ``df`` is proven to have at most ``max_rows`` rows (default
+    ``BROADCAST_MAX_ROWS``, read when called)."""
+    bound = row_bound(df)
+    return bound is not None and bound <= (BROADCAST_MAX_ROWS if max_rows is None else max_rows)
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast hint on ``df`` if it has at most ``max_rows`` rows; a large
-    table, or one whose own plan shuffles, is left to the planner.  It decides
-    only the join strategy; the totals that are compared with 100 do not depend
-    on it (``functions.cover.exact_sum``)."""
-    return F.broadcast(df) if is_map_only(df) and is_bounded(df, max_rows) else df
+    """Broadcast hint on ``df`` if it is proven to have at most ``max_rows``
+    rows; any other table is left to the planner.  It decides only the join
+    strategy; no total depends on it (``functions.exact``)."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df

@@ -6,8 +6,8 @@ groups) join the visit table first, visits join markers on ``event_id``, and
 only then does the largest table (vegetation) join on ``point_id``.  That is
 one shuffle of vegetation, whatever the number of reports built on top.
 
-A dimension table is broadcast only after a bounded row count proves it small
-(``bounds.broadcast_if_bounded``); otherwise Spark plans a shuffle join, AQE can still
+A dimension table is broadcast only after its files' row counts prove it small
+(``bounds``; no job runs while a query is built); otherwise Spark plans a shuffle join, AQE can still
 switch it to a broadcast at run time from measured sizes, and AQE's skew-join
 split handles a key that holds a large share of the rows.
 """
@@ -19,7 +19,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotcover.bounds import is_bounded, is_map_only
+from plotcover.bounds import is_bounded
 from plotcover.functions.text import site_point, site_segment
 from plotcover.schema import MARKER_VISIT
 from plotcover.sources.tables import SurveyTables
@@ -82,63 +82,58 @@ def join_stored(table: DataFrame, frame: DataFrame, key: str, by_group: bool) ->
     return table.drop("event_group_id").join(frame, key)
 
 
-# A bound is proven by a ``take``, which is cheap only on a map-only plan: a
-# plan with a shuffle join would run its whole shuffle first.  So a joined
-# frame is tested only when every table joined into it was broadcast; when
-# one was not, the frame is taken as large (a lost optimisation at most,
-# never a different result).
-
-
-def _bounded_broadcast(df: DataFrame, map_only: bool = False) -> tuple[DataFrame, bool]:
-    small = (map_only or is_map_only(df)) and is_bounded(df)
-    return (F.broadcast(df) if small else df), small
-
-
-def _visits(t: SurveyTables, event_type: str | None, event_group: str | None,
-            with_group: bool) -> tuple[DataFrame, bool]:
-    events = filter_event_group(filter_event_type(t.events, event_type), event_group)
-    locations, narrow = _bounded_broadcast(
-        t.locations.select("location_id", "region", "segment", "location_name"))
-    out = events.select("event_id", "event_group_id", "location_id", "event_type",
-                        "start_date").join(locations, "location_id")
+def _dimensions(t: SurveyTables, event_group: str | None, with_group: bool
+                ) -> list[tuple[DataFrame, str, bool]]:
+    """The tables joined to visits: each with its key and whether it is proven
+    small, and then hinted."""
+    found = [(t.locations.select("location_id", "region", "segment", "location_name"), "location_id")]
     if with_group:
         if t.event_groups is None:
             raise ValueError("this report needs the event_groups table")
-        groups = filter_event_group(t.event_groups, event_group).select(
+        found.append((filter_event_group(t.event_groups, event_group).select(
             "event_group_id", "event_group_name",
             F.col("start_date").alias("group_start_date"),
-            F.col("end_date").alias("group_end_date"), "assessment")
-        groups, small_groups = _bounded_broadcast(groups)
-        out = out.join(groups, "event_group_id")
-        narrow = narrow and small_groups
-    return out, narrow
+            F.col("end_date").alias("group_end_date"), "assessment"), "event_group_id"))
+    return [(F.broadcast(df) if small else df, key, small)
+            for df, key in found for small in [is_bounded(df)]]
+
+
+def _events(t: SurveyTables, event_type: str | None, event_group: str | None) -> DataFrame:
+    return filter_event_group(filter_event_type(t.events, event_type), event_group).select(
+        "event_id", "event_group_id", "location_id", "event_type", "start_date")
 
 
 def visits(t: SurveyTables, event_type: str | None = None,
            event_group: str | None = None, with_group: bool = False) -> DataFrame:
     """Visits with their location (and, if asked, their event group's name
     and start date): events x locations [x event_groups]."""
-    return _visits(t, event_type, event_group, with_group)[0]
+    out = _events(t, event_type, event_group)
+    for table, key, _ in _dimensions(t, event_group, with_group):
+        out = out.join(table, key)
+    return out
 
 
 def marker_frame_with_bound(t: SurveyTables, event_type: str | None = None,
                             event_group: str | None = None,
                             with_group: bool = False) -> tuple[DataFrame, bool]:
     """The marker frame, and whether its plan is map-only (every table joined
-    into it broadcast), so that its own bound is cheap to prove."""
-    visit_rows, narrow = _visits(t, event_type, event_group, with_group)
-    if narrow:
-        visit_rows, narrow = _bounded_broadcast(visit_rows, map_only=True)
+    to the markers is broadcast, each proven small by itself)."""
     by_group = with_group or event_group is not None
-    return join_stored(t.markers, visit_rows, "event_id", by_group), narrow
+    events, dimensions = _events(t, event_type, event_group), _dimensions(t, event_group, with_group)
+    if all(small for _, _, small in dimensions) and is_bounded(t.events):
+        out = join_stored(t.markers, F.broadcast(events), "event_id", by_group)
+        for table, key, _ in dimensions:
+            out = out.join(table, key)
+        return out, True
+    return join_stored(t.markers, visits(t, event_type, event_group, with_group), "event_id", by_group), False
 
 
 def marker_frame(t: SurveyTables, event_type: str | None = None,
                  event_group: str | None = None, with_group: bool = False) -> DataFrame:
     """Markers with their visit and location (ops J1, J3, J5).
 
-    Visits are far fewer than points; when a bounded count proves the visit
-    frame small, it is broadcast and markers are shuffled once only (for the
+    Visits are far fewer than points; when they and their dimensions are proven
+    small, each is broadcast and markers are shuffled once only (for the
     species join on ``point_id``), not first on ``event_id`` as well."""
     return marker_frame_with_bound(t, event_type, event_group, with_group)[0]
 

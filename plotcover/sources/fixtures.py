@@ -30,7 +30,7 @@ MISSING_SEGMENT_NATION = 24
 _handles: dict[tuple[int, str, str], DataFrame] = {}
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def stored_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy handle on one test table, made once per session and folder, as a
     catalog table would be: it holds the file listing and schema, no data."""
     key = (id(spark), sf_dir, name)
@@ -48,8 +48,8 @@ def _null_when(cond: Column, value: Column) -> Column:
 
 
 def fixture_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = _read(spark, sf_dir, "nation")
-    region = _read(spark, sf_dir, "region")
+    nation = stored_table(spark, sf_dir, "nation")
+    region = stored_table(spark, sf_dir, "region")
     k = F.col("n_nationkey")
     segment = _null_when(
         k == F.lit(MISSING_SEGMENT_NATION),
@@ -79,7 +79,7 @@ def _visit_date(key: Column) -> Column:
 
 def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ck = F.col("c_custkey")
-    return _read(spark, sf_dir, "customer").select(
+    return stored_table(spark, sf_dir, "customer").select(
         ck.alias("event_id"),
         F.col("c_mktsegment").alias("event_group_id"),
         F.col("c_nationkey").cast("int").alias("location_id"),
@@ -89,7 +89,7 @@ def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_event_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = _read(spark, sf_dir, "customer")
+    customer = stored_table(spark, sf_dir, "customer")
     gid = F.col("event_group_id")
     prefix = F.when(gid.isin(*SEGMENT_GROUP_MARKETS), F.lit("Segment ")).otherwise(F.lit("Index "))
     return (
@@ -108,7 +108,7 @@ def fixture_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     mangrove_shrub = ok % 4 * 15
     marsh_tree = ok % 3 * 20
     marsh_shrub = ok % 6 * 5
-    return _read(spark, sf_dir, "orders").select(
+    return stored_table(spark, sf_dir, "orders").select(
         ok.alias("point_id"),
         F.col("o_custkey").alias("event_id"),
         _null_when(ok % 11 == 0, _double((ok * 37) % 401) / 4 - 50).alias("distance"),
@@ -132,7 +132,7 @@ def fixture_vegetation(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_linenumber")
     part = F.col("l_partkey")
     qty = F.col("l_quantity")
-    return _read(spark, sf_dir, "lineitem").select(
+    return stored_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("point_id"),
         F.when(flag == "A", F.lit("Mangrove")).when(flag == "N", F.lit("Marsh"))
         .otherwise(F.lit("Upland")).alias("communitytype"),

@@ -94,44 +94,51 @@ def _has_broadcast_hint(df):
     return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
 
 
-def test_building_a_query_never_reads_markers_or_vegetation(spark, sf_dir, monkeypatch):
-    """Sizes are proven on base dimensions and visits only, and never on a
-    plan with a shuffle of its own."""
-    proven = []
-    real = bounds.is_bounded
-
-    def spy(df, max_rows=None):
-        proven.append(df._jdf.queryExecution().optimizedPlan().toString())
-        return real(df, max_rows)
-
-    monkeypatch.setattr(bounds, "is_bounded", spy)
-    monkeypatch.setattr(frames, "is_bounded", spy)
-    for name, query in entry_mod._survey_queries().items():
-        bounds.forget_bounds()
-        query(spark, sf_dir)
-    assert proven
-    for plan in proven:
-        assert "o_orderkey" not in plan and "l_orderkey" not in plan and "Aggregate" not in plan
-
-
-def test_marker_bound_checked_only_on_map_only_plans(spark, sf_dir, monkeypatch):
-    # visits over the bound: the marker frame's plan has a shuffle join, and a
-    # take on it would run that shuffle, so its bound is not tested
-    checked = []
-    real = frames.is_bounded
-
-    def spy(df, max_rows=None):
-        checked.append(df)
-        return real(df, max_rows)
-
-    monkeypatch.setattr(frames, "is_bounded", spy)
-    monkeypatch.setattr(bounds, "BROADCAST_MAX_ROWS", 100)
-    bounds.forget_bounds()
+def test_building_a_query_runs_no_job(spark, sf_dir):
+    """Sizes come from footers: nothing runs until the result is asked for
+    (the ordered results write their sorted rows first, by design)."""
+    sc = spark.sparkContext
+    lazy = {n: query for n, query in entry_mod._survey_queries().items() if not n.endswith("_positions")}
+    for query in lazy.values():
+        query(spark, sf_dir)                  # opens the tables: Spark reads their schemas
+    sc.setJobGroup("building", "no job")
+    try:
+        for name, query in lazy.items():
+            bounds.forget_bounds()
+            query(spark, sf_dir)
+            assert not sc.statusTracker().getJobIdsForGroup("building"), name
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_row_bounds_from_footers(spark, sf_dir, tmp_path, monkeypatch):
     t = fixture_tables(spark, sf_dir)
-    assert t.locations.count() <= 100 < frames.visits(t, "Marker Visit").count()
-    checked.clear()
+    n = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet").count() for name in ("customer", "orders", "nation", "region")}
+    assert bounds.row_bound(t.events) == bounds.row_bound(t.event_groups) == n["customer"]
+    assert bounds.row_bound(t.locations) == n["nation"] * n["region"]
+    assert bounds.row_bound(t.events.join(t.locations, "location_id", "left_semi")) == n["customer"]
+    assert bounds.row_bound(t.markers.where("point_id < 0")) == n["orders"]
+    assert bounds.row_bound(spark.range(7)) == 7
+    assert bounds.row_bound(t.events.selectExpr("explode(array(1, 2)) as x")) is None
+    assert bounds.row_bound(t.events.union(t.events)) is None
+    spark.range(100).repartition(5).write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
+    assert bounds.row_bound(many) == 100
+    monkeypatch.setattr(bounds, "FOOTER_MAX_FILES", 4)
+    assert bounds.row_bound(many) is None
+    monkeypatch.setattr(bounds, "FOOTER_MAX_FILES", 5)
+    monkeypatch.setattr(bounds, "FOOTER_MAX_BYTES", 10)
+    assert bounds.row_bound(many) is None
+
+
+def test_visits_over_the_bound_are_joined_by_shuffle(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(bounds, "BROADCAST_MAX_ROWS", 125)
+    t = fixture_tables(spark, sf_dir)
+    assert bounds.is_bounded(t.locations) and not bounds.is_bounded(t.events)
     rows = frames.vegetation_frame(t, event_type="Marker Visit")
-    assert len(checked) == 2                      # locations, then visits; not markers
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(point_id" in plan and "hashpartitioning(event_id" in plan
-    bounds.forget_bounds()
+    monkeypatch.undo()
+    rows = frames.vegetation_frame(t, event_type="Marker Visit")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(point_id" in plan and "hashpartitioning(event_id" not in plan
