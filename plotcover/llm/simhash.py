@@ -8,15 +8,18 @@ Two fingerprints within the radius share a variant: one that both reach by
 flipping at most radius / 2 bits.  And two that share such a variant are within
 the radius.  So all fingerprints that emit the same variant are linked to the
 smallest of them, and no pair needs to be listed to keep every connection;
-each link is still checked by its bit distance.
+each link is still checked by its bit distance, and a bucket of variants gives a
+spanning forest of its links, not the links.
 
 A full ball of a 64-bit fingerprint has 2081 variants at half radius 2, most of
 them met by nobody.  So the ball is first taken on each 32-bit half (at most
 radius / 2 differing bits fall into one of the halves, so half of that again
 must be flipped on each side: 33 variants a half).  A fingerprint that meets no
-other within the radius there has no neighbour and emits nothing more.  In a
-bucket of up to ``PAIR_CHECK`` fingerprints the check is exact; in a larger one
-all count as met.  The others emit their full balls.
+other within the radius there has no neighbour and emits nothing more.  For
+a key of up to ``PAIR_CHECK`` fingerprints the check is exact; for a larger one
+all count as met.  What these half balls link is labelled by components; then
+those that met another emit their full balls, with their labels, and only links
+between different labels are kept.
 
 Variants cross the network packed: one row per task and bucket holds a block of
 (variant, fingerprint) numbers.  Links become components by repeated joins
@@ -97,64 +100,97 @@ def ball(bits: int, radius: int) -> np.ndarray:
 
 
 def _packed(batches: Iterator[pa.RecordBatch], emit, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, block) with the (key, fingerprint) pairs that ``emit``
-    makes of blocks of fingerprints.  Each block is sorted by bucket."""
+    """Rows (bucket, block) with the rows (key, fingerprint, label) that
+    ``emit`` makes of blocks of fingerprints and labels.  Each block is sorted
+    by bucket."""
     for batch in batches:
-        values = batch.column(0).to_numpy().view(np.uint64)
+        values, labels = (batch.column(c).to_numpy().view(np.uint64) for c in (0, 1))
         for at in range(0, len(values), FINGERPRINTS_AT_ONCE):
-            key, owner = emit(values[at:at + FINGERPRINTS_AT_ONCE])
+            part = slice(at, at + FINGERPRINTS_AT_ONCE)
+            key, owner = emit(values[part])
             bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
-            pairs = np.stack([key[order], owner[order]], axis=1)
+            rows = np.stack([key[order], values[part][owner[order]], labels[part][owner[order]]], axis=1)
             bucket = bucket[order].astype(np.int64)
             ends = np.searchsorted(bucket, np.arange(buckets), "right")
             begins = np.concatenate([[0], ends[:-1]])
             some = np.nonzero(ends > begins)[0]
             yield pa.RecordBatch.from_pydict({
                 "bucket": pa.array(some, pa.int64()),
-                "block": pa.array([pairs[begins[b]:ends[b]].tobytes() for b in some], pa.binary())})
+                "block": pa.array([rows[begins[b]:ends[b]].tobytes() for b in some], pa.binary())})
 
 
-def _pairs_of(table: pa.Table) -> np.ndarray:
-    """The (key, fingerprint) pairs of a bucket's blocks, sorted, each once."""
-    pairs = np.frombuffer(b"".join(table.column("block").to_pylist()), np.uint64).reshape(-1, 2)
-    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-    new = np.ones(len(pairs), bool)
-    new[1:] = (pairs[1:] != pairs[:-1]).any(1)
-    return pairs[new]
+def _rows_of(table: pa.Table) -> np.ndarray:
+    """The (key, fingerprint, label) rows of a bucket's blocks, sorted, each once."""
+    rows = np.frombuffer(b"".join(table.column("block").to_pylist()), np.uint64).reshape(-1, 3)
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1)
+    return rows[new]
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
-def met(pairs: np.ndarray, radius: int) -> np.ndarray:
-    """The fingerprints that share a key with another within the radius."""
-    keys, starts, counts = np.unique(pairs[:, 0], return_index=True, return_counts=True)
-    found = [np.zeros(0, np.uint64)]
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of the links (a, b) with the smallest one it is connected
+    with, itself left out: links no more than nodes."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, two = at[:len(a)], at[len(a):]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[one], label[two])
+        new = label.copy()
+        for end in (one, two, label[one], label[two]):
+            np.minimum.at(new, end, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    moved = label != np.arange(len(nodes))
+    return nodes[moved], nodes[label[moved]]
+
+
+def met(rows: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The fingerprints that share a key with another within the radius, and
+    links that connect those found so.  A key of more than ``PAIR_CHECK``
+    fingerprints counts all as met and links them to its smallest one only."""
+    keys, starts, counts = np.unique(rows[:, 0], return_index=True, return_counts=True)
+    found, one, two = ([np.zeros(0, np.uint64)] for _ in range(3))
     for n in np.unique(counts[counts > 1]):
-        rows = starts[counts == n]
-        if n > PAIR_CHECK:
-            found.append(pairs[(rows[:, None] + np.arange(n)).ravel(), 1])
-            continue
-        for part in np.array_split(rows, max(1, len(rows) * n * n >> 20)):
-            group = pairs[part[:, None] + np.arange(n), 1]
-            near = (distance(group[:, :, None], group[:, None, :]) <= radius).sum(2) > 1
-            found.append(group[near])
-    return np.unique(np.concatenate(found))
-
-
-def links(pairs: np.ndarray, radius: int) -> np.ndarray:
-    """Each fingerprint with the smallest one of its variant, checked, once."""
-    smallest = pairs[np.searchsorted(pairs[:, 0], pairs[:, 0], "left"), 1]
-    edges = np.stack([pairs[:, 1], smallest], axis=1)[pairs[:, 1] != smallest]
-    edges = np.unique(edges, axis=0)
-    return edges[distance(edges[:, 0], edges[:, 1]) <= radius]
+        begins = starts[counts == n]
+        for part in np.array_split(begins, max(1, len(begins) * min(n, PAIR_CHECK) * n >> 20)):
+            group = rows[part[:, None] + np.arange(n), 1]
+            if n > PAIR_CHECK:
+                found.append(group.ravel())
+                near = distance(group, group[:, :1]) <= radius
+                at, j = np.nonzero(near)
+                i = np.zeros(len(at), np.int64)
+            else:
+                near = distance(group[:, :, None], group[:, None, :]) <= radius
+                found.append(group[near.sum(2) > 1])
+                at, i, j = np.nonzero(np.triu(near, 1))
+            a, b = forest(group[at, i], group[at, j])
+            one.append(a)
+            two.append(b)
+    return np.unique(np.concatenate(found)), *forest(np.concatenate(one), np.concatenate(two))
+
+
+def links(rows: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the labels of fingerprints that share a variant, checked
+    against its smallest one: a forest over the bucket's labels."""
+    first = np.searchsorted(rows[:, 0], rows[:, 0], "left")
+    apart = (rows[:, 2] != rows[first, 2]) & (distance(rows[:, 1], rows[first, 1]) <= radius)
+    pairs = np.unique(np.stack([rows[apart, 2], rows[first[apart], 2]], axis=1), axis=0)
+    return forest(pairs[:, 0], pairs[:, 1])
 
 
 def neighbours(values: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints (column fp) within
-    the radius."""
+    the radius: those of the half balls as a forest a bucket, then, between
+    what these connect, those of the full balls.  So a dense cluster gives a
+    small multiple of its fingerprints, not of their pairs."""
     half, n = radius // 2, values.count()
     quarter = half // 2
     flips, half_flips = ball(64, half), ball(32, quarter)
@@ -164,26 +200,34 @@ def neighbours(values: DataFrame, radius: int = RADIUS) -> DataFrame:
         high = (fp >> np.uint64(32))[:, None] ^ half_flips
         # the top bit of the key's upper word tells the halves apart
         key = np.concatenate([low, high | np.uint64(1 << 63)], axis=1)
-        return key.ravel(), np.repeat(fp, key.shape[1])
+        return key.ravel(), np.repeat(np.arange(len(fp)), key.shape[1])
 
     def full(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (fp[:, None] ^ flips).ravel(), np.repeat(fp, len(flips))
+        return (fp[:, None] ^ flips).ravel(), np.repeat(np.arange(len(fp)), len(flips))
 
     def active(table: pa.Table) -> pa.Table:
-        return pa.table({"fp": met(_pairs_of(table), radius).view(np.int64)})
+        # a row without b only says that a has met another
+        fps, a, b = met(_rows_of(table), radius)
+        alone = np.setdiff1d(fps, a)
+        return pa.table({"a": np.concatenate([a, alone]).view(np.int64),
+                         "b": pa.array(np.concatenate([b, alone]).view(np.int64),
+                                       mask=np.arange(len(a) + len(alone)) >= len(a))})
 
     def joined(table: pa.Table) -> pa.Table:
-        edges = links(_pairs_of(table), radius).view(np.int64)
-        return pa.table({"a": edges[:, 0], "b": edges[:, 1]})
+        a, b = links(_rows_of(table), radius)
+        return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    def meet(fps: DataFrame, size: int, emit, reduce, schema: str) -> DataFrame:
+    def meet(fps: DataFrame, size: int, emit, reduce) -> DataFrame:
         buckets = max(1, size // BUCKET_VARIANTS)
         return (fps.mapInArrow(lambda batches: _packed(batches, emit, buckets), "bucket long, block binary")
-                .groupBy("bucket").applyInArrow(reduce, schema))
-
-    some = meet(values.select("fp"), n * 2 * len(half_flips), halves, active, "fp long")
-    some = materialize(some.distinct(), "met")
-    return meet(some, some.count() * len(flips), full, joined, "a long, b long").distinct()
+                .groupBy("bucket").applyInArrow(reduce, "a long, b long"))
+
+    near = materialize(meet(values.select("fp", F.col("fp").alias("label")), n * 2 * len(half_flips), halves, active), "near")
+    some = near.select(F.col("a").alias("fp")).union(near.select("b").where("b is not null")).distinct()
+    first = near.where("b is not null").distinct()
+    labels = components(first, some.select("fp", F.col("fp").alias("first")))
+    labelled = materialize(some.join(labels, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label")), "met")
+    return first.union(meet(labelled, labelled.count() * len(flips), full, joined)).distinct()
 
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pytest
 import xxhash
 
 from plotcover.llm import queries as q
@@ -124,3 +125,38 @@ def test_keep_one_removes_only_near_duplicates(spark):
     assert {fingerprint(t): d for d, t, _ in results[0]} == group
     assert all(r in rows for r in results[0])
     assert simhash.keep_one(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("size", [300, 1000])
+def test_links_of_a_dense_cluster_grow_with_its_fingerprints(spark, size):
+    rng = random.Random(size)
+    centre, values = rng.getrandbits(64), set()
+    while len(values) < size:
+        values.add(centre ^ sum(1 << b for b in rng.sample(range(64), 2)) ^ (1 << rng.randrange(64)) * rng.randint(0, 1))
+    values |= {rng.getrandbits(64) for _ in range(50)}
+    frame = spark.createDataFrame([(int(np.uint64(v).astype(np.int64)),) for v in sorted(values)], "fp long")
+    edges = simhash.neighbours(frame).cache()
+    assert edges.count() <= 4 * size
+    parent = {v: v for v in values}
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    def same(pairs):
+        for v in values:
+            parent[v] = v
+        for a, b in pairs:
+            parent[root(a)] = root(b)
+        groups = {}
+        for v in values:
+            groups.setdefault(root(v), set()).add(v)
+        return sorted(sorted(g) for g in groups.values())
+
+    ordered = np.array(sorted(values), np.uint64)
+    near = [(int(ordered[i]), int(ordered[j])) for i in range(len(ordered))
+            for j in np.nonzero(np.bitwise_count(ordered[i + 1:] ^ ordered[i]) <= 4)[0] + i + 1]
+    mask = (1 << 64) - 1
+    assert same([(r.a & mask, r.b & mask) for r in edges.collect()]) == same(near)
+    assert len(near) > 10 * size
