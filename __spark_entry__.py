@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plotcover.functions.cover import to_number
-from plotcover.functions.text import site_point, site_segment
+from plotcover.functions.text import segment_number, site_point, site_segment
 from plotcover.operators import charts, frames
 from plotcover.operators import checks as chk
 from plotcover.operators import cover as cov
 from plotcover.operators import distance as dist
 from plotcover.operators import groups as grp
 from plotcover.operators import pivots
+from plotcover.operators.ranks import with_position
 from plotcover.schema import MARKER_VISIT, SIDES, STRATA, STRATUM_COLS, abs_cover_col
 from plotcover.sources.fixtures import fixture_tables, stored_table
 from plotcover.sources.lookup import site_region_lookup
@@ -201,6 +202,56 @@ def q_site_order(spark, sf_dir):
                         site_point().alias("point_number"), F.row_number().over(order).alias("position"))
 
 
+def q_strata_check_positions(spark, sf_dir):
+    """O1: the check's rows, each with its place by location name."""
+    rows = chk.strata_check(_tables(spark, sf_dir), extra_cols=["point_id"])
+    return with_position(rows, ["location_name", "point_id"]).select(
+        "position", "location_name", "point_id", "sum_mangrove", "sum_marsh")
+
+
+def q_abs_cover_by_stratum_positions(spark, sf_dir):
+    """O2: by location name, then visit date."""
+    rows = cov.abs_cover_by_stratum(_tables(spark, sf_dir))
+    return with_position(rows, ["location_name", "start_date", "point_id"]).select(
+        "position", "location_name", "start_date", "point_id", "marshside_cover_overall")
+
+
+def q_distance_summary_positions(spark, sf_dir):
+    """O3: by the segment's number, missing last."""
+    rows = dist.distance_summary(dist.distance_rows(_tables(spark, sf_dir)), confidence=None, ordered=False)
+    order = [segment_number("segment").asc_nulls_last(), *dist.SUMMARY_KEYS]
+    return with_position(rows, order).select("position", *dist.SUMMARY_KEYS, "rec_count", "min_difference")
+
+
+def q_distance_rows_positions(spark, sf_dir):
+    """By segment text, location name and visit type."""
+    rows = dist.distance_rows(_tables(spark, sf_dir))
+    return with_position(rows, ["segment", "location_name", "event_type", "point_id"]).select(
+        "position", "segment", "location_name", "event_type", "point_id", "distance")
+
+
+def q_point_sum_positions(spark, sf_dir):
+    """Every cell of the wide table with the place of its row and column."""
+    wide = chk.point_sum_wide(_point_rows(spark, sf_dir), list(reversed(SPECIES)))
+    rows = with_position(wide, chk.POINT_KEYS, "row_position")
+    return pivots.wide_cells(rows, ["row_position", *chk.POINT_KEYS], SPECIES, "speciescode", "sum_percentcover")
+
+
+# Unpadded site codes with one- and two-digit segments, in text order.
+UNPADDED_NAMES = sorted(f"{k % 14 + 1}_{k // 14 + 1}" for k in range(25))
+
+
+def q_abs_cover_site_positions(spark, sf_dir):
+    """The cells of the site-ordered wide table over unpadded codes, each
+    with the place its column has there."""
+    t = _tables(spark, sf_dir)
+    k = F.col("location_id")
+    code = F.concat((k % 14 + 1).cast("string"), F.lit("_"), (F.floor(k / 14) + 1).cast("string"))
+    rows = cov.point_cover_rows(t.with_(locations=t.locations.withColumn("location_name", code)))
+    wide = cov.abs_cover_wide(rows, UNPADDED_NAMES, order="site")
+    return _round(pivots.wide_cells(wide, cov.SPECIES_KEYS, UNPADDED_NAMES, "location_name", "abs_cover"), "abs_cover")
+
+
 def q_pilot_point_count_long(spark, sf_dir):
     return chk.point_count_long(chk.point_rows(_pilot_tables(spark, sf_dir)), chk.PILOT_POINT_KEYS)
 
@@ -378,6 +429,12 @@ def _survey_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "abs_cover_long_exact": q_abs_cover_long_exact,
         "pilot_point_count_long": q_pilot_point_count_long,
         "segment_sort_key": q_segment_sort_key,
+        "strata_check_positions": q_strata_check_positions,
+        "abs_cover_by_stratum_positions": q_abs_cover_by_stratum_positions,
+        "distance_summary_positions": q_distance_summary_positions,
+        "distance_rows_positions": q_distance_rows_positions,
+        "point_sum_positions": q_point_sum_positions,
+        "abs_cover_site_positions": q_abs_cover_site_positions,
         "distance_rows": q_distance_rows,
         "distance_summary": q_distance_summary,
         "distance_ci": q_distance_ci,
@@ -859,6 +916,49 @@ select communitytype, vegetationtype, speciescode, location_name,
 from abs_rows where {_not_null('communitytype, vegetationtype, speciescode, location_name')}
 group by communitytype, vegetationtype, speciescode, location_name""",
         "pilot_point_count_long": _sql_point_long("count", PILOT_POINT_KEYS_SQL),
+        "strata_check_positions": _with(SQL_MK) + f"""
+select row_number() over (order by location_name nulls first, point_id) as position, location_name, point_id,
+  sum_mangrove, sum_marsh
+from (select *, {_sql_sums()} from mk)""",
+        "abs_cover_by_stratum_positions": _with(SQL_MK, SQL_ST) + """
+select row_number() over (order by location_name nulls first, start_date nulls first, point_id) as position,
+  location_name, start_date, point_id, marshside_cover_overall from st""",
+        "distance_summary_positions": _with(SQL_MK, SQL_DR) + """
+select row_number() over (order by try_cast(regexp_extract(segment, '([0-9]+)', 1) as bigint) nulls last,
+  event_group_id, region, segment) as position, event_group_id, region, segment,
+  count(distance) as rec_count, min(distance) as min_difference
+from dr where event_group_id is not null and region is not null and segment is not null
+group by event_group_id, region, segment""",
+        "distance_rows_positions": _with(SQL_MK, SQL_DR) + """
+select row_number() over (order by segment nulls first, location_name nulls first, event_type nulls first, point_id)
+  as position, segment, location_name, event_type, point_id, distance from dr""",
+        "point_sum_positions": _with(SQL_MK, SQL_PR) + f"""
+, cells AS (
+select {POINT_KEYS_SQL}, speciescode, coalesce(sum(percentcover), 0.0) as sum_percentcover
+from pr where {_not_null(POINT_KEYS_SQL + ', speciescode')} group by {POINT_KEYS_SQL}, speciescode),
+places AS (
+select *, row_number() over (order by {POINT_KEYS_SQL}) as row_position
+from (select distinct {POINT_KEYS_SQL} from cells)),
+species AS (
+select cast(i + 1 as int) as column_position, 'SP' || lpad(cast(i as varchar), 2, '0') as speciescode
+from range(12) r(i))
+select row_position, {', '.join('places.' + c.strip() for c in POINT_KEYS_SQL.split(','))}, column_position,
+  species.speciescode, sum_percentcover
+from places cross join species left join cells using ({POINT_KEYS_SQL}, speciescode)""",
+        "abs_cover_site_positions": _with(_sql_abs_rows()).replace(
+            """lpad(cast(cast(floor(n_nationkey / 4) as int) + 1 as varchar(10)), 2, '0')
+    || '_' || cast(n_nationkey % 4 + 1 as varchar(10)) as location_name""",
+            """cast(n_nationkey % 14 + 1 as varchar) || '_' || cast(n_nationkey // 14 + 1 as varchar) as location_name""") + """
+, cells AS (
+select communitytype, vegetationtype, speciescode, location_name, round(coalesce(sum(abs_cover), 0.0), 6) as abs_cover
+from abs_rows where communitytype is not null and vegetationtype is not null and speciescode is not null
+group by all),
+sites AS (
+select cast(row_number() over (order by k % 14, k // 14) as int) as column_position,
+  cast(k % 14 + 1 as varchar) || '_' || cast(k // 14 + 1 as varchar) as location_name from range(25) r(k))
+select communitytype, vegetationtype, speciescode, column_position, sites.location_name, abs_cover
+from (select distinct communitytype, vegetationtype, speciescode from cells) cross join sites
+left join cells using (communitytype, vegetationtype, speciescode, location_name)""",
         "segment_sort_key": _with(SQL_MK, SQL_DR) + """
 select distinct segment, try_cast(regexp_extract(segment, '([0-9]+)', 1) as bigint) as segment_number
 from dr""",

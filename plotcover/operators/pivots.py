@@ -92,6 +92,17 @@ def wide_pivot(long_df: DataFrame, keys: Sequence[str], column: str, measure: st
     return wide.orderBy(*keys)
 
 
+def wide_cells(wide: DataFrame, keys: Sequence[str], names: Sequence[str], column: str,
+               measure: str) -> DataFrame:
+    """The cells of a wide table as rows, empty ones too: its keys, each cell's
+    place among the table's value columns (O5, O6), its column and its value."""
+    ordered = [c for c in wide.columns if c in set(names)]
+    cells = F.array(*[F.struct(F.lit(c).alias(column), F.col("`" + c.replace("`", "``") + "`").alias(measure))
+                      for c in ordered])
+    rows = wide.select(*keys, F.posexplode(cells).alias("at", "cell"))
+    return rows.select(*keys, (F.col("at") + 1).alias("column_position"), "cell.*")
+
+
 def pandas_pivot(df: DataFrame, keys: Sequence[str], column: str, value: str,
                  values: Sequence, agg: str = "sum", order: str = "text",
                  extra_keys: Sequence[str] = ()) -> DataFrame:

@@ -518,3 +518,21 @@ def test_wide_pivot_matches_pandas_on_generated_rows(spark, rows, agg):
         for idx in expected.index:
             e, g = expected.loc[idx, c], wide.loc[idx, c]
             assert pd.isna(g) if pd.isna(e) else float(g) == float(e), (idx, c, e, g)
+
+
+def test_positions_over_many_partitions(spark):
+    from plotcover.operators.ranks import with_position
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "b", "b", "b", None]), i) for i in range(2000)]
+    frame = spark.createDataFrame(rng.sample(rows, len(rows)), "k string, i int").repartition(9)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = with_position(frame, ["k", F.col("i").desc()])
+        assert got.select(F.spark_partition_id()).distinct().count() > 1
+        places = {(r.k, r.i): r.position for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", -r[1]))
+    assert places == {r: at for at, r in enumerate(want, 1)}
+    assert with_position(frame.limit(0), ["k", "i"]).collect() == []
