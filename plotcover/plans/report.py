@@ -18,6 +18,7 @@ per aggregate report, each combined map-side first.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -190,28 +191,37 @@ PARALLEL_WRITES = 4
 def write_report(t: SurveyTables, out_dir: str, confidence: float = 0.95,
                  materialize: bool = True, generation: str = "merged",
                  parallel_writes: int = PARALLEL_WRITES,
-                 only_present: bool = False) -> dict[str, str]:
-    """Build and write every result; returns name -> path.  ``only_present``
-    replaces only the folders of the groups in ``t`` (a refresh).  The shared
-    frames are written to a scratch folder under the checkpoint folder and
-    removed once every result is written (or the job fails): they are as
-    large as the species table and no result reads them afterwards."""
+                 touched: Sequence[str] | None = None) -> dict[str, str]:
+    """Build and write every result, then commit them together; returns name
+    -> folder of this run.  ``touched`` names the groups ``t`` was restricted
+    to (a refresh): they are replaced in every result, also where no row of
+    them is left.  The shared frames are written to a scratch folder under the
+    checkpoint folder and removed once every result is written (or the job
+    fails): they are as large as the species table and no result reads them
+    afterwards.  A run that fails removes its own results."""
     spark = t.vegetation.sparkSession
-    folder = sinks.scratch_folder(spark)
+    folder, run = sinks.scratch_folder(spark), sinks.new_run()
+    names: list[str] = []
     try:
         results = build_report(t, confidence, materialize, folder, generation)
+        names = list(results)
 
-        def write(name: str) -> str:
+        def write(name: str) -> sinks.Written:
             df = results[name]
             sort_keys = SORT_WITHIN.get(name, ())
             if not sort_keys:
                 sort_keys = tuple(c for c in df.columns if c != "event_group_id")[:3]
-            return sinks.write_result(df, out_dir, name, sort_within=sort_keys, only_present=only_present)
+            return sinks.stage_result(df, out_dir, name, run, sort_within=sort_keys)
 
         with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
-            futures = {name: pool.submit(write, name) for name in results}
-        paths = {name: f.result() for name, f in futures.items()}
+            futures = [pool.submit(write, name) for name in names]
+        written = [f.result() for f in futures]
+        sinks.commit(spark, out_dir, written, touched)
+    except BaseException:
+        for name in names:
+            sinks.remove_folder(spark, f"{out_dir.rstrip('/')}/{name}/{run}")
+        raise
     finally:
         if materialize:
             sinks.remove_folder(spark, folder)
-    return paths
+    return {w.name: f"{out_dir.rstrip('/')}/{w.folder}" for w in written}

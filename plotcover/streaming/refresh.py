@@ -4,9 +4,9 @@ The reference rebuilds the report of each event group in a loop.  Here new
 visits arrive as files in a landing folder (rows of the events table); a
 streaming query reads them and, per micro-batch, re-runs the batch report
 (``plans.report``) for exactly the event groups the batch touches.  Result
-datasets are partitioned by group and written with dynamic partition
-overwrite, so each refresh replaces only those groups' folders and a replayed
-micro-batch (after a failure) writes the same output again.
+datasets are partitioned by group and committed by a manifest that names the
+touched groups, so each refresh replaces just those, also where nothing is left
+of them, and a replayed micro-batch (after a failure) gives the same result.
 
 The touched groups stay in Spark: the tables are restricted by a semi-join
 with the batch's distinct ids, normalised as the stored ones are, so a batch
@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from plotcover.bounds import broadcast_if_bounded, forget_bounds
 from plotcover.functions.text import normalise_id
 from plotcover.plans.report import write_report
-from plotcover.sources.sinks import materialize
+from plotcover.sources import sinks
 from plotcover.sources.tables import SurveyTables
 
 def touched_groups(batch: DataFrame) -> DataFrame:
@@ -60,11 +60,19 @@ def refresh_batch(batch: DataFrame, batch_id: int, load_tables: Callable[[], Sur
                   out_dir: str, confidence: float = 0.95) -> bool:
     """foreachBatch body: re-run the report for the groups in ``batch``.
     Whether there was any."""
-    groups = materialize(touched_groups(batch), "touched_groups")
-    if not groups.take(1):
-        return False
-    forget_bounds()          # new visits: the tables' sizes are proven again
-    write_report(restrict_to_groups(load_tables(), groups), out_dir, confidence, only_present=True)
+    spark = batch.sparkSession
+    folder = sinks.scratch_folder(spark)
+    try:
+        groups = sinks.materialize(touched_groups(batch), "touched_groups", folder)
+        # group ids are a catalogue: the manifest names them
+        touched = [r.event_group_id for r in groups.collect()]
+        if not touched:
+            return False
+        forget_bounds()          # new visits: the tables' sizes are proven again
+        write_report(restrict_to_groups(load_tables(), groups), out_dir, confidence, touched=touched)
+        sinks.remove_stale(spark, out_dir, keep=2)
+    finally:
+        sinks.remove_folder(spark, folder)
     return True
 
 

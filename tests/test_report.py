@@ -144,8 +144,14 @@ def test_full_write_replaces_and_refresh_keeps_other_groups(spark, tmp_path):
     out = str(tmp_path)
     sinks.write_result(rows(("001", 1), ("01", 2), ("B", 3)), out, "x")
     assert stored() == {("001", 1), ("01", 2), ("B", 3)}
-    sinks.write_result(rows(("001", 5)), out, "x", only_present=True)
+    sinks.write_result(rows(("001", 5)), out, "x", touched=["001"])
     assert stored() == {("001", 5), ("01", 2), ("B", 3)}
+    sinks.write_result(rows(), out, "x", touched=["01"])              # nothing is left of a group
+    assert stored() == {("001", 5), ("B", 3)}
+    sinks.write_result(rows(("a b/c=%", 7), (None, 8)), out, "x", touched=["a b/c=%", None])
+    assert stored() == {("001", 5), ("B", 3), ("a b/c=%", 7), (None, 8)}
+    sinks.write_result(rows(("a b/c=%", 9)), out, "x", touched=["a b/c=%", None])
+    assert stored() == {("001", 5), ("B", 3), ("a b/c=%", 9)}
     sinks.write_result(rows(("001", 1)), out, "x")
     assert stored() == {("001", 1)}
 
@@ -154,4 +160,53 @@ def test_a_group_is_few_files(spark, tmp_path):
     import glob
     many = spark.range(0, 20_000, 1, 64).selectExpr("concat('G', id % 5) as event_group_id", "id")
     sinks.write_result(many, str(tmp_path), "x")
-    assert len(glob.glob(f"{tmp_path}/x/*/*.parquet")) <= 10
+    assert len(glob.glob(f"{tmp_path}/x/run-*/*/*.parquet")) <= 10
+
+
+def test_a_killed_run_leaves_the_old_result(spark, tmp_path):
+    out = str(tmp_path)
+    first = spark.createDataFrame([("A", 1)], "event_group_id string, v int")
+    sinks.write_result(first, out, "x")
+    # written but never committed: what a killed job leaves
+    sinks.stage_result(first.selectExpr("event_group_id", "v + 1 as v"), out, "x", sinks.new_run())
+    assert [tuple(r) for r in sinks.read_result(spark, out, "x").collect()] == [("A", 1)]
+    held = sinks.read_result(spark, out, "x")
+    sinks.write_result(first.selectExpr("event_group_id", "v + 2 as v"), out, "x")
+    assert [tuple(r) for r in held.collect()] == [("A", 1)]          # a reader goes on
+    assert len(sinks.remove_stale(spark, out)) == 3                  # two folders, one manifest
+    assert [tuple(r) for r in sinks.read_result(spark, out, "x").collect()] == [("A", 3)]
+    sinks.write_result(first.limit(0), out, "empty")
+    assert sinks.read_result(spark, out, "empty").columns == ["event_group_id", "v"]
+
+
+def test_a_failing_report_removes_its_folders(spark, sf_dir, tmp_path, monkeypatch):
+    import os
+    import pytest
+    t = fixture_tables(spark, sf_dir)
+
+    def broken(*a, **k):
+        raise RuntimeError("no commit")
+
+    monkeypatch.setattr(sinks, "commit", broken)
+    with pytest.raises(RuntimeError):
+        write_report(t, str(tmp_path))
+    assert all(not os.listdir(tmp_path / name) for name in os.listdir(tmp_path))
+
+
+def test_a_refreshed_group_without_marker_visits_loses_its_rows(spark, sf_dir, tmp_path):
+    from pyspark.sql import functions as F
+    from plotcover.streaming.refresh import restrict_to_groups
+    t, out = fixture_tables(spark, sf_dir), str(tmp_path)
+    write_report(t, out)
+    before = sinks.read_result(spark, out, sinks.SHEET_ABS_COVER)
+    others = before.where("event_group_id <> 'BUILDING'").count()
+    assert before.count() > others
+    # the group's visits are no longer marker visits
+    changed = t.with_(events=t.events.withColumn("event_type", F.when(
+        F.col("event_group_id") == "BUILDING", "Segment Visit").otherwise(F.col("event_type"))))
+    one = spark.createDataFrame([("BUILDING",)], "event_group_id string")
+    write_report(restrict_to_groups(changed, one), out, touched=["BUILDING"])
+    after = sinks.read_result(spark, out, sinks.SHEET_ABS_COVER)
+    assert after.count() == others and after.where("event_group_id = 'BUILDING'").count() == 0
+    # its checks cover every visit type and are still there
+    assert sinks.read_result(spark, out, sinks.SHEET_STRATA_CHECK).where("event_group_id = 'BUILDING'").count() > 0
