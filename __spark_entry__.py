@@ -30,7 +30,7 @@ from plotcover.operators.ranks import with_position
 from plotcover.schema import MARKER_VISIT, SIDES, STRATA, STRATUM_COLS, abs_cover_col
 from plotcover.sources.fixtures import fixture_tables, stored_table
 from plotcover.sources.lookup import site_region_lookup
-from plotcover.sources.tables import normalise_table
+from plotcover.sources.tables import normalise_table, rejected_values
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -175,11 +175,11 @@ def q_abs_cover_long_exact(spark, sf_dir):
     return cov.abs_cover_long(cov.point_cover_rows(_tables(spark, sf_dir)))
 
 
-def q_normalised_markers(spark, sf_dir):
-    """The forgiving read (S1, E3): source-style names, ids with braces, text
+def _raw_markers(spark, sf_dir):
+    """Markers as an export writes them: source names, ids with braces, text
     covers with words among them, NaN distances."""
     key = F.col("o_orderkey")
-    raw = stored_table(spark, sf_dir, "orders").select(
+    return stored_table(spark, sf_dir, "orders").select(
         F.concat(F.lit("{ab-"), key.cast("string"), F.lit("}")).alias("Point_ID"),
         F.concat(F.lit("ev-"), F.col("o_custkey").cast("string")).alias("Event_ID"),
         F.when(key % 5 == 0, F.lit(float("nan"))).otherwise((key % 77).cast("double") / 4).alias("Distance"),
@@ -187,7 +187,36 @@ def q_normalised_markers(spark, sf_dir):
         F.when(key % 3 == 0, "trace").when(key % 3 == 1, F.concat(F.lit(" "), (key % 90).cast("string"),
                                                                  F.lit(".5 "))).alias("MangroveSide_Cover_Tree"),
         (key % 100).cast("int").alias("MarshSide_Cover_Herb"))
-    return normalise_table(raw, "markers")
+
+
+def _raw_events(spark, sf_dir):
+    """Visits with dates as text: month first, padded or with a time, ISO, and
+    some that are no dates."""
+    key = F.col("c_custkey")
+    month, day = key % 12 + 1, key % 28 + 1
+    us = F.concat_ws("/", month.cast("string"), day.cast("string"), F.lit("2010"))
+    padded = F.format_string("%02d/%02d/2011", month, day)
+    iso = F.format_string("2012-%02d-%02d", month, day)
+    return stored_table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("{ev-"), key.cast("string"), F.lit("}")).alias("Event_ID"),
+        F.when(key % 7 == 0, "13/40/2010").when(key % 7 == 1, us).when(key % 7 == 2, F.concat(us, F.lit(" 0:00:00")))
+        .when(key % 7 == 3, padded).when(key % 7 == 4, iso).when(key % 7 == 5, " ").alias("Start_Date"))
+
+
+def q_normalised_markers(spark, sf_dir):
+    """The forgiving read."""
+    return normalise_table(_raw_markers(spark, sf_dir), "markers")
+
+
+def q_normalised_event_dates(spark, sf_dir):
+    """The forgiving read of text dates."""
+    return normalise_table(_raw_events(spark, sf_dir), "events").select("event_id", "start_date")
+
+
+def q_rejected_values(spark, sf_dir):
+    """What that read could not take, with its table, key and column."""
+    return rejected_values(_raw_markers(spark, sf_dir), "markers").unionByName(
+        rejected_values(_raw_events(spark, sf_dir), "events"))
 
 
 def q_site_order(spark, sf_dir):
@@ -421,6 +450,8 @@ def _survey_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "chart_series_region": q_chart_series_region,
         "site_order": q_site_order,
         "normalised_markers": q_normalised_markers,
+        "normalised_event_dates": q_normalised_event_dates,
+        "rejected_values": q_rejected_values,
         "strata_check_by_group": q_strata_check_by_group,
         "relcover_fractional": q_relcover_fractional,
         "relcover_fractional_wide": q_relcover_fractional_wide,
@@ -901,6 +932,16 @@ select 'AB-' || o_orderkey as point_id, 'EV-' || o_custkey as event_id,
   cast(null as double) as marshside_cover_overall, cast(null as double) as marshside_cover_tree,
   cast(null as double) as marshside_cover_shrub, cast(o_orderkey % 100 as double) as marshside_cover_herb
 from orders""",
+        "normalised_event_dates": """
+select 'EV-' || c_custkey as event_id, case when c_custkey % 7 in (1, 2, 3, 4) then make_date(
+  cast(case c_custkey % 7 when 3 then 2011 when 4 then 2012 else 2010 end as int),
+  cast(c_custkey % 12 + 1 as int), cast(c_custkey % 28 + 1 as int)) end as start_date
+from customer""",
+        "rejected_values": """
+select 'markers' as table_name, 'AB-' || o_orderkey as row_key, 'mangroveside_cover_tree' as column_name,
+  'trace' as raw_value from orders where o_orderkey % 3 = 0
+union all
+select 'events', 'EV-' || c_custkey, 'start_date', '13/40/2010' from customer where c_custkey % 7 = 0""",
         "strata_check_by_group": _with(SQL_MK) + f"""
 select mk.event_group_id, point_id, region, segment, location_name, event_type, {STRATA_SQL},
   {_sql_sums()}

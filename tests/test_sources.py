@@ -151,3 +151,46 @@ def test_group_layout_needs_event_groups(spark, sf_dir, tmp_path):
     t = fixture_tables(spark, sf_dir).with_(event_groups=None)
     with pytest.raises(ValueError):
         write_tables(t, str(tmp_path / "g"), group_layout=True)
+
+
+def test_date_formats_and_rejected_values(spark):
+    from plotcover.sources.tables import normalise_table, rejected_values
+    raw = spark.createDataFrame(
+        [("{a}", "05/14/2010"), ("b", "5/14/2010 0:00:00"), ("c", "2010-05-14"), ("d", "14.05.2010"), ("e", None),
+         ("f", " "), ("g", "5/14/2010 1:05:00 PM"), ("h", "soon")], "Event_ID string, Start_Date string")
+    day = dt.date(2010, 5, 14)
+
+    def read(**kw):
+        return {r.event_id: r.start_date for r in normalise_table(raw, "events", **kw).collect()}
+
+    def bad(**kw):
+        return {(r.row_key, r.column_name, r.raw_value) for r in rejected_values(raw, "events", **kw).collect()}
+
+    assert {k for k, v in read().items() if v == day} == {"A", "B", "C", "G"}
+    assert bad() == {("D", "start_date", "14.05.2010"), ("H", "start_date", "soon")}
+    assert read(date_formats=("dd.MM.yyyy",))["D"] == day
+    assert {k for k, _, _ in bad(date_formats=("dd.MM.yyyy",))} == {"A", "B", "G", "H"}
+    veg = spark.createDataFrame([("p", "trace"), ("q", "7"), ("r", ""), ("s", "5%")], "Point_ID string, PercentCover string")
+    assert {(r.row_key, r.raw_value) for r in rejected_values(veg, "vegetation").collect()} == {("P", "trace"), ("S", "5%")}
+    numbers = spark.createDataFrame([("p", 1.0)], "Point_ID string, Distance double")
+    assert rejected_values(numbers, "markers").collect() == []
+
+
+def test_range_predicates_take_every_row_once(spark):
+    import uuid
+    import random
+    from plotcover.sources.tables import key_cuts, range_predicates
+    rng = random.Random(4)
+    ids = [str(uuid.UUID(int=rng.getrandbits(128))).upper() for _ in range(900)]
+    ids += ["ODD'KEY", "", None, None] + ["77777777-HOT"] * 300
+    rows = spark.createDataFrame([(i,) for i in ids], "Point_ID string").repartition(5)
+    cuts = key_cuts(rows, "Point_ID", 12)
+    clauses = range_predicates("Point_ID", cuts)
+    parts = [[r[0] for r in rows.where(c).collect()] for c in clauses]
+    assert sorted(map(str, sum(parts, []))) == sorted(map(str, ids))
+    assert 6 <= len(parts) <= 12 and max(map(len, parts)) <= 300 + 2 * len(ids) // 12
+    assert all("Point_ID >=" in c or "Point_ID <" in c for c in clauses) and "(" not in clauses[-1]
+    numbers = spark.range(50).withColumnRenamed("id", "k")
+    clauses = range_predicates("k", key_cuts(numbers, "k", 4))
+    assert [numbers.where(c).count() for c in clauses] == [13, 13, 13, 11]
+    assert range_predicates("k", []) == ["1 = 1"] and key_cuts(numbers.limit(0), "k", 4) == []
