@@ -260,9 +260,16 @@ def added_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
     """Spans the model finds outside the base spans."""
     out: list[Span] = []
     blocks = sorted((s, e) for s, _, e in base)
+    head = 0                                     # spans before it end before the region
     for m in REGION.finditer(text):
         start = m.start()
-        inside = [(s, e) for s, e in blocks if s < m.end() and e > start]
+        while head < len(blocks) and blocks[head][1] <= start:
+            head += 1
+        inside, at = [], head
+        while at < len(blocks) and blocks[at][0] < m.end():
+            if blocks[at][1] > start:
+                inside.append(blocks[at])
+            at += 1
         for s, e in [*inside, (m.end(), m.end())]:
             if start < s:
                 out += _decode(text, start, min(s, m.end()), weights)

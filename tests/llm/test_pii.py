@@ -131,3 +131,17 @@ def test_long_numeric_and_base64_regions_take_little_memory():
         tracemalloc.stop()
         assert peak < 16 << 20
         assert spans and spans == in_one_piece(text, 0, len(text), weights)
+
+
+def test_many_base_spans_take_linear_time():
+    weights = np.zeros((1 << pii.FEATURE_BITS, len(pii.KINDS)))
+    weights[:] = -9.0                                # nothing is added
+    took = []
+    for n in (5_000, 40_000):
+        text = " ".join(f"user{i}@example.com" for i in range(n))
+        base = pii.base_spans(text)
+        assert len(base) == n
+        begin = time.perf_counter()
+        assert pii.added_spans(text, base, weights) == []
+        took.append(time.perf_counter() - begin)
+    assert took[1] < 40 * max(took[0], 0.01)         # eight times the text
