@@ -12,7 +12,9 @@ apart.
   have room; atoms that the first choice can't hold look at the next.  Each
   shard takes as many of those as fit its quota, those of the smallest groups
   first (they come together with the fewest moves), then by gain.  Rounds end
-  when nothing moves.
+  when nothing moves, however many that takes.  They do end: within a text,
+  rows only move to shards that come earlier by (rows of the text there, turn),
+  so the sums over its fullest shards grow with every move and have a bound.
 * Documents without a link go wherever room is left, at no cost; so do those
   linked documents that their start put beyond a shard's quota.  That makes the
   counts exact.
@@ -30,12 +32,12 @@ from pyspark.sql import functions as F
 
 from plotcover.llm.common import materialize
 from plotcover.session import ensure_checkpoint_dir
+from plotcover.sources.sinks import remove_folder, scratch_folder
 
 N_SHARDS = 24
 SPLIT = 16               # atoms of one text per shard it may start in
 BUCKET_ROWS = 500
 MAX_BUCKETS = 4000       # beyond this many a bucket grows instead: its rows are sorted, not held
-ROUNDS = 10
 
 
 def _buckets(rows: int, shards: int) -> int:
@@ -55,14 +57,16 @@ def before_bucket(df: DataFrame, keys: list[str], amount: Column) -> DataFrame:
     return df.join(before, [*keys, "bucket"])
 
 
-def propagate(atoms: DataFrame, caps: list[int], rounds: int) -> DataFrame:
-    """Move atoms (key, atom, n, shard) towards their neighbours' shards."""
-    shards = len(caps)
-    state = materialize(atoms, "atoms")
+def propagate(atoms: DataFrame, caps: list[int]) -> DataFrame:
+    """Move atoms (key, atom, n, shard) towards their neighbours' shards until
+    none moves.  Only the last two rounds' tables are kept."""
+    spark, shards = atoms.sparkSession, len(caps)
+    folder = scratch_folder(spark)
+    state = materialize(atoms, "atoms", folder)
     buckets = _buckets(state.count(), shards)
     nowhere = F.struct(*[F.lit(v).cast("long").alias(c) for c, v in
                          (("have", None), ("turn", None), ("shard", None), ("room", 0))])
-    for _ in range(rounds):
+    while True:
         loads = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = [max(0, c - loads.get(s, 0)) for s, c in enumerate(caps)]
         # ties between shards are broken by an order that differs from text to text
@@ -97,16 +101,17 @@ def propagate(atoms: DataFrame, caps: list[int], rounds: int) -> DataFrame:
         taken = (before_bucket(asked, ["to"], amount)
                  .withColumn("reached", F.col("before") + F.sum(amount).over(in_order)))
         moves = F.col("wants") & (F.col("reached") <= _pick(room, F.col("to")))
+        old, folder = folder, scratch_folder(spark)
         state = materialize(taken.select(
             "key", "atom", "n", F.when(moves, F.col("to")).otherwise(F.col("shard")).alias("shard"),
-            moves.alias("moved")), "atoms")
+            moves.alias("moved")), "atoms", folder)
+        remove_folder(spark, old)
         if not state.where("moved").take(1):
-            break
+            return state.select("key", "atom", "shard")
         state = state.drop("moved")
-    return state.select("key", "atom", "shard")
 
 
-def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
     ensure_checkpoint_dir(docs.sparkSession)
     own = F.xxhash64("doc_id")
@@ -122,7 +127,7 @@ def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, rounds: int = ROU
     atoms = base.groupBy("key", "atom").agg(F.count("*").alias("n"))
     linked = atoms.withColumn("links", F.sum("n").over(Window.partitionBy("key"))).where("links > 1")
     placed = propagate(linked.select("key", "atom", "n",
-                                     F.pmod(F.col("atom"), F.lit(n_shards)).alias("shard")), caps, rounds)
+                                     F.pmod(F.col("atom"), F.lit(n_shards)).alias("shard")), caps)
 
     # unlinked documents stand in pseudo-shard -1, spread over more buckets
     buckets = _buckets(n, n_shards)
