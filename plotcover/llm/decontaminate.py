@@ -11,16 +11,20 @@ replaced; words compare in lower case without punctuation).
    the place where the item would.  No matching stretch is lost here.
 2. Embedding.  A random walk reads each window and each item: at step j it
    writes the symbol under it and moves on if a random bit of (j, symbol) is
-   set.  After 3 m steps two sequences at small edit distance differ in few
-   places (Hamming distance).
-3. LSH.  Each of L repetitions samples places of the embedding and looks the
-   sample's hash up among the items of that size.  L is chosen per size, from
-   simulated edits at the threshold, so that the target recall is reached.
+   set.  Two sequences at small edit distance differ in few places (Hamming
+   distance).  ``WALKS`` walks are taken: a walk that an early edit throws off
+   for long is made up for by the others.
+3. LSH.  Each of L repetitions samples places of one walk and looks the
+   sample's hash up among the items of that size.  Places are drawn only from
+   steps at which no item of the size has ended, so agreement is always that of
+   words.  L is the least number at which both of two sets of simulated edits at
+   the threshold reach the target recall on the places drawn; a size that
+   ``MAX_REPETITIONS`` do not bring there has all its windows verified.
 4. Verification.  Exact edit distance of the item against the words around the
    window, starting and ending anywhere.
 
-The benchmark is the query set: it is taken in blocks of at most
-``BLOCK_BYTES`` bytes of text, each block broadcast and run against all rows of
+The benchmark is the query set: it is taken in blocks of about
+``BLOCK_BYTES`` bytes of texts and signatures, each block broadcast and run against all rows of
 all documents.  Documents are never shuffled.
 
 Null or word-free texts match nothing, and so do items without words.  Items
@@ -48,12 +52,16 @@ from pyspark.sql import functions as F
 from plotcover.llm.common import Words, bounded_batches, regroup, text_column
 
 MAX_EDIT = 0.2
-TARGET_RECALL = 0.97
-SAMPLE_PLACES = 2
+TARGET_RECALL = 0.985
+SAMPLE_PLACES = 3
+WALKS = 8
 MAX_REPETITIONS = 256
-TRIALS = 48
+TRIALS = 384                  # simulated edits of each of two sets, over the first items of a size
 BLOCK_BYTES = 16 << 20
-AT_ONCE = 2048                # windows embedded or verified together
+ITEM_BYTES = 512              # signatures of an item, counted with its text
+AT_ONCE = 2048                # windows embedded or verified together, fewer of long items
+HELD = 1 << 21                # symbols of their embeddings
+PAIRS = 1 << 18               # pairs of windows and items looked at together
 PAD = np.uint64(0)
 RESULT = "doc_id long, item_id long, start_word long, n_words long, edits long"
 
@@ -93,19 +101,55 @@ def rolling(symbols: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def embed(windows: np.ndarray) -> np.ndarray:
-    """The random-walk embedding of rows of symbols: three times as long."""
-    n, m = windows.shape
-    padded = np.concatenate([windows, np.full((n, 1), PAD)], axis=1)
-    at, rows = np.zeros(n, np.int64), np.arange(n)
-    out = np.empty((3 * m, n), np.uint64)
-    for j in range(3 * m):
-        out[j] = padded[rows, at]
-        at += (mix(out[j], j + 1) >> np.uint64(63)).astype(np.int64)
+def moves(symbols: np.ndarray, step: int) -> np.ndarray:
+    """Whether each walk (a line of symbols) moves on after a step: 0 or 1."""
+    seeds = (step * WALKS + np.arange(1, WALKS + 1)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mix(symbols ^ seeds[:, None], 0) >> np.uint64(63)).astype(np.int64)
+
+
+def walked(rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The random-walk embeddings of rows of symbols at the given steps (in
+    ascending order): step x walk x row."""
+    n, m = rows.shape
+    padded = np.concatenate([rows, np.full((n, 1), PAD)], axis=1)
+    at, each = np.zeros((WALKS, n), np.int64), np.arange(n)
+    out = np.empty((len(places), WALKS, n), np.uint64)
+    line = 0
+    for j in range(int(places[-1]) + 1 if len(places) else 0):
+        symbols = padded[each, at]
+        if places[line] == j:
+            out[line] = symbols
+            line += 1
+        at += moves(symbols, j)
         np.minimum(at, m, out=at)
     return out
 
 
+def steps_read(items: np.ndarray) -> np.ndarray:
+    """The steps at which each walk is still inside every item."""
+    n, m = items.shape
+    at, each, steps = np.zeros((WALKS, n), np.int64), np.arange(n), np.zeros(WALKS, np.int64)
+    inside, step = np.ones(WALKS, bool), 0
+    while inside.any():
+        steps += inside
+        at += moves(items[each, np.minimum(at, m - 1)], step)
+        inside &= at.max(1) < m
+        step += 1
+    return steps
+
+
+def signatures(rows: np.ndarray, samples: np.ndarray) -> np.ndarray:
+    """A hash of the symbols at the places of each sample, one line a sample.
+    Sample r reads walk r (mod ``WALKS``)."""
+    places, line = np.unique(samples, return_inverse=True)
+    embedded = walked(rows, places)
+    walk = np.arange(len(samples)) % WALKS
+    out = np.zeros((len(samples), len(rows)), np.uint64)
+    for i, lines in enumerate(line.reshape(samples.shape).T):
+        out = mix(out ^ embedded[lines, walk], i + 1)
+    return out
+
+
 @dataclass
 class SizeClass:
     """The items of one length, and the samples drawn for them."""
@@ -113,56 +157,69 @@ class SizeClass:
     k: int
     items: np.ndarray                     # rows of symbols
     ids: list[int]
-    samples: np.ndarray = field(init=False)   # repetition x place
-    signatures: list[tuple[np.ndarray, np.ndarray]] = field(init=False)
+    samples: np.ndarray | None = field(init=False)   # repetition x place
+    tables: list[tuple[np.ndarray, np.ndarray]] = field(init=False)
 
     def __post_init__(self):
         self.samples = draw_samples(self.items, self.k)
-        embedded = embed(self.items)
-        self.signatures = []
-        for r in range(len(self.samples)):
-            s = self.signature(embedded, r)
-            order = np.argsort(s, kind="stable")
-            self.signatures.append((s[order], order))
-
-    def signature(self, embedded: np.ndarray, repetition: int) -> np.ndarray:
-        h = np.zeros(embedded.shape[1], np.uint64)
-        for i, place in enumerate(self.samples[repetition]):
-            h = mix(h ^ embedded[place], i + 1)
-        return h
-
-    def collide(self, windows: np.ndarray) -> set[tuple[int, int]]:
-        """The (window, item) pairs that share a bucket in some repetition."""
-        embedded = embed(windows)
-        pairs: set[tuple[int, int]] = set()
-        for r, (known, order) in enumerate(self.signatures):
-            s = self.signature(embedded, r)
+        self.tables = []
+        if self.samples is not None:
+            known = signatures(self.items, self.samples)
+            order = np.argsort(known, axis=1, kind="stable").astype(np.int32)
+            self.tables = list(zip(np.take_along_axis(known, order, axis=1), order))
+
+    @property
+    def at_once(self) -> int:
+        """Windows taken together: fewer of long items."""
+        return max(1, min(AT_ONCE, HELD // (2 * self.m * WALKS)))
+
+    def collide(self, windows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The (window, item) pairs that share a bucket in some repetition, each
+        pair once, in parts of about ``PAIRS`` as the repetitions go."""
+        n_items = len(self.items)
+        if self.samples is None:
+            step = max(1, PAIRS // n_items)
+            for at in range(0, len(windows), step):
+                n = min(step, len(windows) - at)
+                yield np.repeat(np.arange(at, at + n), n_items), np.tile(np.arange(n_items), n)
+            return
+        seen = np.zeros(0, np.int64)
+        for (known, order), s in zip(self.tables, signatures(windows, self.samples)):
             low, high = np.searchsorted(known, s, "left"), np.searchsorted(known, s, "right")
             hit = np.nonzero(high > low)[0]
-            n = (high - low)[hit]
-            own = np.repeat(hit, n)
-            item = order[np.repeat(low[hit] - (np.cumsum(n) - n), n) + np.arange(len(own))]
-            pairs.update(zip(own.tolist(), item.tolist()))
-        return pairs
-
-
-def draw_samples(items: np.ndarray, k: int) -> np.ndarray:
-    """Places of each repetition, so many repetitions that a window with k
-    random edits meets its item in one of them with the target probability."""
+            part = np.cumsum((high - low)[hit]) // PAIRS
+            for own in np.split(hit, np.nonzero(np.diff(part))[0] + 1):
+                n = (high - low)[own]
+                item = order[np.repeat(low[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                pairs = np.setdiff1d(np.repeat(own, n) * n_items + item, seen)
+                if len(pairs):
+                    seen = np.union1d(seen, pairs)
+                    yield pairs // n_items, pairs % n_items
+
+
+def draw_samples(items: np.ndarray, k: int) -> np.ndarray | None:
+    """The places of each repetition, so many repetitions that windows with k
+    random edits meet their item with the target probability; None if
+    ``MAX_REPETITIONS`` are not enough."""
     m = items.shape[1]
     rng = np.random.default_rng(1000 + m)
-    places = max(1, min(SAMPLE_PLACES, m))
+    steps = steps_read(items)
     if k == 0:
-        return rng.integers(0, 3 * m, (1, max(places, min(3 * m, 8))))
-    edited = np.array([edit_at_random(items[t % len(items)], k, rng) for t in range(TRIALS)])
-    same = embed(items[np.arange(TRIALS) % len(items)]) == embed(edited)
-    share = np.maximum(same.mean(0), 1 / (3 * m))  # of equal places, by trial
-    miss = 1.0
-    for n in range(1, MAX_REPETITIONS + 1):
-        miss = float(np.mean((1 - share ** places) ** n))
-        if 1 - miss >= TARGET_RECALL:
-            break
-    return rng.integers(0, 3 * m, (n, places))
+        return rng.integers(0, steps[0], (1, min(3 * m, 8)))
+    samples = rng.integers(0, steps[np.arange(MAX_REPETITIONS) % WALKS][:, None],
+                           (MAX_REPETITIONS, SAMPLE_PLACES))
+    found = []
+    for trial in range(2):
+        which = (np.arange(TRIALS) + trial * TRIALS) % len(items)
+        met = np.zeros((MAX_REPETITIONS, TRIALS), bool)
+        step = max(1, HELD // (2 * m * WALKS))
+        for at in range(0, TRIALS, step):
+            own = items[which[at:at + step]]
+            edited = np.array([edit_at_random(item, k, rng) for item in own])
+            met[:, at:at + step] = signatures(own, samples) == signatures(edited, samples)
+        found.append(np.logical_or.accumulate(met, axis=0).mean(1))
+    reached = np.nonzero(np.minimum(*found) >= TARGET_RECALL)[0]
+    return samples[:reached[0] + 1] if len(reached) else None
 
 
 def edit_at_random(item: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
@@ -193,8 +250,9 @@ class Block:
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for c, (begins, owner) in self._windows(found).items():
             size = self.classes[c]
-            for at in range(0, len(begins), AT_ONCE):
-                self._verify(found, size, begins[at:at + AT_ONCE], owner[at:at + AT_ONCE], best)
+            for at in range(0, len(begins), size.at_once):
+                part = slice(at, at + size.at_once)
+                self._verify(found, size, begins[part], owner[part], best)
         return [(t, i, int(found.places[b]), int(found.places[b + n - 1] - found.places[b]) + 1, e)
                 for (t, i), (e, b, n) in sorted(best.items(), key=str)]
 
@@ -230,25 +288,30 @@ class Block:
     @staticmethod
     def _verify(found: Symbols, size: SizeClass, begins: np.ndarray, owner: np.ndarray, best: dict
                 ) -> None:
-        m, k = size.m, size.k
+        m = size.m
         ends = found.starts[owner + 1]
-        pairs = sorted(size.collide(stretch(found.symbols, begins, ends, m)))
-        for at in range(0, len(pairs), AT_ONCE):
-            window = np.array([w for w, _ in pairs[at:at + AT_ONCE]])
-            item = np.array([i for _, i in pairs[at:at + AT_ONCE]])
-            first = np.maximum(begins[window] - k, found.starts[owner[window]])
-            around = stretch(found.symbols, first, ends[window], m + 3 * k)
-            edits, end = edit_distance(size.items[item], around)
-            good = np.nonzero(edits <= k)[0]
-            if not len(good):
-                continue
-            n = stretch_length(size.items[item[good]], around[good], end[good], edits[good])
-            for g, length in zip(good.tolist(), n.tolist()):
-                text = int(owner[window[g]])
-                # never beyond the text: padding there matches no word
-                begin = int(first[g] + end[g] - length)
-                key, got = (text, size.ids[item[g]]), (int(edits[g]), begin, length)
-                best[key] = min(best.get(key, got), got)
+        for windows, items in size.collide(stretch(found.symbols, begins, ends, m)):
+            for at in range(0, len(windows), size.at_once):
+                Block._verify_pairs(found, size, begins, owner, windows[at:at + size.at_once],
+                                    items[at:at + size.at_once], best)
+
+    @staticmethod
+    def _verify_pairs(found: Symbols, size: SizeClass, begins: np.ndarray, owner: np.ndarray,
+                      window: np.ndarray, item: np.ndarray, best: dict) -> None:
+        m, k = size.m, size.k
+        first = np.maximum(begins[window] - k, found.starts[owner[window]])
+        around = stretch(found.symbols, first, found.starts[owner[window] + 1], m + 3 * k)
+        edits, end = edit_distance(size.items[item], around)
+        good = np.nonzero(edits <= k)[0]
+        if not len(good):
+            return
+        n = stretch_length(size.items[item[good]], around[good], end[good], edits[good])
+        for g, length in zip(good.tolist(), n.tolist()):
+            text = int(owner[window[g]])
+            # never beyond the text: padding there matches no word
+            begin = int(first[g] + end[g] - length)
+            key, got = (text, size.ids[item[g]]), (int(edits[g]), begin, length)
+            best[key] = min(best.get(key, got), got)
 
 
 def stretch(symbols: np.ndarray, begins: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
@@ -320,7 +383,7 @@ def blocks_of(benchmark: DataFrame, max_edit: float, block_bytes: int) -> list[B
     """The items of ``benchmark`` (item_id, text) as broadcast blocks of bounded size."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    total = items.agg(F.sum(F.octet_length("text") + ITEM_BYTES)).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
     out = []
     for b in range(n):

@@ -82,3 +82,37 @@ def test_edit_distance_is_exact():
     texts = rng.integers(1, 4, (40, 12)).astype(np.uint64)
     want = [best_stretch(a.tolist(), b.tolist()) for a, b in zip(items, texts)]
     assert de.edit_distance(items, texts)[0].tolist() == want
+
+
+def test_every_size_meets_edited_windows_and_few_others():
+    rng = np.random.default_rng(8)
+
+    def rows(n, m):
+        return (rng.integers(0, 3000, (n, m)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+    for m in range(5, 101):
+        size = de.SizeClass(m, int(0.2 * m + 1e-9), rows(100, m), list(range(100)))
+        which = np.arange(300) % 100
+        windows = np.array([de.edit_at_random(size.items[i], size.k, rng) for i in which])
+        met = {p for w, i in size.collide(windows) for p in zip(w.tolist(), i.tolist())}
+        assert sum((w, i) in met for w, i in enumerate(which.tolist())) >= 0.95 * len(which), m
+        others = sum(len(w) for w, _ in size.collide(rows(300, m)))
+        assert others < 0.01 * 300 * 100, m
+
+
+def test_pairs_come_once_and_a_size_that_never_gets_there_is_verified_whole(monkeypatch):
+    rng = np.random.default_rng(9)
+    items = rng.integers(1, 5, (40, 10)).astype(np.uint64)   # four words only: nearly all meet
+    windows = rng.integers(1, 5, (30, 10)).astype(np.uint64)
+    size = de.SizeClass(10, 2, items, list(range(40)))
+    whole = {p for w, i in size.collide(windows) for p in zip(w.tolist(), i.tolist())}
+    monkeypatch.setattr(de, "PAIRS", 7)
+    parts = list(size.collide(windows))
+    pairs = [p for w, i in parts for p in zip(w.tolist(), i.tolist())]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == whole and len(parts) > 10
+    monkeypatch.setattr(de, "MAX_REPETITIONS", 1)
+    direct = de.SizeClass(60, 12, rng.integers(1, 1 << 60, (3, 60)).astype(np.uint64), [0, 1, 2])
+    assert direct.samples is None
+    pairs = [p for w, i in direct.collide(rng.integers(1, 9, (5, 60)).astype(np.uint64))
+             for p in zip(w.tolist(), i.tolist())]
+    assert sorted(pairs) == [(w, i) for w in range(5) for i in range(3)]
