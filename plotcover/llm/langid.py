@@ -13,8 +13,15 @@ root), so that no long text outweighs the rest.
 Decoding is loss-weighted: the logistic loss of each bit's margin, weighted by
 how well the bit separates the training counts, is summed per codeword and the
 nearest codeword wins.  The score is that codeword's share under a soft
-minimum.  A document is flagged ambiguous when the runner-up comes closer than
-``AMBIGUOUS`` of the distance between the two codewords.
+minimum whose temperature is fitted on rows a model did not learn from: a
+model of one half of the rows (by text hash) predicts stretches of 8 to 512
+characters of at most ``CALIBRATION_TEXTS`` texts of the other half, and the
+temperature with the least log loss is taken.
+
+A text is flagged ambiguous when, on the bits in which the two nearest codewords
+differ, its n-grams say on average less than ``AMBIGUOUS`` of what those of the
+winner's training rows say.  A text all in one language comes near 1, one that
+mixes two by halves near 0, whatever its length.
 
 Null texts and texts without a letter are ``und`` with score 0.  With a single
 learned language every text with a letter gets it with score 1; with none,
@@ -26,10 +33,11 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +46,11 @@ from plotcover.llm.common import bounded_batches, regroup, text_column
 GRAM_BITS = 15
 TEXT_BYTES = 1 << 20  # text whose n-grams are held at once
 SMOOTHING = 0.1
-AMBIGUOUS = 0.1
+AMBIGUOUS = 0.35
+MIN_SCORE = 0.5       # keep_identified: more likely right than wrong
+CALIBRATION_TEXTS = 512
+CALIBRATION_CHARS = (8, 16, 32, 64, 128, 512)
+HEATS = 2.0 ** np.arange(-2, 4.25, 0.25)
 UND = "und"
 MAX_LANGUAGES = 4096  # labels beyond this many would not fit the count table
 _LETTERS: list[np.ndarray] = []
@@ -94,40 +106,66 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def half_of(text: str = "text") -> Column:
+    """0 or 1, by the text."""
+    return F.xxhash64(text).bitwiseAND(1)
+
+
 def gram_counts(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The languages in order, and the summed n-gram weights (language x n-gram)
-    over all rows of ``labelled`` (text, lang).  Each task adds up its rows, so
-    a row of the table crosses the network once a task and language."""
+    """The languages in order, and the summed n-gram weights (half x language x
+    n-gram) over all rows of ``labelled`` (text, lang).  Each task adds up its rows,
+    so a row of the table crosses the network once a task, language and half."""
     bounded_batches(labelled.sparkSession)
     size = 1 << GRAM_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
+        total: dict[tuple[str, int], np.ndarray] = {}
         for batch in regroup(batches, TEXT_BYTES):
             owner, gram, weight, _ = counted(text_column(batch))
-            langs = np.array(batch.column(1).to_pylist(), object)
-            for lang in sorted(set(langs)):
-                mine = (langs == lang)[owner]
-                total[lang] = total.get(lang, 0) + np.bincount(gram[mine], weight[mine], size)
-        for lang, weights in total.items():
+            coded = batch.column(1).dictionary_encode()
+            kind = coded.indices.to_numpy() * 2 + batch.column(2).to_numpy()
+            for k in np.unique(kind).tolist():
+                mine = (kind == k)[owner]
+                key = (coded.dictionary[k // 2].as_py(), k % 2)
+                total[key] = total.get(key, 0) + np.bincount(gram[mine], weight[mine], size)
+        for (lang, half), weights in total.items():
             some = np.nonzero(weights)[0]
             yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([lang] * len(some), pa.string()), "gram": some.astype(np.int32),
+                "lang": pa.array([lang] * len(some), pa.string()),
+                "half": pa.array([half] * len(some), pa.int64()), "gram": some.astype(np.int32),
                 "weight": np.round(weights[some] * 1024).astype(np.int64)})
 
     # whole numbers: the sums do not depend on the order of the tasks
-    table = (labelled.mapInArrow(count, "lang string, gram int, weight long")
-             .groupBy("lang", "gram").agg(F.sum("weight").alias("weight")).toArrow())
-    langs = sorted(set(table.column("lang").to_pylist()))
+    table = (labelled.select("text", "lang", half_of().alias("half"))
+             .mapInArrow(count, "lang string, half long, gram int, weight long")
+             .groupBy("lang", "half", "gram").agg(F.sum("weight").alias("weight")).toArrow())
+    langs = sorted(pc.unique(table.column("lang")).to_pylist())
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: not a language label")
-    out = np.zeros((len(langs), size))
-    row = {lang: i for i, lang in enumerate(langs)}
-    at = np.array([row[x] for x in table.column("lang").to_pylist()], np.int64)
-    out[at, table.column("gram").to_numpy()] = table.column("weight").to_numpy() / 1024
+    out = np.zeros((2, len(langs), size))
+    if langs:
+        at = pc.index_in(table.column("lang"), pa.array(langs, pa.string())).to_numpy()
+        out[table.column("half").to_numpy(), at, table.column("gram").to_numpy()] = \
+            table.column("weight").to_numpy() / 1024
     return langs, out
 
 
+def calibration_texts(labelled: DataFrame) -> list[tuple[str, str]]:
+    """(lang, stretch) of at most ``CALIBRATION_TEXTS`` texts of half 1: the text
+    with the smallest hash in each of as many ranges of it, so copies count once.
+    Only hashes are compared over the whole table."""
+    h = F.xxhash64("text")
+    least = (labelled.where(half_of() == 1).select(h.alias("h"))
+             .groupBy(F.pmod(F.shiftright("h", 1), F.lit(CALIBRATION_TEXTS))).agg(F.min("h").alias("h")))
+    picks = [r.h for r in least.collect()]
+    n = F.char_length("text")
+    stretches = [F.substr("text", F.lit(1) + F.pmod(h, F.greatest(n - size, F.lit(0)) + 1).cast("int"), F.lit(size))
+                 for size in CALIBRATION_CHARS]
+    rows = (labelled.where(h.isin(picks)).select(h.alias("h"), "lang", *(
+        s.alias(f"s{i}") for i, s in enumerate(stretches))).distinct().collect()) if picks else []
+    return [(r.lang, s) for r in sorted(rows, key=lambda r: (r.h, r.lang)) for s in r[2:]]
+
+
 def codewords(n: int, seed: int = 11) -> np.ndarray:
     """A codeword of +1/-1 per language.  Up to seven languages: every way to
     split them in two.  More: random splits, the best of several draws by the
@@ -157,41 +195,47 @@ class Model:
     code: np.ndarray      # language x bit
     weights: np.ndarray   # n-gram x bit
     trust: np.ndarray     # of each bit, mean 1
+    typical: np.ndarray   # language x bit: mean weight of an n-gram of that language
+    heat: float = 1.0     # temperature of the score
 
-    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score and ambiguity of each text."""
+    def losses(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text the loss of each codeword, the mean weight of an n-gram for
+        each bit, and whether it has a letter."""
         n = len(texts)
         owner, gram, weight, has_letter = counted(texts)
-        if not self.langs:
-            return [UND] * n, np.zeros(n), np.zeros(n, bool)
-        if len(self.langs) == 1:
-            return ([self.langs[0] if x else UND for x in has_letter],
-                    has_letter.astype(float), np.zeros(n, bool))
         sums = np.zeros((n, self.code.shape[1]))
         if len(owner):
             begins = np.nonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))[0]
             sums[owner[begins]] = np.add.reduceat(self.weights[gram] * weight[:, None], begins)
+        total = np.maximum(1, np.bincount(owner, weight, n))[:, None]
         # evidence grows with the root of the text: n-grams are not independent
-        norm = np.sqrt(np.maximum(1, np.bincount(owner, weight, n)))
-        margin = sums / norm[:, None]
+        margin = sums / np.sqrt(total)
         loss = np.zeros((n, len(self.langs)))
         for i, word in enumerate(self.code):
             loss[:, i] = np.logaddexp(0, -margin * word) @ self.trust
+        return loss, sums / total, has_letter
+
+    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and ambiguity of each text."""
+        n = len(texts)
+        if not self.langs:
+            return [UND] * n, np.zeros(n), np.zeros(n, bool)
+        loss, mean, has_letter = self.losses(texts)
+        if len(self.langs) == 1:
+            return ([self.langs[0] if x else UND for x in has_letter],
+                    has_letter.astype(float), np.zeros(n, bool))
         order = np.argsort(loss, axis=1, kind="stable")
         rows = np.arange(n)
         best, second = order[:, 0], order[:, 1]
-        soft = np.exp(-(loss - loss[rows, best][:, None]))
-        score = 1 / soft.sum(1)
-        apart = ((self.code[best] != self.code[second]) * self.trust).sum(1)
-        ambiguous = (loss[rows, second] - loss[rows, best]) < AMBIGUOUS * apart
+        score = 1 / np.exp((loss[rows, best][:, None] - loss) / self.heat).sum(1)
+        apart = (self.code[best] != self.code[second]) * self.code[best] * self.trust
+        ambiguous = (apart * mean).sum(1) <= AMBIGUOUS * (apart * self.typical[best]).sum(1)
         langs = [self.langs[b] if x else UND for b, x in zip(best, has_letter)]
         return langs, np.where(has_letter, score, 0.0), ambiguous & has_letter
 
 
-def train(labelled: DataFrame) -> Model:
-    """Fit the classifiers on all rows of ``labelled`` (text, lang)."""
-    langs, counts = gram_counts(labelled.select("text", "lang").where(
-        "text is not null and lang is not null"))
+def fit(langs: list[str], counts: np.ndarray) -> Model:
+    """The classifiers of n-gram counts (language x n-gram)."""
     code = codewords(len(langs))
     share = counts + SMOOTHING
     share /= share.sum(1, keepdims=True)
@@ -203,7 +247,32 @@ def train(labelled: DataFrame) -> Model:
         # expected margin between both sides under the training shares
         trust[bit] = ((one - zero) * weights[:, bit]).sum()
     return Model(langs, code, weights, trust / trust.mean() if len(trust) and trust.mean() > 0
-                 else np.ones(len(trust)))
+                 else np.ones(len(trust)), share @ weights)
+
+
+def fitted_heat(model: Model, stretches: list[tuple[str, str]]) -> float:
+    """The temperature with the least log loss; 1 if there is nothing to go by."""
+    if len(model.langs) < 2 or not stretches:
+        return 1.0
+    loss, _, has_letter = model.losses(pa.array([s for _, s in stretches], pa.string()))
+    right = np.searchsorted(model.langs, [lang for lang, _ in stretches])[has_letter]
+    loss = loss[has_letter]
+    if not len(loss):
+        return 1.0
+    loss = loss - loss.min(1, keepdims=True)
+    own = loss[np.arange(len(loss)), right]
+    costs = [np.mean(own / t + np.log(np.exp(-loss / t).sum(1))) for t in HEATS]
+    return float(HEATS[int(np.argmin(costs))])
+
+
+def train(labelled: DataFrame) -> Model:
+    """Fit the classifiers on all rows of ``labelled`` (text, lang)."""
+    known = labelled.select("text", "lang").where("text is not null and lang is not null")
+    langs, counts = gram_counts(known)
+    if len(langs) < 2:
+        return fit(langs, counts.sum(0))
+    heat = fitted_heat(fit(langs, counts[0]), calibration_texts(known))
+    return replace(fit(langs, counts.sum(0)), heat=heat)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -222,16 +291,15 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language the model can tell: not ``und``, and
-    not both ambiguous and hardly better than a guess among the languages."""
+    """The rows of ``docs`` whose language the model can tell: not ``und``, and with
+    a score of at least ``MIN_SCORE``.  Ambiguous texts stay by that rule too: a text
+    in two languages is still a text in known languages."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regroup(batches, TEXT_BYTES):
-            model = shared.value
-            langs, score, ambiguous = model.predict(text_column(batch, column))
-            guess = score < 1.2 / max(1, len(model.langs))
-            yield batch.filter(pa.array((np.array(langs, object) != UND) & ~(ambiguous & guess)))
+            langs, score, _ = shared.value.predict(text_column(batch, column))
+            yield batch.filter(pa.array((np.array(langs, object) != UND) & (score >= MIN_SCORE)))
 
     return docs.mapInArrow(run, docs.schema)
