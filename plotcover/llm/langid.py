@@ -14,9 +14,10 @@ Decoding is loss-weighted: the logistic loss of each bit's margin, weighted by
 how well the bit separates the training counts, is summed per codeword and the
 nearest codeword wins.  The score is that codeword's share under a soft
 minimum whose temperature is fitted on rows a model did not learn from: a
-model of one half of the rows (by text hash) predicts stretches of 8 to 512
-characters of at most ``CALIBRATION_TEXTS`` texts of the other half, and the
-temperature with the least log loss is taken.
+model of seven eighths of the rows (by text hash) predicts stretches of 4 to 512
+characters of at most ``CALIBRATION_TEXTS`` texts of the other eighth, and the
+temperature at which the mean score is nearest to the share predicted right is
+taken.
 
 A text is flagged ambiguous when, on the bits in which the two nearest codewords
 differ, its n-grams say on average less than ``AMBIGUOUS`` of what those of the
@@ -49,7 +50,7 @@ SMOOTHING = 0.1
 AMBIGUOUS = 0.35
 MIN_SCORE = 0.5       # keep_identified: more likely right than wrong
 CALIBRATION_TEXTS = 512
-CALIBRATION_CHARS = (8, 16, 32, 64, 128, 512)
+CALIBRATION_CHARS = (4, 8, 16, 32, 64, 128, 512)
 HEATS = 2.0 ** np.arange(-2, 4.25, 0.25)
 UND = "und"
 MAX_LANGUAGES = 4096  # labels beyond this many would not fit the count table
@@ -106,15 +107,15 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def half_of(text: str = "text") -> Column:
-    """0 or 1, by the text."""
-    return F.xxhash64(text).bitwiseAND(1)
+def set_apart(text: str = "text") -> Column:
+    """1 for the eighth of the texts that the temperature is fitted on, else 0."""
+    return (F.xxhash64(text).bitwiseAND(7) == 0).cast("long")
 
 
 def gram_counts(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The languages in order, and the summed n-gram weights (half x language x
-    n-gram) over all rows of ``labelled`` (text, lang).  Each task adds up its rows,
-    so a row of the table crosses the network once a task, language and half."""
+    """The languages in order, and the summed n-gram weights (set apart or not x
+    language x n-gram) over all rows of ``labelled`` (text, lang).  Each task adds up its rows,
+    so a row of the table crosses the network once a task, language and part."""
     bounded_batches(labelled.sparkSession)
     size = 1 << GRAM_BITS
 
@@ -128,35 +129,35 @@ def gram_counts(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
                 mine = (kind == k)[owner]
                 key = (coded.dictionary[k // 2].as_py(), k % 2)
                 total[key] = total.get(key, 0) + np.bincount(gram[mine], weight[mine], size)
-        for (lang, half), weights in total.items():
+        for (lang, part), weights in total.items():
             some = np.nonzero(weights)[0]
             yield pa.RecordBatch.from_pydict({
                 "lang": pa.array([lang] * len(some), pa.string()),
-                "half": pa.array([half] * len(some), pa.int64()), "gram": some.astype(np.int32),
+                "part": pa.array([part] * len(some), pa.int64()), "gram": some.astype(np.int32),
                 "weight": np.round(weights[some] * 1024).astype(np.int64)})
 
     # whole numbers: the sums do not depend on the order of the tasks
-    table = (labelled.select("text", "lang", half_of().alias("half"))
-             .mapInArrow(count, "lang string, half long, gram int, weight long")
-             .groupBy("lang", "half", "gram").agg(F.sum("weight").alias("weight")).toArrow())
+    table = (labelled.select("text", "lang", set_apart().alias("part"))
+             .mapInArrow(count, "lang string, part long, gram int, weight long")
+             .groupBy("lang", "part", "gram").agg(F.sum("weight").alias("weight")).toArrow())
     langs = sorted(pc.unique(table.column("lang")).to_pylist())
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: not a language label")
     out = np.zeros((2, len(langs), size))
     if langs:
         at = pc.index_in(table.column("lang"), pa.array(langs, pa.string())).to_numpy()
-        out[table.column("half").to_numpy(), at, table.column("gram").to_numpy()] = \
+        out[table.column("part").to_numpy(), at, table.column("gram").to_numpy()] = \
             table.column("weight").to_numpy() / 1024
     return langs, out
 
 
 def calibration_texts(labelled: DataFrame) -> list[tuple[str, str]]:
-    """(lang, stretch) of at most ``CALIBRATION_TEXTS`` texts of half 1: the text
+    """(lang, stretch) of at most ``CALIBRATION_TEXTS`` texts set apart: the text
     with the smallest hash in each of as many ranges of it, so copies count once.
     Only hashes are compared over the whole table."""
     h = F.xxhash64("text")
-    least = (labelled.where(half_of() == 1).select(h.alias("h"))
-             .groupBy(F.pmod(F.shiftright("h", 1), F.lit(CALIBRATION_TEXTS))).agg(F.min("h").alias("h")))
+    least = (labelled.where(set_apart() == 1).select(h.alias("h"))
+             .groupBy(F.pmod(F.shiftright("h", 3), F.lit(CALIBRATION_TEXTS))).agg(F.min("h").alias("h")))
     picks = [r.h for r in least.collect()]
     n = F.char_length("text")
     stretches = [F.substr("text", F.lit(1) + F.pmod(h, F.greatest(n - size, F.lit(0)) + 1).cast("int"), F.lit(size))
@@ -251,18 +252,16 @@ def fit(langs: list[str], counts: np.ndarray) -> Model:
 
 
 def fitted_heat(model: Model, stretches: list[tuple[str, str]]) -> float:
-    """The temperature with the least log loss; 1 if there is nothing to go by."""
+    """The temperature at which the mean score comes nearest to the share that is
+    right; 1 if there is nothing to go by."""
     if len(model.langs) < 2 or not stretches:
         return 1.0
     loss, _, has_letter = model.losses(pa.array([s for _, s in stretches], pa.string()))
-    right = np.searchsorted(model.langs, [lang for lang, _ in stretches])[has_letter]
-    loss = loss[has_letter]
-    if not len(loss):
-        return 1.0
-    loss = loss - loss.min(1, keepdims=True)
-    own = loss[np.arange(len(loss)), right]
-    costs = [np.mean(own / t + np.log(np.exp(-loss / t).sum(1))) for t in HEATS]
-    return float(HEATS[int(np.argmin(costs))])
+    right = np.searchsorted(model.langs, [lang for lang, _ in stretches])
+    hits = (loss.argmin(1) == right)[has_letter].mean() if has_letter.any() else 1.0
+    loss = (loss - loss.min(1, keepdims=True))[has_letter]
+    means = [(1 / np.exp(-loss / t).sum(1)).mean() if len(loss) else 1.0 for t in HEATS]
+    return float(HEATS[int(np.argmin(np.abs(np.array(means) - hits)))])
 
 
 def train(labelled: DataFrame) -> Model:
