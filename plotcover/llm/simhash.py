@@ -34,6 +34,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -278,14 +279,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of each component of fingerprints: the one with the smallest
     doc_id, a null one last, then by a digest of the text, then of the whole
-    row.  Rows of other components stay, also with the same or a null doc_id."""
+    row.  Rows of other components stay, also with the same or a null doc_id.
+    Extra columns may have any name and type."""
     bounded_batches(docs.sparkSession)
+    columns = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]
+    # maps have no hash of their own
+    hashable = [F.to_json(F.struct(c.alias("value"))) if re.search("map<|variant", field.dataType.simpleString()) else c
+                for c, field in zip(columns, docs.schema)]
     own = F.struct(
         F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("id"),
         F.xxhash64("text").alias("words"),
         # null columns do not enter the hash, so where they are does
-        *[F.xxhash64(F.lit(seed), *[x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]).alias(f"row{seed}")
-          for seed in (1, 2)])
+        *[F.xxhash64(F.lit(seed), *[x for h, c in zip(hashable, columns) for x in (h, c.isNull())])
+          .alias(f"row{seed}") for seed in (1, 2)])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regroup(batches):
@@ -298,8 +304,10 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     firsts = nodes.select("fp", F.col("fp").alias("first"))
     kept = (nodes.join(components(neighbours(firsts, radius), firsts), "fp", "left")
             .groupBy(F.coalesce("label", "fp").alias("kept_of")).agg(F.min("own").alias("own"))
-            .select("kept_of", F.col("own.row1").alias("kept_row1"), F.col("own.row2").alias("kept_row2")))
-    return (docs.select("*", own["row1"].alias("kept_row1"), own["row2"].alias("kept_row2"))
-            .join(kept, ["kept_row1", "kept_row2"])
+            .select("kept_of", F.col("own.row1").alias("row1"), F.col("own.row2").alias("row2")))
+    # given columns travel in one struct: their names can't clash with those of the join
+    return (docs.select(F.struct(*columns).alias("row"), own["row1"].alias("row1"), own["row2"].alias("row2"))
+            .join(kept, ["row1", "row2"])
             # only equal rows are left to choose from
-            .dropDuplicates(["kept_of"]).select(docs.columns))
+            .dropDuplicates(["kept_of"])
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

@@ -160,3 +160,15 @@ def test_links_of_a_dense_cluster_grow_with_its_fingerprints(spark, size):
     mask = (1 << 64) - 1
     assert same([(r.a & mask, r.b & mask) for r in edges.collect()]) == same(near)
     assert len(near) > 10 * size
+
+
+def test_keep_one_with_columns_of_any_name_and_type(spark):
+    text = "one two three four five six seven eight"
+    rows = [(1, text, 5, 7, {"a": 1}, 0), (2, text, 5, 7, {"a": 2}, 0), (3, "another text", None, 7, None, 1),
+            (None, None, None, None, {"b": None}, 2), (3, "another text", None, 7, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_of long, `a.b` int, m map<string,int>, row int")
+    got = simhash.keep_one(docs)
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
+    twin = docs.withColumnRenamed("a.b", "own").withColumnRenamed("row", "fp").withColumnRenamed("kept_of", "row1")
+    assert simhash.keep_one(twin).count() == 3 and simhash.keep_one(twin).columns == twin.columns
