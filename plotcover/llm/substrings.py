@@ -40,9 +40,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -65,9 +67,11 @@ RUN_SUFFIXES = 300_000             # suffixes of a run, over all buckets
 SLICE = 50_000                     # distinct suffixes whose windows are compared at once
 HOT = 20_000                       # places of an anchor beyond which its windows are spread
 HOT_SUFFIXES = 1 << 16             # hot suffixes of a task made distinct at once
+PART = 1024                        # suffixes whose windows are hashed at once, in the CPU's cache
 HOT_PART = 4096                    # distinct hot suffixes whose windows are made at once
 FLUSH = 1_000_000
 TEXT_BYTES = 1 << 19              # text whose anchors are found at once
+BLOCK = 1 << 15                   # windows whose minimizers are found at once, in the CPU's cache
 NO_ID = -(1 << 63)
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
@@ -92,29 +96,56 @@ def find_anchors(texts: pa.Array) -> Anchors:
     none = np.zeros(0, np.int64)
     if len(body) < LENGTH:
         return Anchors(body, starts, none, none, none.astype(np.uint64), none, none)
-    x = body.astype(np.uint64)
-    for n in (1, 2, 4):                               # eight bytes from each place
-        x = x[:-n] | (x[n:] << np.uint64(8 * n))
-    h = x[:-16] * A ^ (x[8:-8] * B >> np.uint64(7)) ^ (x[16:] * C >> np.uint64(13))
-    h = (h ^ (h >> np.uint64(29))) * C                # a k-mer from each place
-    key = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
-    least, n = key, 1
-    while 2 * n <= PLACES:
-        least = np.minimum(least[:-n], least[n:])
-        n *= 2
-    if n < PLACES:
-        least = np.minimum(least[:len(least) - (PLACES - n)], least[PLACES - n:])
-    lens = np.diff(starts)
-    some = np.nonzero(lens >= LENGTH)[0]
-    n_windows = lens[some] - LENGTH + 1
-    begin = np.repeat(starts[some] - (np.cumsum(n_windows) - n_windows), n_windows) + \
-        np.arange(n_windows.sum())
-    at = (least[begin] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    new = np.nonzero(np.concatenate([[True], at[1:] != at[:-1]]))[0] if len(at) else none
-    at, low = at[new], begin[new]
-    high = begin[np.append(new[1:], len(begin)) - 1] if len(new) else none
-    owner = np.searchsorted(starts, at, side="right") - 1
-    return Anchors(body, starts, at, owner, h[at], low, high)
+    words = np.ndarray(len(body) - 7, "<u8", body, strides=(1,))     # eight bytes from each place
+    at = minimizers(words)
+    # a text's windows end LENGTH bytes before the next text begins
+    some = np.diff(starts) >= LENGTH
+    new = np.concatenate([[True], at[1:] != at[:-1]])
+    ends = starts[1:][some] - LENGTH + 1
+    new[starts[:-1][some]] = new[ends[ends < len(new)]] = True
+    low = np.nonzero(new)[0]
+    high = np.append(low[1:], len(new)) - 1
+    owner = np.searchsorted(starts, low, side="right") - 1
+    inside = low + LENGTH <= starts[owner + 1]
+    low, high, owner = low[inside], high[inside], owner[inside]
+    at = at[low].astype(np.int64)
+    return Anchors(body, starts, at, owner, kmer_hashes(*(words[at + n] for n in (0, 8, 16))), low, high)
+
+
+def kmer_hashes(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> np.ndarray:
+    """A hash of each k-mer from its three words."""
+    h, t = one * A, two * B
+    t >>= np.uint64(7)
+    h ^= t
+    np.multiply(three, C, out=t)
+    t >>= np.uint64(13)
+    h ^= t
+    np.right_shift(h, np.uint64(29), out=t)
+    h ^= t
+    h *= C
+    return h
+
+
+def minimizers(words: np.ndarray) -> np.ndarray:
+    """Where the minimizer of the window from each place begins, whatever text it is in."""
+    total = len(words) + 8 - LENGTH
+    out = np.empty(total, np.uint32)
+    places = np.arange(BLOCK + REACH, dtype=np.uint64)
+    for begin in range(0, total, BLOCK):
+        size = min(BLOCK, total - begin)
+        own = words[begin:begin + size + REACH + 16].copy()
+        least = kmer_hashes(own[:-16], own[8:-8], own[16:])
+        least &= np.uint64(0xFFFFFFFF00000000)
+        least |= places[:len(least)]
+        n = 1
+        while 2 * n <= PLACES:
+            least = np.minimum(least[:-n], least[n:])
+            n *= 2
+        if n < PLACES:
+            least = np.minimum(least[:len(least) - (PLACES - n)], least[PLACES - n:])
+        out[begin:begin + size] = least.astype(np.uint32)      # the low half
+        out[begin:begin + size] += np.uint32(begin)
+    return out
 
 
 def slots(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,19 +180,19 @@ def shared_bitmap(docs: DataFrame, buckets: int, hot: int = HOT) -> tuple[np.nda
 
     def flushed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         values, owner = (np.concatenate(x) for x in zip(*held))
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], owner[order]
-        equal = values[1:] == values[:-1]
-        new = np.concatenate([[True], ~equal])[:len(values)]
+        keys = hot_keys(*slots(values, buckets))
+        order = np.argsort(keys)
+        keys, owner = keys[order], owner[order]
+        equal = keys[1:] == keys[:-1]
+        new = np.concatenate([[True], ~equal])[:len(keys)]
         first = np.nonzero(new)[0]
         # held by several documents here: sent twice, so it counts as shared at once
         several = np.zeros(len(first), bool)
         several[(np.cumsum(new) - 1)[1:][equal & (owner[1:] != owner[:-1])]] = True
-        count = np.repeat(np.diff(np.append(first, len(values))), 1 + several).astype(np.uint32)
+        count = np.repeat(np.diff(np.append(first, len(keys))), 1 + several).astype(np.uint32)
         count[(np.cumsum(1 + several) - 1)[several]] = 0    # the second time without its places
-        bucket, value = slots(np.repeat(values[first], 1 + several), buckets)
-        order = np.lexsort((value, bucket))
-        bucket, value, count = bucket[order], value[order], count[order]
+        keys = np.repeat(keys[first], 1 + several)
+        bucket, value = (keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32)
         ends = np.searchsorted(bucket, np.arange(buckets), "right")
         begins = np.concatenate([[0], ends[:-1]])
         some = np.nonzero(ends > begins)[0]
@@ -174,8 +205,8 @@ def shared_bitmap(docs: DataFrame, buckets: int, hot: int = HOT) -> tuple[np.nda
         bucket = table.column("bucket")[0].as_py()
         values, counts = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint32)
                           for c in ("block", "counts"))
-        order = np.argsort(values, kind="stable")
-        values, counts = values[order], counts[order]
+        pairs = np.sort(values.astype(np.uint64) << np.uint64(32) | counts)
+        values, counts = (pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32)
         shared = values[:-1][values[1:] == values[:-1]]
         first = np.nonzero(np.concatenate([[True], values[1:] != values[:-1]]))[0]
         many = values[first][np.add.reduceat(counts, first, dtype=np.int64) > hot]
@@ -213,6 +244,10 @@ def is_shared(found: Anchors, bitmap: np.ndarray, buckets: int) -> np.ndarray:
 
 # -- suffixes -----------------------------------------------------------------
 
+#: Row n keeps the first n bytes of a row.
+UP_TO = np.where(np.arange(LENGTH) < np.arange(LENGTH + 1)[:, None], 255, 0).astype(np.uint8)
+
+
 def suffix_rows(found: Anchors, picks: np.ndarray) -> np.ndarray:
     """Of each picked anchor a row of ``WIDTH`` bytes: from the anchor to the end
     of its last window, then from before the anchor back to its first window
@@ -220,14 +255,21 @@ def suffix_rows(found: Anchors, picks: np.ndarray) -> np.ndarray:
     at, low, end = found.at[picks], found.low[picks], found.high[picks] + LENGTH
     ahead, behind = end - at, at - low
     rows = np.zeros((len(picks), WIDTH), np.uint8)
-    j = np.arange(LENGTH)
-    rows[:, :LENGTH] = found.body[np.minimum(at[:, None] + j, len(found.body) - 1)] * (j < ahead[:, None])
-    j = np.arange(REACH)
-    rows[:, LENGTH:LENGTH + REACH] = found.body[np.maximum(at[:, None] - 1 - j, 0)] * (j < behind[:, None])
+    padded = np.zeros(len(found.body) + 2 * LENGTH, np.uint8)
+    padded[LENGTH:-LENGTH] = found.body
+    rows[:, :LENGTH] = bytes_from(padded, at + LENGTH, LENGTH) & UP_TO[ahead]
+    rows[:, LENGTH:LENGTH + REACH] = bytes_from(
+        padded[::-1].copy(), len(padded) - LENGTH - at, REACH) & UP_TO[behind, :REACH]
     rows[:, -2], rows[:, -1] = behind, ahead
     return rows
 
 
+def bytes_from(body: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """A row of the ``size`` bytes from each place."""
+    strings = np.ndarray(len(body) - size + 1, f"V{size}", body, strides=(1,))
+    return strings[places].view(np.uint8).reshape(-1, size)
+
+
 def row_hashes(rows: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each row, whose width is a multiple of eight."""
     h = np.full(len(rows), C)
@@ -286,15 +328,9 @@ class Run:
         return n
 
 
-def shared_prefix(a: bytes, b: bytes, known: int) -> int:
-    """How many bytes two suffixes share, the first ``known`` being equal."""
-    while a[known:known + 8] == b[known:known + 8]:
-        if known >= WIDTH:
-            return WIDTH
-        known += 8
-    while a[known] == b[known]:
-        known += 1
-    return known
+def shared_prefix(a: int, b: int) -> int:
+    """How many bytes two suffixes, given as big-endian integers, share."""
+    return WIDTH - ((a ^ b).bit_length() + 7 >> 3)
 
 
 def merged(runs: list[Run]) -> Iterator[tuple[bytes, int, int, int]]:
@@ -302,12 +338,12 @@ def merged(runs: list[Run]) -> Iterator[tuple[bytes, int, int, int]]:
     before, id, held by several).  A loser tree: each inner node keeps the run
     that lost there, and ``known[run]`` the prefix that its head shares with the
     last winner along its path.  The head with the longer one is smaller, and
-    only where both are as long are bytes compared, from there on."""
+    only where both are as long are suffixes compared, as integers."""
     width = 1
     while width < len(runs):
         width *= 2
     known = [r.step() for r in runs] + [-1] * (width - len(runs))
-    heads = [r.string for r in runs] + [None] * (width - len(runs))
+    heads = [int.from_bytes(r.string or b"") for r in runs] + [0] * (width - len(runs))
     tree = [0] * width
 
     def loses(a: int, b: int) -> bool:
@@ -315,9 +351,8 @@ def merged(runs: list[Run]) -> Iterator[tuple[bytes, int, int, int]]:
         x, y = known[a], known[b]
         if x != y or x < 0:
             return x < y or x == y
-        s, t = heads[a], heads[b]
-        n = shared_prefix(s, t, x)
-        if n == WIDTH or s[n] < t[n]:
+        n = shared_prefix(heads[a], heads[b])
+        if heads[a] <= heads[b]:
             known[b] = n
             return False
         known[a] = n
@@ -338,16 +373,23 @@ def merged(runs: list[Run]) -> Iterator[tuple[bytes, int, int, int]]:
         at = run.next - 1
         yield run.string, known[winner], run.ids[at], run.several[at]
         mine = known[winner] = run.step()
-        heads[winner] = run.string
+        head = heads[winner] = int.from_bytes(run.string or b"")
         node = (winner + width) >> 1
         while node:
             other = tree[node]
             theirs = known[other]
             # most matches are decided here, by the known prefixes alone
-            if theirs > mine or theirs == mine >= 0 and loses(winner, other):
+            if theirs > mine or theirs == mine >= 0:
+                rival = heads[other]
+                if theirs == mine:
+                    shared = shared_prefix(head, rival)
+                    if head <= rival:
+                        known[other] = shared
+                        node >>= 1
+                        continue
+                    known[winner] = shared
                 tree[node] = winner
-                winner = other
-                mine = known[other]
+                winner, mine, head = other, theirs, rival
             node >>= 1
 
 
@@ -392,14 +434,23 @@ def suffix_windows(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return text, window, row, behind[row] - (window - base[row])
 
 
+def hashed_windows(flat: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``suffix_windows`` with the hash of each window, from a few suffixes at a time."""
+    parts, length = [], 0
+    for at in range(0, len(flat), PART * WIDTH):
+        text, window, row, offset = suffix_windows(flat[at:at + PART * WIDTH])
+        parts.append((text, window + length, row + at // WIDTH, offset, window_hashes(text)[window]))
+        length += len(text)
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def window_owners(strings: list[bytes], ids: np.ndarray, shared: np.ndarray
                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(suffix, first offset, last offset, smallest id) of runs of windows, where
     some holder of the suffix may come after that id.  Offset o: the window that
     begins o bytes before the anchor."""
-    text, window, row, offset = suffix_windows(np.frombuffer(b"".join(strings), np.uint8))
-    h = window_hashes(text)[window]
-    order = np.argsort(h, kind="stable")
+    text, window, row, offset, h = hashed_windows(np.frombuffer(b"".join(strings), np.uint8))
+    order = np.argsort(h)
     group = np.concatenate([[0], np.cumsum(h[order][1:] != h[order][:-1])])
     sizes = np.bincount(group)
     many = np.nonzero(sizes[group] > 1)[0]
@@ -578,9 +629,7 @@ def deduplicate(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regroup(batches):
-            yield judged(batch.column(0), text_column(batch), [
-                [] if own is None else [(x["begin"], x["end"]) for x in own]
-                for own in batch.column(2).to_pylist()])
+            yield judged(batch.column(0), text_column(batch), span_lists(batch.column(2)))
 
     whole = (rows.mapInArrow(named, "doc_id long, text string, name long")
              .join(spans, "name", "left").select("doc_id", "text", "spans"))
@@ -607,6 +656,14 @@ def names_of(batch: pa.RecordBatch) -> np.ndarray:
         batch.num_rows).view(np.int64)
 
 
+def span_lists(spans: pa.ListArray) -> list[list[tuple[int, int]]]:
+    """The spans of each row as pairs; of a null none."""
+    flat = spans.flatten()
+    pairs = list(zip(*(flat.field(k).to_numpy().tolist() for k in ("begin", "end"))))
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(spans), 0).to_numpy()).tolist()
+    return [pairs[b:e] for b, e in pairwise([0, *ends])]
+
+
 def judged(doc_ids: pa.Array, texts: pa.Array, spans: list[list[tuple[int, int]]]) -> pa.RecordBatch:
     rows = []
     for text, own in zip(texts.to_pylist(), spans):

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -122,3 +123,46 @@ def test_hot_phrase_in_varying_context_is_spread(spark):
     assert sum(r[2] for r in want) > 1000
     for limit in (0, 50, sub.HOT):
         assert sorted(map(tuple, sub.deduplicate(docs, limit).collect()), key=str) == want
+
+
+def test_anchors_across_blocks_equal_one_by_one(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abé ") for _ in range(n)) for n in (0, 49, 50, 300, 0, 0, 7, 51, 120, 48, 64, 0)]
+    whole = sub.find_anchors(pa.array(texts))
+    for block in (1, 37, 64):
+        monkeypatch.setattr(sub, "BLOCK", block)
+        found = sub.find_anchors(pa.array(texts))
+        for name in ("at", "owner", "hash", "low", "high"):
+            assert np.array_equal(getattr(found, name), getattr(whole, name))
+    starts = whole.starts
+    windows = [p for i in range(len(texts)) for p in range(starts[i], starts[i + 1] - L + 1)]
+    assert windows == [p for b, e in zip(whole.low, whole.high) for p in range(b, e + 1)]
+    words = np.array([int.from_bytes(whole.body[i:i + 8].tobytes(), "little")
+                      for i in range(len(whole.body) - 7)], np.uint64)
+    hashes = sub.kmer_hashes(words[:-16], words[8:-8], words[16:]) >> np.uint64(32)
+    for at, low, high in zip(whole.at, whole.low, whole.high):
+        assert all(p + int(np.argmin(hashes[p:p + sub.PLACES])) == at for p in range(low, high + 1))
+
+
+def test_anchors_and_windows_take_few_bytes_besides_the_text():
+    # arrays of eight bytes for each byte of text are made by blocks, not of a whole batch
+    rng = np.random.default_rng(2)
+    text = rng.integers(97, 123, 4 << 20, np.uint8).tobytes().decode()
+    rows = np.zeros((20_000, sub.WIDTH), np.uint8)
+    rows[:, :-4] = rng.integers(97, 123, (20_000, sub.WIDTH - 4), np.uint8)
+    rows[:, -2:] = 20, L
+    strings, ids = sorted(map(bytes, rows)), np.arange(20_000)
+    for work, size, most in ((lambda: sub.find_anchors(pa.array([text])), len(text), 20),
+                             (lambda: sub.window_owners(strings, ids, ids > 0), 70 * len(rows), 45)):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * size, (peak / size, most)
+
+
+def test_spans_of_rows_as_pairs():
+    kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+    rows = [None, [{"begin": 1, "end": 60}], [], [{"begin": 5, "end": 70}, {"begin": 0, "end": 50}], None]
+    spans = pa.array([[{"begin": 9, "end": 99}], *rows], kind)[1:]
+    assert sub.span_lists(spans) == [[], [(1, 60)], [], [(5, 70), (0, 50)], []]
