@@ -5,15 +5,18 @@ pre-tokenizer never reach across white space: no composition, pattern match,
 added token or merge spans a blank.  So a text's ids are the ids of its
 blank-separated words in order.  A plain word (ASCII and Latin-1 letters, no
 apostrophe, no added token) is cut further where its pre-tokenizer cuts: runs
-of letters, single digits, runs of other characters.  Any other word goes to
-the tokenizer as it is.  A piece that a worker has met before needs no second
-encoding; the memory of known pieces is two generations of at most
-``GENERATION`` entries, so it stays bounded over any corpus.
+of letters, single digits, runs of other characters.  Such a piece is one
+pre-token and goes straight to the model, its bytes as the characters that
+byte-level vocabularies write for them.  Any other word goes to the tokenizer
+as it is.  A piece that a worker has met before needs no second encoding; the
+memory of known pieces is two generations, each ended by the batch that takes
+it over ``GENERATION`` entries, so it stays bounded over any corpus.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from array import array
 
 import numpy as np
@@ -26,6 +29,12 @@ GENERATION = 100_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN_WORD = f"^[!-&(-~{LETTERS}]+$"            # printable ASCII but the apostrophe
 CUT = f"([0-9]|[^0-9{LETTERS} ]+)"
+# a piece of a plain word, in lower case
+PRE_TOKEN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|(?!.*<\|)[!-&(-/:-@\[-`{-~]+")
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: The character that stands for each byte: itself if printable, else one of those from U+0100 on.
+BYTE_CHARS = {b: b for b in _PRINTED} | {
+    b: 0x100 + n for n, b in enumerate(sorted({*range(0x100)} - {*_PRINTED}))}
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -47,16 +56,16 @@ class WordEncoder:
 
     def piece_ids(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece as little-endian unsigned 32-bit integers."""
-        new, old = self.new, self.old
-        out = [new.get(p) for p in pieces]
+        new, old, tokenize = self.new, self.old, self.model.tokenize
+        out = list(map(new.get, pieces))
         foreign = []
         for i in [i for i, ids in enumerate(out) if ids is None]:
             piece = pieces[i]
             ids = old.get(piece)
             if ids is None:
-                if piece.isascii() and piece.isalpha():
-                    # one pre-token, already lower case, bytes as they are
-                    ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+                if PRE_TOKEN.fullmatch(piece):
+                    coded = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_CHARS)
+                    ids = array("I", [t.id for t in tokenize(coded)]).tobytes()
                 else:
                     foreign.append(i)
                     continue
@@ -78,7 +87,7 @@ class WordEncoder:
         lower = pc.utf8_lower(vocabulary)
         cut = pc.if_else(plain, pc.replace_substring_regex(lower, CUT, r" \1 "), vocabulary)
         pieces = Words(cut)
-        coded = self.piece_ids(pieces.vocabulary.to_pylist())
+        coded = self.piece_ids(pieces.vocabulary.to_numpy(zero_copy_only=False).tolist())
         lens = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         flat = np.frombuffer(b"".join(coded), np.uint32)
         ids = gather_lists(flat, np.cumsum(lens) - lens, lens, pieces.codes)

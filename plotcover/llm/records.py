@@ -42,6 +42,7 @@ MASK_DELTA = 0xA282EAD8  # fixed value of the masked checksum
 NO_ID = -(1 << 63)       # stands for a null doc_id in a frame
 INDEX_ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("bytes", "<u8")])
 READ_BYTES = 8 << 20
+ENCODE_BYTES = 8 << 20   # text encoded at once: each of its distinct words once
 MANIFEST = "part int, path string, index_path string, records long, tokens long"
 
 
@@ -99,7 +100,7 @@ def write_token_records(docs: DataFrame, tokenizer: str, end_id: int, folder: st
         store, root = open_folder(folder)
         name = f"{root}/part-{part:06d}-{uuid.uuid4().hex}"
         out, entries, at, tokens, records = None, [], 0, 0, 0
-        for batch in regroup(batches):
+        for batch in regroup(batches, ENCODE_BYTES):
             if out is None:
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(f"{name}.rec")
